@@ -15,7 +15,7 @@ from stratalake.functions.numbers import as_column
 SEVERITIES = ("warn", "error")
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Check:
     """One check of one table.
 
