@@ -33,17 +33,15 @@ def date_spine(
     """One row per date part from ``start`` (included) to ``end`` (excluded), as ``date_<part>``.
 
     Bounds are constants: dates, times or SQL text such as ``date'2024-01-01'``.
+    Calendar parts counted from midnight give dates, anything else gives times.
     """
     start_at, end_at = (_moment(m).cast("timestamp_ntz") for m in (start, end))
-    periods = spark.range(1).select(boundaries_between(datepart, start_at, end_at)).first()[0]
+    at_midnight = start_at == F.date_trunc("day", start_at)
+    bounds = spark.range(1).select(boundaries_between(datepart, start_at, end_at), at_midnight)
+    periods, whole_days = bounds.first()
     name = f"date_{datepart.lower()}"
-    number = F.col("generated_number")
-    moments = generate_series(spark, periods).select(
-        add_part(datepart, (number - 1).cast("int"), start_at).alias(name)
-    )
-    kept = moments.filter(F.col(name) <= end_at)
-    if datepart.lower() in CALENDAR_PARTS and not isinstance(start, datetime):
-        whole_days = spark.range(1).select(start_at == F.date_trunc("day", start_at)).first()[0]
-        if whole_days:
-            return kept.select(F.col(name).cast("date").alias(name))
-    return kept
+    moment = add_part(datepart, (F.col("generated_number") - 1).cast("int"), start_at)
+    spine = generate_series(spark, periods).select(moment.alias(name)).filter(F.col(name) <= end_at)
+    if whole_days and datepart.lower() in CALENDAR_PARTS:
+        return spine.select(F.col(name).cast("date").alias(name))
+    return spine

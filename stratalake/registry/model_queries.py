@@ -22,22 +22,26 @@ def _unstamped(df: DataFrame) -> DataFrame:
     return df.drop(STAMP, PARENT_STAMP)
 
 
+def _amounts_as_numbers(df: DataFrame, *columns: str) -> DataFrame:
+    """Text amounts as doubles: two engines may print the same double differently."""
+    return df.withColumns({c: F.col(c).cast("double") for c in columns})
+
+
 _PRODUCT_TEXT = """
     SELECT CAST(ProductID AS VARCHAR) AS ProductID, ProductDesc, ProductNumber,
            CAST(MakeFlag AS VARCHAR) AS MakeFlag, Color,
            CAST(SafetyStockLevel AS VARCHAR) AS SafetyStockLevel, CAST(ReorderPoint AS VARCHAR) AS ReorderPoint,
-           Size, SizeUnitMeasureCode, Weight, WeightUnitMeasureCode, ProductCategoryName,
-           ProductSubCategoryName
+           StandardCost, ListPrice, Size, SizeUnitMeasureCode, Weight, WeightUnitMeasureCode,
+           ProductCategoryName, ProductSubCategoryName
     FROM {table}
 """
 
 
-# Costs are left out of the text forms: engines print the same double differently.
 @BOOK.add("csv_ingest", with_tables(["src_products"], _PRODUCT_TEXT.format(table="src_products")))
 def csv_ingest(spark: SparkSession, directory: str) -> DataFrame:
     folder = scratch_path(spark, "csv")
     write_text_csv(sales_sources(spark, directory)["src_products"], f"{folder}/src_products.csv")
-    return source(spark, folder, "src_products").drop("StandardCost", "ListPrice")
+    return _amounts_as_numbers(source(spark, folder, "src_products"), "StandardCost", "ListPrice")
 
 
 @BOOK.add(
@@ -67,7 +71,7 @@ def typed_csv_load(spark: SparkSession, directory: str) -> DataFrame:
 @BOOK.add("bronze_products", with_tables(["products"], _PRODUCT_TEXT.format(table="products")))
 def bronze_products(spark: SparkSession, directory: str) -> DataFrame:
     raw = bronze.raw_products(sales_sources(spark, directory)["src_products"])
-    return _unstamped(raw).drop("StandardCost", "ListPrice")
+    return _amounts_as_numbers(_unstamped(raw), "StandardCost", "ListPrice")
 
 
 @BOOK.add(
@@ -77,14 +81,15 @@ def bronze_products(spark: SparkSession, directory: str) -> DataFrame:
         """
         SELECT CAST(SalesOrderID AS VARCHAR) AS SalesOrderID,
                CAST(SalesOrderDetailID AS VARCHAR) AS SalesOrderDetailID,
-               CAST(OrderQty AS VARCHAR) AS OrderQty, CAST(ProductID AS VARCHAR) AS ProductID
+               CAST(OrderQty AS VARCHAR) AS OrderQty, CAST(ProductID AS VARCHAR) AS ProductID, UnitPrice,
+               UnitPriceDiscount
         FROM src_detail
         """,
     ),
 )
 def bronze_order_detail(spark: SparkSession, directory: str) -> DataFrame:
     raw = bronze.raw_sales_order_detail(sales_sources(spark, directory)["src_sales_order_detail"])
-    return _unstamped(raw).drop("UnitPrice", "UnitPriceDiscount")
+    return _amounts_as_numbers(_unstamped(raw), "UnitPrice", "UnitPriceDiscount")
 
 
 @BOOK.add(
@@ -94,14 +99,14 @@ def bronze_order_detail(spark: SparkSession, directory: str) -> DataFrame:
         """
         SELECT CAST(SalesOrderID AS VARCHAR) AS SalesOrderID, OrderDate, ShipDate,
                CAST(OnlineOrderFlag AS VARCHAR) AS OnlineOrderFlag, AccountNumber,
-               CAST(CustomerID AS VARCHAR) AS CustomerID, SalesPersonID
+               CAST(CustomerID AS VARCHAR) AS CustomerID, SalesPersonID, Freight
         FROM src_header
         """,
     ),
 )
 def bronze_order_header(spark: SparkSession, directory: str) -> DataFrame:
     raw = bronze.raw_sales_order_header(sales_sources(spark, directory)["src_sales_order_header"])
-    return _unstamped(raw).drop("Freight")
+    return _amounts_as_numbers(_unstamped(raw), "Freight")
 
 
 @BOOK.add(
