@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -88,53 +88,71 @@ def build_layers(sources: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return tables
 
 
-def run_layers(sources: Mapping[str, DataFrame], root: str) -> LayeredRun:
-    """Write bronze, silver and gold below ``root``, check each table, and publish the marts as views.
+class ChecksFailed(RuntimeError):
+    """A check of severity error failed; later layers were not built."""
+
+
+def run_layers(
+    sources: Mapping[str, DataFrame],
+    root: str,
+    checks_of: Callable[[Mapping[str, DataFrame]], dict[str, list[Check]]] = table_checks,
+) -> LayeredRun:
+    """Write bronze, silver and gold below ``root`` and publish the marts as views.
 
     Each layer starts from the files of the layer before, so a failure never goes
-    back further than one layer. The report has one row per layer, table and check.
+    back further than one layer. A layer's checks run once its tables are
+    written; their report is kept below ``<root>/checks``, one row per layer,
+    table and check, and a failed check of severity error ends the run.
     """
     tables: dict[str, DataFrame] = {}
     reports: list[DataFrame] = []
 
-    def store(layer: str, name: str, plan: DataFrame) -> None:
-        tables[name] = materialize(plan, layer_path(root, layer, name), CLUSTER_COLUMNS[name])
-
-    def check(layer: str, *names: str) -> None:
-        checks = table_checks(tables)
-        for name in names:
-            outcome = run_checks(tables[name], checks[name])
-            reports.append(outcome.select(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "*"))
-
-    store("bronze", "raw_products", bronze.raw_products(sources["src_products"]))
-    store("bronze", "raw_sales_order_header", bronze.raw_sales_order_header(sources["src_sales_order_header"]))
-    store("bronze", "raw_sales_order_detail", bronze.raw_sales_order_detail(sources["src_sales_order_detail"]))
-    check("bronze", "raw_products", "raw_sales_order_header", "raw_sales_order_detail")
-
-    store("silver", "store_products", silver.store_products(tables["raw_products"]))
-    store(
-        "silver",
-        "store_sales_order_header",
-        silver.store_sales_order_header(tables["raw_sales_order_header"]),
+    def build(layer: str, plans: Mapping[str, DataFrame]) -> None:
+        for name, plan in plans.items():
+            tables[name] = materialize(plan, layer_path(root, layer, name), CLUSTER_COLUMNS[name])
+        checks = checks_of(tables)
+        outcomes = [
+            run_checks(tables[name], checks[name]).select(
+                F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "*"
+            )
+            for name in plans
+            if checks.get(name)
+        ]
+        if not outcomes:
+            return
+        report = materialize(reduce(DataFrame.unionAll, outcomes), layer_path(root, "checks", layer))
+        reports.append(report)
+        failed = report.filter("status = 'fail'").select("table_name", "check_name", "failures").collect()
+        if failed:
+            raise ChecksFailed(f"{layer}: " + ", ".join(f"{t}.{c} ({n})" for t, c, n in failed))
+
+    build(
+        "bronze",
+        {
+            "raw_products": bronze.raw_products(sources["src_products"]),
+            "raw_sales_order_header": bronze.raw_sales_order_header(sources["src_sales_order_header"]),
+            "raw_sales_order_detail": bronze.raw_sales_order_detail(sources["src_sales_order_detail"]),
+        },
     )
-    store(
+    build(
         "silver",
-        "store_sales_order_detail",
-        silver.store_sales_order_detail(tables["raw_sales_order_detail"]),
+        {
+            "store_products": silver.store_products(tables["raw_products"]),
+            "store_sales_order_header": silver.store_sales_order_header(tables["raw_sales_order_header"]),
+            "store_sales_order_detail": silver.store_sales_order_detail(tables["raw_sales_order_detail"]),
+        },
     )
-    check("silver", "store_products", "store_sales_order_header", "store_sales_order_detail")
-
-    store(
+    build(
         "gold",
-        "publish_orders",
-        gold.publish_orders(tables["store_sales_order_header"], tables["store_sales_order_detail"]),
+        {
+            "publish_orders": gold.publish_orders(
+                tables["store_sales_order_header"], tables["store_sales_order_detail"]
+            ),
+            "publish_products": gold.publish_products(tables["store_products"]),
+        },
     )
-    store("gold", "publish_products", gold.publish_products(tables["store_products"]))
-    check("gold", "publish_orders", "publish_products")
-
-    for name, mart in (
-        ("avg_lead_time_prod_category", marts.avg_lead_time_prod_category),
-        ("color_with_highest_reven_year", marts.color_with_highest_reven_year),
-    ):
-        tables[name] = publish_view(mart(tables["publish_orders"], tables["publish_products"]), name)
+    for mart in (marts.avg_lead_time_prod_category, marts.color_with_highest_reven_year):
+        tables[mart.__name__] = publish_view(
+            mart(tables["publish_orders"], tables["publish_products"]), mart.__name__
+        )
     return LayeredRun(tables, reduce(DataFrame.unionAll, reports))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -18,13 +19,30 @@ RECOMMENDED_CONF = {
     "spark.ui.enabled": "false",
 }
 
+# Bytes of shuffled data per task: small enough to sort in memory.
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+DEFAULT_SHUFFLE_PARTITIONS = 200
 
-def build_session(app_name: str = "stratalake", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the recommended settings; ``conf`` entries win over them."""
+
+def shuffle_partitions_for(data_bytes: int) -> int:
+    """Shuffle partitions for a table of this size; adaptive execution merges those that stay small."""
+    return max(DEFAULT_SHUFFLE_PARTITIONS, math.ceil(data_bytes / TARGET_PARTITION_BYTES))
+
+
+def build_session(
+    app_name: str = "stratalake", master: str | None = None, data_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """A session with the recommended settings; ``conf`` entries win over them.
+
+    ``data_bytes`` is the size of the largest table to be shuffled.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**RECOMMENDED_CONF, **conf}.items():
+    settings = dict(RECOMMENDED_CONF)
+    if data_bytes is not None:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions_for(data_bytes))
+    for key, value in {**settings, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
