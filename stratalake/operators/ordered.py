@@ -77,9 +77,9 @@ def with_neighbour(
     if splits is None:
         return keys.withColumn(into, step(value).over(Window.partitionBy(*groups).orderBy(value)))
 
-    ranged = Bucketizer(splits=splits, inputCol="_position", outputCol="_range").transform(
-        keys.withColumn("_position", sort_position(value, keys.schema[column].dataType))
-    )
+    positioned = keys.withColumn("_position", sort_position(value, keys.schema[column].dataType))
+    ranged = Bucketizer(splits=splits, inputCol="_position", outputCol="_range").transform(positioned)
+    ranged = ranged.withColumn("_range", F.col("_range").cast("int"))
     in_range = Window.partitionBy(*groups, F.col("_range"))
     far_end = F.max(value) if side == "previous" else F.min(value)
     local = ranged.withColumn(into, step(value).over(in_range.orderBy(value))).withColumn(

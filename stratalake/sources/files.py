@@ -50,6 +50,8 @@ def write_text_csv(df: DataFrame, path: str) -> None:
         .option("quote", '"')
         .option("escape", '"')
         .option("emptyValue", '""')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 

@@ -28,14 +28,17 @@ def spark():
     session.stop()
 
 
-@pytest.fixture
-def rows_of():
-    """Rows of a DataFrame as tuples, sorted by their text form."""
+class Rows(list):
+    """Rows in any order: equal to any list with the same rows."""
+
+    def __eq__(self, other):
+        return sorted(self, key=repr) == sorted(other, key=repr)
 
-    def collect(df):
-        return sorted((tuple(row) for row in df.collect()), key=repr)
 
-    return collect
+@pytest.fixture
+def rows_of():
+    """Rows of a DataFrame as tuples, compared without regard to order."""
+    return lambda df: Rows(tuple(row) for row in df.collect())
 
 
 @pytest.fixture

@@ -1,0 +1,251 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from stratalake.checks import compare, groups, ordered, rows, schema
+
+
+def failures(df, expression):
+    return df.agg(F.expr(f"coalesce({expression}, 0)")).first()[0]
+
+
+# --- single rows
+
+
+def test_accepted_range(table, rows_of):
+    df = table("id int", -1, 11, None)
+    assert rows_of(rows.accepted_range(df, "id", -1, 11)) == []
+    assert rows_of(rows.accepted_range(df, "id", -2, 11.1, inclusive=False)) == []
+    assert rows_of(rows.accepted_range(df.filter("id <> -1"), "id", min_value=0)) == []
+    assert rows_of(rows.accepted_range(df, "id", -1, 11, inclusive=False)) == [(-1,), (11,)]
+    assert rows_of(rows.accepted_range(df, "id")) == []
+    two = table("a int, b int", (1, 2), (3, 2))
+    assert rows_of(rows.accepted_range(two, "a", max_value="b")) == [(3, 2)]
+
+
+def test_expression_is_true(table, rows_of):
+    df = table("a double, b double", (0.0, 1.0), (1.0, 0.0), (0.5, 0.5), (None, 1.0))
+    assert rows_of(rows.expression_is_true(df, "a + b = 1")) == []
+    assert rows_of(rows.expression_is_true(df.filter("b = 0.5"), "a = 0.5")) == []
+    assert rows_of(rows.expression_is_true(df, "+ b = 1", column="a")) == []
+    assert rows_of(rows.expression_is_true(df, "a = 0")) == [(0.5, 0.5), (1.0, 0.0)]
+
+
+def test_not_empty_string(table, rows_of):
+    df = table("id int, s string", (1, "text"), (2, ""), (3, "  "), (4, None), (5, "trailing "), (6, "\t\n"))
+    assert rows_of(rows.not_empty_string(df, "s")) == [("",)] * 3
+    assert rows_of(rows.not_empty_string(df, "s", trim_whitespace=False)) == [("",)]
+    assert rows_of(rows.not_empty_string(df.filter("id in (1, 4, 5)"), "s")) == []
+
+
+def test_accepted_and_forbidden_values(table, rows_of):
+    df = table("id int, city string", (1, "Barcelona"), (2, "London"), (3, "Paris"), (4, "Paris"), (5, None))
+    assert rows_of(rows.not_accepted_values(df, "city", ["Madrid", "Berlin"])) == []
+    assert rows_of(rows.not_accepted_values(df, "city", ["Paris"])) == [("Paris",)]
+    assert rows_of(rows.not_accepted_values(df, "id", ["1 + 1"], quote=False)) == [(2,)]
+    assert rows_of(rows.accepted_values(df, "city", ["London", "Paris"])) == [("Barcelona", 1)]
+
+
+def test_not_null_and_assert_equal(table, rows_of):
+    df = table("a int, b int", (1, 1), (1, 2), (None, 1))
+    assert rows_of(rows.not_null(df, "a")) == [(None, 1)]
+    assert rows_of(rows.not_null(df, "b")) == []
+    assert rows_of(rows.assert_equal(df, "a", "b")) == [(1, 2)]
+
+
+# --- groups
+
+
+def test_at_least_one(table, rows_of):
+    df = table("field string, g int", ("a", 1), (None, 1), (None, 2))
+    assert rows_of(groups.at_least_one(df, "field")) == []
+    assert rows_of(groups.at_least_one(df, "field", ["g"])) == [(2, 0)]
+    assert rows_of(groups.at_least_one(df.filter("g = 2"), "field")) == [(0,)]
+
+
+def test_not_constant(table, rows_of):
+    df = table("a int, field int", (1, 1), (1, 1), (1, 2), (2, None), (3, 5))
+    assert rows_of(groups.not_constant(df, "field")) == []
+    assert rows_of(groups.not_constant(df, "field", ["a"])) == [(3, 1)]
+    assert rows_of(groups.not_constant(df.filter("a = 1"), "a")) == [(1,)]
+
+
+def test_not_null_proportion(table, rows_of):
+    df = table(
+        "point_5 int, point_9 int, g int", *[(1 if i < 5 else None, 1 if i < 9 else None, i // 5) for i in range(10)]
+    )
+    assert rows_of(groups.not_null_proportion(df, "point_5", 0.5, 0.5)) == []
+    assert rows_of(groups.not_null_proportion(df, "point_9", 0.9)) == []
+    assert groups.not_null_proportion(df, "point_9", 0.95).count() == 1
+    assert groups.not_null_proportion(df, "point_9", 0.1, 0.89).count() == 1
+    assert [r[0] for r in groups.not_null_proportion(df, "point_5", 0.5, group_by=["g"]).collect()] == [1]
+    assert groups.not_null_proportion(df.limit(0), "point_5", 0.5).count() == 0
+
+
+def test_recency(table):
+    now = F.lit("2024-01-10 12:00:00").cast("timestamp")
+    df = table("g int, at timestamp_ntz", (1, dt.datetime(2024, 1, 9, 13)), (2, dt.datetime(2024, 1, 8)))
+    assert groups.recency(df, "at", "day", 1, as_of=now).count() == 0
+    assert [r[0] for r in groups.recency(df, "at", "day", 1, group_by=["g"], as_of=now).collect()] == [2]
+    assert groups.recency(df.filter("g = 2"), "at", "day", 2, as_of=now).count() == 1
+    assert groups.recency(df.filter("g = 2"), "at", "day", 2, ignore_time_component=True, as_of=now).count() == 0
+    assert groups.recency(df.limit(0), "at", "day", 1, as_of=now).count() == 0
+    assert groups.recency(df, "at", "day", 1).count() == 1
+
+
+def test_unique_and_combinations(table, rows_of):
+    df = table("month int, product string, v int", (1, "a", 5), (1, "b", 5), (2, "e", 6), (None, "c", None), (None, "d", None))
+    assert rows_of(groups.unique(df, "product")) == []
+    assert rows_of(groups.unique(df, "month")) == [(1, 2)]
+    assert rows_of(groups.unique_combination_of_columns(df, ["month", "product"])) == []
+    assert rows_of(groups.unique_combination_of_columns(df, ["month"])) == [(1,), (None,)]
+    assert rows_of(groups.unique_combination_of_columns(df, ["v"], quote_columns=True)) == [(5,), (None,)]
+
+
+# --- two tables
+
+
+def test_equality(table, rows_of):
+    a = table("id int, name string", (1, "x"), (2, None), (2, None))
+    assert rows_of(compare.equality(a, a.distinct())) == []
+    b = a.filter("id = 1")
+    found = compare.equality(a, b)
+    assert rows_of(found) == [("a_minus_b", 2, None)]
+    assert failures(found, compare.EQUALITY_FAILURES) == 2
+    both = compare.equality(a, table("id int, name string", (1, "y"), (2, None)))
+    assert rows_of(both) == [("a_minus_b", 1, "x"), ("b_minus_a", 1, "y")]
+    assert failures(both, compare.EQUALITY_FAILURES) == 2
+    assert rows_of(compare.equality(a, b, ["id"]).filter("which_diff = 'b_minus_a'")) == []
+
+
+def test_cardinality_equality(table, rows_of):
+    a, b = table("same int", 1, 2, 3), table("same int, other int", (1, 2), (2, 3), (3, 1))
+    for field in ("same", "other"):
+        assert rows_of(compare.cardinality_equality(a, "same", b, field)) == []
+    more = a.unionAll(table("same int", 3, 4, None))
+    assert rows_of(compare.cardinality_equality(more, "same", b, "same")) == [(3, 1), (3, 2), (4, 1), (None, 1)]
+
+
+def test_equal_rowcount(table, rows_of):
+    df = table("field int", 1, 1, 2)
+    assert rows_of(compare.equal_rowcount(df, df)) == []
+    assert rows_of(compare.equal_rowcount(df, df, ["field"])) == []
+    empty = compare.equal_rowcount(df, df.limit(0))
+    assert rows_of(empty) == [(3, 0, 3)] and failures(empty, compare.EQUAL_ROWCOUNT_FAILURES) == 3
+    assert rows_of(compare.equal_rowcount(df, table("field int", 1, 3), ["field"])) == [
+        (1, 2, 1, 1),
+        (2, 1, 0, 1),
+        (3, 0, 1, 1),
+    ]
+
+
+def test_fewer_rows_than(table, rows_of):
+    three, four, five = (table("a int, f int", *[(1, i) for i in range(n)]) for n in (3, 4, 5))
+    assert rows_of(compare.fewer_rows_than(three, four)) == []
+    assert rows_of(compare.fewer_rows_than(three, four, ["a"])) == []
+    for left, right, delta in ((three, three, 1), (four, three, 1), (five, three, 2)):
+        assert failures(compare.fewer_rows_than(left, right), compare.FEWER_ROWS_FAILURES) == delta
+    assert failures(compare.fewer_rows_than(three, four.limit(0), ["a"]), compare.FEWER_ROWS_FAILURES) == 3
+
+
+def test_relationships_where(table, rows_of):
+    parent, child = table("id int", 1, 2, 3), table("id int", 1, 2, 4, 4, None)
+    assert rows_of(compare.relationships_where(child, "id", parent, "id", from_condition="id <> 4")) == []
+    assert rows_of(compare.relationships_where(child, "id", parent, "id")) == [(4,), (4,)]
+    assert rows_of(compare.orphan_counts(child, "id", parent, "id")) == [(4, 2)]
+    assert rows_of(compare.relationships_where(child, "id", parent, "id", to_condition="id > 1")) == [(1,), (4,), (4,)]
+
+
+# --- neighbouring rows
+
+
+def test_sequential_values(table, rows_of):
+    df = table("a int, even int", (1, 2), (1, 4), (1, 6), (2, 8), (2, 10))
+    assert rows_of(ordered.sequential_values(df, "even", 2)) == []
+    assert rows_of(ordered.sequential_values(df, "even", 2, group_by=["a"])) == []
+    gap = ordered.sequential_values(df.filter("even <> 4"), "even", 2)
+    assert gap.columns == ["even", "previous_even"] and rows_of(gap) == [(6, 2)]
+    repeated = df.unionAll(df.filter("even = 6")).unionAll(df.filter("even = 6"))
+    assert rows_of(ordered.sequential_values(repeated, "even", 2)) == [(6, 6), (6, 6)]
+    assert rows_of(ordered.sequential_values(df.unionAll(table("a int, even int", (1, None))), "even", 2)) == []
+
+
+def test_sequential_timestamps(table):
+    hours = [dt.datetime(2021, 1, 1, h) for h in range(4)]
+    df = table("at timestamp_ntz", *hours)
+    assert ordered.sequential_values(df, "at", 1, "hour").count() == 0
+    missing = ordered.sequential_values(df.filter(F.col("at") != hours[2]), "at", 1, "hour")
+    assert [tuple(r) for r in missing.collect()] == [(hours[3], hours[1])]
+
+
+def test_exclusive_ranges_without_gaps(table, rows_of):
+    df = table("lo int, hi int", (0, 1), (1, 2), (2, 4))
+    check = ordered.mutually_exclusive_ranges
+    assert rows_of(check(df, "lo", "hi", gaps="not_allowed")) == []
+    broken = check(df.unionAll(table("lo int, hi int", (3, 5))), "lo", "hi", gaps="not_allowed")
+    assert broken.columns == [
+        "lower_bound",
+        "upper_bound",
+        "next_lower_bound",
+        "is_last_record",
+        "lower_bound_less_than_upper_bound",
+        "upper_bound_equal_to_next_lower_bound",
+    ]
+    assert rows_of(broken) == [(2, 4, 3, False, True, False)]
+    null_bound = check(table("lo int, hi int", (1, None), (2, 3)), "lo", "hi")
+    assert [r.lower_bound for r in null_bound.collect()] == [1]
+    assert rows_of(check(df, "lo", "hi", gaps="required").select("lower_bound")) == [(0,), (1,)]
+    with pytest.raises(ValueError):
+        check(df, "lo", "hi", gaps="maybe")
+    with pytest.raises(ValueError):
+        check(df, "lo", "hi", zero_length_range_allowed="yes")
+
+
+def test_exclusive_ranges_with_gaps(table, rows_of):
+    d = dt.date
+    df = table(
+        "id int, valid_from date, valid_to date",
+        (1, d(2019, 1, 1), d(2019, 2, 1)),
+        (1, d(2019, 3, 3), d(2019, 4, 1)),
+        (2, d(2019, 5, 6), d(2019, 7, 2)),
+        (2, d(2019, 7, 3), None),
+    )
+    bounds = ("valid_from", "coalesce(valid_to, date'2099-01-01')")
+    for gaps, broken in (("allowed", 0), ("required", 0), ("not_allowed", 2)):
+        found = ordered.mutually_exclusive_ranges(df, *bounds, partition_by="id", gaps=gaps)
+        assert found.count() == broken
+    assert [r.partition_by_col for r in found.orderBy("partition_by_col").collect()] == [1, 2]
+
+
+def test_zero_length_ranges(table):
+    df = table("id int, lo int, hi int", (1, 1, 1), (1, 1, 2), (1, 3, 3), (2, 5, 6))
+    check = ordered.mutually_exclusive_ranges
+    assert check(df, "lo", "hi", "id", zero_length_range_allowed=True).count() == 0
+    assert check(df, "lo", "hi", "id").count() == 2
+
+
+# --- schema and free queries
+
+
+def test_columns_match(table, rows_of):
+    df = table("id int, name string, favorite_color string", (1, "a", "b"))
+    check = schema.expect_table_columns_to_match_set
+    assert rows_of(check(df, ["ID", "Name", "favorite_color"])) == []
+    assert rows_of(check(df, ["id", "name", "extra"])) == [("FAVORITE_COLOR", None), (None, "EXTRA")]
+    assert rows_of(check(df, ["id", "name"], transform="lower")) == [("favorite_color", None)]
+
+
+def test_custom_query(spark, table, rows_of):
+    df = table("id int, at timestamp_ntz", (1, dt.datetime(2024, 1, 9)), (2, dt.datetime(2024, 1, 1)))
+    assert rows_of(schema.custom_query(spark, "SELECT id FROM {t} WHERE id > 1", {"t": df})) == [(2,)]
+    recent = schema.custom_query(
+        spark,
+        "SELECT id FROM {t} WHERE at >= (SELECT begin_date FROM {tmp_variable})",
+        {"t": df},
+        days_behind=3,
+        as_of=F.lit("2024-01-10").cast("timestamp_ntz"),
+    )
+    assert rows_of(recent) == [(1,)]
+    now = schema.custom_query(spark, "SELECT * FROM {tmp_variable} WHERE begin_date < now()", days_behind=1)
+    assert now.count() == 1
