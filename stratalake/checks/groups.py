@@ -12,10 +12,13 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampNTZType, TimestampType
 
 from stratalake.functions.dates import add_part
 from stratalake.functions.numbers import as_column
 
+FIXED_WIDTH = (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType)
+
 
 def at_least_one(df: DataFrame, column: str, group_by: Sequence[str] = ()) -> DataFrame:
     """The table, or the groups, without a single non-NULL value."""
@@ -28,9 +31,13 @@ def not_constant(df: DataFrame, column: str, group_by: Sequence[str] = ()) -> Da
     """The table, or the groups, with exactly one distinct non-NULL value.
 
     One distinct value means that the least equals the greatest, which needs no
-    second shuffle for the distinct values.
+    second shuffle for the distinct values. Text and nested values are counted:
+    their least value would take a sort in place of a hash aggregation.
     """
     value = F.col(column)
+    if not isinstance(df.schema[column].dataType, FIXED_WIDTH):
+        counts = df.groupBy(*group_by).agg(F.count_distinct(value).alias("filler_column"))
+        return counts.filter("filler_column = 1")
     return (
         df.groupBy(*group_by)
         .agg(F.min(value).alias("_least"), F.max(value).alias("_greatest"))

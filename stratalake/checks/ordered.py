@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from stratalake.functions.dates import add_part
 from stratalake.functions.numbers import as_column
@@ -43,7 +44,8 @@ def sequential_values(
     )
     before = F.col(previous)
     if datepart:
-        follows = F.col(column).cast("timestamp") == add_part(datepart, interval, before).cast("timestamp")
+        moment = "timestamp" if isinstance(df.schema[column].dataType, TimestampType) else "timestamp_ntz"
+        follows = F.col(column).cast(moment) == add_part(datepart, interval, before.cast(moment))
     else:
         follows = F.col(column) == before + interval
     return expand_counts(rows.filter((F.col("n_rows") > 0) & ~follows))

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.checks import compare, groups, rows
+from stratalake.checks import compare, groups, rows, schema
 from stratalake.functions.numbers import as_column
 
 SEVERITIES = ("warn", "error")
@@ -70,6 +70,21 @@ def expression_is_true(name: str, expression: Column | str, **options) -> Check:
     return Check(name, violation=rows.expression_false(expression), **options)
 
 
+def from_function(name: str, function: Callable[..., DataFrame], *args, options=None, **kwargs) -> Check:
+    """Any check function with its arguments, such as ``groups.recency, "ts", "day", 1``."""
+    return Check(name, query=lambda df: function(df, *args, **kwargs), **(options or {}))
+
+
+def custom_query(name: str, query: str, relations=None, days_behind=None, as_of=None, **options) -> Check:
+    """A query whose rows are violations; the checked table is ``{model}`` in it."""
+
+    def run(df: DataFrame) -> DataFrame:
+        named = {**(relations or {}), "model": df}
+        return schema.custom_query(df.sparkSession, query, named, days_behind, as_of)
+
+    return Check(name, query=run, **options)
+
+
 def equality(name: str, other: DataFrame, compare_columns=None, **options) -> Check:
     return Check(
         name,
@@ -97,11 +112,18 @@ def fewer_rows_than(name: str, other: DataFrame, group_by=(), **options) -> Chec
     )
 
 
-def relationships(column: str, parent: DataFrame, field: str, **options) -> Check:
+def relationships(
+    column: str,
+    parent: DataFrame,
+    field: str,
+    from_condition: Column | str = "true",
+    to_condition: Column | str = "true",
+    **options,
+) -> Check:
     """Failures are child rows; they are summed from one counted row per orphan key."""
     return Check(
         f"relationships_{column}",
-        query=lambda df: compare.orphan_counts(df, column, parent, field),
+        query=lambda df: compare.orphan_counts(df, column, parent, field, from_condition, to_condition),
         failures=compare.ORPHAN_FAILURES,
         **options,
     )

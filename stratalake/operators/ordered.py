@@ -26,8 +26,12 @@ def sort_position(column: Column, data_type: DataType) -> Column:
         position = column.cast("double")
     elif isinstance(data_type, DateType):
         position = F.unix_date(column).cast("double")
-    elif isinstance(data_type, (TimestampType, TimestampNTZType)):
-        position = F.unix_micros(column.cast("timestamp")).cast("double")
+    elif isinstance(data_type, TimestampType):
+        position = F.unix_micros(column).cast("double")
+    elif isinstance(data_type, TimestampNTZType):
+        # Whole seconds, counted without the session's time zone.
+        in_day = F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
+        position = F.unix_date(column.cast("date")).cast("double") * 86_400 + in_day
     elif isinstance(data_type, StringType):
         # The first six bytes as a number.
         head = F.rpad(F.substring(F.hex(column), 1, 12), 12, "0")

@@ -75,7 +75,16 @@ def pivot_columns(
 
 
 def pivot(df: DataFrame, keys: Sequence[str], column: str, values: Sequence, **options) -> DataFrame:
-    """Grouped form of :func:`pivot_columns`: one shuffle, pre-aggregated in the input tasks."""
+    """Grouped form of :func:`pivot_columns`: one shuffle, pre-aggregated in the input tasks.
+
+    Several distinct aggregates would copy every row once per value. Where a row
+    counts for one value only, the rows are made distinct first instead.
+    """
+    one_value_per_row = options.get("cmp", "=") == "=" and options.get("else_value", 0) is None
+    if options.get("distinct") and one_value_per_row and column not in keys:
+        then_value = _branch_value(options.get("then_value", 1)).alias("_then")
+        df = df.select(*keys, column, then_value).distinct()
+        options = {**options, "distinct": False, "then_value": F.col("_then")}
     return df.groupBy(*keys).agg(*pivot_columns(column, values, **options))
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.checks import compare, groups, ordered, rows, runner, schema
+from stratalake.operators import introspect
+from stratalake.operators.reshape import pivot
 from stratalake.plans.layered_run import LINE_TOTAL, build_layers
 from stratalake.registry.book import QueryBook
 from stratalake.registry.sales_sql import with_tables
@@ -477,6 +479,27 @@ def chk_assert_equal(spark: SparkSession, directory: str) -> DataFrame:
     return rows.assert_equal(lines, "actual", "expected")
 
 
+@BOOK.add(
+    "chk_columns_match",
+    """
+    SELECT relation_column, input_column
+    FROM (SELECT DISTINCT upper('n_' || p_type) AS relation_column FROM part
+          UNION ALL SELECT 'P_BRAND') held
+    FULL JOIN (SELECT unnest(['P_BRAND', 'N_SMALL', 'N_MEDIUM', 'N_LARGE', 'N_HUGE']) AS input_column) asked
+      ON relation_column = input_column
+    WHERE relation_column IS NULL OR input_column IS NULL
+    """,
+)
+def chk_columns_match(spark: SparkSession, directory: str) -> DataFrame:
+    """Columns that a pivot on the part types found in the data gives, against a list."""
+    part = load_table(spark, directory, "part")
+    types = introspect.column_value_list(part, "p_type")
+    counts = pivot(part, ["p_brand"], "p_type", types, prefix="n_", quote_identifiers=False)
+    return schema.expect_table_columns_to_match_set(
+        counts, ["p_brand", "n_small", "n_medium", "n_large", "n_huge"]
+    )
+
+
 @BOOK.add(
     "chk_constraints",
     with_tables(

@@ -69,6 +69,8 @@ def test_not_constant(table, rows_of):
     assert rows_of(groups.not_constant(df, "field")) == []
     assert rows_of(groups.not_constant(df, "field", ["a"])) == [(3, 1)]
     assert rows_of(groups.not_constant(df.filter("a = 1"), "a")) == [(1,)]
+    words = df.select("a", F.col("field").cast("string").alias("word"))
+    assert rows_of(groups.not_constant(words, "word", ["a"])) == [(3, 1)]
 
 
 def test_not_null_proportion(table, rows_of):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from stratalake.checks import runner
+from stratalake.checks import groups, runner
 from stratalake.plans import bronze, gold, marts, silver
 from stratalake.plans.layered_run import CLUSTER_COLUMNS, ChecksFailed, build_layers, run_layers, table_checks
 from stratalake.session import scratch_path
@@ -303,6 +303,8 @@ def test_report_statuses(spark, table):
         runner.equal_rowcount("same size", df),
         runner.equality("same rows", df.filter("id < 3")),
         runner.relationships("id", df.filter("id < 3"), "id"),
+        runner.from_function("constant", groups.not_constant, "v", group_by=["id"], options={"severity": "error"}),
+        runner.custom_query("query", "SELECT * FROM {model} WHERE v > 0"),
     ]
     report = {r.check_name: (r.failures, r.status, r.owner) for r in runner.run_checks(df, checks).collect()}
     assert report == {
@@ -318,6 +320,8 @@ def test_report_statuses(spark, table):
         "same size": (0, "pass", None),
         "same rows": (4, "warn", None),
         "relationships_id": (2, "warn", None),
+        "constant": (3, "fail", None),
+        "query": (1, "warn", None),
     }
 
 

@@ -110,6 +110,9 @@ def test_pivot_options(table, rows_of):
     assert rows_of(above) == [(1, 30, 20), (2, 0, 0)]
     distinct = pivot(df, ["k"], "x", [0], agg="count", cmp=">", then_value="y", else_value=None, distinct=True)
     assert rows_of(distinct) == [(1, 2), (2, 0)]
+    per_value = pivot(df, ["k"], "x", [1, 5, 9], agg="count", then_value="y", else_value=None, distinct=True)
+    assert rows_of(per_value) == [(1, 1, 1, 1), (2, 0, 0, 0)]
+    assert "Expand" not in per_value._jdf.queryExecution().executedPlan().toString()
     largest = pivot(df, ["k"], "x", [0], agg="max", cmp=">", then_value="y")
     assert rows_of(largest) == [(1, 20), (2, None)]
     assert len(pivot_columns("x", [1, 2], alias=False)) == 2
