@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
 ROWS_PER_RANGE = 2_000_000
-MAX_RANGES = 65_536
+MAX_RANGES = 20_000
+SAMPLED_ROWS_PER_RANGE = 100
 
 
 def sort_position(column: Column, data_type: DataType) -> Column:
@@ -47,18 +48,20 @@ def range_splits(
 ) -> list[float] | None:
     """Ends of value ranges that hold about ``rows_per_range`` rows each; None if one range is enough.
 
-    Two aggregations whose results have a fixed upper size: the row count, and
-    approximate quantiles of the column.
+    The ends are quantiles of a sample, as in a range shuffle: they balance the
+    work and have no part in the result. Sample and quantiles have a fixed upper
+    size.
     """
-    ranges = min(MAX_RANGES, math.ceil(df.count() / rows_per_range))
+    rows = df.count()
+    ranges = min(MAX_RANGES, math.ceil(rows / rows_per_range))
     if ranges <= 1:
         return None
     position = sort_position(F.col(column), df.schema[column].dataType)
-    shares = [i / ranges for i in range(1, ranges)]
-    quantiles = df.select(position.alias("p")).agg(
-        F.percentile_approx("p", shares, max(10_000, 4 * ranges)).alias("q")
-    )
-    inner = sorted({q for q in quantiles.first()["q"] if math.isfinite(q)})
+    share = min(1.0, ranges * SAMPLED_ROWS_PER_RANGE / rows)
+    sampled = df.select(position.alias("p")).sample(share, seed=17)
+    steps = [i / ranges for i in range(1, ranges)]
+    quantiles = sampled.agg(F.percentile_approx("p", steps, 10 * ranges).alias("q")).first()["q"]
+    inner = sorted({q for q in quantiles or [] if math.isfinite(q)})
     return [-math.inf, *inner, math.inf] if inner else None
 
 

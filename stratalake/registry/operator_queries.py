@@ -532,8 +532,9 @@ def days_to_last_shipment(spark: SparkSession, directory: str) -> DataFrame:
 @BOOK.add(
     "results_as_arrays",
     """
-    SELECT list(o_orderpriority ORDER BY o_orderpriority) AS o_orderpriority, list(n ORDER BY o_orderpriority) AS n,
-           list(urgent ORDER BY o_orderpriority) AS urgent
+    SELECT string_agg(o_orderpriority, '; ' ORDER BY o_orderpriority) AS o_orderpriority,
+           string_agg(CAST(n AS VARCHAR), '; ' ORDER BY o_orderpriority) AS n,
+           string_agg(coalesce(CAST(urgent AS VARCHAR), 'NULL'), '; ' ORDER BY o_orderpriority) AS urgent
     FROM (SELECT o_orderpriority, count(*) AS n,
                  CASE WHEN o_orderpriority = '1-URGENT' THEN count(DISTINCT o_custkey) END AS urgent
           FROM orders GROUP BY 1)
@@ -548,7 +549,8 @@ def priorities_as_arrays(spark: SparkSession, directory: str) -> DataFrame:
         .withColumn("urgent", F.when(F.col("o_orderpriority") == "1-URGENT", F.col("customers")))
         .drop("customers")
     )
-    return introspect.results_as_arrays(counts, order_by="o_orderpriority")
+    arrays = introspect.results_as_arrays(counts, order_by="o_orderpriority")
+    return arrays.select(*[F.array_join(c, "; ", "NULL").alias(c) for c in arrays.columns])
 
 
 @BOOK.add(

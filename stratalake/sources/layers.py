@@ -31,6 +31,15 @@ def write_table(df: DataFrame, path: str, cluster_by: list[str] | None = None) -
     laid_out.write.mode("overwrite").parquet(path)
 
 
+def save_as_table(df: DataFrame, layer: str, table: str, cluster_by: list[str] | None = None) -> DataFrame:
+    """Full refresh of a catalog table in the database named like the layer."""
+    spark = df.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
+    laid_out = clustered(df, cluster_by) if cluster_by else df
+    laid_out.write.mode("overwrite").format("parquet").saveAsTable(f"`{layer}`.`{table}`")
+    return spark.table(f"`{layer}`.`{table}`")
+
+
 def materialize(df: DataFrame, path: str, cluster_by: list[str] | None = None) -> DataFrame:
     """Write the table and read it back; later steps start from the files."""
     write_table(df, path, cluster_by)

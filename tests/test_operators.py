@@ -10,7 +10,14 @@ from stratalake.operators.project import filtered_columns, group_by_n, nullcheck
 from stratalake.operators.reshape import pivot, pivot_columns, unpivot
 from stratalake.operators.series import date_spine, generate_series
 from stratalake.operators.union import union_relations
-from stratalake.sources.catalog import open_relations, relations_by_pattern, relations_by_prefix
+from stratalake.sources.catalog import (
+    Relation,
+    open_relations,
+    relations_by_pattern,
+    relations_by_prefix,
+    tables_by_prefix,
+)
+from stratalake.sources.layers import save_as_table
 
 
 # --- deduplicate
@@ -281,8 +288,6 @@ def test_results_as_arrays(table):
 
 
 def test_relations_by_pattern_and_union(spark, table, rows_of):
-    for database in ("shards_one", "shards_two"):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     shards = [
         ("shards_one.events_20180101", [(1, "play"), (2, "pause")]),
         ("shards_one.events_20180102", [(3, "play"), (4, "pause")]),
@@ -290,7 +295,8 @@ def test_relations_by_pattern_and_union(spark, table, rows_of):
         ("shards_one.other", [(7, "play")]),
     ]
     for name, rows in shards:
-        table("user_id int, event string", *rows).write.mode("overwrite").saveAsTable(name)
+        saved = save_as_table(table("user_id int, event string", *rows), *name.split("."), ["user_id"])
+        assert saved.count() == len(rows)
     everywhere = relations_by_pattern(spark, "shards%", "EVENTS_2018%")
     assert everywhere == [f"`{n.replace('.', '`.`')}`" for n, _ in shards[:3]]
     assert union_relations(open_relations(spark, everywhere)).count() == 6
@@ -300,6 +306,14 @@ def test_relations_by_pattern_and_union(spark, table, rows_of):
     union = union_relations(open_relations(spark, prefixed), source_column_name=None)
     assert rows_of(union) == [(1, "play"), (2, "pause"), (3, "play"), (4, "pause")]
     assert relations_by_prefix(spark, "shards_one", "missing") == []
+    spark.sql("CREATE OR REPLACE VIEW shards_two.events_20180104 AS SELECT 1 AS user_id")
+    assert tables_by_prefix(spark, "shards_two", "events") == [
+        Relation("shards_two", "events_20180103", "table"),
+        Relation("shards_two", "events_20180104", "view"),
+    ]
+    spark.sql("DROP VIEW shards_two.events_20180104")
+    saved.createOrReplaceTempView("events_20180105")
+    assert relations_by_pattern(spark, spark.catalog.currentDatabase(), "events_20180105") == ["`events_20180105`"]
 
 
 def test_wildcards_in_names_are_literal_elsewhere(spark, table):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stratalake.checks import compare, groups, ordered
 from stratalake.operators.dedupe import deduplicate
 from stratalake.operators.ordered import range_splits, sort_position
-from stratalake.plans import marts
+from stratalake.plans import gold, marts
 from stratalake.session import DEFAULT_SHUFFLE_PARTITIONS, shuffle_partitions_for
 from stratalake.sources.layers import clustered
 
@@ -219,3 +219,47 @@ def test_marts_sum_up_before_the_product_join(table):
 def test_shuffle_partitions_follow_the_data():
     assert shuffle_partitions_for(0) == DEFAULT_SHUFFLE_PARTITIONS
     assert shuffle_partitions_for(100 * 10**12) > 700_000
+
+
+def test_hot_order_is_split_in_the_gold_join(spark):
+    """With thresholds that fit the test's size, the adaptive skew join splits the hot order."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        order_id = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000)
+        now = F.current_timestamp()
+        lines = spark.range(0, 200_000, 1, 8).select(
+            F.col("id").alias("SalesOrderDetailID"),
+            order_id.alias("SalesOrderID"),
+            F.lit(1).cast("bigint").alias("OrderQty"),
+            (F.col("id") % 100).alias("ProductID"),
+            F.rand(1).alias("UnitPrice"),
+            F.lit(0.0).alias("UnitPriceDiscount"),
+            now.alias("_sequence"),
+            now.alias("_internal_sequence"),
+        )
+        day = F.lit("2024-01-05").cast("date")
+        header = spark.range(0, 5000, 1, 4).select(
+            F.col("id").alias("SalesOrderID"),
+            day.alias("OrderDate"),
+            day.alias("ShipDate"),
+            F.lit(True).alias("OnlineOrderFlag"),
+            F.lit("A").alias("AccountNumber"),
+            F.lit(1).cast("bigint").alias("CustomerID"),
+            F.lit(1).cast("bigint").alias("SalesPersonID"),
+            F.lit(1.0).alias("Freight"),
+        )
+        orders = gold.publish_orders(header, lines)
+        assert len(orders.collect()) == 200_000
+        assert "SortMergeJoin(skew=true)" in plan_of(orders)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
