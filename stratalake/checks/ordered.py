@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
@@ -12,7 +12,7 @@ from stratalake.functions.dates import add_part
 from stratalake.functions.numbers import as_column
 from stratalake.functions.text import slugify_name
 from stratalake.operators.counted import expand_counts
-from stratalake.operators.ordered import ROWS_PER_RANGE, range_splits, with_neighbour
+from stratalake.operators.ordered import ROWS_PER_RANGE, ValueRanges, value_ranges, with_neighbour
 
 
 def sequential_values(
@@ -25,30 +25,45 @@ def sequential_values(
 ) -> DataFrame:
     """Rows whose value is not the previous one plus ``interval`` (date parts if given).
 
-    The first value passes. Equal values are counted first, so copies of one
-    value are never sorted: each copy after the first has the value itself as
-    its predecessor.
+    The first value passes, and so does NULL.
     """
     previous = f"previous_{slugify_name(column)}"
-    present = df.filter(F.col(column).isNotNull())
-    values = present.groupBy(*group_by, column).agg(F.count(F.lit(1)).alias("_copies"))
-    splits = range_splits(present.select(column), column, rows_per_range)
-    linked = with_neighbour(values, column, "_previous", "previous", group_by, splits)
+    present = df.filter(F.col(column).isNotNull()).select(*group_by, column)
+    ranges = value_ranges(present, column, rows_per_range)
+    if ranges is not None and ranges.crowded:
+        linked = _previous_of_counted_values(present, column, previous, group_by, ranges)
+    else:
+        linked = with_neighbour(present, column, previous, "previous", group_by, ranges=ranges).drop("_end")
 
-    steps = F.array(
-        F.struct(F.col("_previous").alias("before"), F.lit(1).cast("bigint").alias("n")),
-        F.struct(F.col(column).alias("before"), (F.col("_copies") - 1).alias("n")),
-    )
-    rows = linked.withColumn("_step", F.explode(steps)).select(
-        *group_by, column, F.col("_step.before").alias(previous), F.col("_step.n").alias("n_rows")
-    )
     before = F.col(previous)
     if datepart:
         moment = "timestamp" if isinstance(df.schema[column].dataType, TimestampType) else "timestamp_ntz"
         follows = F.col(column).cast(moment) == add_part(datepart, interval, before.cast(moment))
     else:
         follows = F.col(column) == before + interval
-    return expand_counts(rows.filter((F.col("n_rows") > 0) & ~follows))
+    broken = linked.filter(~follows)
+    return expand_counts(broken) if "n_rows" in linked.columns else broken
+
+
+def _previous_of_counted_values(
+    present: DataFrame, column: str, previous: str, group_by: Sequence[str], ranges: ValueRanges
+) -> DataFrame:
+    """Values with their predecessors as counted rows, for tables where single values are very frequent.
+
+    Equal values are counted before anything is sorted. The first copy follows
+    the next lower value, every other copy follows the value itself.
+    """
+    values = present.groupBy(*group_by, column).agg(F.count(F.lit(1)).alias("_copies"))
+    linked = with_neighbour(values, column, "_before", "previous", group_by, ranges=ranges)
+    steps = F.array(
+        F.struct(F.col("_before").alias("before"), F.lit(1).cast("bigint").alias("n")),
+        F.struct(F.col(column).alias("before"), (F.col("_copies") - 1).alias("n")),
+    )
+    return (
+        linked.withColumn("_step", F.explode(steps))
+        .select(*group_by, column, F.col("_step.before").alias(previous), F.col("_step.n").alias("n_rows"))
+        .filter("n_rows > 0")
+    )
 
 
 # How an upper bound must relate to the next lower bound.
@@ -80,14 +95,16 @@ def mutually_exclusive_ranges(
     length_sign, length_words = ("<=", "less_than_or_equal_to") if zero_length_range_allowed else ("<", "less_than")
     groups = [] if partition_by is None else ["partition_by_col"]
     partition = [] if partition_by is None else [as_column(partition_by).alias("partition_by_col")]
-    ranges = df.select(
+    bounds = df.select(
         *partition, as_column(lower_bound).alias("lower_bound"), as_column(upper_bound).alias("upper_bound")
     )
-    splits = range_splits(ranges.select("lower_bound"), "lower_bound", rows_per_range)
-    if splits is None:
-        linked = _next_by_window(ranges, groups)
+    cut = value_ranges(bounds.select("lower_bound"), "lower_bound", rows_per_range)
+    if cut is not None and cut.crowded:
+        linked = _next_of_counted_bounds(bounds, groups, cut)
     else:
-        linked = _next_by_distinct_bound(ranges, groups, splits)
+        linked = with_neighbour(
+            bounds, "lower_bound", "next_lower_bound", "next", groups, ["upper_bound"], cut, "is_last_record"
+        )
 
     own_length = F.coalesce(F.expr(f"lower_bound {length_sign} upper_bound"), F.lit(False))
     to_next = F.coalesce(
@@ -97,48 +114,28 @@ def mutually_exclusive_ranges(
     next_name = f"upper_bound_{sign_words}_next_lower_bound"
     judged = linked.withColumn(length_name, own_length).withColumn(next_name, to_next)
     broken = judged.filter(~(F.col(length_name) & F.col(next_name)))
-    return broken if splits is None else expand_counts(broken)
-
-
-def _next_by_window(ranges: DataFrame, groups: Sequence[str]) -> DataFrame:
-    """The plain window, for tables whose rows fit one range."""
-    keys = [F.col(g) for g in groups] or [F.lit(0)]
-    window = Window.partitionBy(*keys).orderBy("lower_bound", "upper_bound")
-    after = F.lead("lower_bound").over(window)
-    position = F.lead(F.lit(1)).over(window)
-    return ranges.withColumn("next_lower_bound", after).withColumn("is_last_record", position.isNull())
+    return expand_counts(broken) if "n_rows" in linked.columns else broken
 
 
-def _next_by_distinct_bound(ranges: DataFrame, groups: Sequence[str], splits: list[float]) -> DataFrame:
-    """The same result as counted rows, without sorting the rows that share a lower bound.
+def _next_of_counted_bounds(bounds: DataFrame, groups: Sequence[str], cut: ValueRanges) -> DataFrame:
+    """The same as counted rows, without sorting the rows that share a lower bound.
 
     Of the rows with one lower bound, only the one that sorts last - a copy of
     the greatest upper bound - is followed by another lower bound. All others are
     followed by their own.
     """
     keys = [*groups, "lower_bound"]
-    lasts = ranges.groupBy(*keys).agg(F.max("upper_bound").alias("upper_bound"))
-    linked = with_neighbour(lasts, "lower_bound", "next_lower_bound", "next", groups, splits)
-    final = linked.select(
-        *keys,
-        "upper_bound",
-        "next_lower_bound",
-        F.col("next_lower_bound").isNull().alias("is_last_record"),
-        F.lit(1).cast("bigint").alias("n_rows"),
-    )
+    lasts = bounds.groupBy(*keys).agg(F.max("upper_bound").alias("upper_bound"))
     one = F.lit(1).cast("bigint")
+    final = with_neighbour(
+        lasts, "lower_bound", "next_lower_bound", "next", groups, ranges=cut, end_flag="is_last_record"
+    ).withColumn("n_rows", one)
     others = (
-        ranges.select(*keys, "upper_bound", one.alias("n"))
+        bounds.select(*keys, "upper_bound", one.alias("n"))
         .unionByName(lasts.select(*keys, "upper_bound", (-one).alias("n")))
         .groupBy(*keys, "upper_bound")
         .agg(F.sum("n").alias("n_rows"))
         .filter("n_rows > 0")
-        .select(
-            *keys,
-            "upper_bound",
-            F.col("lower_bound").alias("next_lower_bound"),
-            F.lit(False).alias("is_last_record"),
-            "n_rows",
-        )
+        .withColumns({"next_lower_bound": F.col("lower_bound"), "is_last_record": F.lit(False)})
     )
     return final.unionByName(others)

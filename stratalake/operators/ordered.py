@@ -1,22 +1,23 @@
 """Neighbours in sort order without a single-task window.
 
 A window over a whole table, or over one hot group, sorts all of its rows in one
-task. Here distinct values are cut into value ranges of bounded size. Neighbours
-inside a range come from a window per (group, range); the ends of the ranges are
-joined up by a second window that sees one row per (group, range).
+task. Here the values are cut into ranges of bounded size. Neighbours inside a
+range come from a window per (group, range); the ends of the ranges are joined up
+by a second window that sees one row per (group, range).
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
-ROWS_PER_RANGE = 2_000_000
+ROWS_PER_RANGE = 200_000
 MAX_RANGES = 20_000
 SAMPLED_ROWS_PER_RANGE = 100
 
@@ -43,14 +44,20 @@ def sort_position(column: Column, data_type: DataType) -> Column:
     return F.coalesce(finite, F.lit(-math.inf))
 
 
-def range_splits(
-    df: DataFrame, column: str, rows_per_range: int = ROWS_PER_RANGE
-) -> list[float] | None:
-    """Ends of value ranges that hold about ``rows_per_range`` rows each; None if one range is enough.
+@dataclass(frozen=True)
+class ValueRanges:
+    """Ends of value ranges, and whether single values are too frequent for a range of their own."""
+
+    splits: list[float]
+    crowded: bool
+
+
+def value_ranges(df: DataFrame, column: str, rows_per_range: int = ROWS_PER_RANGE) -> ValueRanges | None:
+    """Ranges that hold about ``rows_per_range`` rows each; None if one range is enough.
 
     The ends are quantiles of a sample, as in a range shuffle: they balance the
     work and have no part in the result. Sample and quantiles have a fixed upper
-    size.
+    size. A value that is several quantiles at once fills whole ranges alone.
     """
     rows = df.count()
     ranges = min(MAX_RANGES, math.ceil(rows / rows_per_range))
@@ -60,39 +67,51 @@ def range_splits(
     share = min(1.0, ranges * SAMPLED_ROWS_PER_RANGE / rows)
     sampled = df.select(position.alias("p")).sample(share, seed=17)
     steps = [i / ranges for i in range(1, ranges)]
-    quantiles = sampled.agg(F.percentile_approx("p", steps, 10 * ranges).alias("q")).first()["q"]
-    inner = sorted({q for q in quantiles or [] if math.isfinite(q)})
-    return [-math.inf, *inner, math.inf] if inner else None
+    quantiles = sampled.agg(F.percentile_approx("p", steps, 10 * ranges).alias("q")).first()["q"] or []
+    inner = sorted({q for q in quantiles if math.isfinite(q)})
+    crowded = len(set(quantiles)) < len(steps)
+    return ValueRanges([-math.inf, *(inner or [0.0]), math.inf], crowded)
 
 
 def with_neighbour(
-    keys: DataFrame,
+    df: DataFrame,
     column: str,
     into: str,
     side: str,
     group_by: Sequence[str] = (),
-    splits: list[float] | None = None,
+    then_by: Sequence[str] = (),
+    ranges: ValueRanges | None = None,
+    end_flag: str = "_end",
 ) -> DataFrame:
-    """``keys`` with the next lower (``previous``) or higher (``next``) value of its group.
+    """``df`` with the value of the row before (``previous``) or after (``next``) in its group.
 
-    ``keys`` holds each (group, value) once. NULL sorts first and must not be
-    present for ``previous``.
+    Rows are ordered by ``column`` and then ``then_by``, NULLs first. ``end_flag``
+    is true for the first or last row of the group, which has no such neighbour.
     """
     groups = [F.col(g) for g in group_by] or [F.lit(0)]
     value = F.col(column)
+    order = [value, *[F.col(c) for c in then_by]]
     step = F.lag if side == "previous" else F.lead
-    if splits is None:
-        return keys.withColumn(into, step(value).over(Window.partitionBy(*groups).orderBy(value)))
+    if ranges is None:
+        window = Window.partitionBy(*groups).orderBy(*order)
+        return df.withColumns({into: step(value).over(window), end_flag: step(F.lit(1)).over(window).isNull()})
 
-    positioned = keys.withColumn("_position", sort_position(value, keys.schema[column].dataType))
-    ranged = Bucketizer(splits=splits, inputCol="_position", outputCol="_range").transform(positioned)
-    ranged = ranged.withColumn("_range", F.col("_range").cast("int"))
+    positioned = df.withColumn("_position", sort_position(value, df.schema[column].dataType))
+    bucketizer = Bucketizer(splits=ranges.splits, inputCol="_position", outputCol="_range")
+    ranged = bucketizer.transform(positioned).withColumn("_range", F.col("_range").cast("int"))
     in_range = Window.partitionBy(*groups, F.col("_range"))
+    in_order = in_range.orderBy(*order)
     far_end = F.max(value) if side == "previous" else F.min(value)
-    local = ranged.withColumn(into, step(value).over(in_range.orderBy(value))).withColumn(
-        "_far_end", far_end.over(in_range)
+    local = ranged.withColumns(
+        {
+            into: step(value).over(in_order),
+            end_flag: step(F.lit(1)).over(in_order).isNull(),
+            "_far_end": far_end.over(in_range),
+        }
     )
-    inside = local.filter(F.col(into).isNotNull())
     across = Window.partitionBy(*groups).orderBy("_range")
-    edges = local.filter(F.col(into).isNull()).withColumn(into, step("_far_end").over(across))
-    return inside.unionByName(edges).drop("_position", "_range", "_far_end")
+    inside = local.filter(~F.col(end_flag))
+    ends = local.filter(F.col(end_flag)).withColumns(
+        {into: step("_far_end").over(across), end_flag: step(F.lit(1)).over(across).isNull()}
+    )
+    return inside.unionByName(ends).drop("_position", "_range", "_far_end")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stratalake.checks import compare, groups, ordered
 from stratalake.operators.dedupe import deduplicate
-from stratalake.operators.ordered import range_splits, sort_position
+from stratalake.operators.ordered import sort_position, value_ranges
 from stratalake.plans import gold, marts
 from stratalake.session import DEFAULT_SHUFFLE_PARTITIONS, shuffle_partitions_for
 from stratalake.sources.layers import clustered
@@ -19,6 +19,12 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def even_rows(seed, n=400):
+    """Groups and values without frequent values, some of them missing or repeated."""
+    rng = random.Random(seed)
+    return [(rng.randrange(1, 4), rng.randrange(2 * n) if rng.random() < 0.98 else None) for _ in range(n)] + [(9, 1)]
+
+
 def skewed_rows(seed, n=400):
     """Groups and values where one group, one value and one whole row hold a third of the rows each."""
     rng = random.Random(seed)
@@ -51,13 +57,16 @@ def sequential_by_hand(rows, grouped):
     return found
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("make_rows", [skewed_rows, even_rows])
+@pytest.mark.parametrize("seed", range(2))
 @pytest.mark.parametrize("grouped", [True, False])
 @pytest.mark.parametrize("rows_per_range", [7, 60, 10_000])
-def test_sequential_values_in_ranges(table, rows_of, seed, grouped, rows_per_range):
-    rows = skewed_rows(seed)
+def test_sequential_values_in_ranges(table, rows_of, make_rows, seed, grouped, rows_per_range):
+    rows = make_rows(seed)
     df = table("g int, v int", *rows)
     group_by = ["g"] if grouped else []
+    cut = value_ranges(df.filter("v IS NOT NULL"), "v", rows_per_range)
+    assert cut is None or cut.crowded == (make_rows is skewed_rows)
     found = ordered.sequential_values(df, "v", group_by=group_by, rows_per_range=rows_per_range)
     assert rows_of(found) == sequential_by_hand(rows, grouped)
 
@@ -86,17 +95,21 @@ def ranges_by_hand(rows, grouped, gaps, zero_length):
     return found
 
 
+@pytest.mark.parametrize("make_rows", [skewed_rows, even_rows])
 @pytest.mark.parametrize("gaps", list(ordered.GAP_RULES))
 @pytest.mark.parametrize("zero_length", [True, False])
 @pytest.mark.parametrize("grouped, rows_per_range", [(True, 9), (False, 25), (True, 10_000), (False, 10_000)])
-def test_exclusive_ranges_in_ranges(table, rows_of, gaps, zero_length, grouped, rows_per_range):
+def test_exclusive_ranges_in_ranges(table, rows_of, make_rows, gaps, zero_length, grouped, rows_per_range):
     rng = random.Random(f"{gaps}{zero_length}{grouped}{rows_per_range}")
     rows = []
-    for group, lower in skewed_rows(rng.random(), 250):
+    for group, lower in make_rows(rng.random(), 250):
         upper = None if lower is None or rng.random() < 0.05 else lower + rng.choice([0, 1, 1, 2, 5, -1])
         rows.append((group, lower, upper))
+    df = table("g int, lo int, hi int", *rows)
+    cut = value_ranges(df, "lo", rows_per_range)
+    assert cut is None or cut.crowded == (make_rows is skewed_rows)
     found = ordered.mutually_exclusive_ranges(
-        table("g int, lo int, hi int", *rows),
+        df,
         "lo",
         "hi",
         partition_by="g" if grouped else None,
@@ -124,12 +137,16 @@ def test_sort_position_never_decreases(spark, ddl, values):
     assert positions == sorted(positions) and None not in positions
 
 
-def test_splits_cover_a_table_with_one_hot_value(table):
-    df = table("v int", *([5] * 500 + list(range(100))))
-    splits = range_splits(df, "v", 50)
-    assert splits[0] == float("-inf") and splits[-1] == float("inf") and len(splits) > 3
-    assert splits == sorted(set(splits))
-    assert range_splits(df, "v", 10_000) is None
+def test_ranges_of_a_table_with_one_hot_value(table):
+    hot = value_ranges(table("v int", *([5] * 500 + list(range(100)))), "v", 50)
+    assert hot.crowded
+    assert hot.splits[0] == float("-inf") and hot.splits[-1] == float("inf") and len(hot.splits) > 3
+    assert hot.splits == sorted(set(hot.splits))
+    even = value_ranges(table("v int", *range(600)), "v", 50)
+    assert not even.crowded and len(even.splits) == 13
+    assert value_ranges(table("v int", *range(600)), "v", 10_000) is None
+    only_nulls = value_ranges(table("v int", *([None] * 50)), "v", 5)
+    assert only_nulls.crowded and len(only_nulls.splits) == 3
 
 
 def test_no_window_runs_over_everything_at_once(spark):
@@ -137,12 +154,12 @@ def test_no_window_runs_over_everything_at_once(spark):
     df = spark.range(100_000).withColumn("g", F.col("id") % 3)
     sequence = ordered.sequential_values(df, "id", rows_per_range=10_000)
     ranges = ordered.mutually_exclusive_ranges(df, "id", "id + 1", rows_per_range=10_000)
-    for found, neighbour in ((sequence, "_previous"), (ranges, "next_lower_bound")):
+    for found, flag in ((sequence, "_end"), (ranges, "is_last_record")):
         plan = plan_of(found)
         below_single = plan.split("Exchange SinglePartition")[1:]
         assert len(below_single) == 1
         first_filter = next(line for line in below_single[0].splitlines() if "Filter" in line)
-        assert f"isnull({neighbour}" in first_filter
+        assert re.search(rf"Filter ({flag}|isnull\(_we)", first_filter), first_filter
         assert found.count() == 0
     in_groups = plan_of(ordered.sequential_values(df, "id", 3, group_by=["g"], rows_per_range=10_000))
     assert "SinglePartition" not in in_groups and "_range" in in_groups
