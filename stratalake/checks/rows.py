@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.functions.numbers import as_column
-from stratalake.functions.text import strip_whitespace
+from stratalake.functions.text import is_blank
 
 
 def _bound(value) -> Column:
@@ -58,14 +58,12 @@ def not_null(df: DataFrame, column: Column | str) -> DataFrame:
 
 def blank(column: Column | str, trim_whitespace: bool = True) -> Column:
     value = as_column(column)
-    return (strip_whitespace(value) if trim_whitespace else value) == ""
+    return is_blank(value) if trim_whitespace else value == ""
 
 
 def not_empty_string(df: DataFrame, column: str, trim_whitespace: bool = True) -> DataFrame:
-    """The values, trimmed if asked, that are empty; NULL passes."""
-    value = F.col(column)
-    shown = strip_whitespace(value) if trim_whitespace else value
-    return df.filter(blank(value, trim_whitespace)).select(shown.alias(column))
+    """The empty values, one row each, after trimming if asked; NULL passes."""
+    return df.filter(blank(F.col(column), trim_whitespace)).select(F.lit("").alias(column))
 
 
 def differs(actual: Column | str, expected: Column | str) -> Column:

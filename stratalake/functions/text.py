@@ -14,9 +14,9 @@ from stratalake.functions.numbers import as_column
 KEY_NULL_MARK = "_dbt_utils_surrogate_key_null_"
 
 
-def strip_whitespace(text: Column) -> Column:
-    """Both ends freed of any white space; Spark's ``trim`` takes only blanks."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+def is_blank(text: Column) -> Column:
+    """Nothing but white space of any kind; Spark's ``trim`` knows only the blank."""
+    return F.rlike(text, F.lit(r"(?U)\A\s*\z"))
 
 
 def slugify(text: Column) -> Column:

@@ -58,6 +58,9 @@ def value_ranges(df: DataFrame, column: str, rows_per_range: int = ROWS_PER_RANG
     The ends are quantiles of a sample, as in a range shuffle: they balance the
     work and have no part in the result. Sample and quantiles have a fixed upper
     size. A value that is several quantiles at once fills whole ranges alone.
+
+    Counting and sampling read the column before the actual work does: store the
+    result of an expensive plan first.
     """
     rows = df.count()
     ranges = min(MAX_RANGES, math.ceil(rows / rows_per_range))

@@ -14,15 +14,15 @@ def layer_path(root: str, layer: str | None, table: str, default_layer: str = "d
 def clustered(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows laid out by ``columns``, so that file and row-group statistics can skip data.
 
-    The hash of the other columns breaks ties in the range boundaries: rows that
-    share one hot key are spread over several neighbouring partitions instead of
-    filling a single one.
+    The number of the input partition breaks ties in the range boundaries: rows
+    that share a hot key, or are copies of one row, are spread over neighbouring
+    partitions instead of filling a single one. The number does not depend on the
+    order of rows, so a repeated task sends each row to the same place.
     """
-    keys = {c.lower() for c in columns}
-    others = [F.col(f"`{c}`") for c in df.columns if c.lower() not in keys]
     order = [F.col(c) for c in columns]
-    spread = [F.xxhash64(*others)] if others else []
-    return df.repartitionByRange(*order, *spread).sortWithinPartitions(*order)
+    marked = df.withColumn("_input_partition", F.spark_partition_id())
+    ranged = marked.repartitionByRange(*order, "_input_partition").sortWithinPartitions(*order)
+    return ranged.drop("_input_partition")
 
 
 def write_table(df: DataFrame, path: str, cluster_by: list[str] | None = None) -> None:

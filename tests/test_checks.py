@@ -33,10 +33,10 @@ def test_expression_is_true(table, rows_of):
 
 
 def test_not_empty_string(table, rows_of):
-    df = table("id int, s string", (1, "text"), (2, ""), (3, "  "), (4, None), (5, "trailing "), (6, "\t\n"))
-    assert rows_of(rows.not_empty_string(df, "s")) == [("",)] * 3
+    df = table("id int, s string", (1, "text"), (2, ""), (3, "  "), (4, None), (5, "trailing "), (6, "\t\n"), (7, "\u00a0\u2003"), (8, " \n x"))
+    assert rows_of(rows.not_empty_string(df, "s")) == [("",)] * 4
     assert rows_of(rows.not_empty_string(df, "s", trim_whitespace=False)) == [("",)]
-    assert rows_of(rows.not_empty_string(df.filter("id in (1, 4, 5)"), "s")) == []
+    assert rows_of(rows.not_empty_string(df.filter("id in (1, 4, 5, 8)"), "s")) == []
 
 
 def test_accepted_and_forbidden_values(table, rows_of):

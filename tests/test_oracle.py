@@ -30,5 +30,5 @@ def test_same_result_as_duckdb(spark, duck, name):
 @pytest.mark.parametrize("name", contract.queries())
 def test_plans_stay_in_the_jvm(spark, name):
     plan = contract.queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
-    for python_node in ("PythonUDF", "InPandas", "InArrow", "ArrowEvalPython", "CartesianProduct"):
+    for python_node in ("PythonUDF", "InPandas", "InArrow", "ArrowEvalPython", "CartesianProduct", "NestedLoopJoin"):
         assert python_node not in plan

@@ -211,14 +211,33 @@ def test_deduplicate_sends_one_row_per_key_and_task(spark):
 # --- layout
 
 
-def test_hot_cluster_key_is_spread(spark):
-    df = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
-    laid_out = clustered(df, ["k"]).withColumn("part", F.spark_partition_id())
-    parts = laid_out.groupBy("part").agg(F.count("*").alias("n"), F.min("k").alias("lo"), F.max("k").alias("hi"))
+@pytest.fixture
+def without_merged_partitions(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@pytest.mark.parametrize("copies", [False, True])
+def test_hot_cluster_key_is_spread(spark, without_merged_partitions, copies):
+    """A key with a third of the rows, all different or all the same, spans several partitions."""
+    key = F.when(F.col("id") % 3 == 0, 30_000).otherwise(F.col("id"))
+    value = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")) if copies else F.col("id")
+    df = spark.range(0, 60_000, 1, 8).select(key.alias("k"), value.alias("v"))
+    laid_out = clustered(df, ["k"])
+    assert laid_out.columns == ["k", "v"]
+    parts = laid_out.groupBy(F.spark_partition_id().alias("part")).agg(
+        F.count("*").alias("n"), F.min("k").alias("lo"), F.max("k").alias("hi")
+    )
     rows = parts.orderBy("part").collect()
-    if len(rows) > 1:
-        assert max(r.n for r in rows) < 25_000
-        assert all(a.hi <= b.lo for a, b in zip(rows, rows[1:]))
+    assert len(rows) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sum(r.n for r in rows) == 60_000 and max(r.n for r in rows) < 19_000
+    assert all(a.hi <= b.lo for a, b in zip(rows, rows[1:]))
+    assert exactly_equal(laid_out, df)
+
+
+def exactly_equal(a, b):
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
 def test_marts_sum_up_before_the_product_join(table):
