@@ -9,7 +9,8 @@ by a second window that sees one row per (group, range).
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+import os
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
@@ -22,8 +23,11 @@ MAX_RANGES = 20_000
 SAMPLED_ROWS_PER_RANGE = 100
 
 
-def sort_position(column: Column, data_type: DataType) -> Column:
-    """A double that never decreases as the value grows; NULL comes first, NaN last."""
+def sort_position(column: Column, data_type: DataType, shared_bytes: int = 0) -> Column:
+    """A double that never decreases as the value grows; NULL comes first, NaN last.
+
+    ``shared_bytes`` is how many leading bytes all texts of the column have in common.
+    """
     if isinstance(data_type, NumericType):
         position = column.cast("double")
     elif isinstance(data_type, DateType):
@@ -35,8 +39,8 @@ def sort_position(column: Column, data_type: DataType) -> Column:
         in_day = F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
         position = F.unix_date(column.cast("date")).cast("double") * 86_400 + in_day
     elif isinstance(data_type, StringType):
-        # The first six bytes as a number.
-        head = F.rpad(F.substring(F.hex(column), 1, 12), 12, "0")
+        # Six bytes as a number.
+        head = F.rpad(F.hex(F.substring(F.encode(column, "UTF-8"), shared_bytes + 1, 6)), 12, "0")
         position = F.conv(head, 16, 10).cast("double")
     else:
         position = F.lit(0.0)
@@ -50,10 +54,25 @@ class ValueRanges:
 
     splits: list[float]
     crowded: bool
+    shared_bytes: int = 0
+
+    def assign(self, df: DataFrame, column: str, into: str) -> DataFrame:
+        """``df`` with the number of the range that each value lies in."""
+        position = sort_position(F.col(column), df.schema[column].dataType, self.shared_bytes)
+        bucketizer = Bucketizer(splits=self.splits, inputCol="_position", outputCol=into)
+        numbered = bucketizer.transform(df.withColumn("_position", position)).drop("_position")
+        return numbered.withColumn(into, F.col(into).cast("int"))
+
+
+def by_rows(rows_per_range: int) -> Callable[[int], int]:
+    """As many ranges as it takes to hold ``rows_per_range`` rows in each."""
+    return lambda rows: min(MAX_RANGES, math.ceil(rows / rows_per_range))
+
 
+def value_ranges(df: DataFrame, column: str, ranges_for: Callable[[int], int]) -> ValueRanges | None:
+    """Ranges with about equally many rows; None if one range is enough.
 
-def value_ranges(df: DataFrame, column: str, rows_per_range: int = ROWS_PER_RANGE) -> ValueRanges | None:
-    """Ranges that hold about ``rows_per_range`` rows each; None if one range is enough.
+    ``ranges_for`` gives the number of ranges for a number of rows.
 
     The ends are quantiles of a sample, as in a range shuffle: they balance the
     work and have no part in the result. Sample and quantiles have a fixed upper
@@ -62,18 +81,22 @@ def value_ranges(df: DataFrame, column: str, rows_per_range: int = ROWS_PER_RANG
     Counting and sampling read the column before the actual work does: store the
     result of an expensive plan first.
     """
-    rows = df.count()
-    ranges = min(MAX_RANGES, math.ceil(rows / rows_per_range))
+    data_type = df.schema[column].dataType
+    is_text = isinstance(data_type, StringType)
+    ends = [F.min(column), F.max(column)] if is_text else []
+    rows, *ends = df.agg(F.count(F.lit(1)), *ends).first()
+    ranges = ranges_for(rows)
     if ranges <= 1:
         return None
-    position = sort_position(F.col(column), df.schema[column].dataType)
+    shared = len(os.path.commonprefix([(end or "").encode() for end in ends])) if is_text else 0
+    position = sort_position(F.col(column), data_type, shared)
     share = min(1.0, ranges * SAMPLED_ROWS_PER_RANGE / rows)
     sampled = df.select(position.alias("p")).sample(share, seed=17)
     steps = [i / ranges for i in range(1, ranges)]
     quantiles = sampled.agg(F.percentile_approx("p", steps, 10 * ranges).alias("q")).first()["q"] or []
     inner = sorted({q for q in quantiles if math.isfinite(q)})
     crowded = len(set(quantiles)) < len(steps)
-    return ValueRanges([-math.inf, *(inner or [0.0]), math.inf], crowded)
+    return ValueRanges([-math.inf, *(inner or [0.0]), math.inf], crowded, shared)
 
 
 def with_neighbour(
@@ -99,9 +122,7 @@ def with_neighbour(
         window = Window.partitionBy(*groups).orderBy(*order)
         return df.withColumns({into: step(value).over(window), end_flag: step(F.lit(1)).over(window).isNull()})
 
-    positioned = df.withColumn("_position", sort_position(value, df.schema[column].dataType))
-    bucketizer = Bucketizer(splits=ranges.splits, inputCol="_position", outputCol="_range")
-    ranged = bucketizer.transform(positioned).withColumn("_range", F.col("_range").cast("int"))
+    ranged = ranges.assign(df, column, "_range")
     in_range = Window.partitionBy(*groups, F.col("_range"))
     in_order = in_range.orderBy(*order)
     far_end = F.max(value) if side == "previous" else F.min(value)
@@ -117,4 +138,4 @@ def with_neighbour(
     ends = local.filter(F.col(end_flag)).withColumns(
         {into: step("_far_end").over(across), end_flag: step(F.lit(1)).over(across).isNull()}
     )
-    return inside.unionByName(ends).drop("_position", "_range", "_far_end")
+    return inside.unionByName(ends).drop("_range", "_far_end")

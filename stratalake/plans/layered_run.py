@@ -107,9 +107,10 @@ def run_layers(
     tables: dict[str, DataFrame] = {}
     reports: list[DataFrame] = []
 
-    def build(layer: str, plans: Mapping[str, DataFrame]) -> None:
+    def build(layer: str, plans: Mapping[str, DataFrame], samples: Mapping[str, DataFrame] | None = None) -> None:
         for name, plan in plans.items():
-            tables[name] = materialize(plan, layer_path(root, layer, name), CLUSTER_COLUMNS[name])
+            sample = (samples or {}).get(name)
+            tables[name] = materialize(plan, layer_path(root, layer, name), CLUSTER_COLUMNS[name], sample)
         checks = checks_of(tables)
         outcomes = [
             run_checks(tables[name], checks[name]).select(
@@ -133,6 +134,7 @@ def run_layers(
             "raw_sales_order_header": bronze.raw_sales_order_header(sources["src_sales_order_header"]),
             "raw_sales_order_detail": bronze.raw_sales_order_detail(sources["src_sales_order_detail"]),
         },
+        samples={"raw_products": sources["src_products"]},
     )
     build(
         "silver",
@@ -150,6 +152,8 @@ def run_layers(
             ),
             "publish_products": gold.publish_products(tables["store_products"]),
         },
+        # The order lines have the order ids of the join, without the join.
+        samples={"publish_orders": tables["store_sales_order_detail"]},
     )
     for mart in (marts.avg_lead_time_prod_category, marts.color_with_highest_reven_year):
         tables[mart.__name__] = publish_view(

@@ -2,32 +2,62 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalake.operators.ordered import value_ranges
+
+ROWS_PER_FILE = 1_000_000
+FEWEST_ROWS_PER_FILE = 50_000
+MOST_FILES = 100_000
+
 
 def layer_path(root: str, layer: str | None, table: str, default_layer: str = "default") -> str:
     """The path of a table; the layer name is used as it is, or the default when none is given."""
     return f"{root.rstrip('/')}/{(layer or default_layer).strip()}/{table}"
 
 
-def clustered(df: DataFrame, columns: list[str]) -> DataFrame:
+def _partitions_for(rows: int, cores: int) -> int:
+    """Large tables in files of some hundred megabytes, small ones on as many cores as pay off."""
+    wanted = max(math.ceil(rows / ROWS_PER_FILE), min(cores, math.ceil(rows / FEWEST_ROWS_PER_FILE)))
+    return min(MOST_FILES, wanted)
+
+
+def clustered(df: DataFrame, columns: list[str], sample_from: DataFrame | None = None) -> DataFrame:
     """Rows laid out by ``columns``, so that file and row-group statistics can skip data.
 
-    The number of the input partition breaks ties in the range boundaries: rows
+    Value ranges come from the first column alone, which Spark can read without
+    the rest of the plan; ``sample_from`` is a table to take it from instead. Rows
+    go straight to the partition of their range.
+
+    A first column with very frequent values is left to Spark's range shuffle
+    over all columns. The number of the input partition breaks ties there: rows
     that share a hot key, or are copies of one row, are spread over neighbouring
-    partitions instead of filling a single one. The number does not depend on the
-    order of rows, so a repeated task sends each row to the same place.
+    partitions. The number does not depend on the order of rows, so a repeated
+    task sends each row to the same place.
     """
-    order = [F.col(c) for c in columns]
-    marked = df.withColumn("_input_partition", F.spark_partition_id())
-    ranged = marked.repartitionByRange(*order, "_input_partition").sortWithinPartitions(*order)
-    return ranged.drop("_input_partition")
-
-
-def write_table(df: DataFrame, path: str, cluster_by: list[str] | None = None) -> None:
+    lead, order = columns[0], [F.col(c) for c in columns]
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    sampled = (df if sample_from is None else sample_from).select(lead)
+    ranges = value_ranges(sampled, lead, lambda rows: _partitions_for(rows, cores))
+    if ranges is None:
+        return df.repartitionById(1, F.lit(0)).sortWithinPartitions(*order)
+    if ranges.crowded:
+        marked = df.withColumn("_target", F.spark_partition_id())
+        placed = marked.repartitionByRange(*order, "_target")
+    else:
+        marked = ranges.assign(df, lead, "_target")
+        placed = marked.repartitionById(len(ranges.splits) - 1, F.col("_target"))
+    return placed.sortWithinPartitions(*order).drop("_target")
+
+
+def write_table(
+    df: DataFrame, path: str, cluster_by: list[str] | None = None, sample_from: DataFrame | None = None
+) -> None:
     """Full refresh of a table."""
-    laid_out = clustered(df, cluster_by) if cluster_by else df
+    laid_out = clustered(df, cluster_by, sample_from) if cluster_by else df
     laid_out.write.mode("overwrite").parquet(path)
 
 
@@ -40,9 +70,11 @@ def save_as_table(df: DataFrame, layer: str, table: str, cluster_by: list[str] |
     return spark.table(f"`{layer}`.`{table}`")
 
 
-def materialize(df: DataFrame, path: str, cluster_by: list[str] | None = None) -> DataFrame:
+def materialize(
+    df: DataFrame, path: str, cluster_by: list[str] | None = None, sample_from: DataFrame | None = None
+) -> DataFrame:
     """Write the table and read it back; later steps start from the files."""
-    write_table(df, path, cluster_by)
+    write_table(df, path, cluster_by, sample_from)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from stratalake.checks import compare, groups, ordered
 from stratalake.operators.dedupe import deduplicate
-from stratalake.operators.ordered import sort_position, value_ranges
+from stratalake.operators.ordered import by_rows, sort_position, value_ranges
 from stratalake.plans import gold, marts
 from stratalake.session import DEFAULT_SHUFFLE_PARTITIONS, shuffle_partitions_for
+from stratalake.sources import layers
 from stratalake.sources.layers import clustered
 
 
@@ -65,7 +66,7 @@ def test_sequential_values_in_ranges(table, rows_of, make_rows, seed, grouped, r
     rows = make_rows(seed)
     df = table("g int, v int", *rows)
     group_by = ["g"] if grouped else []
-    cut = value_ranges(df.filter("v IS NOT NULL"), "v", rows_per_range)
+    cut = value_ranges(df.filter("v IS NOT NULL"), "v", by_rows(rows_per_range))
     assert cut is None or cut.crowded == (make_rows is skewed_rows)
     found = ordered.sequential_values(df, "v", group_by=group_by, rows_per_range=rows_per_range)
     assert rows_of(found) == sequential_by_hand(rows, grouped)
@@ -106,7 +107,7 @@ def test_exclusive_ranges_in_ranges(table, rows_of, make_rows, gaps, zero_length
         upper = None if lower is None or rng.random() < 0.05 else lower + rng.choice([0, 1, 1, 2, 5, -1])
         rows.append((group, lower, upper))
     df = table("g int, lo int, hi int", *rows)
-    cut = value_ranges(df, "lo", rows_per_range)
+    cut = value_ranges(df, "lo", by_rows(rows_per_range))
     assert cut is None or cut.crowded == (make_rows is skewed_rows)
     found = ordered.mutually_exclusive_ranges(
         df,
@@ -138,14 +139,14 @@ def test_sort_position_never_decreases(spark, ddl, values):
 
 
 def test_ranges_of_a_table_with_one_hot_value(table):
-    hot = value_ranges(table("v int", *([5] * 500 + list(range(100)))), "v", 50)
+    hot = value_ranges(table("v int", *([5] * 500 + list(range(100)))), "v", by_rows(50))
     assert hot.crowded
     assert hot.splits[0] == float("-inf") and hot.splits[-1] == float("inf") and len(hot.splits) > 3
     assert hot.splits == sorted(set(hot.splits))
-    even = value_ranges(table("v int", *range(600)), "v", 50)
+    even = value_ranges(table("v int", *range(600)), "v", by_rows(50))
     assert not even.crowded and len(even.splits) == 13
-    assert value_ranges(table("v int", *range(600)), "v", 10_000) is None
-    only_nulls = value_ranges(table("v int", *([None] * 50)), "v", 5)
+    assert value_ranges(table("v int", *range(600)), "v", by_rows(10_000)) is None
+    only_nulls = value_ranges(table("v int", *([None] * 50)), "v", by_rows(5))
     assert only_nulls.crowded and len(only_nulls.splits) == 3
 
 
@@ -219,12 +220,14 @@ def without_merged_partitions(spark):
 
 
 @pytest.mark.parametrize("copies", [False, True])
-def test_hot_cluster_key_is_spread(spark, without_merged_partitions, copies):
+def test_hot_cluster_key_is_spread(spark, without_merged_partitions, monkeypatch, copies):
     """A key with a third of the rows, all different or all the same, spans several partitions."""
     key = F.when(F.col("id") % 3 == 0, 30_000).otherwise(F.col("id"))
     value = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")) if copies else F.col("id")
+    monkeypatch.setattr(layers, "FEWEST_ROWS_PER_FILE", 5_000)
     df = spark.range(0, 60_000, 1, 8).select(key.alias("k"), value.alias("v"))
     laid_out = clustered(df, ["k"])
+    assert "rangepartitioning" in plan_of(laid_out)
     assert laid_out.columns == ["k", "v"]
     parts = laid_out.groupBy(F.spark_partition_id().alias("part")).agg(
         F.count("*").alias("n"), F.min("k").alias("lo"), F.max("k").alias("hi")
@@ -236,6 +239,41 @@ def test_hot_cluster_key_is_spread(spark, without_merged_partitions, copies):
     assert exactly_equal(laid_out, df)
 
 
+@pytest.mark.parametrize("as_text", [False, True])
+@pytest.mark.parametrize("apart", [False, True])
+def test_even_cluster_keys_go_straight_to_their_range(spark, monkeypatch, as_text, apart):
+    """Ranges come from the key column alone, and partitions hold neighbouring keys in similar numbers."""
+    monkeypatch.setattr(layers, "FEWEST_ROWS_PER_FILE", 5_000)
+    number = F.xxhash64("id") % 1_000_000 + 5_000_000
+    key = F.concat(F.lit("customer/2024/"), number.cast("string")) if as_text else number
+    df = spark.range(0, 60_000, 1, 8).select(key.alias("k"), "id")
+    laid_out = clustered(df, ["k", "id"], sample_from=df.select("k") if apart else None)
+    plan = plan_of(laid_out)
+    assert "rangepartitioning" not in plan and "direct_shuffle_partition_id" in plan
+    parts = laid_out.groupBy(F.spark_partition_id().alias("part")).agg(
+        F.count("*").alias("n"), F.min("k").alias("lo"), F.max("k").alias("hi")
+    )
+    rows = parts.orderBy("part").collect()
+    assert len(rows) == 8 and sum(r.n for r in rows) == 60_000
+    assert all(4_500 < r.n < 11_500 for r in rows)
+    assert all(a.hi < b.lo for a, b in zip(rows, rows[1:]))
+    assert exactly_equal(laid_out, df)
+
+
+def test_small_tables_are_one_sorted_file(spark):
+    df = spark.range(100).select((100 - F.col("id")).alias("k"))
+    assert [r.k for r in clustered(df, ["k"]).collect()] == list(range(1, 101))
+
+
+def test_partitions_for_a_table():
+    assert layers._partitions_for(0, 8) == 0
+    assert layers._partitions_for(10_000, 8) == 1
+    assert layers._partitions_for(120_000, 8) == 3
+    assert layers._partitions_for(5_000_000, 8) == 8
+    assert layers._partitions_for(50_000_000, 8) == 50
+    assert layers._partitions_for(10**13, 8) == layers.MOST_FILES
+
+
 def exactly_equal(a, b):
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
