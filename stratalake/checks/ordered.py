@@ -29,7 +29,7 @@ def sequential_values(
     """
     previous = f"previous_{slugify_name(column)}"
     present = df.filter(F.col(column).isNotNull()).select(*group_by, column)
-    ranges = value_ranges(present.select(column), column, by_rows(rows_per_range))
+    ranges = value_ranges(present, column, by_rows(rows_per_range), group_by)
     if ranges is not None and ranges.crowded:
         linked = _previous_of_counted_values(present, column, previous, group_by, ranges)
     else:
@@ -98,7 +98,7 @@ def mutually_exclusive_ranges(
     bounds = df.select(
         *partition, as_column(lower_bound).alias("lower_bound"), as_column(upper_bound).alias("upper_bound")
     )
-    cut = value_ranges(bounds.select("lower_bound"), "lower_bound", by_rows(rows_per_range))
+    cut = value_ranges(bounds, "lower_bound", by_rows(rows_per_range), groups)
     if cut is not None and cut.crowded:
         linked = _next_of_counted_bounds(bounds, groups, cut)
     else:

@@ -69,10 +69,14 @@ def by_rows(rows_per_range: int) -> Callable[[int], int]:
     return lambda rows: min(MAX_RANGES, math.ceil(rows / rows_per_range))
 
 
-def value_ranges(df: DataFrame, column: str, ranges_for: Callable[[int], int]) -> ValueRanges | None:
+def value_ranges(
+    df: DataFrame, column: str, ranges_for: Callable[[int], int], group_by: Sequence[str] = ()
+) -> ValueRanges | None:
     """Ranges with about equally many rows; None if one range is enough.
 
-    ``ranges_for`` gives the number of ranges for a number of rows.
+    ``ranges_for`` gives the number of ranges for a number of rows. With
+    ``group_by``, no ranges are needed either when every group is about as small
+    as a range.
 
     The ends are quantiles of a sample, as in a range shuffle: they balance the
     work and have no part in the result. Sample and quantiles have a fixed upper
@@ -88,9 +92,14 @@ def value_ranges(df: DataFrame, column: str, ranges_for: Callable[[int], int]) -
     ranges = ranges_for(rows)
     if ranges <= 1:
         return None
+    share = min(1.0, ranges * SAMPLED_ROWS_PER_RANGE / rows)
+    if group_by:
+        sizes = df.select(*group_by).sample(share, seed=17).groupBy(*group_by).agg(F.count(F.lit(1)).alias("n"))
+        largest = sizes.agg(F.max("n")).first()[0] or 0
+        if largest <= 2 * share * rows / ranges:
+            return None
     shared = len(os.path.commonprefix([(end or "").encode() for end in ends])) if is_text else 0
     position = sort_position(F.col(column), data_type, shared)
-    share = min(1.0, ranges * SAMPLED_ROWS_PER_RANGE / rows)
     sampled = df.select(position.alias("p")).sample(share, seed=17)
     steps = [i / ranges for i in range(1, ranges)]
     quantiles = sampled.agg(F.percentile_approx("p", steps, 10 * ranges).alias("q")).first()["q"] or []

@@ -162,8 +162,19 @@ def test_no_window_runs_over_everything_at_once(spark):
         first_filter = next(line for line in below_single[0].splitlines() if "Filter" in line)
         assert re.search(rf"Filter ({flag}|isnull\(_we)", first_filter), first_filter
         assert found.count() == 0
-    in_groups = plan_of(ordered.sequential_values(df, "id", 3, group_by=["g"], rows_per_range=10_000))
-    assert "SinglePartition" not in in_groups and "_range" in in_groups
+    in_hot_groups = plan_of(ordered.sequential_values(df, "id", 3, group_by=["g"], rows_per_range=10_000))
+    assert "SinglePartition" not in in_hot_groups and "_range" in in_hot_groups
+
+
+def test_small_groups_take_one_shuffle(spark):
+    df = spark.range(50_000).select((F.col("id") % 4999).alias("g"), F.col("id").alias("v"))
+    for found in (
+        ordered.sequential_values(df, "v", 4999, group_by=["g"], rows_per_range=5_000),
+        ordered.mutually_exclusive_ranges(df, "v", "v + 4999", "g", gaps="not_allowed", rows_per_range=5_000),
+    ):
+        plan = plan_of(found)
+        assert plan.count("Exchange hashpartitioning") == 1 and "_range" not in plan
+        assert found.count() == 0
 
 
 # --- one shuffle of pre-aggregated rows
