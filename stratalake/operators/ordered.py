@@ -132,7 +132,10 @@ def with_neighbour(
         return df.withColumns({into: step(value).over(window), end_flag: step(F.lit(1)).over(window).isNull()})
 
     ranged = ranges.assign(df, column, "_range")
-    in_range = Window.partitionBy(*groups, F.col("_range"))
+    if not group_by:
+        # One range per task; by hash, several could meet in one.
+        ranged = ranged.repartitionById(len(ranges.splits) - 1, F.col("_range"))
+    in_range = Window.partitionBy(*[F.col(g) for g in group_by], F.col("_range"))
     in_order = in_range.orderBy(*order)
     far_end = F.max(value) if side == "previous" else F.min(value)
     local = ranged.withColumns(
