@@ -50,11 +50,16 @@ def sort_position(column: Column, data_type: DataType, shared_bytes: int = 0) ->
 
 @dataclass(frozen=True)
 class ValueRanges:
-    """Ends of value ranges, and whether single values are too frequent for a range of their own."""
+    """Ends of value ranges, and whether single values are too frequent for a range of their own.
+
+    For a table in groups, ``hot`` holds the groups that are cut, one row each;
+    there are fewer of them than ranges. The others stay whole.
+    """
 
     splits: list[float]
     crowded: bool
     shared_bytes: int = 0
+    hot: DataFrame | None = None
 
     def assign(self, df: DataFrame, column: str, into: str) -> DataFrame:
         """``df`` with the number of the range that each value lies in."""
@@ -63,6 +68,22 @@ class ValueRanges:
         numbered = bucketizer.transform(df.withColumn("_position", position)).drop("_position")
         return numbered.withColumn(into, F.col(into).cast("int"))
 
+    def only_hot(self, df: DataFrame, mark: str | None = None) -> DataFrame:
+        """The rows of the hot groups, or with ``mark`` all rows and whether theirs is one."""
+        if self.hot is None:
+            return df if mark is None else df.withColumn(mark, F.lit(True))
+        return _of_groups(df, self.hot, mark)
+
+
+def _of_groups(df: DataFrame, groups: DataFrame, mark: str | None = None) -> DataFrame:
+    """Rows of the listed groups, at most ``MAX_RANGES`` of them, or all rows with a mark."""
+    keys = {name: f"_hot_{name}" for name in groups.columns}
+    listed = F.broadcast(groups.withColumnsRenamed(keys).withColumn("_listed", F.lit(True)))
+    same = [F.col(name).eqNullSafe(F.col(key)) for name, key in keys.items()]
+    if mark is None:
+        return df.join(listed, same).drop(*keys.values(), "_listed")
+    return df.join(listed, same, "left").withColumn(mark, F.col("_listed").isNotNull()).drop(*keys.values(), "_listed")
+
 
 def by_rows(rows_per_range: int) -> Callable[[int], int]:
     """As many ranges as it takes to hold ``rows_per_range`` rows in each."""
@@ -75,8 +96,8 @@ def value_ranges(
     """Ranges with about equally many rows; None if one range is enough.
 
     ``ranges_for`` gives the number of ranges for a number of rows. With
-    ``group_by``, no ranges are needed either when every group is about as small
-    as a range.
+    ``group_by`` only groups that are clearly larger than a range are cut, and
+    there are no ranges without such a group.
 
     The ends are quantiles of a sample, as in a range shuffle: they balance the
     work and have no part in the result. Sample and quantiles have a fixed upper
@@ -93,19 +114,24 @@ def value_ranges(
     if ranges <= 1:
         return None
     share = min(1.0, ranges * SAMPLED_ROWS_PER_RANGE / rows)
-    if group_by:
-        sizes = df.select(*group_by).sample(share, seed=17).groupBy(*group_by).agg(F.count(F.lit(1)).alias("n"))
-        largest = sizes.agg(F.max("n")).first()[0] or 0
-        if largest <= 2 * share * rows / ranges:
-            return None
     shared = len(os.path.commonprefix([(end or "").encode() for end in ends])) if is_text else 0
     position = sort_position(F.col(column), data_type, shared)
-    sampled = df.select(position.alias("p")).sample(share, seed=17)
+    sampled = df.select(*group_by, position.alias("p")).sample(share, seed=17)
+    hot = None
+    if group_by:
+        sizes = sampled.groupBy(*group_by).agg(F.count(F.lit(1)).alias("n"))
+        # Of the sample, each takes more than two ranges' share: fewer than half as many groups as ranges.
+        large = sizes.filter(F.col("n") > 2 * share * rows / ranges).drop("n")
+        found = large.collect()
+        if not found:
+            return None
+        hot = df.sparkSession.createDataFrame(found, large.schema)
+        sampled = _of_groups(sampled, hot)
     steps = [i / ranges for i in range(1, ranges)]
     quantiles = sampled.agg(F.percentile_approx("p", steps, 10 * ranges).alias("q")).first()["q"] or []
     inner = sorted({q for q in quantiles if math.isfinite(q)})
     crowded = len(set(quantiles)) < len(steps)
-    return ValueRanges([-math.inf, *(inner or [0.0]), math.inf], crowded, shared)
+    return ValueRanges([-math.inf, *(inner or [0.0]), math.inf], crowded, shared, hot)
 
 
 def with_neighbour(
@@ -131,23 +157,26 @@ def with_neighbour(
         window = Window.partitionBy(*groups).orderBy(*order)
         return df.withColumns({into: step(value).over(window), end_flag: step(F.lit(1)).over(window).isNull()})
 
-    ranged = ranges.assign(df, column, "_range")
-    if not group_by:
+    ranged = ranges.assign(ranges.only_hot(df, "_hot"), column, "_range")
+    if group_by:
+        ranged = ranged.withColumn("_range", F.when(F.col("_hot"), F.col("_range")).otherwise(0))
+    else:
         # One range per task; by hash, several could meet in one.
         ranged = ranged.repartitionById(len(ranges.splits) - 1, F.col("_range"))
-    in_range = Window.partitionBy(*[F.col(g) for g in group_by], F.col("_range"))
-    in_order = in_range.orderBy(*order)
-    far_end = F.max(value) if side == "previous" else F.min(value)
-    local = ranged.withColumns(
-        {
-            into: step(value).over(in_order),
-            end_flag: step(F.lit(1)).over(in_order).isNull(),
-            "_far_end": far_end.over(in_range),
-        }
-    )
+    in_order = Window.partitionBy(*[F.col(g) for g in group_by], F.col("_range")).orderBy(*order)
+    local = ranged.withColumns({into: step(value).over(in_order), end_flag: step(F.lit(1)).over(in_order).isNull()})
+    inside = local.filter(~(F.col(end_flag) & F.col("_hot"))).drop("_range", "_hot")
+
+    # The row at the end of a range, and the value at the other end for the range beside it.
+    others = [c for c in df.columns if c not in (column, *group_by, *then_by)]
+    row = F.struct(column, *then_by, *others)
+    near, far = (F.min(row), F.max(value)) if side == "previous" else (F.max(row), F.min(value))
     across = Window.partitionBy(*groups).orderBy("_range")
-    inside = local.filter(~F.col(end_flag))
-    ends = local.filter(F.col(end_flag)).withColumns(
-        {into: step("_far_end").over(across), end_flag: step(F.lit(1)).over(across).isNull()}
+    ends = (
+        ranged.filter("_hot")
+        .groupBy(*group_by, "_range")
+        .agg(near.alias("_row"), far.alias("_far"))
+        .withColumns({into: step("_far").over(across), end_flag: step(F.lit(1)).over(across).isNull()})
+        .select(*group_by, "_row.*", into, end_flag)
     )
-    return inside.unionByName(ends).drop("_range", "_far_end")
+    return inside.unionByName(ends)

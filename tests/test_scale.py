@@ -155,17 +155,31 @@ def test_no_window_runs_over_everything_at_once(spark):
     df = spark.range(100_000).withColumn("g", F.col("id") % 3)
     sequence = ordered.sequential_values(df, "id", rows_per_range=10_000)
     ranges = ordered.mutually_exclusive_ranges(df, "id", "id + 1", rows_per_range=10_000)
-    for found, flag in ((sequence, "_end"), (ranges, "is_last_record")):
+    for found in (sequence, ranges):
         plan = plan_of(found)
         below_single = plan.split("Exchange SinglePartition")[1:]
         assert len(below_single) == 1
-        first_filter = next(line for line in below_single[0].splitlines() if "Filter" in line)
-        assert re.search(rf"Filter ({flag}|isnull\(_we)", first_filter), first_filter
+        assert re.search(r"Aggregate\(keys?=\[_range", below_single[0].splitlines()[1]), below_single[0]
         assert found.count() == 0
     in_hot_groups = plan_of(ordered.sequential_values(df, "id", 3, group_by=["g"], rows_per_range=10_000))
     assert "SinglePartition" not in in_hot_groups and "_range" in in_hot_groups
 
 
+def test_only_hot_groups_are_cut(spark, table, rows_of):
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 2000).alias("g"), F.col("id").alias("v")
+    )
+    cut = value_ranges(df, "v", by_rows(1_000), ["g"])
+    assert rows_of(cut.hot) == [(None,)] and not cut.crowded
+    gaps = ordered.sequential_values(df, "v", 3, group_by=["g"], rows_per_range=1_000)
+    assert gaps.filter("g IS NULL").count() == 0
+    in_small_groups = df.filter("g IS NOT NULL").count() - df.select("g").distinct().count() + 1
+    assert gaps.count() == in_small_groups
+    assert ordered.sequential_values(df.filter("v <> 9000"), "v", 3, group_by=["g"], rows_per_range=1_000).filter(
+        "g IS NULL"
+    ).collect() == [(None, 9003, 8997)]
+
+
 def test_small_groups_take_one_shuffle(spark):
     df = spark.range(50_000).select((F.col("id") % 4999).alias("g"), F.col("id").alias("v"))
     for found in (
