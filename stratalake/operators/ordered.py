@@ -68,21 +68,18 @@ class ValueRanges:
         numbered = bucketizer.transform(df.withColumn("_position", position)).drop("_position")
         return numbered.withColumn(into, F.col(into).cast("int"))
 
-    def only_hot(self, df: DataFrame, mark: str | None = None) -> DataFrame:
-        """The rows of the hot groups, or with ``mark`` all rows and whether theirs is one."""
-        if self.hot is None:
-            return df if mark is None else df.withColumn(mark, F.lit(True))
-        return _of_groups(df, self.hot, mark)
+    def mark_hot(self, df: DataFrame, mark: str) -> DataFrame:
+        """``df`` and whether each row's group is cut; without groups, the table as a whole is."""
+        return df.withColumn(mark, F.lit(True)) if self.hot is None else _with_mark(df, self.hot, mark)
 
 
-def _of_groups(df: DataFrame, groups: DataFrame, mark: str | None = None) -> DataFrame:
-    """Rows of the listed groups, at most ``MAX_RANGES`` of them, or all rows with a mark."""
-    keys = {name: f"_hot_{name}" for name in groups.columns}
-    listed = F.broadcast(groups.withColumnsRenamed(keys).withColumn("_listed", F.lit(True)))
+def _with_mark(df: DataFrame, groups: DataFrame, mark: str) -> DataFrame:
+    """Whether a row's group is listed; the list has fewer than ``MAX_RANGES`` rows."""
+    keys = {name: f"_listed_{name}" for name in groups.columns}
+    listed = F.broadcast(groups.withColumnsRenamed(keys).withColumn(mark, F.lit(True)))
     same = [F.col(name).eqNullSafe(F.col(key)) for name, key in keys.items()]
-    if mark is None:
-        return df.join(listed, same).drop(*keys.values(), "_listed")
-    return df.join(listed, same, "left").withColumn(mark, F.col("_listed").isNotNull()).drop(*keys.values(), "_listed")
+    joined = df.join(listed, same, "left").drop(*keys.values())
+    return joined.withColumn(mark, F.col(mark).isNotNull())
 
 
 def by_rows(rows_per_range: int) -> Callable[[int], int]:
@@ -126,7 +123,7 @@ def value_ranges(
         if not found:
             return None
         hot = df.sparkSession.createDataFrame(found, large.schema)
-        sampled = _of_groups(sampled, hot)
+        sampled = _with_mark(sampled, hot, "_hot").filter("_hot")
     steps = [i / ranges for i in range(1, ranges)]
     quantiles = sampled.agg(F.percentile_approx("p", steps, 10 * ranges).alias("q")).first()["q"] or []
     inner = sorted({q for q in quantiles if math.isfinite(q)})
@@ -157,7 +154,7 @@ def with_neighbour(
         window = Window.partitionBy(*groups).orderBy(*order)
         return df.withColumns({into: step(value).over(window), end_flag: step(F.lit(1)).over(window).isNull()})
 
-    ranged = ranges.assign(ranges.only_hot(df, "_hot"), column, "_range")
+    ranged = ranges.assign(ranges.mark_hot(df, "_hot"), column, "_range")
     if group_by:
         ranged = ranged.withColumn("_range", F.when(F.col("_hot"), F.col("_range")).otherwise(0))
     else:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -108,9 +109,13 @@ def run_layers(
     reports: list[DataFrame] = []
 
     def build(layer: str, plans: Mapping[str, DataFrame], samples: Mapping[str, DataFrame] | None = None) -> None:
-        for name, plan in plans.items():
+        def store(name: str) -> DataFrame:
             sample = (samples or {}).get(name)
-            tables[name] = materialize(plan, layer_path(root, layer, name), CLUSTER_COLUMNS[name], sample)
+            return materialize(plans[name], layer_path(root, layer, name), CLUSTER_COLUMNS[name], sample)
+
+        # The tables of a layer do not depend on each other: one fills the cores that another leaves idle.
+        with ThreadPoolExecutor(len(plans)) as pool:
+            tables.update(zip(plans, pool.map(store, plans)))
         checks = checks_of(tables)
         outcomes = [
             run_checks(tables[name], checks[name]).select(
