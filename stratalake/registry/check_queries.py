@@ -148,7 +148,9 @@ def chk_expression_is_true(spark: SparkSession, directory: str) -> DataFrame:
     SELECT *, lower_bound < upper_bound AS lower_bound_less_than_upper_bound,
            coalesce(upper_bound <= next_lower_bound, is_last_record)
              AS upper_bound_less_than_or_equal_to_next_lower_bound
-    FROM linked WHERE NOT coalesce(upper_bound <= next_lower_bound, is_last_record)
+    FROM linked
+    WHERE NOT (coalesce(lower_bound < upper_bound, FALSE)
+               AND coalesce(upper_bound <= next_lower_bound, is_last_record))
     """,
 )
 def chk_exclusive_ranges(spark: SparkSession, directory: str) -> DataFrame:
@@ -168,7 +170,9 @@ _GLOBAL_RANGES = """
     )
     SELECT *, lower_bound <= upper_bound AS lower_bound_less_than_or_equal_to_upper_bound,
            coalesce(upper_bound = next_lower_bound, is_last_record) AS upper_bound_equal_to_next_lower_bound
-    FROM linked WHERE NOT coalesce(upper_bound = next_lower_bound, is_last_record)
+    FROM linked
+    WHERE NOT (coalesce(lower_bound <= upper_bound, FALSE)
+               AND coalesce(upper_bound = next_lower_bound, is_last_record))
 """
 
 
@@ -535,7 +539,7 @@ def chk_constraints(spark: SparkSession, directory: str) -> DataFrame:
 @BOOK.add(
     "chk_report",
     """
-    WITH counts AS (
+    WITH archive AS (SELECT * FROM orders WHERE o_orderdate < '2001-06-01'), counts AS (
         SELECT 'price_range' AS check_name, 'error' AS severity, 'sales' AS owner,
                (SELECT count(*) FROM orders WHERE NOT (o_totalprice >= 2000)) AS failures
         UNION ALL SELECT 'urgent_price', 'warn', NULL,
@@ -544,12 +548,16 @@ def chk_constraints(spark: SparkSession, directory: str) -> DataFrame:
                (SELECT count(*) FROM orders WHERE o_custkey IS NULL)
         UNION ALL SELECT 'unique_o_custkey', 'error', NULL,
                (SELECT count(*) FROM (SELECT 1 FROM orders GROUP BY o_custkey HAVING count(*) > 1))
-        UNION ALL SELECT 'fewer_than_lines', 'error', NULL, 0
-        UNION ALL SELECT 'same_as_archive', 'warn', NULL,
-               2 * (SELECT count(*) FROM orders WHERE o_orderdate >= '2001-06-01')
+        UNION ALL SELECT 'fewer_than_lines', 'error', NULL,
+               CASE WHEN (SELECT count(*) FROM orders) < (SELECT count(*) FROM lineitem) THEN 0
+                    ELSE greatest((SELECT count(*) FROM orders) - (SELECT count(*) FROM lineitem), 1) END
+        UNION ALL SELECT 'same_as_archive', 'warn', NULL, extra + missing + abs(extra - missing)
+        FROM (SELECT (SELECT count(*) FROM (SELECT * FROM orders EXCEPT SELECT * FROM archive)) AS extra,
+                     (SELECT count(*) FROM (SELECT * FROM archive EXCEPT SELECT * FROM orders)) AS missing)
     )
     SELECT *, CASE check_name WHEN 'price_range' THEN CASE WHEN failures > 1000000 THEN 'fail'
                                                           WHEN failures > 0 THEN 'warn' ELSE 'pass' END
+                              WHEN 'fewer_than_lines' THEN CASE WHEN failures > 0 THEN 'fail' ELSE 'pass' END
                               WHEN 'unique_o_custkey' THEN CASE WHEN failures > 0 THEN 'fail' ELSE 'pass' END
                               ELSE CASE WHEN failures > 0 THEN 'warn' ELSE 'pass' END END AS status
     FROM counts
