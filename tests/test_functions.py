@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 import random
 
 import pytest
@@ -180,3 +181,52 @@ def test_url_parameter(table):
     ).coalesce(1)
     assert values(df, url_parameter(F.col("u"), "utm_medium")) == ["organic", "organic", None, None, None, None]
     assert values(df, url_parameter(F.col("u"), "utm_source")) == [None, "github", None, None, "x", None]
+
+
+# --- random inputs against plain Python
+
+
+def random_texts(seed, alphabet, n=300):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(alphabet) for _ in range(rng.randrange(12))) for _ in range(n)]
+
+
+def test_slugs_of_random_text(table):
+    texts = random_texts(1, "aZ09 -_!éKİ\t.")
+    df = table("s string", *texts).coalesce(1)
+    assert values(df, slugify(F.col("s"))) == [slugify_name(t) for t in texts]
+
+
+def test_keys_of_random_text(table):
+    texts = random_texts(2, "ab-é ")
+    pairs = [(a, b if len(b) % 3 else None) for a, b in zip(texts, reversed(texts))]
+    mark = "_dbt_utils_surrogate_key_null_"
+    expected = [hashlib.md5(f"{a}-{mark if b is None else b}".encode()).hexdigest() for a, b in pairs]
+    df = table("a string, b string", *pairs).coalesce(1)
+    assert values(df, surrogate_key(["a", "b"])) == expected
+
+
+def test_urls_of_random_parts(table):
+    rng = random.Random(3)
+    urls, hosts, paths, refs = [], [], [], []
+    for _ in range(300):
+        host = rng.choice(["a.com", "b.org:81", "localhost"])
+        path = rng.choice(["", "/", "/x", "/x/y.html", "/x/"])
+        ref = rng.choice(["", "z", "a/b"])
+        query = rng.choice(["", f"?ref={ref}", f"?q=1&ref={ref}", "?xref=1", f"?ref={ref}&q=/"])
+        urls.append(rng.choice(["", "http://", "https://"]) + host + path + query)
+        hosts.append(host)
+        paths.append(path[1:])
+        refs.append((ref or None) if "?ref=" in query or "&ref=" in query else None)
+    df = table("u string", *urls).coalesce(1)
+    assert values(df, url_host(F.col("u"))) == hosts
+    assert values(df, url_path(F.col("u"))) == paths
+    assert values(df, url_parameter(F.col("u"), "ref")) == refs
+
+
+def test_buckets_of_random_numbers(table):
+    rng = random.Random(4)
+    numbers = [rng.uniform(-5, 25) for _ in range(300)]
+    edges = [2 + 4 * i for i in range(6)]
+    expected = [sum(n >= e for e in edges) for n in numbers]
+    assert values(table("x double", *numbers).coalesce(1), width_bucket("x", 2, 22, 5)) == expected
