@@ -70,7 +70,7 @@ def table_checks(tables: Mapping[str, DataFrame]) -> dict[str, list[Check]]:
 @dataclass(frozen=True)
 class LayeredRun:
     tables: dict[str, DataFrame]
-    report: DataFrame
+    report: DataFrame | None
 
 
 def build_layers(sources: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -164,4 +164,4 @@ def run_layers(
         tables[mart.__name__] = publish_view(
             mart(tables["publish_orders"], tables["publish_products"]), mart.__name__
         )
-    return LayeredRun(tables, reduce(DataFrame.unionAll, reports))
+    return LayeredRun(tables, reduce(DataFrame.unionAll, reports) if reports else None)

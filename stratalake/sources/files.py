@@ -57,15 +57,24 @@ def write_text_csv(df: DataFrame, path: str) -> None:
 
 
 def typed_load(
-    spark: SparkSession, path: str, columns: list[str], column_types: dict[str, str] | None = None
+    spark: SparkSession,
+    path: str,
+    columns: list[str],
+    column_types: dict[str, str] | None = None,
+    infer_others: bool = False,
 ) -> DataFrame:
     """A CSV with an optional type per column; columns without one stay text.
 
     Empty fields are NULL. A value that does not fit its type stops the job.
+    ``infer_others`` takes the types of the other columns from the values, which
+    reads the file one time more.
     """
     types = {name.lower(): ddl for name, ddl in (column_types or {}).items()}
     unknown = set(types) - {c.lower() for c in columns}
     if unknown:
         raise ValueError(f"types given for unknown columns: {sorted(unknown)}")
+    if infer_others:
+        found = _strict_csv(spark).option("inferSchema", True).csv(path).toDF(*columns)
+        types = {f.name.lower(): f.dataType for f in found.schema.fields} | types
     raw = _strict_csv(spark).schema(text_schema(columns)).csv(path)
     return raw.select(*[F.col(c).cast(types.get(c.lower(), "string")).alias(c) for c in columns])

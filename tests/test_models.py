@@ -212,6 +212,9 @@ def test_typed_load(spark, tmp_path):
     path.write_text("id,name,day\n1,,2024-01-05\n,b,\n")
     df = typed_load(spark, str(path), ["id", "name", "day"], {"ID": "bigint", "day": "date"})
     assert [tuple(r) for r in df.collect()] == [(1, None, dt.date(2024, 1, 5)), (None, "b", None)]
+    inferred = typed_load(spark, str(path), ["id", "name", "day"], {"id": "bigint"}, infer_others=True)
+    assert [f.dataType.simpleString() for f in inferred.schema] == ["bigint", "string", "date"]
+    assert inferred.collect() == df.collect()
     with pytest.raises(ValueError):
         typed_load(spark, str(path), ["id"], {"nope": "int"})
     path.write_text("id\nx\n")
@@ -270,6 +273,11 @@ def test_run_again_replaces_the_tables(spark, sources):
     assert run_layers(sources, root).tables["publish_orders"].count() == 3
 
 
+def test_run_without_checks(spark, sources):
+    run = run_layers(sources, scratch_path(spark, "run"), lambda tables: {})
+    assert run.report is None and run.tables["publish_products"].count() == 2
+
+
 def test_a_failed_check_ends_the_run(spark, sources):
     root = scratch_path(spark, "run")
 
