@@ -42,7 +42,7 @@ def sequential_values(
     else:
         follows = F.col(column) == before + interval
     broken = linked.filter(~follows)
-    return expand_counts(broken) if "n_rows" in linked.columns else broken
+    return expand_counts(broken, "_n_rows") if "_n_rows" in linked.columns else broken
 
 
 def _previous_of_counted_values(
@@ -61,8 +61,8 @@ def _previous_of_counted_values(
     )
     return (
         linked.withColumn("_step", F.explode(steps))
-        .select(*group_by, column, F.col("_step.before").alias(previous), F.col("_step.n").alias("n_rows"))
-        .filter("n_rows > 0")
+        .select(*group_by, column, F.col("_step.before").alias(previous), F.col("_step.n").alias("_n_rows"))
+        .filter("_n_rows > 0")
     )
 
 
@@ -114,7 +114,7 @@ def mutually_exclusive_ranges(
     next_name = f"upper_bound_{sign_words}_next_lower_bound"
     judged = linked.withColumn(length_name, own_length).withColumn(next_name, to_next)
     broken = judged.filter(~(F.col(length_name) & F.col(next_name)))
-    return expand_counts(broken) if "n_rows" in linked.columns else broken
+    return expand_counts(broken, "_n_rows") if "_n_rows" in linked.columns else broken
 
 
 def _next_of_counted_bounds(bounds: DataFrame, groups: Sequence[str], cut: ValueRanges) -> DataFrame:
@@ -129,13 +129,13 @@ def _next_of_counted_bounds(bounds: DataFrame, groups: Sequence[str], cut: Value
     one = F.lit(1).cast("bigint")
     final = with_neighbour(
         lasts, "lower_bound", "next_lower_bound", "next", groups, ranges=cut, end_flag="is_last_record"
-    ).withColumn("n_rows", one)
+    ).withColumn("_n_rows", one)
     others = (
         bounds.select(*keys, "upper_bound", one.alias("n"))
         .unionByName(lasts.select(*keys, "upper_bound", (-one).alias("n")))
         .groupBy(*keys, "upper_bound")
-        .agg(F.sum("n").alias("n_rows"))
-        .filter("n_rows > 0")
+        .agg(F.sum("n").alias("_n_rows"))
+        .filter("_n_rows > 0")
         .withColumns({"next_lower_bound": F.col("lower_bound"), "is_last_record": F.lit(False)})
     )
     return final.unionByName(others)

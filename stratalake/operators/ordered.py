@@ -113,19 +113,19 @@ def value_ranges(
     share = min(1.0, ranges * SAMPLED_ROWS_PER_RANGE / rows)
     shared = len(os.path.commonprefix([(end or "").encode() for end in ends])) if is_text else 0
     position = sort_position(F.col(column), data_type, shared)
-    sampled = df.select(*group_by, position.alias("p")).sample(share, seed=17)
+    sampled = df.select(*group_by, position.alias("_p")).sample(share, seed=17)
     hot = None
     if group_by:
-        sizes = sampled.groupBy(*group_by).agg(F.count(F.lit(1)).alias("n"))
+        sizes = sampled.groupBy(*group_by).agg(F.count(F.lit(1)).alias("_n"))
         # Of the sample, each takes more than two ranges' share: fewer than half as many groups as ranges.
-        large = sizes.filter(F.col("n") > 2 * share * rows / ranges).drop("n")
+        large = sizes.filter(F.col("_n") > 2 * share * rows / ranges).drop("_n")
         found = large.collect()
         if not found:
             return None
         hot = df.sparkSession.createDataFrame(found, large.schema)
         sampled = _with_mark(sampled, hot, "_hot").filter("_hot")
     steps = [i / ranges for i in range(1, ranges)]
-    quantiles = sampled.agg(F.percentile_approx("p", steps, 10 * ranges).alias("q")).first()["q"] or []
+    quantiles = sampled.agg(F.percentile_approx("_p", steps, 10 * ranges).alias("_q")).first()["_q"] or []
     inner = sorted({q for q in quantiles if math.isfinite(q)})
     crowded = len(set(quantiles)) < len(steps)
     return ValueRanges([-math.inf, *(inner or [0.0]), math.inf], crowded, shared, hot)

@@ -180,6 +180,16 @@ def test_only_hot_groups_are_cut(spark, table, rows_of):
     ).collect() == [(None, 9003, 8997)]
 
 
+@pytest.mark.parametrize("name", ["n", "p", "n_rows", "q"])
+@pytest.mark.parametrize("make_rows", [skewed_rows, even_rows])
+def test_group_columns_may_have_any_name(table, rows_of, make_rows, name):
+    rows = make_rows(5)
+    df = table(f"{name} int, v int", *rows)
+    found = ordered.sequential_values(df, "v", group_by=[name], rows_per_range=30)
+    assert found.columns == [name, "v", "previous_v"]
+    assert rows_of(found) == sequential_by_hand(rows, True)
+
+
 def test_small_groups_take_one_shuffle(spark):
     df = spark.range(50_000).select((F.col("id") % 4999).alias("g"), F.col("id").alias("v"))
     for found in (
