@@ -108,16 +108,10 @@ def assign(rows: DataFrame, key: str, n_shards: int, headroom: float = 0.0) -> D
     order = [F.xxhash64(F.col(key)), *[F.col(f"`{c}`") for c in rows.columns]]
     before = Window.partitionBy("_position").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     ranked = copies.withColumn("_rank", F.coalesce(F.sum("_copies").over(before), F.lit(0)))
-    single = ranked.filter("_copies = 1").drop("_copies")
-    # Copies of one row: the ranks of a chunk follow the chunk's first rank.
-    several = ranked.filter("_copies > 1").withColumn(
-        "_chunk", F.explode(F.expr("sequence(0L, (_copies - 1) div 65536)"))
-    )
-    several = several.withColumn(
-        "_rank",
-        F.explode(F.expr("sequence(_rank + _chunk * 65536, _rank + least(_copies, (_chunk + 1) * 65536) - 1)")),
-    ).drop("_chunk", "_copies")
-    every = single.unionByName(several)
+    # Copies of one row have ranks one after the other; they are written out in chunks.
+    chunks = ranked.withColumn("_chunk", F.explode(F.expr("sequence(0L, (_copies - 1) div 65536)")))
+    ranks = F.expr("sequence(_rank + _chunk * 65536, _rank + least(_copies, (_chunk + 1) * 65536) - 1)")
+    every = chunks.withColumn("_rank", F.explode(ranks)).drop("_chunk", "_copies")
     inside = (F.col("_position") == F.col("_at")) & F.col("_rank").between(F.col("_first"), F.col("_first") + F.col("_n") - 1)
     # At most one span per position and shard: a constant bound.
     return every.join(F.broadcast(spans), inside).select(
