@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import read, written
+from stratalake.llm.common import numbered, read, written
 from stratalake.llm.decontaminate import find_leaks
 from stratalake.llm.language_id import UNKNOWN, held_out, identify, learn
 from stratalake.llm.packing import pack_documents
@@ -26,8 +26,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     filters = learn(docs.filter(~held_out()))
     if not filters.languages:
         return docs
-    # Columns under other names, so that none is taken for the operator's own.
-    judged = identify(docs.toDF(*[f"_{n}" for n in range(len(docs.columns))]), filters, f"_{docs.columns.index('text')}")
+    rows, names = numbered(docs)
+    judged = identify(rows, filters, names["text"])
     kept = judged.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
     return kept.drop("lang_pred", "score").toDF(*docs.columns)
 
@@ -37,20 +37,19 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     rows = near_duplicates(docs.select("doc_id", text_key(F.col("text")).alias("key"), "text"))
     first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col("key").alias("key")))
     kept = written(rows.groupBy("root").agg(first.alias("_f")).select("_f.id", "_f.key"), "kept")
-    named = docs.toDF(*[f"_{n}" for n in range(len(docs.columns))]).withColumn(
-        "_key", text_key(F.col(f"_{docs.columns.index('text')}"))
-    )
-    doc_id = f"_{docs.columns.index('doc_id')}"
-    same = (named["_key"] == kept["key"]) & named[doc_id].eqNullSafe(kept["id"])
-    return named.join(kept, same, "left_semi").dropDuplicates(["_key", doc_id]).drop("_key").toDF(*docs.columns)
+    named, names = numbered(docs)
+    named = named.withColumn("_key", text_key(F.col(names["text"])))
+    same = (named["_key"] == kept["key"]) & named[names["doc_id"]].eqNullSafe(kept["id"])
+    one = named.join(kept, same, "left_semi").dropDuplicates(["_key", names["doc_id"]])
+    return one.drop("_key").toDF(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item in them."""
     keyed = docs.select(text_key(F.col("text")).alias("key"), "text")
     leaks = written(find_leaks(keyed, read(spark, sf_dir, "benchmark"), "key").select("key").distinct(), "leaks")
-    leaks = leaks.select(F.col("key").alias("_leak"))
-    return docs.join(leaks, text_key(docs["text"]) == F.col("_leak"), "left_anti")
+    rows, names = numbered(docs)
+    return rows.join(leaks, text_key(F.col(names["text"])) == F.col("key"), "left_anti").toDF(*docs.columns)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -38,3 +38,9 @@ def words_of(text: Column) -> Column:
 
 def utf8_bytes(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with columns named by their places, so that none is taken for an operator's own, and the new names."""
+    names = [f"_{n}" for n in range(len(docs.columns))]
+    return docs.toDF(*names), dict(zip(docs.columns, names))

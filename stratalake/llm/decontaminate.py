@@ -122,18 +122,23 @@ def _leaks_of_block(texts: DataFrame, items: DataFrame, masks: list[str]) -> Dat
         F.explode(F.array(sides)).alias("_sides"),
     )
     equal = F.zip_with("_sides.a", "_sides.b", lambda a, b: F.when(a == b, 1).otherwise(0))
-    compared = beside.select("_key", "item_id", "_n_item", "first_word", equal.alias("_equal"))
     window = F.least("_n_item", F.lit(WINDOW))
+
+    def judge(equal: Column) -> Column:
+        n_equal = F.aggregate(equal, F.lit(0), lambda n, x: n + x)
+        return F.struct(_best_window(equal, window).alias("best"), n_equal.alias("n_equal"), F.size(equal).alias("n_words"))
+
+    # The comparison is the variable of a list of one, so that windows do not work it out again.
+    judged = F.get(F.transform(F.array(equal), judge), F.lit(0))
     needed = F.when(F.col("_n_item") < WINDOW, F.col("_n_item")).otherwise(LEAST_EQUAL)
-    n_equal = F.aggregate("_equal", F.lit(0), lambda n, x: n + x)
-    leaks = compared.filter(_best_window(F.col("_equal"), window) >= needed)
+    leaks = beside.select("_key", "item_id", "_n_item", "first_word", judged.alias("_j")).filter(F.col("_j.best") >= needed)
     return leaks.select(
         "_key",
         "item_id",
         F.col("first_word").cast("long"),
-        F.size("_equal").cast("long").alias("n_words"),
-        n_equal.cast("long").alias("n_equal"),
-        (n_equal / F.col("_n_item")).alias("similarity"),
+        F.col("_j.n_words").cast("long"),
+        F.col("_j.n_equal").cast("long"),
+        (F.col("_j.n_equal") / F.col("_n_item")).alias("similarity"),
     )
 
 

@@ -83,24 +83,22 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return keys, np.bincount(where, weights=np.concatenate([n for _, n in parts])).astype(np.int64)
 
 
-def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     letters = letter_table()
     held: dict[str, list] = {}
 
-    def out() -> pd.DataFrame:
-        rows = [(lang, *_summed(parts)) for lang, parts in held.items() if parts]
+    def out() -> Iterator[pa.RecordBatch]:
+        for lang, parts in held.items():
+            keys, n = _summed(parts)
+            names = pa.array(np.full(len(keys), lang, dtype=object), pa.string())
+            yield pa.RecordBatch.from_arrays([names, pa.array(keys.astype(np.int64)), pa.array(n)], ["lang", "gram", "n"])
         held.clear()
-        return pd.DataFrame(
-            {
-                "lang": np.repeat([r[0] for r in rows], [len(r[1]) for r in rows]) if rows else [],
-                "gram": np.concatenate([r[1] for r in rows]).astype(np.int64) if rows else [],
-                "n": np.concatenate([r[2] for r in rows]) if rows else [],
-            }
-        )
 
     for batch in batches:
-        for lang, rows in batch.groupby("lang")["text"]:
-            texts = rows.tolist()
+        by_lang: dict[str, list[str]] = {}
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+            by_lang.setdefault(lang, []).append(text)
+        for lang, texts in by_lang.items():
             for part in text_groups(texts):
                 codes, owner, _ = normalised(texts[part], letters)
                 for found, _ in grams(codes, owner):
@@ -109,8 +107,8 @@ def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     if sum(len(k) for k, _ in parts) > GRAMS_HELD // 8:
                         held[lang] = [_summed(parts)]
             if sum(len(k) for parts in held.values() for k, _ in parts) > GRAMS_HELD:
-                yield out()
-    yield out()
+                yield from out()
+    yield from out()
 
 
 def slots_of(found: np.ndarray) -> list[np.ndarray]:
@@ -156,7 +154,7 @@ def learn(docs: DataFrame) -> Filters:
     """Filters from ``docs`` (text, lang); rows without either are left out."""
     labelled = docs.select("text", "lang").filter("text IS NOT NULL AND lang IS NOT NULL")
     counts = (
-        labelled.mapInPandas(_count_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+        labelled.mapInArrow(_count_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     )
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted(totals)

@@ -31,12 +31,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import read, written
+from stratalake.llm.common import numbered, read, written
 
 KINDS = ["email", "ip", "card", "phone"]
 SAMPLE_ROWS = 20_000
 PRECISION = 0.95
 SCORE_STEPS = 100
+BLOCK = 128
 ROUNDS = 10
 DEPTH = 3
 
@@ -46,8 +47,8 @@ BASE = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     # [0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
-    # [0-9]([\x20-]?[0-9])+
-    "card": r"(?<![0-9])[0-9]++(?:[\x20-][0-9]++)*+",
+    # [0-9]([\x20-]?[0-9])+, of at least 13 digits
+    "card": r"(?<![0-9])(?=(?:[0-9][\x20-]?){12}[0-9])[0-9]++(?:[\x20-][0-9]++)*+",
     # \+[0-9][\x20().0-9-]+[0-9]
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
@@ -75,30 +76,70 @@ def _passes(kind: str, text: Column) -> Column:
     return n.between(9, 15) if kind == "phone" else F.lit(True)
 
 
-def _matches(text: Column, pattern: str) -> Column:
-    """All matches (start, end, text) in code points.
+def _summed(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda n, x: n + x)
+
+
+def with_matches(df: DataFrame, text: str, patterns: dict[str, str]) -> DataFrame:
+    """``df`` with all matches of each pattern: start, end (code points), text and what stands beside.
 
     What lies between the matches, in order, is what a split at the pattern leaves.
+    Ends are sums over blocks and within a block, so that many matches take little
+    more than linear time. Lambdas refer to their own variables only: Spark would
+    work out any other column again for each element.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    sizes = F.zip_with(
-        F.transform(F.slice(F.split(text, pattern), F.lit(1), F.size(found)), lambda gap: F.length(gap)),
-        found,
-        lambda gap, match: F.struct(gap.alias("gap"), match.alias("match")),
+    others, names = df.columns, list(patterns)
+    df = df.withColumns(
+        {f"_found_{n}": F.regexp_extract_all(F.col(text), F.lit(p), F.lit(0)) for n, p in patterns.items()}
+        | {f"_gaps_{n}": F.split(F.col(text), p) for n, p in patterns.items()}
     )
-    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,text:string>>").alias("spans"))
 
-    def add(done: Column, one: Column) -> Column:
-        start = done["at"] + one["gap"]
-        end = start + F.length(one["match"])
-        span = F.struct(start.alias("start"), end.alias("end"), one["match"].alias("text"))
-        return F.struct(end.alias("at"), F.concat(done["spans"], F.array(span)).alias("spans"))
+    def parts(n: str) -> Column:
+        gaps = F.slice(f"_gaps_{n}", F.lit(1), F.size(f"_found_{n}"))
+        pairs = F.zip_with(gaps, f"_found_{n}", lambda gap, m: F.length(gap) + F.length(m))
+        blocks = F.sequence(F.lit(0), F.floor(F.size(f"_found_{n}") / BLOCK).cast("int"))
+        # The sizes stand in a list of their own, as the variable that the blocks are cut from.
+        cut = F.transform(F.array(pairs), lambda sizes: F.transform(blocks, lambda b: F.slice(sizes, b * BLOCK + 1, F.lit(BLOCK))))
+        return F.flatten(cut)
+
+    def ends(n: str) -> Column:
+        def of_blocks(blocks: Column) -> Column:
+            sums = F.transform(F.array(F.transform(blocks, _summed)), _running)
+            return F.flatten(F.zip_with(blocks, F.get(sums, F.lit(0)), _ends_in_block))
+
+        return F.get(F.transform(F.array(F.col(f"_parts_{n}")), of_blocks), F.lit(0))
+
+    def spans(n: str) -> Column:
+        size = F.size(f"_found_{n}")
+        rows = F.arrays_zip(
+            F.col(f"_found_{n}").alias("text"),
+            F.col(f"_ends_{n}").alias("end"),
+            F.slice(f"_gaps_{n}", F.lit(1), size).alias("gap"),
+            F.slice(f"_gaps_{n}", F.lit(2), size).alias("next"),
+        )
+        return F.transform(
+            rows,
+            lambda r: F.struct(
+                (r["end"] - F.length(r["text"])).alias("start"),
+                r["end"].alias("end"),
+                r["text"].alias("text"),
+                F.right(r["gap"], F.lit(20)).alias("before"),
+                F.left(r["next"], F.lit(1)).alias("after"),
+            ),
+        )
+
+    df = df.withColumns({f"_parts_{n}": parts(n) for n in names})
+    df = df.withColumns({f"_ends_{n}": ends(n) for n in names})
+    return df.select(*others, *[spans(n).alias(n) for n in names])
 
-    return F.aggregate(sizes, none, add)["spans"]
 
+def _running(sums: Column) -> Column:
+    """For each block, the sum of all before it."""
+    return F.transform(sums, lambda _, b: _summed(F.slice(sums, F.lit(1), b)))
 
-def _base_spans(text: Column, kind: str) -> Column:
-    return F.filter(_matches(text, BASE[kind]), lambda span: _passes(kind, span["text"]))
+
+def _ends_in_block(sizes: Column, before: Column) -> Column:
+    return F.transform(sizes, lambda _, i: before + _summed(F.slice(sizes, F.lit(1), i + 1)))
 
 
 def text_key(text: Column) -> Column:
@@ -109,65 +150,70 @@ def candidates(docs: DataFrame) -> DataFrame:
     """key, kind number, start, end, base flag, label and features of all candidates; equal texts once."""
     hint = "[@0-9]"  # every pattern needs one of these
     texts = docs.select(text_key(F.col("text")).alias("key"), "text").filter(F.col("text").rlike(hint))
-    base = texts.select("key", "text", *[_base_spans(F.col("text"), kind).alias(f"_{kind}") for kind in KINDS])
-    either = []
+    patterns = {f"base_{k}": p for k, p in BASE.items()} | {f"wide_{k}": p for k, p in WIDE.items()}
+    found = with_matches(texts, "text", patterns)
+    arrays = []
     for number, kind in enumerate(KINDS):
-        either.append(_described(number, F.col(f"_{kind}"), None))
-        either.append(_described(number, _matches(F.col("text"), WIDE[kind]), F.col(f"_{kind}")))
+        arrays.append(_marked(F.filter(f"base_{kind}", _passing(kind)), number, True))
+        arrays.append(_marked(F.col(f"wide_{kind}"), number, False))
     # Only this narrow array is shuffled; copies of a text are one row from here on.
-    rows = base.select("key", F.concat(*either).alias("_all")).filter(F.size("_all") > 0)
-    once = rows.groupBy("key").agg(F.first("_all").alias("_all"))
-    spans = once.select("key", F.explode("_all").alias("_s")).select("key", "_s.*")
-    return spans.filter("NOT twin").drop("twin")
-
-
-def _described(number: int, spans: Column, of_kind: Column | None) -> Column:
-    """Spans with label, context and form; ``of_kind`` are the base spans of the kind, none for these themselves."""
-    text = F.col("text")
-
-    def one(span: Column) -> Column:
-        word, start, end = span["text"], span["start"], span["end"]
-        before = F.substring(text, F.greatest(start - 19, F.lit(1)), F.least(start, F.lit(20)))
-        after = F.substring(text, end + 1, F.lit(1))
-        groups = F.filter(F.split(word, "[^0-9]+"), lambda g: g != "")
-        count = lambda pattern: F.length(word) - F.length(F.regexp_replace(word, pattern, ""))
-        flag = lambda condition: F.when(condition, 1).otherwise(0)
-        if of_kind is None:
-            label, twin = F.lit(1), F.lit(False)
-        else:
-            label = flag(F.exists(of_kind, lambda b: (b["start"] < end) & (start < b["end"])))
-            # The base span itself, proposed once more.
-            twin = F.exists(of_kind, lambda b: (b["start"] == start) & (b["end"] == end))
-        values = {
-            "kind": F.lit(number),
-            "length": F.length(word),
-            "digits": count("[0-9]"),
-            "letters": count("[A-Za-z]"),
-            "groups": F.size(groups),
-            "longest": F.coalesce(F.array_max(F.transform(groups, lambda g: F.length(g))), F.lit(0)),
-            "dots": count(r"\."),
-            "plus": count(r"\+"),
-            "parens": count("[()]"),
-            "spaces": count(" "),
-            "dashes": count("-"),
-            "before_space": flag((start == 0) | before.rlike(r"\s$")),
-            "before_word": flag(before.rlike(r"[\p{L}\p{N}]$")),
-            "before_length": F.length(F.regexp_extract(before, r"(\S*)\s*$", 1)),
-            "after_space": flag((after == "") | after.rlike(r"^\s")),
-            "after_mark": flag(after.rlike(r"^[.,;:!?]")),
-            "after_word": flag(after.rlike(r"^[\p{L}\p{N}]")),
-        }
-        return F.struct(
+    # No filter on its size: that would work everything out once more.
+    rows = found.select("key", F.concat(*arrays).alias("_all"))
+    spans = rows.groupBy("key").agg(F.first("_all").alias("_all")).select("key", F.inline("_all"))
+    return _described(spans)
+
+
+def _passing(kind: str):
+    return lambda span: _passes(kind, span["text"])
+
+
+def _marked(spans: Column, number: int, base: bool) -> Column:
+    return F.transform(
+        spans,
+        lambda s: F.struct(
             F.lit(number).alias("kind_no"),
-            start.alias("start"),
-            end.alias("end"),
-            F.lit(of_kind is None).alias("base"),
-            label.alias("label"),
-            twin.alias("twin"),
-            *[values[name].cast("double").alias(name) for name in FEATURES],
-        )
+            F.lit(base).alias("base"),
+            *[s[c].alias(c) for c in ("start", "end", "text", "before", "after")],
+        ),
+    )
+
 
-    return F.transform(spans, one)
+def _described(spans: DataFrame) -> DataFrame:
+    """Spans with label, form and context; a candidate that is a base span itself goes."""
+    in_kind = Window.partitionBy("key", "kind_no").orderBy("start", "end", "base")
+    base_end = F.max(F.when(F.col("base"), F.col("end"))).over(in_kind.rowsBetween(Window.unboundedPreceding, -1))
+    base_start = F.min(F.when(F.col("base"), F.col("start"))).over(in_kind.rowsBetween(1, Window.unboundedFollowing))
+    twin = F.max("base").over(Window.partitionBy("key", "kind_no", "start", "end")) & ~F.col("base")
+    holds = F.col("base") | (F.coalesce(base_end, F.lit(0)) > F.col("start")) | (
+        F.coalesce(base_start, F.col("end")) < F.col("end")
+    )
+    labelled = spans.withColumns({"label": F.when(holds, 1).otherwise(0), "_twin": twin}).filter("NOT _twin").drop("_twin")
+    word, before, after = F.col("text"), F.col("before"), F.col("after")
+    count = lambda pattern: F.length(word) - F.length(F.regexp_replace(word, pattern, ""))
+    flag = lambda condition: F.when(condition, 1).otherwise(0)
+    groups = F.filter(F.split(word, "[^0-9]+"), lambda g: g != "")
+    values = {
+        "kind": F.col("kind_no"),
+        "length": F.length(word),
+        "digits": count("[0-9]"),
+        "letters": count("[A-Za-z]"),
+        "groups": F.size(groups),
+        "longest": F.coalesce(F.array_max(F.transform(groups, lambda g: F.length(g))), F.lit(0)),
+        "dots": count(r"\."),
+        "plus": count(r"\+"),
+        "parens": count("[()]"),
+        "spaces": count(" "),
+        "dashes": count("-"),
+        "before_space": flag((F.col("start") == 0) | before.rlike(r"\s$")),
+        "before_word": flag((F.col("start") > 0) & (before.rlike(r"[\p{L}\p{N}]$") | (before == ""))),
+        "before_length": F.length(F.regexp_extract(before, r"(\S*)\s*$", 1)),
+        "after_space": flag((after == "") | after.rlike(r"^\s")),
+        "after_mark": flag(after.rlike(r"^[.,;:!?]")),
+        "after_word": flag(after.rlike(r"^[\p{L}\p{N}]")),
+    }
+    return labelled.select(
+        "key", "kind_no", "start", "end", "base", "label", *[values[n].cast("double").alias(n) for n in FEATURES]
+    )
 
 
 def scored(spans: DataFrame) -> DataFrame:
@@ -253,12 +299,14 @@ def redact(docs: DataFrame) -> DataFrame:
         F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind_no"].alias("kind_no")))
     )
     spans = found.select(F.col("key").alias("_key"), by_start.alias("_spans"))
-    keyed = docs.withColumn("_own_key", text_key(F.col("text")))
+    rows, names_of = numbered(docs)
+    own = F.col(names_of["text"])
+    keyed = rows.withColumn("_own_key", text_key(own))
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def add(done: Column, span: Column) -> Column:
-        gap = F.substring(F.col("text"), done["at"] + 1, span["start"] - done["at"])
+        gap = F.substring(own, done["at"] + 1, span["start"] - done["at"])
         more = F.concat(done["parts"], F.array(gap, F.get(names, span["kind_no"])))
         inside = span["start"] < done["at"]
         return F.struct(
@@ -266,10 +314,10 @@ def redact(docs: DataFrame) -> DataFrame:
         )
 
     cut = F.aggregate("_spans", empty, add)
-    rest = F.substring(F.col("text"), cut["at"] + 1, F.length("text"))
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(F.concat(F.array_join(cut["parts"], ""), rest))
-    joined = keyed.join(spans, F.col("_own_key") == F.col("_key"), "left").withColumn("_new", text)
-    return joined.select(*[F.col("_new").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    rest = F.substring(own, cut["at"] + 1, F.length(own))
+    text = F.when(F.col("_spans").isNull(), own).otherwise(F.concat(F.array_join(cut["parts"], ""), rest))
+    joined = keyed.join(spans, F.col("_own_key") == F.col("_key"), "left")
+    return joined.select(*[(text if old == "text" else F.col(new)).alias(old) for old, new in names_of.items()])
 
 
 def _listed(spans: Column) -> Column:
