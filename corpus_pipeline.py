@@ -35,13 +35,14 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: that with the smallest id, one row if it is repeated."""
     rows = near_duplicates(docs.select("doc_id", text_key(F.col("text")).alias("key"), "text"))
+    row_key = lambda doc_id, key: F.md5(F.concat_ws(":", key, doc_id.cast("string")))
     first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col("key").alias("key")))
-    kept = written(rows.groupBy("root").agg(first.alias("_f")).select("_f.id", "_f.key"), "kept")
+    kept = rows.groupBy("root").agg(first.alias("_f")).select(row_key(F.col("_f.id"), F.col("_f.key")).alias("_kept"))
     named, names = numbered(docs)
-    named = named.withColumn("_key", text_key(F.col(names["text"])))
-    same = (named["_key"] == kept["key"]) & named[names["doc_id"]].eqNullSafe(kept["id"])
-    one = named.join(kept, same, "left_semi").dropDuplicates(["_key", names["doc_id"]])
-    return one.drop("_key").toDF(*docs.columns)
+    named = named.withColumn("_key", row_key(F.col(names["doc_id"]), text_key(F.col(names["text"]))))
+    # Texts are dealt once: repeated rows meet where the join has put them.
+    one = named.join(written(kept, "kept").hint("merge"), F.col("_key") == F.col("_kept"), "left_semi")
+    return one.dropDuplicates(["_key"]).drop("_key").toDF(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -316,7 +316,8 @@ def redact(docs: DataFrame) -> DataFrame:
     cut = F.aggregate("_spans", empty, add)
     rest = F.substring(own, cut["at"] + 1, F.length(own))
     text = F.when(F.col("_spans").isNull(), own).otherwise(F.concat(F.array_join(cut["parts"], ""), rest))
-    joined = keyed.join(spans, F.col("_own_key") == F.col("_key"), "left")
+    # Both sides are tables: adaptive execution can split the copies of a text.
+    joined = keyed.join(spans.hint("merge"), F.col("_own_key") == F.col("_key"), "left")
     return joined.select(*[(text if old == "text" else F.col(new)).alias(old) for old, new in names_of.items()])
 
 
