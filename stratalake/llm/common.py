@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,3 +47,10 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with columns named by their places, so that none is taken for an operator's own, and the new names."""
     names = [f"_{n}" for n in range(len(docs.columns))]
     return docs.toDF(*names), dict(zip(docs.columns, names))
+
+
+def in_slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches a few at a time, so that a worker holds few texts as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stratalake.llm.common import read
+from stratalake.llm.common import in_slices, read
 
 UNKNOWN = "und"
 SLOT_BITS = 20
@@ -36,7 +36,7 @@ LEAST_SHARE = 0.5
 # Odd multipliers of the slots' hash functions.
 MULTIPLIERS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F]
 LANGUAGES_PER_WORD = 63
-CHARACTERS_AT_ONCE = 1 << 20
+CHARACTERS_AT_ONCE = 1 << 18
 GRAMS_HELD = 1 << 21
 
 
@@ -94,7 +94,7 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([names, pa.array(keys.astype(np.int64)), pa.array(n)], ["lang", "gram", "n"])
         held.clear()
 
-    for batch in batches:
+    for batch in in_slices(batches):
         by_lang: dict[str, list[str]] = {}
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
             by_lang.setdefault(lang, []).append(text)
@@ -195,7 +195,7 @@ def identify(docs: DataFrame, filters: Filters, text: str = "text") -> DataFrame
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, known = letter_table(), Filters(*sent.value)
-        for batch in batches:
+        for batch in in_slices(batches):
             texts = [t or "" for t in batch.column(text).to_pylist()]
             names: list[str] = []
             scores: list[float] = []

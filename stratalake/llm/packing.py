@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import read, written
+from stratalake.llm.common import in_slices, read, written
 
 CAPACITY = 1024
 END_ID = 2
@@ -130,7 +130,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoders = _encoders(tokenizer)
-        for batch in batches:
+        for batch in in_slices(batches):
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 ids = token_ids(text, encoders)

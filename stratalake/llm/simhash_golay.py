@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from stratalake.llm.common import read, written
+from stratalake.llm.common import in_slices, read, written
 
 SHINGLE_WORDS = 3
 MOST_BITS = 3
@@ -77,7 +77,7 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
     others = [c for c in docs.columns if c not in ("text", "fp")]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             made = [fingerprint(t, size) for t in batch.column("text").to_pylist()]
             columns = [*[batch.column(c) for c in others], pa.array(made, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, [*others, "fp"])

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from stratalake.llm.common import read, utf8_bytes
+from stratalake.llm.common import in_slices, read, utf8_bytes
 from stratalake.session import scratch_path
 
 SEGMENT_BYTES = 32 * 1024
@@ -65,6 +65,9 @@ PAGE = pa.schema(
 )
 
 
+FOUND = pa.schema([*RECORD, *[f for f in PAGE if f.name not in RECORD.names]])
+
+
 def chunked(payload: bytes) -> bytes:
     """HTTP/1.1 chunked framing."""
     parts = [payload[i : i + CHUNK_BYTES] for i in range(0, len(payload), CHUNK_BYTES)]
@@ -134,14 +137,13 @@ def records_of(page: dict, record_id: str) -> Iterator[bytes]:
 
 def _make_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     task, n = TaskContext.get().partitionId(), 0
-    for batch in batches:
-        for at in range(0, batch.num_rows, PAGES_AT_ONCE):
-            made = []
-            for page in batch.slice(at, PAGES_AT_ONCE).to_pylist():
-                n += 1
-                # Unique among the files of this run, as each task's output is taken once.
-                made += records_of(page, f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{task}/{n}')}>")
-            yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["value"])
+    for batch in in_slices(batches, PAGES_AT_ONCE):
+        made = []
+        for page in batch.to_pylist():
+            n += 1
+            # Unique among the files of this run, as each task's output is taken once.
+            made += records_of(page, f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{task}/{n}')}>")
+        yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["value"])
 
 
 def with_roles(pages: DataFrame) -> DataFrame:
@@ -172,9 +174,15 @@ def with_roles(pages: DataFrame) -> DataFrame:
 def write_archives(pages: DataFrame, path: str) -> None:
     """Gzipped WARC files; the line end that Spark writes is the end of a record."""
     records = with_roles(pages).mapInArrow(_make_records, "value binary")
-    records.select(F.col("value").cast("string")).write.option("lineSep", END).option("compression", "gzip").option(
-        "maxRecordsPerFile", RECORDS_PER_ARCHIVE
-    ).text(path)
+    conf, setting = pages.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(setting)
+    conf.set(setting, str(PAGES_AT_ONCE))  # pages can be large
+    try:
+        records.select(F.col("value").cast("string")).write.option("lineSep", END).option("compression", "gzip").option(
+            "maxRecordsPerFile", RECORDS_PER_ARCHIVE
+        ).text(path)
+    finally:
+        conf.set(setting, before)
 
 
 def parse_archive(data: bytes) -> Iterator[dict]:
@@ -202,17 +210,21 @@ def parse_archive(data: bytes) -> Iterator[dict]:
         at = end + len(END)
 
 
-def _batch(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pylist(rows, schema)
+def _pages_and_segments(payloads: bool):
+    """Reads archives: a page for each record that is whole, the record itself for each that is segmented."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column("content"):
+                rows = []
+                for record in parse_archive(gzip.decompress(content.as_py())):
+                    rows.append(record if record["origin_id"] else page_of([record], payloads))
+                yield pa.RecordBatch.from_pylist(rows, FOUND)
 
-def _parse_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for content in batch.column("content"):
-            yield _batch(list(parse_archive(gzip.decompress(content.as_py()))), RECORD)
+    return run
 
 
-def page_of(records: list[dict]) -> dict:
+def page_of(records: list[dict], payloads: bool = True) -> dict:
     """One page from the records of its origin, in any order; ``problem`` says what does not fit."""
     records = sorted(records, key=lambda r: r["segment"] or 1)
     first, last, problem = records[0], records[-1], None
@@ -227,43 +239,40 @@ def page_of(records: list[dict]) -> dict:
     if problem is None and first["record_type"] == "response":
         payload = unchunked(block[block.index(b"\r\n\r\n") + 4 :])
         digest = hashlib.sha1(payload).hexdigest()
-        page |= {"payload": payload, "payload_bytes": len(payload), "payload_digest": digest}
+        page |= {"payload": payload if payloads else None, "payload_bytes": len(payload), "payload_digest": digest}
         if digest != first["payload_digest"]:
             page["problem"] = "digest"
     return page
 
 
-def _whole_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield _batch([page_of([r]) for r in batch.to_pylist()], PAGE)
-
+def _joined_pages(payloads: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in batch.column("records"):
+                yield pa.RecordBatch.from_pylist([page_of(rows.as_py(), payloads)], PAGE)
 
-def _joined_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for rows in batch.column("records"):
-            yield _batch([page_of(rows.as_py())], PAGE)
+    return run
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """A row per page, with its payload; what is segmented, and only that, is shuffled."""
+def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """A row per page, with its payload if asked for; what is segmented, and only that, is shuffled."""
     files = spark.read.format("binaryFile").load(path).select("content")
-    records = files.mapInArrow(_parse_files, from_arrow_schema(RECORD))
-    whole = records.filter("origin_id IS NULL").mapInArrow(_whole_pages, from_arrow_schema(PAGE))
-    columns = [c for c in records.columns if c != "origin_id"]
+    found = files.mapInArrow(_pages_and_segments(payloads), from_arrow_schema(FOUND))
+    whole = found.filter("origin_id IS NULL").select(*PAGE.names)
     parts = (
-        records.filter("origin_id IS NOT NULL")
+        found.filter("origin_id IS NOT NULL")
         .groupBy("origin_id")
-        .agg(F.collect_list(F.struct(*columns)).alias("records"))
+        .agg(F.collect_list(F.struct(*RECORD.names)).alias("records"))
         .select("records")
     )
-    return whole.unionByName(parts.mapInArrow(_joined_pages, from_arrow_schema(PAGE)))
+    return whole.unionByName(parts.mapInArrow(_joined_pages(payloads), from_arrow_schema(PAGE)))
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages, written to archives and read back."""
     path = scratch_path(spark, "archives")
     write_archives(read(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
-    return read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return read_archives(spark, path, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 OP6_SQL = """
