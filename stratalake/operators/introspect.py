@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 
 from stratalake.functions.numbers import as_column
 
-# Most rows that may come to the driver or into one row; more is an error.
-MAX_SMALL_RESULT = 10_000
-
 
 def column_values(
     df: DataFrame,
@@ -34,8 +31,10 @@ def column_values(
     return ordered if max_records is None else ordered.limit(max_records)
 
 
-def small_rows(df: DataFrame, max_rows: int = MAX_SMALL_RESULT) -> list:
-    """Rows of a small result on the driver; a larger one raises instead of being cut."""
+def small_rows(df: DataFrame, max_rows: int | None = None) -> list:
+    """Rows on the driver; with a limit, a larger result raises instead of being cut."""
+    if max_rows is None:
+        return df.collect()
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         raise ValueError(f"result has more than {max_rows} rows")
@@ -78,19 +77,19 @@ def single_value_column(df: DataFrame, default: Column | None = None) -> Column:
     return df.limit(1).agg(F.when(empty, fallback).otherwise(first)).scalar()
 
 
-def results_as_dict(df: DataFrame, max_rows: int = MAX_SMALL_RESULT) -> dict[str, list]:
+def results_as_dict(df: DataFrame, max_rows: int | None = None) -> dict[str, list]:
     """Column name to list of values, in row order and with NULLs."""
     rows = small_rows(df, max_rows)
     return {name: [row[i] for row in rows] for i, name in enumerate(df.columns)}
 
 
-def results_as_arrays(df: DataFrame, order_by: str, max_rows: int = MAX_SMALL_RESULT) -> DataFrame:
+def results_as_arrays(df: DataFrame, order_by: str, max_rows: int | None = None) -> DataFrame:
     """One row with an array per column, ordered by a unique column, NULLs kept.
 
-    The whole result goes into one row, so its size is checked first and a larger
-    one raises.
+    The whole result goes into one row: it is for small results. With a limit, a
+    larger one raises.
     """
-    if df.limit(max_rows + 1).count() > max_rows:
+    if max_rows is not None and df.limit(max_rows + 1).count() > max_rows:
         raise ValueError(f"result has more than {max_rows} rows")
     record = F.struct(F.col(order_by).alias("_key"), F.struct(*df.columns).alias("_row"))
     packed = df.agg(F.transform(F.array_sort(F.collect_list(record)), lambda r: r["_row"]).alias("rows"))

@@ -18,8 +18,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
+from stratalake.session import scratch_path
+
 ROWS_PER_RANGE = 200_000
-MAX_RANGES = 20_000
 SAMPLED_ROWS_PER_RANGE = 100
 
 
@@ -52,8 +53,8 @@ def sort_position(column: Column, data_type: DataType, shared_bytes: int = 0) ->
 class ValueRanges:
     """Ends of value ranges, and whether single values are too frequent for a range of their own.
 
-    For a table in groups, ``hot`` holds the groups that are cut, one row each;
-    there are fewer of them than ranges. The others stay whole.
+    For a table in groups, ``hot`` is a written table of the groups that are cut,
+    one row each. The others stay whole.
     """
 
     splits: list[float]
@@ -74,9 +75,9 @@ class ValueRanges:
 
 
 def _with_mark(df: DataFrame, groups: DataFrame, mark: str) -> DataFrame:
-    """Whether a row's group is listed; the list has fewer than ``MAX_RANGES`` rows."""
+    """Whether a row's group is listed; how the list is joined is left to Spark, by its size."""
     keys = {name: f"_listed_{name}" for name in groups.columns}
-    listed = F.broadcast(groups.withColumnsRenamed(keys).withColumn(mark, F.lit(True)))
+    listed = groups.withColumnsRenamed(keys).withColumn(mark, F.lit(True))
     same = [F.col(name).eqNullSafe(F.col(key)) for name, key in keys.items()]
     joined = df.join(listed, same, "left").drop(*keys.values())
     return joined.withColumn(mark, F.col(mark).isNotNull())
@@ -84,7 +85,7 @@ def _with_mark(df: DataFrame, groups: DataFrame, mark: str) -> DataFrame:
 
 def by_rows(rows_per_range: int) -> Callable[[int], int]:
     """As many ranges as it takes to hold ``rows_per_range`` rows in each."""
-    return lambda rows: min(MAX_RANGES, math.ceil(rows / rows_per_range))
+    return lambda rows: math.ceil(rows / rows_per_range)
 
 
 def value_ranges(
@@ -119,10 +120,12 @@ def value_ranges(
         sizes = sampled.groupBy(*group_by).agg(F.count(F.lit(1)).alias("_n"))
         # Of the sample, each takes more than two ranges' share: fewer than half as many groups as ranges.
         large = sizes.filter(F.col("_n") > 2 * share * rows / ranges).drop("_n")
-        found = large.collect()
-        if not found:
+        # Written, so that whatever runs again later sees the same list.
+        path = scratch_path(df.sparkSession, "hot-groups")
+        large.write.parquet(path)
+        hot = df.sparkSession.read.schema(large.schema).parquet(path)
+        if hot.isEmpty():
             return None
-        hot = df.sparkSession.createDataFrame(found, large.schema)
         sampled = _with_mark(sampled, hot, "_hot").filter("_hot")
     steps = [i / ranges for i in range(1, ranges)]
     quantiles = sampled.agg(F.percentile_approx("_p", steps, 10 * ranges).alias("_q")).first()["_q"] or []
@@ -143,12 +146,13 @@ def with_neighbour(
 ) -> DataFrame:
     """``df`` with the value of the row before (``previous``) or after (``next``) in its group.
 
-    Rows are ordered by ``column`` and then ``then_by``, NULLs first. ``end_flag``
-    is true for the first or last row of the group, which has no such neighbour.
+    Rows are ordered by ``column``, then ``then_by``, NULLs first, and then all other
+    columns, so that ties have one order everywhere. ``end_flag`` is true for the first or last row of the group, which has no such neighbour.
     """
     groups = [F.col(g) for g in group_by] or [F.lit(0)]
     value = F.col(column)
-    order = [value, *[F.col(c) for c in then_by]]
+    others = [c for c in df.columns if c not in (column, *group_by, *then_by)]
+    order = [value, *[F.col(c) for c in (*then_by, *others)]]
     step = F.lag if side == "previous" else F.lead
     if ranges is None:
         window = Window.partitionBy(*groups).orderBy(*order)
@@ -165,7 +169,6 @@ def with_neighbour(
     inside = local.filter(~(F.col(end_flag) & F.col("_hot"))).drop("_range", "_hot")
 
     # The row at the end of a range, and the value at the other end for the range beside it.
-    others = [c for c in df.columns if c not in (column, *group_by, *then_by)]
     row = F.struct(column, *then_by, *others)
     near, far = (F.min(row), F.max(value)) if side == "previous" else (F.max(row), F.min(value))
     across = Window.partitionBy(*groups).orderBy("_range")

@@ -39,5 +39,6 @@ def color_with_highest_reven_year(orders: DataFrame, products: DataFrame) -> Dat
         .groupBy("Year", "Color")
         .agg(F.sum("_revenue").alias("Revenue"))
     )
-    by_revenue = Window.partitionBy("Year").orderBy(F.desc("Revenue"))
+    # Sums of doubles depend on their order; cents do not, so ties are ties.
+    by_revenue = Window.partitionBy("Year").orderBy(F.desc(F.round("Revenue", 2)))
     return revenue.withColumn("_rank", F.rank().over(by_revenue)).filter("_rank = 1").drop("_rank")

@@ -185,7 +185,6 @@ def chk_exclusive_ranges_global(spark: SparkSession, directory: str) -> DataFram
         "l_orderkey + l_linenumber div 7",
         gaps="not_allowed",
         zero_length_range_allowed=True,
-        rows_per_range=5_000,
     )
 
 
@@ -298,7 +297,7 @@ def chk_sequential_values(spark: SparkSession, directory: str) -> DataFrame:
 )
 def chk_sequential_values_global(spark: SparkSession, directory: str) -> DataFrame:
     lines = load_table(spark, directory, "lineitem")
-    return ordered.sequential_values(lines, "l_orderkey", rows_per_range=5_000)
+    return ordered.sequential_values(lines, "l_orderkey")
 
 
 @BOOK.add(
@@ -313,7 +312,7 @@ def chk_sequential_values_global(spark: SparkSession, directory: str) -> DataFra
 def chk_sequential_timestamps(spark: SparkSession, directory: str) -> DataFrame:
     events = load_table(spark, directory, "events")
     hourly = events.withColumn("hour", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
-    return ordered.sequential_values(hourly, "hour", 1, "hour", ["user_id"], rows_per_range=2_000)
+    return ordered.sequential_values(hourly, "hour", 1, "hour", ["user_id"])
 
 
 @BOOK.add(

@@ -162,7 +162,7 @@ def mart_avg_lead_time(spark: SparkSession, directory: str) -> DataFrame:
         ["year_color"],
         """
         SELECT Year, Color, round(Revenue, 2) AS Revenue FROM year_color
-        QUALIFY rank() OVER (PARTITION BY Year ORDER BY Revenue DESC) = 1
+        QUALIFY rank() OVER (PARTITION BY Year ORDER BY round(year_color.Revenue, 2) DESC) = 1
         """,
     ),
 )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from stratalake.operators.series import date_spine, generate_series
 from stratalake.operators.union import union_relations
 from stratalake.registry.book import QueryBook
 from stratalake.registry.sales_sql import with_tables
-from stratalake.sources.catalog import open_relations, relations_by_prefix
+from stratalake.sources.catalog import open_relations, relations_by_pattern
 from stratalake.sources.files import load_table
 from stratalake.sources.layers import publish_view
 from stratalake.sources.sales import sales_sources
@@ -566,12 +568,25 @@ def priorities_as_arrays(spark: SparkSession, directory: str) -> DataFrame:
 def union_sharded_events(spark: SparkSession, directory: str) -> DataFrame:
     """Events cut into three dated views, found again by prefix and put together."""
     events = load_table(spark, directory, "events").select("event_id", "user_id", "event_type", "value", "ts")
-    starts = ["2024-01-01", "2024-01-11", "2024-01-21"]
-    for start, end in zip(starts, [*starts[1:], None]):
-        shard = events if start == starts[0] else events.filter(F.col("ts") >= start)
-        publish_view(shard if end is None else shard.filter(F.col("ts") < end), f"event_shard_{start.replace('-', '')}")
-    names = relations_by_prefix(spark, spark.catalog.currentDatabase(), "EVENT_SHARD_2024")
-    return union_relations(open_relations(spark, names), source_column_name="shard")
+    return union_event_shards(spark, events)
+
+
+def union_event_shards(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """The views live only while they are looked up; events without a time are in the last one."""
+    own = f"{uuid.uuid4().hex}_"
+    ts = F.col("ts")
+    shards = {
+        "20240101": events.filter(ts < "2024-01-11"),
+        "20240111": events.filter((ts >= "2024-01-11") & (ts < "2024-01-21")),
+        "20240121": events.filter(ts.isNull() | (ts >= "2024-01-21")),
+    }
+    for day, shard in shards.items():
+        publish_view(shard, f"event_shard_{own}{day}")
+    names = relations_by_pattern(spark, spark.catalog.currentDatabase(), f"EVENT_SHARD_{own}2024%")
+    together = union_relations(open_relations(spark, names), source_column_name="shard")
+    for day in shards:
+        spark.catalog.dropTempView(f"event_shard_{own}{day}")
+    return together.withColumn("shard", F.replace("shard", F.lit(own), F.lit("")))
 
 
 _BARE_URL = "replace(replace(url, 'http://', ''), 'https://', '')"

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -19,9 +18,11 @@ RECOMMENDED_CONF = {
     "spark.ui.enabled": "false",
 }
 
-# Bytes of shuffled data per task: small enough to sort in memory.
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+# Bytes of shuffled data per task. Few enough tasks that the driver can hold the sizes of all
+# their blocks, which grow with the square; adaptive execution splits or merges from there.
+TARGET_PARTITION_BYTES = 1024 * 1024 * 1024
 DEFAULT_SHUFFLE_PARTITIONS = 200
+SCRATCH = "stratalake-scratch"
 
 
 def shuffle_partitions_for(data_bytes: int) -> int:
@@ -50,13 +51,14 @@ def build_session(
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A new path for an intermediate table in the folder shared by all executors.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only a local session
-    may go without it and use the machine's temporary folder.
+    The folder is the session's ``spark.checkpoint.dir``, or else one below the
+    warehouse, which executors share as well. ``remove_scratch`` takes it away.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="stratalake-")
-        spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/{SCRATCH}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Removes all tables of earlier runs; results that still read them can no longer be computed."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "x")).getParent()
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -11,7 +11,6 @@ from stratalake.operators.ordered import value_ranges
 
 ROWS_PER_FILE = 1_000_000
 FEWEST_ROWS_PER_FILE = 50_000
-MOST_FILES = 100_000
 
 
 def layer_path(root: str, layer: str | None, table: str, default_layer: str = "default") -> str:
@@ -21,8 +20,7 @@ def layer_path(root: str, layer: str | None, table: str, default_layer: str = "d
 
 def _partitions_for(rows: int, cores: int) -> int:
     """Large tables in files of some hundred megabytes, small ones on as many cores as pay off."""
-    wanted = max(math.ceil(rows / ROWS_PER_FILE), min(cores, math.ceil(rows / FEWEST_ROWS_PER_FILE)))
-    return min(MOST_FILES, wanted)
+    return max(math.ceil(rows / ROWS_PER_FILE), min(cores, math.ceil(rows / FEWEST_ROWS_PER_FILE)))
 
 
 def clustered(df: DataFrame, columns: list[str], sample_from: DataFrame | None = None) -> DataFrame:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from stratalake.checks import compare, groups, ordered
 from stratalake.operators.dedupe import deduplicate
-from stratalake.operators.ordered import by_rows, sort_position, value_ranges
+from stratalake.operators.ordered import by_rows, sort_position, value_ranges, with_neighbour
+from stratalake.registry.operator_queries import union_event_shards
 from stratalake.plans import gold, marts
 from stratalake.session import DEFAULT_SHUFFLE_PARTITIONS, shuffle_partitions_for
 from stratalake.sources import layers
@@ -306,7 +307,7 @@ def test_partitions_for_a_table():
     assert layers._partitions_for(120_000, 8) == 3
     assert layers._partitions_for(5_000_000, 8) == 8
     assert layers._partitions_for(50_000_000, 8) == 50
-    assert layers._partitions_for(10**13, 8) == layers.MOST_FILES
+    assert layers._partitions_for(10**13, 8) == 10**7
 
 
 def exactly_equal(a, b):
@@ -327,7 +328,37 @@ def test_marts_sum_up_before_the_product_join(table):
 
 def test_shuffle_partitions_follow_the_data():
     assert shuffle_partitions_for(0) == DEFAULT_SHUFFLE_PARTITIONS
-    assert shuffle_partitions_for(100 * 10**12) > 700_000
+    assert 10_000 < shuffle_partitions_for(100 * 10**12) < 100_000
+
+
+def test_ranges_keep_their_size_at_any_number_of_rows():
+    assert by_rows(200_000)(10**12) * 200_000 >= 10**12
+
+
+@pytest.mark.parametrize("side", ["previous", "next"])
+def test_ties_keep_all_rows(table, side):
+    rows = [(v, 1000 * v + n) for v in range(40) for n in reversed(range(100))]
+    df = table("v int, payload int", *rows).repartition(5)
+    linked = with_neighbour(df, "v", "beside", side, ranges=value_ranges(df, "v", by_rows(500)))
+    assert sorted(r.payload for r in linked.collect()) == sorted(p for _, p in rows)
+    assert linked.filter("_end").count() == 1
+
+
+def test_equal_revenues_tie(table):
+    orders = table(
+        "ProductID bigint, OrderDate date, TotalLineExtendedPrice double, LeadTimeInBusinessDays bigint",
+        *[(i, dt.date(2024, 1, 1), price, 2) for i, price in ((1, 0.1), (1, 0.2), (2, 0.3))],
+    )
+    products = table("ProductId bigint, Color string", (1, "red"), (2, "blue"))
+    assert {r.Color for r in marts.color_with_highest_reven_year(orders, products).collect()} == {"red", "blue"}
+
+
+def test_event_shards_keep_events_without_a_time(spark, table):
+    times = [dt.datetime(2024, 1, day) for day in (1, 11, 21)]
+    events = table("event_id int, ts timestamp_ntz", *enumerate([*times, None]))
+    found = {r.event_id: r.shard for r in union_event_shards(spark, events).collect()}
+    assert found == {0: "`event_shard_20240101`", 1: "`event_shard_20240111`", 2: "`event_shard_20240121`", 3: "`event_shard_20240121`"}
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("event_shard")]
 
 
 def test_hot_order_is_split_in_the_gold_join(spark):
