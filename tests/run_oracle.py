@@ -1,6 +1,7 @@
 """Run registered queries against DuckDB: ``python tests/run_oracle.py <data dir> [name ...]``."""
 
 import sys
+import tempfile
 import time
 import traceback
 from pathlib import Path
@@ -13,7 +14,7 @@ from tests.oracle import connect, differences  # noqa: E402
 
 
 def main(directory: str, names: list[str]) -> int:
-    spark = build_session("oracle", "local[8]", **{"spark.sql.shuffle.partitions": "8"})
+    spark = build_session("oracle", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="run-")})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(directory)
     queries, sql = contract.queries(), contract.oracle_sql()
