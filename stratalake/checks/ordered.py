@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +12,9 @@ from stratalake.functions.dates import add_part
 from stratalake.functions.numbers import as_column
 from stratalake.functions.text import slugify_name
 from stratalake.operators.counted import expand_counts
-from stratalake.operators.ordered import ROWS_PER_RANGE, ValueRanges, by_rows, value_ranges, with_neighbour
+from stratalake.operators.ordered import ROWS_PER_RANGE, hot_groups, split_groups, with_neighbour
+
+Rows = Callable[[DataFrame], DataFrame]
 
 
 def sequential_values(
@@ -22,6 +24,7 @@ def sequential_values(
     datepart: str | None = None,
     group_by: Sequence[str] = (),
     rows_per_range: int = ROWS_PER_RANGE,
+    n_ranges: int | None = None,
 ) -> DataFrame:
     """Rows whose value is not the previous one plus ``interval`` (date parts if given).
 
@@ -29,11 +32,9 @@ def sequential_values(
     """
     previous = f"previous_{slugify_name(column)}"
     present = df.filter(F.col(column).isNotNull()).select(*group_by, column)
-    ranges = value_ranges(present, column, by_rows(rows_per_range), group_by)
-    if ranges is not None and ranges.crowded:
-        linked = _previous_of_counted_values(present, column, previous, group_by, ranges)
-    else:
-        linked = with_neighbour(present, column, previous, "previous", group_by, ranges=ranges).drop("_end")
+    plain = lambda rows: with_neighbour(rows, column, previous, "previous", group_by).drop("_end")
+    counted = lambda rows: _previous_of_counted_values(rows, column, previous, group_by, n_ranges)
+    linked = _by_group_size(present, group_by, rows_per_range, plain, counted)
 
     before = F.col(previous)
     if datepart:
@@ -45,16 +46,27 @@ def sequential_values(
     return expand_counts(broken, "_n_rows") if "_n_rows" in linked.columns else broken
 
 
+def _by_group_size(df: DataFrame, group_by: Sequence[str], rows_per_range: int, plain: Rows, counted: Rows) -> DataFrame:
+    """Small groups in one window each; hot groups, or a table without groups, in ranges and with counts."""
+    if not group_by:
+        return counted(df)
+    hot = hot_groups(df, group_by, rows_per_range)
+    if hot is None:
+        return plain(df)
+    cut, whole = split_groups(df, hot)
+    return plain(whole).withColumn("_n_rows", F.lit(1).cast("bigint")).unionByName(counted(cut))
+
+
 def _previous_of_counted_values(
-    present: DataFrame, column: str, previous: str, group_by: Sequence[str], ranges: ValueRanges
+    present: DataFrame, column: str, previous: str, group_by: Sequence[str], n_ranges: int | None
 ) -> DataFrame:
-    """Values with their predecessors as counted rows, for tables where single values are very frequent.
+    """Values with their predecessors as counted rows.
 
     Equal values are counted before anything is sorted. The first copy follows
     the next lower value, every other copy follows the value itself.
     """
     values = present.groupBy(*group_by, column).agg(F.count(F.lit(1)).alias("_copies"))
-    linked = with_neighbour(values, column, "_before", "previous", group_by, ranges=ranges)
+    linked = with_neighbour(values, column, "_before", "previous", group_by, in_ranges=True, n_ranges=n_ranges)
     steps = F.array(
         F.struct(F.col("_before").alias("before"), F.lit(1).cast("bigint").alias("n")),
         F.struct(F.col(column).alias("before"), (F.col("_copies") - 1).alias("n")),
@@ -82,6 +94,7 @@ def mutually_exclusive_ranges(
     gaps: str = "allowed",
     zero_length_range_allowed: bool = False,
     rows_per_range: int = ROWS_PER_RANGE,
+    n_ranges: int | None = None,
 ) -> DataFrame:
     """Ranges that are empty or reversed, or that overlap the next one under the gap rule.
 
@@ -98,13 +111,11 @@ def mutually_exclusive_ranges(
     bounds = df.select(
         *partition, as_column(lower_bound).alias("lower_bound"), as_column(upper_bound).alias("upper_bound")
     )
-    cut = value_ranges(bounds, "lower_bound", by_rows(rows_per_range), groups)
-    if cut is not None and cut.crowded:
-        linked = _next_of_counted_bounds(bounds, groups, cut)
-    else:
-        linked = with_neighbour(
-            bounds, "lower_bound", "next_lower_bound", "next", groups, ["upper_bound"], cut, "is_last_record"
-        )
+    names = {"column": "lower_bound", "into": "next_lower_bound", "side": "next", "end_flag": "is_last_record"}
+    plain = lambda rows: with_neighbour(rows, group_by=groups, then_by=["upper_bound"], **names)
+    linked = _by_group_size(
+        bounds, groups, rows_per_range, plain, lambda rows: _next_of_counted_bounds(rows, groups, n_ranges)
+    )
 
     own_length = F.coalesce(F.expr(f"lower_bound {length_sign} upper_bound"), F.lit(False))
     to_next = F.coalesce(
@@ -117,7 +128,7 @@ def mutually_exclusive_ranges(
     return expand_counts(broken, "_n_rows") if "_n_rows" in linked.columns else broken
 
 
-def _next_of_counted_bounds(bounds: DataFrame, groups: Sequence[str], cut: ValueRanges) -> DataFrame:
+def _next_of_counted_bounds(bounds: DataFrame, groups: Sequence[str], n_ranges: int | None) -> DataFrame:
     """The same as counted rows, without sorting the rows that share a lower bound.
 
     Of the rows with one lower bound, only the one that sorts last - a copy of
@@ -128,7 +139,7 @@ def _next_of_counted_bounds(bounds: DataFrame, groups: Sequence[str], cut: Value
     lasts = bounds.groupBy(*keys).agg(F.max("upper_bound").alias("upper_bound"))
     one = F.lit(1).cast("bigint")
     final = with_neighbour(
-        lasts, "lower_bound", "next_lower_bound", "next", groups, ranges=cut, end_flag="is_last_record"
+        lasts, "lower_bound", "next_lower_bound", "next", groups, [], True, n_ranges, "is_last_record"
     ).withColumn("_n_rows", one)
     others = (
         bounds.select(*keys, "upper_bound", one.alias("n"))

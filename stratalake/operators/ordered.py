@@ -1,9 +1,10 @@
-"""Neighbours in sort order without a single-task window.
+"""Neighbours in sort order without a single-task window, and value ranges for table layouts.
 
 A window over a whole table, or over one hot group, sorts all of its rows in one
-task. Here the values are cut into ranges of bounded size. Neighbours inside a
-range come from a window per (group, range); the ends of the ranges are joined up
-by a second window that sees one row per (group, range).
+task. Here Spark's range shuffle deals the values themselves, of any type, into as
+many ranges as there are shuffle partitions. Neighbours inside a range come from a
+window per (group, range); the ends of the ranges are joined up by a second window
+that sees one row per (group, range).
 """
 
 from __future__ import annotations
@@ -51,16 +52,11 @@ def sort_position(column: Column, data_type: DataType, shared_bytes: int = 0) ->
 
 @dataclass(frozen=True)
 class ValueRanges:
-    """Ends of value ranges, and whether single values are too frequent for a range of their own.
-
-    For a table in groups, ``hot`` is a written table of the groups that are cut,
-    one row each. The others stay whole.
-    """
+    """Ends of value ranges, and whether single values are too frequent for a range of their own."""
 
     splits: list[float]
     crowded: bool
     shared_bytes: int = 0
-    hot: DataFrame | None = None
 
     def assign(self, df: DataFrame, column: str, into: str) -> DataFrame:
         """``df`` with the number of the range that each value lies in."""
@@ -69,10 +65,6 @@ class ValueRanges:
         numbered = bucketizer.transform(df.withColumn("_position", position)).drop("_position")
         return numbered.withColumn(into, F.col(into).cast("int"))
 
-    def mark_hot(self, df: DataFrame, mark: str) -> DataFrame:
-        """``df`` and whether each row's group is cut; without groups, the table as a whole is."""
-        return df.withColumn(mark, F.lit(True)) if self.hot is None else _with_mark(df, self.hot, mark)
-
 
 def _with_mark(df: DataFrame, groups: DataFrame, mark: str) -> DataFrame:
     """Whether a row's group is listed; how the list is joined is left to Spark, by its size."""
@@ -88,18 +80,12 @@ def by_rows(rows_per_range: int) -> Callable[[int], int]:
     return lambda rows: math.ceil(rows / rows_per_range)
 
 
-def value_ranges(
-    df: DataFrame, column: str, ranges_for: Callable[[int], int], group_by: Sequence[str] = ()
-) -> ValueRanges | None:
+def value_ranges(df: DataFrame, column: str, ranges_for: Callable[[int], int]) -> ValueRanges | None:
     """Ranges with about equally many rows; None if one range is enough.
 
-    ``ranges_for`` gives the number of ranges for a number of rows. With
-    ``group_by`` only groups that are clearly larger than a range are cut, and
-    there are no ranges without such a group.
-
-    The ends are quantiles of a sample, as in a range shuffle: they balance the
-    work and have no part in the result. Sample and quantiles have a fixed upper
-    size. A value that is several quantiles at once fills whole ranges alone.
+    ``ranges_for`` gives the number of ranges for a number of rows. The ends are
+    quantiles of a sample: they balance the work and have no part in the result. A
+    value that is several quantiles at once fills whole ranges alone.
 
     Counting and sampling read the column before the actual work does: store the
     result of an expensive plan first.
@@ -114,24 +100,40 @@ def value_ranges(
     share = min(1.0, ranges * SAMPLED_ROWS_PER_RANGE / rows)
     shared = len(os.path.commonprefix([(end or "").encode() for end in ends])) if is_text else 0
     position = sort_position(F.col(column), data_type, shared)
-    sampled = df.select(*group_by, position.alias("_p")).sample(share, seed=17)
-    hot = None
-    if group_by:
-        sizes = sampled.groupBy(*group_by).agg(F.count(F.lit(1)).alias("_n"))
-        # Of the sample, each takes more than two ranges' share: fewer than half as many groups as ranges.
-        large = sizes.filter(F.col("_n") > 2 * share * rows / ranges).drop("_n")
-        # Written, so that whatever runs again later sees the same list.
-        path = scratch_path(df.sparkSession, "hot-groups")
-        large.write.parquet(path)
-        hot = df.sparkSession.read.schema(large.schema).parquet(path)
-        if hot.isEmpty():
-            return None
-        sampled = _with_mark(sampled, hot, "_hot").filter("_hot")
+    sampled = df.select(position.alias("_p")).sample(share, seed=17)
     steps = [i / ranges for i in range(1, ranges)]
     quantiles = sampled.agg(F.percentile_approx("_p", steps, 10 * ranges).alias("_q")).first()["_q"] or []
     inner = sorted({q for q in quantiles if math.isfinite(q)})
     crowded = len(set(quantiles)) < len(steps)
-    return ValueRanges([-math.inf, *(inner or [0.0]), math.inf], crowded, shared, hot)
+    return ValueRanges([-math.inf, *(inner or [0.0]), math.inf], crowded, shared)
+
+
+def hot_groups(df: DataFrame, group_by: Sequence[str], rows_per_range: int = ROWS_PER_RANGE) -> DataFrame | None:
+    """A written table of the groups with clearly more than ``rows_per_range`` rows, or None.
+
+    Sizes come from a sample; a group that is missed or listed for nothing costs
+    balance only. Only the group columns are read.
+    """
+    rows = df.count()
+    share = min(1.0, SAMPLED_ROWS_PER_RANGE / rows_per_range)
+    sizes = df.select(*group_by).sample(share, seed=17).groupBy(*group_by).agg(F.count(F.lit(1)).alias("_n"))
+    if rows <= 2 * rows_per_range:
+        return None
+    large = _written(sizes.filter(F.col("_n") > 2 * share * rows_per_range).drop("_n"), "hot-groups")
+    return None if large.isEmpty() else large
+
+
+def split_groups(df: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of listed groups, and all others."""
+    marked = _with_mark(df, groups, "_hot")
+    return marked.filter("_hot").drop("_hot"), marked.filter("NOT _hot").drop("_hot")
+
+
+def _written(df: DataFrame, purpose: str) -> DataFrame:
+    """Whatever runs again later sees the same rows."""
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def with_neighbour(
@@ -141,40 +143,42 @@ def with_neighbour(
     side: str,
     group_by: Sequence[str] = (),
     then_by: Sequence[str] = (),
-    ranges: ValueRanges | None = None,
+    in_ranges: bool = False,
+    n_ranges: int | None = None,
     end_flag: str = "_end",
 ) -> DataFrame:
     """``df`` with the value of the row before (``previous``) or after (``next``) in its group.
 
     Rows are ordered by ``column``, then ``then_by``, NULLs first, and then all other
-    columns, so that ties have one order everywhere. ``end_flag`` is true for the first or last row of the group, which has no such neighbour.
+    columns, so that ties have one order everywhere. ``end_flag`` is true for the
+    first or last row of the group, which has no such neighbour.
+
+    With ``in_ranges`` no group is sorted by one task: rows are dealt by group and
+    value into ``n_ranges`` ranges, else as many as shuffle partitions. Copies of one row
+    share a range: count them before.
     """
     groups = [F.col(g) for g in group_by] or [F.lit(0)]
     value = F.col(column)
     others = [c for c in df.columns if c not in (column, *group_by, *then_by)]
     order = [value, *[F.col(c) for c in (*then_by, *others)]]
     step = F.lag if side == "previous" else F.lead
-    if ranges is None:
+    if not in_ranges:
         window = Window.partitionBy(*groups).orderBy(*order)
         return df.withColumns({into: step(value).over(window), end_flag: step(F.lit(1)).over(window).isNull()})
 
-    ranged = ranges.assign(ranges.mark_hot(df, "_hot"), column, "_range")
-    if group_by:
-        ranged = ranged.withColumn("_range", F.when(F.col("_hot"), F.col("_range")).otherwise(0))
-    else:
-        # One range per task; by hash, several could meet in one.
-        ranged = ranged.repartitionById(len(ranges.splits) - 1, F.col("_range"))
+    keys = [*[F.col(g) for g in group_by], *order]
+    dealt = df.repartitionByRange(n_ranges, *keys) if n_ranges else df.repartitionByRange(*keys)
+    ranged = _written(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
     in_order = Window.partitionBy(*[F.col(g) for g in group_by], F.col("_range")).orderBy(*order)
     local = ranged.withColumns({into: step(value).over(in_order), end_flag: step(F.lit(1)).over(in_order).isNull()})
-    inside = local.filter(~(F.col(end_flag) & F.col("_hot"))).drop("_range", "_hot")
+    inside = local.filter(~F.col(end_flag)).drop("_range")
 
     # The row at the end of a range, and the value at the other end for the range beside it.
     row = F.struct(column, *then_by, *others)
     near, far = (F.min(row), F.max(value)) if side == "previous" else (F.max(row), F.min(value))
     across = Window.partitionBy(*groups).orderBy("_range")
     ends = (
-        ranged.filter("_hot")
-        .groupBy(*group_by, "_range")
+        ranged.groupBy(*group_by, "_range")
         .agg(near.alias("_row"), far.alias("_far"))
         .withColumns({into: step("_far").over(across), end_flag: step(F.lit(1)).over(across).isNull()})
         .select(*group_by, "_row.*", into, end_flag)

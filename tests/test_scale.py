@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from stratalake.checks import compare, groups, ordered
 from stratalake.operators.dedupe import deduplicate
-from stratalake.operators.ordered import by_rows, sort_position, value_ranges, with_neighbour
+from stratalake.operators import ordered as ordered_operators
+from stratalake.operators.ordered import by_rows, hot_groups, sort_position, value_ranges, with_neighbour
 from stratalake.registry.operator_queries import union_event_shards
 from stratalake.plans import gold, marts
 from stratalake.session import DEFAULT_SHUFFLE_PARTITIONS, shuffle_partitions_for
@@ -67,9 +68,7 @@ def test_sequential_values_in_ranges(table, rows_of, make_rows, seed, grouped, r
     rows = make_rows(seed)
     df = table("g int, v int", *rows)
     group_by = ["g"] if grouped else []
-    cut = value_ranges(df.filter("v IS NOT NULL"), "v", by_rows(rows_per_range))
-    assert cut is None or cut.crowded == (make_rows is skewed_rows)
-    found = ordered.sequential_values(df, "v", group_by=group_by, rows_per_range=rows_per_range)
+    found = ordered.sequential_values(df, "v", group_by=group_by, rows_per_range=rows_per_range, n_ranges=9)
     assert rows_of(found) == sequential_by_hand(rows, grouped)
 
 
@@ -108,8 +107,6 @@ def test_exclusive_ranges_in_ranges(table, rows_of, make_rows, gaps, zero_length
         upper = None if lower is None or rng.random() < 0.05 else lower + rng.choice([0, 1, 1, 2, 5, -1])
         rows.append((group, lower, upper))
     df = table("g int, lo int, hi int", *rows)
-    cut = value_ranges(df, "lo", by_rows(rows_per_range))
-    assert cut is None or cut.crowded == (make_rows is skewed_rows)
     found = ordered.mutually_exclusive_ranges(
         df,
         "lo",
@@ -118,6 +115,7 @@ def test_exclusive_ranges_in_ranges(table, rows_of, make_rows, gaps, zero_length
         gaps=gaps,
         zero_length_range_allowed=zero_length,
         rows_per_range=rows_per_range,
+        n_ranges=7,
     )
     assert rows_of(found) == ranges_by_hand(rows, grouped, gaps, zero_length)
 
@@ -154,8 +152,8 @@ def test_ranges_of_a_table_with_one_hot_value(table):
 def test_no_window_runs_over_everything_at_once(spark):
     """With several ranges only the ends of the ranges, one row each, come together in one task."""
     df = spark.range(100_000).withColumn("g", F.col("id") % 3)
-    sequence = ordered.sequential_values(df, "id", rows_per_range=10_000)
-    ranges = ordered.mutually_exclusive_ranges(df, "id", "id + 1", rows_per_range=10_000)
+    sequence = ordered.sequential_values(df, "id", n_ranges=10)
+    ranges = ordered.mutually_exclusive_ranges(df, "id", "id + 1", n_ranges=10)
     for found in (sequence, ranges):
         plan = plan_of(found)
         below_single = plan.split("Exchange SinglePartition")[1:]
@@ -170,8 +168,7 @@ def test_only_hot_groups_are_cut(spark, table, rows_of):
     df = spark.range(30_000).select(
         F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 2000).alias("g"), F.col("id").alias("v")
     )
-    cut = value_ranges(df, "v", by_rows(1_000), ["g"])
-    assert rows_of(cut.hot) == [(None,)] and not cut.crowded
+    assert rows_of(hot_groups(df, ["g"], 1_000)) == [(None,)]
     gaps = ordered.sequential_values(df, "v", 3, group_by=["g"], rows_per_range=1_000)
     assert gaps.filter("g IS NULL").count() == 0
     in_small_groups = df.filter("g IS NOT NULL").count() - df.select("g").distinct().count() + 1
@@ -335,11 +332,34 @@ def test_ranges_keep_their_size_at_any_number_of_rows():
     assert by_rows(200_000)(10**12) * 200_000 >= 10**12
 
 
+def largest_range(monkeypatch, df, check):
+    """Rows of the largest range that the check writes."""
+    sizes, write = [], ordered_operators._written
+
+    def watched(df, purpose):
+        table = write(df, purpose)
+        if purpose == "ranges":
+            sizes.append(table.groupBy("_range").count().agg(F.max("count")).first()[0])
+        return table
+
+    monkeypatch.setattr(ordered_operators, "_written", watched)
+    check(df)
+    return max(sizes)
+
+
+def test_ranges_of_texts_and_bytes_are_balanced(spark, monkeypatch):
+    urls = spark.range(20_000).select(F.format_string("https://example.com/%08d", "id").alias("v"))
+    urls = urls.union(spark.sql("SELECT 'ftp://a'"))
+    for df in (urls, urls.select(F.col("v").cast("binary").alias("v"))):
+        check = lambda df: ordered.mutually_exclusive_ranges(df, "v", "v", n_ranges=10)
+        assert largest_range(monkeypatch, df, check) <= 4_000
+
+
 @pytest.mark.parametrize("side", ["previous", "next"])
 def test_ties_keep_all_rows(table, side):
     rows = [(v, 1000 * v + n) for v in range(40) for n in reversed(range(100))]
     df = table("v int, payload int", *rows).repartition(5)
-    linked = with_neighbour(df, "v", "beside", side, ranges=value_ranges(df, "v", by_rows(500)))
+    linked = with_neighbour(df, "v", "beside", side, in_ranges=True, n_ranges=8)
     assert sorted(r.payload for r in linked.collect()) == sorted(p for _, p in rows)
     assert linked.filter("_end").count() == 1
 
