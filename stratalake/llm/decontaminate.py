@@ -135,9 +135,9 @@ def _leaks_of_block(texts: DataFrame, items: DataFrame, masks: list[str]) -> Dat
     return leaks.select(
         "_key",
         "item_id",
-        F.col("first_word").cast("long"),
-        F.col("_j.n_words").cast("long"),
-        F.col("_j.n_equal").cast("long"),
+        F.col("first_word").cast("long").alias("first_word"),
+        F.col("_j.n_words").cast("long").alias("n_words"),
+        F.col("_j.n_equal").cast("long").alias("n_equal"),
         (F.col("_j.n_equal") / F.col("_n_item")).alias("similarity"),
     )
 
