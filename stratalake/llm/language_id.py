@@ -2,8 +2,10 @@
 
 Texts are lower-cased, and whatever is not a letter becomes one space; an n-gram is
 three characters of that. A language contains an n-gram if it uses it at least
-``LEAST_SHARE`` times as often as the language that uses it most. All languages
-share one table: each slot has a bit per language, an n-gram sets its languages'
+``LEAST_SHARE`` times as often as the language that uses it most, and for
+``LEAST_RATE`` of its n-grams; so a language contains at most one by that rate, and
+the misspellings of a large corpus do not fill the table. All languages share one
+table: each slot has a bit per language, an n-gram sets its languages'
 bits in ``HASHES`` slots, and the bits that all its slots have are the languages
 that contain it. A text's n-grams are counted per language, less those that are
 expected by chance from how full the language's bits are, and the highest count
@@ -33,6 +35,7 @@ UNKNOWN = "und"
 SLOT_BITS = 20
 HASHES = 2
 LEAST_SHARE = 0.5
+LEAST_RATE = 1e-6
 # Odd multipliers of the slots' hash functions.
 MULTIPLIERS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F]
 LANGUAGES_PER_WORD = 63
@@ -165,7 +168,8 @@ def learn(docs: DataFrame) -> Filters:
         rate = F.col("n") / by_name([float(totals[x]) for x in languages])[F.col("lang")]
         number = by_name(range(len(languages)))[F.col("lang")]
         most = F.max("rate").over(Window.partitionBy("gram"))
-        contained = counts.select("gram", rate.alias("rate"), number.alias("number")).withColumn("most", most)
+        frequent = counts.select("gram", rate.alias("rate"), number.alias("number")).filter(F.col("rate") >= LEAST_RATE)
+        contained = frequent.withColumn("most", most)
         contained = contained.filter(F.col("rate") >= LEAST_SHARE * F.col("most")).select(
             "gram",
             F.expr(f"number div {LANGUAGES_PER_WORD}").alias("word"),

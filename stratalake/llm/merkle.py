@@ -1,12 +1,13 @@
-"""Document fingerprints: Merkle trees over paragraphs and sections.
+"""Document fingerprints: Merkle trees over clauses, paragraphs and sections.
 
-The leaves are the hashes of a text's paragraphs (lines). A section ends where a
-paragraph's hash ends in ``0``, one in sixteen: borders move with the text, so an
-insertion changes its own section only. A section's hash covers its paragraphs'
-hashes, the root covers the sections'. Equal roots mean equal texts. Where roots
-differ, sections that only one tree has hold the paragraphs that differ
-(``changed_paragraphs``), and likeness compares their clauses: twice the
-characters of shared clauses by those of both sides' clauses, each clause once.
+The leaves are the hashes of a text's clauses, with their lengths: a clause ends
+where a mark is followed by space. A paragraph's (line's) hash covers its clauses'.
+A section ends where a paragraph's hash ends in ``0``, one in sixteen: borders move
+with the text, so an insertion changes its own section only. A section's hash covers
+its paragraphs' hashes, the root covers the sections'. Equal roots mean equal texts.
+Where roots differ, sections that only one tree has hold the paragraphs that differ
+(``changed_paragraphs``), and likeness compares the leaves: twice the characters of
+shared ones by those of both trees, each leaf once. Nothing but the trees is needed.
 
 The next document is found by joins on ids only: ids are ordered in ranges, as many
 as shuffle partitions, written, and linked within ranges and from range to range. Texts
@@ -21,25 +22,34 @@ from pyspark.sql import functions as F
 
 from stratalake.llm.common import read, written
 
-CLAUSE_END = r"(?<=[^\p{L}\p{N} \t\r\n])[ \t\r\n]+|\n"
+CLAUSE_BORDER = r"(?<=[^\p{L}\p{N} \t\r\n])(?=[ \t\r])"
 
 
-def paragraphs(text: Column) -> Column:
-    return F.split(text, "\n")
+def _leaf(clause: Column) -> Column:
+    return F.concat_ws(":", F.sha2(clause, 256), F.length(clause).cast("string"))
 
 
-def sections(text: Column) -> Column:
+def leaves(text: Column) -> Column:
+    """The leaves of each paragraph."""
+    return F.transform(F.split(text, "\n"), lambda p: F.transform(F.split(p, CLAUSE_BORDER), _leaf))
+
+
+def paragraphs(text_leaves: Column) -> Column:
+    """The hash of each paragraph."""
+    return F.transform(text_leaves, lambda found: F.sha2(F.array_join(found, " "), 256))
+
+
+def sections(hashes: Column) -> Column:
     """Each section as the hashes of its paragraphs."""
-    hashes = F.array_join(F.transform(paragraphs(text), lambda p: F.sha2(p, 256)), " ")
-    return F.split(F.replace(hashes, F.lit("0 "), F.lit("0|")), r"\|")
+    return F.split(F.replace(F.array_join(hashes, " "), F.lit("0 "), F.lit("0|")), r"\|")
 
 
 def root(section_hashes: Column) -> Column:
     return F.sha2(F.array_join(F.transform(section_hashes, lambda s: F.sha2(s, 256)), " "), 256)
 
 
-def fingerprint(text: Column) -> Column:
-    return root(sections(text))
+def fingerprint(text_leaves: Column) -> Column:
+    return root(sections(paragraphs(text_leaves)))
 
 
 def _hashes_of(some_sections: Column) -> Column:
@@ -48,31 +58,33 @@ def _hashes_of(some_sections: Column) -> Column:
 
 def changed_paragraphs(text: Column, other: Column) -> Column:
     """Numbers of the paragraphs of ``text``, from 0, that lie in no section or paragraph of ``other``."""
-    mine, theirs = sections(text), sections(other)
+    own = paragraphs(leaves(text))
+    mine, theirs = sections(own), sections(paragraphs(leaves(other)))
     left = F.array_except(_hashes_of(F.array_except(mine, theirs)), _hashes_of(theirs))
-    numbers = F.transform(paragraphs(text), lambda p, i: F.when(F.array_contains(left, F.sha2(p, 256)), i))
+    numbers = F.transform(own, lambda h, i: F.when(F.array_contains(left, h), i))
     return F.filter(numbers, lambda i: i.isNotNull())
 
 
-def _characters(parts: Column) -> Column:
-    return F.aggregate(parts, F.lit(0).cast("long"), lambda n, part: n + F.length(part))
+def _characters(some_leaves: Column) -> Column:
+    # A leaf's length stands behind 64 hexadecimal digits and a colon.
+    lengths = F.transform(some_leaves, lambda found: F.substring(found, 66, 20).cast("long"))
+    return F.aggregate(lengths, F.lit(0).cast("long"), lambda n, length: n + length)
 
 
 def with_trees(df: DataFrame, texts: dict[str, str]) -> DataFrame:
-    """Root and distinct clauses of several text columns, by prefix; the texts' columns stay."""
-    for prefix, column in texts.items():
-        df = df.withColumns(
-            {
-                f"{prefix}_root": fingerprint(F.col(column)),
-                f"{prefix}_clauses": F.array_distinct(F.split(F.col(column), CLAUSE_END)),
-            }
-        )
-    return df
+    """Root and distinct leaves of several text columns, by prefix; the texts' columns stay."""
+    others = df.columns
+    df = df.withColumns({f"_{prefix}": leaves(F.col(column)) for prefix, column in texts.items()})
+    made = []
+    for prefix in texts:
+        made.append(fingerprint(F.col(f"_{prefix}")).alias(f"{prefix}_root"))
+        made.append(F.array_distinct(F.flatten(f"_{prefix}")).alias(f"{prefix}_leaves"))
+    return df.select(*[F.col(f"`{c}`") for c in others], *made)
 
 
 def likeness(left: str, right: str) -> Column:
-    """1 for equal roots, else the share of common clauses by their characters."""
-    mine, theirs = F.col(f"{left}_clauses"), F.col(f"{right}_clauses")
+    """1 for equal roots, else the share of common leaves by their characters."""
+    mine, theirs = F.col(f"{left}_leaves"), F.col(f"{right}_leaves")
     both = _characters(mine) + _characters(theirs)
     shared = _characters(F.array_intersect(mine, theirs))
     by_parts = F.when(both > 0, 2.0 * shared / both).otherwise(0.0)
@@ -130,19 +142,23 @@ def op5_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
-    def tree(column: str, prefix: str) -> str:
-        hashes = f"array_to_string(list_transform(string_split({column}, chr(10)), lambda p: sha256(p)), ' ')"
+    def found(column: str) -> str:
+        cut = "regexp_replace(p, '([^\\pL\\pN \\t\\r\\n])([ \\t\\r])', '\\1' || chr(1) || '\\2', 'g')"
+        leaf = "sha256(c) || ':' || length(c)"
+        return f"list_transform(string_split({column}, chr(10)), lambda p: list_transform(string_split({cut}, chr(1)), lambda c: {leaf}))"
+
+    def tree(prefix: str) -> str:
+        hashes = f"array_to_string(list_transform({prefix}, lambda p: sha256(array_to_string(p, ' '))), ' ')"
         parts = f"string_split(replace({hashes}, '0 ', '0|'), '|')"
         return (
             f"sha256(array_to_string(list_transform({parts}, lambda s: sha256(s)), ' ')) AS {prefix}_root, "
-            f"list_distinct(string_split(regexp_replace({column}, '([^\\pL\\pN \\t\\r\\n])[ \\t\\r\\n]+|\\n', "
-            f"'\\1' || chr(1), 'g'), chr(1))) AS {prefix}_clauses"
+            f"list_distinct(flatten({prefix})) AS {prefix}_leaves"
         )
 
     def near(a: str, b: str) -> str:
-        size = lambda x: f"coalesce(list_sum(list_transform({x}, lambda c: length(c))), 0)"
-        both = f"({size(f'{a}_clauses')} + {size(f'{b}_clauses')})"
-        shared = size(f"list_intersect({a}_clauses, {b}_clauses)")
+        size = lambda x: f"coalesce(list_sum(list_transform({x}, lambda c: substr(c, 66)::BIGINT)), 0)"
+        both = f"({size(f'{a}_leaves')} + {size(f'{b}_leaves')})"
+        shared = size(f"list_intersect({a}_leaves, {b}_leaves)")
         return f"""CASE WHEN {a}_root = {b}_root THEN 1.0::DOUBLE WHEN {both} > 0
                    THEN 2.0::DOUBLE * {shared}::DOUBLE / {both}::DOUBLE ELSE 0.0::DOUBLE END"""
 
@@ -153,11 +169,13 @@ def _sql() -> str:
         FROM base
     ), cut AS (
         SELECT *, left(text, length(text) - length(text) // 4) || left(next_text, length(text) // 4) AS edited FROM linked
+    ), hashed AS (
+        SELECT doc_id, text, edited, {found("text")} AS own, {found("edited")} AS changed, {found("next_text")} AS next FROM cut
     ), trees AS (
-        SELECT *, {tree("text", "own")}, {tree("edited", "edited")}, {tree("next_text", "next")} FROM cut
+        SELECT *, {tree("own")}, {tree("changed")}, {tree("next")} FROM hashed
     )
     SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256, own_root AS fingerprint,
-           edited_root AS edited_fingerprint, {near("own", "edited")} AS near_edited, {near("own", "next")} AS near_next
+           changed_root AS edited_fingerprint, {near("own", "changed")} AS near_edited, {near("own", "next")} AS near_next
     FROM trees
     """
 

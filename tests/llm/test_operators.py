@@ -148,6 +148,19 @@ def test_language_of_odd_rows(spark, docs, no_docs, in_folder):
     assert nothing.languages == [] and language_id.identify(docs, nothing).filter("lang_pred <> 'und'").count() == 0
 
 
+def test_rare_grams_do_not_fill_the_filters(spark):
+    rows = [(f"the cat and the dog {'the ' * 200}", "en")] * 20 + [("qxz", "en")]
+    letters = language_id.letter_table()
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(language_id, "LEAST_RATE", 1e-3)
+        few = language_id.learn(docs)
+    every = language_id.learn(docs)
+    assert few.judge(["qxz"], letters) == (["en"], [0.0]) and every.judge(["qxz"], letters)[1][0] > 0.9
+    assert few.judge(["the cat"], letters) == every.judge(["the cat"], letters)
+    assert (few.false_rate < every.false_rate).all()
+
+
 def test_gram_counts_do_not_depend_on_the_pieces(monkeypatch):
     letters = language_id.letter_table()
     texts = ["Über  uns, 1 2 3 und mehr!", "", "a", LONG[:3000]]
@@ -235,16 +248,19 @@ def test_trees_of_odd_rows(spark, docs, no_docs, in_folder):
 
 
 def test_tree_locates_edits(spark):
-    lines = [f"line {n} of the text" for n in range(200)]
+    lines = [f"line {n} of the text. It goes  on, {n} times!" for n in range(200)]
     other = lines[:50] + ["a new line"] + lines[50:120] + ["changed"] + lines[121:]
     df = spark.createDataFrame([("\n".join(lines), "\n".join(other))], "a string, b string")
     row = df.select(
         merkle.changed_paragraphs(F.col("a"), F.col("b")).alias("left"),
         merkle.changed_paragraphs(F.col("b"), F.col("a")).alias("right"),
-        merkle.fingerprint(F.col("a")).alias("f"),
+        merkle.fingerprint(merkle.leaves(F.col("a"))).alias("f"),
     ).first()
     assert (row.left, row.right) == ([120], [50, 121])
-    hashes = [hashlib.sha256(p.encode()).hexdigest() for p in lines]
+    clauses = [re.split(r"(?<=[.,!]) ", p) for p in lines]
+    clauses = [[c if i == 0 else f" {c}" for i, c in enumerate(parts)] for parts in clauses]
+    leaves = [[f"{hashlib.sha256(c.encode()).hexdigest()}:{len(c)}" for c in parts] for parts in clauses]
+    hashes = [hashlib.sha256(" ".join(found).encode()).hexdigest() for found in leaves]
     parts, part = [], []
     for h in hashes:
         part.append(h)
