@@ -1,13 +1,13 @@
-"""Document fingerprints: Merkle trees over clauses, paragraphs and sections.
+"""Document fingerprints: Merkle trees over phrases, paragraphs and sections.
 
-The leaves are the hashes of a text's clauses, with their lengths: a clause ends
-where a mark is followed by space. A paragraph's (line's) hash covers its clauses'.
+The leaves are the hashes of a text's phrases, with their lengths: a phrase has four
+words, or fewer where a mark ends one. A paragraph's (line's) hash covers its phrases'.
 A section ends where a paragraph's hash ends in ``0``, one in sixteen: borders move
 with the text, so an insertion changes its own section only. A section's hash covers
 its paragraphs' hashes, the root covers the sections'. Equal roots mean equal texts.
 Where roots differ, sections that only one tree has hold the paragraphs that differ
 (``changed_paragraphs``), and likeness compares the leaves: twice the characters of
-shared ones by those of both trees, each leaf once. Nothing but the trees is needed.
+shared ones by those of both trees, repeats included. Nothing but the trees is needed.
 
 The next document is found by joins on ids only: ids are ordered in ranges, as many
 as shuffle partitions, written, and linked within ranges and from range to range. Texts
@@ -22,16 +22,21 @@ from pyspark.sql import functions as F
 
 from stratalake.llm.common import read, written
 
-CLAUSE_BORDER = r"(?<=[^\p{L}\p{N} \t\r\n])(?=[ \t\r])"
+# Space, up to three words that end in a letter or digit, with the space behind them, and any word.
+PHRASE = r"[ \t\r]*+(?:[^ \t\r]*+(?<=[\p{L}\p{N}])[ \t\r]++){0,3}+[^ \t\r]*+"
 
 
-def _leaf(clause: Column) -> Column:
-    return F.concat_ws(":", F.sha2(clause, 256), F.length(clause).cast("string"))
+def _leaf(phrase: Column) -> Column:
+    return F.concat_ws(":", F.sha2(phrase, 256), F.length(phrase).cast("string"))
+
+
+def _phrases(paragraph: Column) -> Column:
+    return F.filter(F.regexp_extract_all(paragraph, F.lit(PHRASE), F.lit(0)), lambda phrase: phrase != "")
 
 
 def leaves(text: Column) -> Column:
     """The leaves of each paragraph."""
-    return F.transform(F.split(text, "\n"), lambda p: F.transform(F.split(p, CLAUSE_BORDER), _leaf))
+    return F.transform(F.split(text, "\n"), lambda p: F.transform(_phrases(p), _leaf))
 
 
 def paragraphs(text_leaves: Column) -> Column:
@@ -65,20 +70,47 @@ def changed_paragraphs(text: Column, other: Column) -> Column:
     return F.filter(numbers, lambda i: i.isNotNull())
 
 
+def told_apart(some_leaves: Column) -> Column:
+    """Sorted leaves, equal ones numbered, so that sets of them count repeats.
+
+    Lists of one make lambda variables of what would else be worked out for each element.
+    """
+
+    def of_runs(run: Column) -> Column:
+        n = F.size(run["starts"])
+        ends = F.slice(F.concat(F.slice(run["starts"], F.lit(2), n), F.array(F.size(run["sorted"]))), F.lit(1), n)
+        return F.flatten(
+            F.zip_with(
+                run["starts"],
+                ends,
+                lambda start, end: F.transform(
+                    F.slice(run["sorted"], start + 1, end - start), lambda leaf, nth: F.concat_ws("#", leaf, nth.cast("string"))
+                ),
+            )
+        )
+
+    def of_sorted(found: Column) -> Column:
+        places = F.transform(found, lambda leaf, i: F.when((i == 0) | (leaf != F.get(found, F.greatest(i - 1, F.lit(0)))), i))
+        return F.struct(found.alias("sorted"), F.filter(places, lambda i: i.isNotNull()).alias("starts"))
+
+    runs = F.transform(F.array(F.sort_array(some_leaves)), of_sorted)
+    return F.get(F.transform(runs, of_runs), F.lit(0))
+
+
 def _characters(some_leaves: Column) -> Column:
     # A leaf's length stands behind 64 hexadecimal digits and a colon.
-    lengths = F.transform(some_leaves, lambda found: F.substring(found, 66, 20).cast("long"))
+    lengths = F.transform(some_leaves, lambda leaf: F.substring_index(F.substring(leaf, 66, 40), "#", 1).cast("long"))
     return F.aggregate(lengths, F.lit(0).cast("long"), lambda n, length: n + length)
 
 
 def with_trees(df: DataFrame, texts: dict[str, str]) -> DataFrame:
-    """Root and distinct leaves of several text columns, by prefix; the texts' columns stay."""
+    """Root and numbered leaves of several text columns, by prefix; the texts' columns stay."""
     others = df.columns
     df = df.withColumns({f"_{prefix}": leaves(F.col(column)) for prefix, column in texts.items()})
     made = []
     for prefix in texts:
         made.append(fingerprint(F.col(f"_{prefix}")).alias(f"{prefix}_root"))
-        made.append(F.array_distinct(F.flatten(f"_{prefix}")).alias(f"{prefix}_leaves"))
+        made.append(told_apart(F.flatten(f"_{prefix}")).alias(f"{prefix}_leaves"))
     return df.select(*[F.col(f"`{c}`") for c in others], *made)
 
 
@@ -143,20 +175,22 @@ def op5_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sql() -> str:
     def found(column: str) -> str:
-        cut = "regexp_replace(p, '([^\\pL\\pN \\t\\r\\n])([ \\t\\r])', '\\1' || chr(1) || '\\2', 'g')"
-        leaf = "sha256(c) || ':' || length(c)"
-        return f"list_transform(string_split({column}, chr(10)), lambda p: list_transform(string_split({cut}, chr(1)), lambda c: {leaf}))"
+        phrase = "[ \\t\\r]*(?:[^ \\t\\r]*[\\pL\\pN][ \\t\\r]+){0,3}[^ \\t\\r]*"
+        phrases = f"list_filter(regexp_extract_all(p, '{phrase}'), lambda c: c <> '')"
+        leaves = f"list_transform({phrases}, lambda c: sha256(c) || ':' || length(c))"
+        return f"list_transform(string_split({column}, chr(10)), lambda p: {leaves})"
 
     def tree(prefix: str) -> str:
         hashes = f"array_to_string(list_transform({prefix}, lambda p: sha256(array_to_string(p, ' '))), ' ')"
         parts = f"string_split(replace({hashes}, '0 ', '0|'), '|')"
         return (
             f"sha256(array_to_string(list_transform({parts}, lambda s: sha256(s)), ' ')) AS {prefix}_root, "
-            f"list_distinct(flatten({prefix})) AS {prefix}_leaves"
+            f"list_transform(list_sort(flatten({prefix})), lambda c, i: c || '#' || "
+            f"(i - list_position(list_sort(flatten({prefix})), c))) AS {prefix}_leaves"
         )
 
     def near(a: str, b: str) -> str:
-        size = lambda x: f"coalesce(list_sum(list_transform({x}, lambda c: substr(c, 66)::BIGINT)), 0)"
+        size = lambda x: f"coalesce(list_sum(list_transform({x}, lambda c: split_part(substr(c, 66), '#', 1)::BIGINT)), 0)"
         both = f"({size(f'{a}_leaves')} + {size(f'{b}_leaves')})"
         shared = size(f"list_intersect({a}_leaves, {b}_leaves)")
         return f"""CASE WHEN {a}_root = {b}_root THEN 1.0::DOUBLE WHEN {both} > 0

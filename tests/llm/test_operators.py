@@ -257,9 +257,8 @@ def test_tree_locates_edits(spark):
         merkle.fingerprint(merkle.leaves(F.col("a"))).alias("f"),
     ).first()
     assert (row.left, row.right) == ([120], [50, 121])
-    clauses = [re.split(r"(?<=[.,!]) ", p) for p in lines]
-    clauses = [[c if i == 0 else f" {c}" for i, c in enumerate(parts)] for parts in clauses]
-    leaves = [[f"{hashlib.sha256(c.encode()).hexdigest()}:{len(c)}" for c in parts] for parts in clauses]
+    phrases = [[f"line {n} of the", " text.", " It goes  on,", f" {n} times!"] for n in range(200)]
+    leaves = [[f"{hashlib.sha256(c.encode()).hexdigest()}:{len(c)}" for c in parts] for parts in phrases]
     hashes = [hashlib.sha256(" ".join(found).encode()).hexdigest() for found in leaves]
     parts, part = [], []
     for h in hashes:
@@ -271,6 +270,21 @@ def test_tree_locates_edits(spark):
     assert row.f == hashlib.sha256(roots.encode()).hexdigest()
 
 
+def test_likeness_counts_repeats(spark):
+    rows = [("a b c d " * 30, "a b c d " * 10), ("one.\ntwo. three", "two. three\none."), ("", ""), ("", "x"), ("u v w x y", "u v w x z")]
+    df = merkle.with_trees(spark.createDataFrame(rows, "a string, b string"), {"l": "a", "r": "b"})
+    found = [r.n for r in df.select(merkle.likeness("l", "r").alias("n")).collect()]
+
+    def plain(a, b):
+        if a == b:
+            return 1.0
+        mine, theirs = (Counter(c for p in t.split("\n") for c in re.findall(r"[ ]*(?:[^ ]*\w[ ]+){0,3}[^ ]*", p) if c) for t in (a, b))
+        n = lambda c: sum(len(x) * k for x, k in c.items())
+        return 2 * n(mine & theirs) / (n(mine) + n(theirs))
+
+    assert found == pytest.approx([plain(*r) for r in rows])
+
+
 # Archives
 
 
