@@ -40,7 +40,7 @@ def date_spine(
     bounds = spark.range(1).select(boundaries_between(datepart, start_at, end_at), at_midnight)
     periods, whole_days = bounds.first()
     name = f"date_{datepart.lower()}"
-    moment = add_part(datepart, (F.col("generated_number") - 1).cast("int"), start_at)
+    moment = add_part(datepart, F.col("generated_number") - 1, start_at)
     spine = generate_series(spark, periods).select(moment.alias(name)).filter(F.col(name) <= end_at)
     if whole_days and datepart.lower() in CALENDAR_PARTS:
         return spine.select(F.col(name).cast("date").alias(name))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from stratalake.checks.runner import Check, expression_is_true, not_null, relationships, run_checks, unique
 from stratalake.plans import bronze, gold, marts, silver
-from stratalake.sources.layers import layer_path, materialize, publish_view
+from stratalake.sources.layers import layer_path, materialize, publish_view, read_layer
 
 # The columns each table is laid out by.
 CLUSTER_COLUMNS = {
@@ -26,6 +26,7 @@ CLUSTER_COLUMNS = {
     "publish_products": ["ProductId", "ProductCategoryName", "ProductSubCategoryName"],
 }
 
+LAYERS = ("bronze", "silver", "gold")
 LINE_TOTAL = "TotalLineExtendedPrice = OrderQty * (UnitPrice - UnitPriceDiscount)"
 
 
@@ -97,6 +98,7 @@ def run_layers(
     sources: Mapping[str, DataFrame],
     root: str,
     checks_of: Callable[[Mapping[str, DataFrame]], dict[str, list[Check]]] = table_checks,
+    layers: Sequence[str] = LAYERS,
 ) -> LayeredRun:
     """Write bronze, silver and gold below ``root`` and publish the marts as views.
 
@@ -104,11 +106,22 @@ def run_layers(
     back further than one layer. A layer's checks run once its tables are
     written; their report is kept below ``<root>/checks``, one row per layer,
     table and check, and a failed check of severity error ends the run.
+
+    With fewer ``layers`` only those are built: what they start from is read from
+    the files of an earlier run, and the marts are published if gold is among them.
     """
+    if not layers or not set(layers) <= set(LAYERS):
+        raise ValueError(f"layers must be some of {LAYERS}, got {tuple(layers)}")
+    last = max(map(LAYERS.index, layers))
     tables: dict[str, DataFrame] = {}
     reports: list[DataFrame] = []
 
     def build(layer: str, plans: Mapping[str, DataFrame], samples: Mapping[str, DataFrame] | None = None) -> None:
+        if layer not in layers:
+            spark = next(iter(plans.values())).sparkSession
+            tables.update({name: read_layer(spark, root, layer, name) for name in plans})
+            return
+
         def store(name: str) -> DataFrame:
             sample = (samples or {}).get(name)
             return materialize(plans[name], layer_path(root, layer, name), CLUSTER_COLUMNS[name], sample)
@@ -141,27 +154,29 @@ def run_layers(
         },
         samples={"raw_products": sources["src_products"]},
     )
-    build(
-        "silver",
-        {
-            "store_products": silver.store_products(tables["raw_products"]),
-            "store_sales_order_header": silver.store_sales_order_header(tables["raw_sales_order_header"]),
-            "store_sales_order_detail": silver.store_sales_order_detail(tables["raw_sales_order_detail"]),
-        },
-    )
-    build(
-        "gold",
-        {
-            "publish_orders": gold.publish_orders(
-                tables["store_sales_order_header"], tables["store_sales_order_detail"]
-            ),
-            "publish_products": gold.publish_products(tables["store_products"]),
-        },
-        # The order lines have the order ids of the join, without the join.
-        samples={"publish_orders": tables["store_sales_order_detail"]},
-    )
-    for mart in (marts.avg_lead_time_prod_category, marts.color_with_highest_reven_year):
-        tables[mart.__name__] = publish_view(
-            mart(tables["publish_orders"], tables["publish_products"]), mart.__name__
+    if last > 0:
+        build(
+            "silver",
+            {
+                "store_products": silver.store_products(tables["raw_products"]),
+                "store_sales_order_header": silver.store_sales_order_header(tables["raw_sales_order_header"]),
+                "store_sales_order_detail": silver.store_sales_order_detail(tables["raw_sales_order_detail"]),
+            },
+        )
+    if last > 1:
+        build(
+            "gold",
+            {
+                "publish_orders": gold.publish_orders(
+                    tables["store_sales_order_header"], tables["store_sales_order_detail"]
+                ),
+                "publish_products": gold.publish_products(tables["store_products"]),
+            },
+            # The order lines have the order ids of the join, without the join.
+            samples={"publish_orders": tables["store_sales_order_detail"]},
         )
+        for mart in (marts.avg_lead_time_prod_category, marts.color_with_highest_reven_year):
+            tables[mart.__name__] = publish_view(
+                mart(tables["publish_orders"], tables["publish_products"]), mart.__name__
+            )
     return LayeredRun(tables, reduce(DataFrame.unionAll, reports) if reports else None)

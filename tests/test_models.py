@@ -273,6 +273,21 @@ def test_run_again_replaces_the_tables(spark, sources):
     assert run_layers(sources, root).tables["publish_orders"].count() == 3
 
 
+def test_run_of_chosen_layers(spark, sources):
+    root = scratch_path(spark, "run")
+    first = run_layers(sources, root, layers=["bronze", "silver"])
+    assert "publish_orders" not in first.tables
+    with pytest.raises(PySparkException):
+        read_layer(spark, root, "gold", "publish_orders")
+    silver_files = sorted(read_layer(spark, root, "silver", "store_products").inputFiles())
+    again = run_layers(sources, root, layers=["gold"])
+    assert {r.layer for r in again.report.select("layer").distinct().collect()} == {"gold"}
+    assert again.tables["publish_orders"].count() == 3
+    assert sorted(read_layer(spark, root, "silver", "store_products").inputFiles()) == silver_files
+    with pytest.raises(ValueError):
+        run_layers(sources, root, layers=["marts"])
+
+
 def test_run_without_checks(spark, sources):
     run = run_layers(sources, scratch_path(spark, "run"), lambda tables: {})
     assert run.report is None and run.tables["publish_products"].count() == 2

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from stratalake.functions.dates import add_part
 from stratalake.operators import introspect
 from stratalake.operators.counted import expand_counts
 from stratalake.operators.dedupe import deduplicate
@@ -231,6 +232,13 @@ def test_date_spine_parts(spark):
         date_spine(spark, "day", dt.date(2024, 1, 2), dt.date(2024, 1, 2))
 
 
+def test_spine_longer_than_an_int(spark):
+    spine = date_spine(spark, "second", "timestamp_ntz'1900-01-01 00:00:00'", "timestamp_ntz'1970-01-01 00:00:00'")
+    assert " as int)" not in spine._jdf.queryExecution().optimizedPlan().toString()
+    moment = add_part("second", F.lit(3_000_000_000), F.lit("1900-01-01").cast("timestamp_ntz"))
+    assert spark.range(1).select(moment).first()[0] == dt.datetime(1995, 1, 25, 5, 20)
+
+
 # --- introspection
 
 
