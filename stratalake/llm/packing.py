@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import math
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
@@ -35,6 +36,8 @@ from stratalake.llm.common import in_slices, read, written
 CAPACITY = 1024
 END_ID = 2
 SPECIAL = "<|endoftext|>"
+# The faster library's pattern overflows its stack on some 1,000,000 whitespace characters in a row.
+LONGEST_GAP = 100_000
 PIECE = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -98,7 +101,7 @@ def best_fit(counts: Mapping[int, int], capacity: int = CAPACITY) -> list[Slots]
 
 
 def _encoders(tokenizer: str):
-    """The tokenizer, and a faster library with the same vocabulary for texts without special strings."""
+    """The tokenizer, and a faster library with the same vocabulary for texts without special strings and long gaps."""
     import public_tokenizers
     import tiktoken
     from tokenizers import Tokenizer
@@ -110,11 +113,17 @@ def _encoders(tokenizer: str):
     return Tokenizer.from_file(tokenizer), fast
 
 
+def _long_gap(text: str) -> bool:
+    """Whether more than ``LONGEST_GAP`` whitespace characters are in a row; reads the text once."""
+    return len(text) > LONGEST_GAP and any(m.end() - m.start() > LONGEST_GAP for m in re.finditer(r"\s+", text))
+
+
 def token_ids(text: str | None, encoders: tuple) -> np.ndarray:
     """Ids as tokenizers gives them without special tokens, and the end token."""
     exact, fast = encoders
     text = text or ""
-    ids = exact.encode(text, add_special_tokens=False).ids if SPECIAL in text else fast.encode_ordinary(text)
+    slow = SPECIAL in text or _long_gap(text)
+    ids = exact.encode(text, add_special_tokens=False).ids if slow else fast.encode_ordinary(text)
     return np.array([*ids, END_ID], dtype="<u4")
 
 

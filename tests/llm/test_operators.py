@@ -431,6 +431,21 @@ def test_faster_library_has_the_same_ids(spark):
         assert packing.token_ids(text, encoders)[:-1].tolist() == encoders[0].encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("gap", [" " * 2_000_000, "\n" * 1_000_829, "\n " * 2_000_000, " " * 100_000, "\u3000" * 1_000_829])
+def test_long_gaps_have_the_ids_of_the_tokenizer(gap):
+    encoders = packing._encoders(packing.public_tokenizer())
+    text = f"before{gap}after"
+    assert packing.token_ids(text, encoders)[:-1].tolist() == encoders[0].encode(text, add_special_tokens=False).ids
+
+
+def test_a_document_with_a_long_gap_is_packed(spark):
+    rows = packing.pack_documents(spark.createDataFrame([(1, " " * 2_000_000), (2, "short")], "doc_id long, text string")).collect()
+    tokens = Counter()
+    for r in rows:
+        tokens[r.doc_id] += r.length
+    assert tokens[1] == 2_000_001 and tokens[2] < 10 and all(r.length <= packing.CAPACITY for r in rows)
+
+
 # Personal data
 
 PLAIN = {
