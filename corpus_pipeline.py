@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.llm.common import numbered, read, written
-from stratalake.llm.decontaminate import find_leaks
+from stratalake.llm.decontaminate import all_leaks
 from stratalake.llm.language_id import UNKNOWN, held_out, identify, learn
 from stratalake.llm.packing import pack_documents
 from stratalake.llm.pii import redact, text_key
@@ -48,7 +48,7 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item in them."""
     keyed = docs.select(text_key(F.col("text")).alias("key"), "text")
-    leaks = written(find_leaks(keyed, read(spark, sf_dir, "benchmark"), "key").select("key").distinct(), "leaks")
+    leaks = written(all_leaks(keyed, read(spark, sf_dir, "benchmark"), "key").select("key").distinct(), "leaks")
     rows, names = numbered(docs)
     return rows.join(leaks, text_key(F.col(names["text"])) == F.col("key"), "left_anti").toDF(*docs.columns)
 

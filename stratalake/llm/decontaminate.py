@@ -4,9 +4,14 @@ A benchmark item leaks into a text where, with the item laid along the text at s
 place, at least ``LEAST_EQUAL`` of ``WINDOW`` consecutive words are equal. The masks
 say which words of a run are hashed and which are ignored; any window with so few
 substitutions has a run whose hashed words are all untouched, for one mask at least
-(``tests/llm`` tries all cases), so nothing is missed. Items shorter than the window
-leak where all their words stand; items under ``FEWEST_WORDS`` words prove nothing and
-are left out.
+(``tests/llm`` tries all cases), so nothing is missed. Shorter items leak where they
+stand as a whole, with one substitution from 7 words on; three masks as long as the item,
+each without every third word, find it. Items under ``FEWEST_WORDS`` words stand in any
+text, so they leak only where they are all of a text.
+
+Scripts without spaces have words as long as sentences. Items of few words, or mostly in
+such a script, are looked up by characters as well: letters and digits alone, 42 of 48
+consecutive ones or, in shorter items, all but one in eight. Their rows count characters.
 
 Hashes of all runs of the texts meet those of the benchmark in a join; of the hits
 along one line only the first of each run is kept. Around a hit the words are
@@ -20,12 +25,13 @@ leaks, once each. Words are runs of letters and digits, A-Z in lower case.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import read, words_of
+from stratalake.llm.common import lower_ascii, read, words_of
 
 # Together they find every window of 13 words with two substitutions.
 MASKS = ("11010111", "111001011")
@@ -33,12 +39,55 @@ WINDOW = 13
 LEAST_EQUAL = 11
 FEWEST_WORDS = 5
 SEEDS_AT_ONCE = 500_000
+# One of these of an item's words or characters may be another, in items below the window.
+ONE_IN_WORDS, ONE_IN_CHARACTERS = 7, 8
+# With one in eight substituted, each run of 13 to 48 characters has 13 with two at most.
+CHARACTERS, LEAST_EQUAL_CHARACTERS = 48, 42
+_SCRIPTS = ("Han", "Hiragana", "Katakana", "Bopomofo", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan")
+UNSPACED = "[" + "".join(rf"\p{{Is{script}}}" for script in _SCRIPTS) + "]"
+
+
+@dataclass(frozen=True)
+class Rule:
+    """A leak has ``least_equal`` of ``window`` units; items below the window have all but one in ``one_in`` (0: all)."""
+
+    window: int = WINDOW
+    least_equal: int = LEAST_EQUAL
+    one_in: int = 0
+
+    def substitutions(self, n: int) -> int:
+        return n // self.one_in if self.one_in else 0
+
+    def needed(self, n: Column) -> Column:
+        short = n - F.floor(n / self.one_in) if self.one_in else n
+        return F.when(n < self.window, short).otherwise(self.least_equal)
+
+
+WHOLE_SHORT = Rule()
+BY_WORDS = Rule(one_in=ONE_IN_WORDS)
+BY_CHARACTERS = Rule(CHARACTERS, LEAST_EQUAL_CHARACTERS, ONE_IN_CHARACTERS)
 
 
 def word_hashes(text: Column) -> Column:
     return F.transform(words_of(text), lambda word: F.xxhash64(word))
 
 
+def characters_of(text: Column) -> Column:
+    """Letters, their marks and digits."""
+    return F.regexp_replace(lower_ascii(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}\p{N}]+", "")
+
+
+def character_hashes(text: Column) -> Column:
+    return F.transform(F.filter(F.split(characters_of(text), ""), lambda c: c != ""), lambda c: F.xxhash64(c))
+
+
+def _by_characters(text: Column) -> Column:
+    """Whether an item is looked up by characters: it has unspaced ones, and few words or little else."""
+    unspaced = F.length(F.regexp_replace(text, UNSPACED.replace("[", "[^", 1), ""))
+    few = F.size(words_of(text)) < FEWEST_WORDS
+    return (unspaced > 0) & (few | (unspaced * 2 > F.length(characters_of(text))))
+
+
 def seed(hashes: Column, at: Column, mask: str, kind: int) -> Column:
     """The hash of the words that the mask keeps, from a place (from 0); null where the run does not fit."""
     kept = [F.get(hashes, at + i) for i, c in enumerate(mask) if c == "1"]
@@ -46,9 +95,11 @@ def seed(hashes: Column, at: Column, mask: str, kind: int) -> Column:
     return F.when(fits, F.xxhash64(F.lit(kind), *kept))
 
 
-def _masks(lengths: list[int]) -> list[str]:
-    """The spaced masks, and one that covers each shorter item that there is."""
-    return [*MASKS, *["1" * n for n in lengths if FEWEST_WORDS <= n < WINDOW]]
+def _masks(lengths: list[int], rule: Rule = WHOLE_SHORT) -> list[str]:
+    """The spaced masks, and for each shorter length that there is one that covers it, or three for a substitution."""
+    without = lambda n, r: "".join("0" if i % 3 == r else "1" for i in range(n))
+    short = [n for n in lengths if FEWEST_WORDS <= n < WINDOW]
+    return [*MASKS, *[m for n in short for m in ([without(n, r) for r in range(3)] if rule.substitutions(n) else ["1" * n])]]
 
 
 def _seed_rows(rows: DataFrame, hashes: str, masks: list[str], place: str) -> DataFrame:
@@ -70,29 +121,66 @@ def _best_window(equal: Column, window: Column) -> Column:
     return F.when(F.size(equal) >= window, F.array_max(sums)).otherwise(-1)
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", seeds_at_once: int = SEEDS_AT_ONCE) -> DataFrame:
+def find_leaks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    key: str = "doc_id",
+    seeds_at_once: int = SEEDS_AT_ONCE,
+    rule: Rule = WHOLE_SHORT,
+    hashes=word_hashes,
+) -> DataFrame:
     """Places where items stand in texts: key, item_id, first_word (of the overlap in the text), n_words, n_equal, similarity.
 
-    ``docs`` has the key and text, ``benchmark`` item_id and text.
+    ``docs`` has the key and text, ``benchmark`` item_id and text. Items of fewer than
+    ``FEWEST_WORDS`` are left to ``all_leaks``, as are other rules and units than words.
     """
-    items = benchmark.select("item_id", word_hashes(F.col("text")).alias("_item"))
+    items = benchmark.select("item_id", hashes(F.col("text")).alias("_item"))
     items = items.filter(F.size("_item") >= FEWEST_WORDS).distinct()
     # A row per length below the window.
     short = [r[0] for r in items.filter(F.size("_item") < WINDOW).select(F.size("_item")).distinct().collect()]
-    masks = _masks(sorted(short))
+    masks = _masks(sorted(short), rule)
     n_seeds = items.agg(F.coalesce(F.sum(F.size("_item")), F.lit(0))).first()[0] * len(MASKS)
     n_blocks = max(1, -(-n_seeds // seeds_at_once))
-    texts = docs.select(F.col(key).alias("_key"), word_hashes(F.col("text")).alias("_text"))
+    texts = docs.select(F.col(key).alias("_key"), hashes(F.col("text")).alias("_text"))
     block = F.pmod(F.xxhash64("item_id", "_item"), F.lit(n_blocks))
-    found = [_leaks_of_block(texts, items.filter(block == n), masks) for n in range(n_blocks)]
+    found = [_leaks_of_block(texts, items.filter(block == n), masks, rule) for n in range(n_blocks)]
     return reduce(DataFrame.unionByName, found).distinct().withColumnRenamed("_key", key)
 
 
-def _leaks_of_block(texts: DataFrame, items: DataFrame, masks: list[str]) -> DataFrame:
+def _whole_texts(docs: DataFrame, benchmark: DataFrame, key: str, hashes) -> DataFrame:
+    """Texts that are an item of fewer than ``FEWEST_WORDS`` units and nothing else, as ``find_leaks`` gives them."""
+    few = F.size("_units").between(1, FEWEST_WORDS - 1)
+    items = benchmark.select("item_id", hashes(F.col("text")).alias("_units")).filter(few).distinct()
+    texts = docs.select(F.col(key).alias("_key"), hashes(F.col("text")).alias("_units")).filter(few)
+    n = F.size("_units").cast("long")
+    return (
+        texts.join(items, "_units")
+        .select("_key", "item_id", F.lit(0).cast("long").alias("first_word"), n.alias("n_words"), n.alias("n_equal"), F.lit(1.0).alias("similarity"))
+        .distinct()
+        .withColumnRenamed("_key", key)
+    )
+
+
+def all_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", seeds_at_once: int = SEEDS_AT_ONCE) -> DataFrame:
+    """``find_leaks`` for items of every length and script; rows of items looked up by characters count these."""
+    unspaced = benchmark.filter(_by_characters(F.col("text")))
+    found = [find_leaks(docs, benchmark, key, seeds_at_once, BY_WORDS)]
+    few = F.size(words_of(F.col("text"))).between(1, FEWEST_WORDS - 1)
+    # The other ways are gone only where there are items for them.
+    if not benchmark.filter(few).isEmpty():
+        found.append(_whole_texts(docs, benchmark, key, word_hashes))
+    if not unspaced.isEmpty():
+        there = docs.filter(F.col("text").rlike(UNSPACED))
+        found.append(find_leaks(there, unspaced, key, seeds_at_once, BY_CHARACTERS, character_hashes))
+        found.append(_whole_texts(there, unspaced, key, character_hashes))
+    return reduce(DataFrame.unionByName, found).distinct() if found[1:] else found[0]
+
+
+def _leaks_of_block(texts: DataFrame, items: DataFrame, masks: list[str], rule: Rule) -> DataFrame:
     of_items = _seed_rows(items, "_item", masks, "_item_at")
     for_length = F.size("_item") < WINDOW
     whole = F.col("_mask") >= len(MASKS)
-    # Spaced masks for long items, the covering mask for short ones.
+    # Spaced masks for long items, those of their length for short ones.
     covers = F.get(F.array(*[F.lit(len(m)) for m in masks]), F.col("_mask")) == F.size("_item")
     of_items = of_items.filter((~for_length & ~whole) | (for_length & whole & covers))
     of_items = of_items.select(F.col("_seed").alias("_item_seed"), "item_id", "_item", "_item_at")
@@ -122,7 +210,7 @@ def _leaks_of_block(texts: DataFrame, items: DataFrame, masks: list[str]) -> Dat
         F.explode(F.array(sides)).alias("_sides"),
     )
     equal = F.zip_with("_sides.a", "_sides.b", lambda a, b: F.when(a == b, 1).otherwise(0))
-    window = F.least("_n_item", F.lit(WINDOW))
+    window = F.least("_n_item", F.lit(rule.window))
 
     def judge(equal: Column) -> Column:
         n_equal = F.aggregate(equal, F.lit(0), lambda n, x: n + x)
@@ -130,7 +218,7 @@ def _leaks_of_block(texts: DataFrame, items: DataFrame, masks: list[str]) -> Dat
 
     # The comparison is the variable of a list of one, so that windows do not work it out again.
     judged = F.get(F.transform(F.array(equal), judge), F.lit(0))
-    needed = F.when(F.col("_n_item") < WINDOW, F.col("_n_item")).otherwise(LEAST_EQUAL)
+    needed = rule.needed(F.col("_n_item"))
     leaks = beside.select("_key", "item_id", "_n_item", "first_word", judged.alias("_j")).filter(F.col("_j.best") >= needed)
     return leaks.select(
         "_key",
@@ -144,4 +232,4 @@ def _leaks_of_block(texts: DataFrame, items: DataFrame, masks: list[str]) -> Dat
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every place where a benchmark item stands in a document."""
-    return find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return all_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))

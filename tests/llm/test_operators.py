@@ -368,6 +368,70 @@ def test_leaks_equal_brute_force(spark, docs, seeds_at_once):
         assert decontaminate.find_leaks(frame, bench.limit(0)).count() == decontaminate.find_leaks(frame.limit(0), bench).count() == 0
 
 
+def test_short_masks_lose_no_substitution():
+    for rule in (decontaminate.BY_WORDS, decontaminate.BY_CHARACTERS):
+        for n in range(decontaminate.FEWEST_WORDS, 27):
+            masks = decontaminate._masks([n], rule)
+            masks = [m for m in masks if len(m) == n] if n < decontaminate.WINDOW else list(decontaminate.MASKS)
+            few = rule.substitutions(n) if n < rule.window else rule.window - rule.least_equal
+            for wrong in itertools.combinations(range(n), few) if n < rule.window else []:
+                places = [(m, start) for m in masks for start in range(n - len(m) + 1)]
+                assert any(all(c == "0" or start + i not in wrong for i, c in enumerate(m)) for m, start in places)
+
+
+@pytest.mark.parametrize("seeds_at_once", [1_000_000, 200])
+def test_short_items_with_a_substitution_and_tiny_items(spark, seeds_at_once):
+    rng = random.Random(5)
+    items = [(n, " ".join(f"w{rng.randrange(1000)}" for _ in range(n))) for n in range(1, 16)]
+    docs, want = [], set()
+    for n, item in items:
+        for at in range(n):
+            for changed in (1, 2):
+                words = item.split()
+                words[at] = "other"
+                words[(at + changed - 1) % n] = "other"
+                docs.append((len(docs), f"before {' '.join(words)} after"))
+                wrong = words.count("other")
+                if wrong <= (2 if n >= 13 else 1 if n >= 7 else 0):
+                    want.add((docs[-1][0], n))
+        docs += [(len(docs), f"Before {item} after"), (len(docs) + 1, item.upper())]
+        want |= {(docs[-2][0], n)} if n >= 5 else set()
+        want |= {(docs[-1][0], n)}
+    frame = spark.createDataFrame([*docs, (-1, None), (-2, "")], "doc_id long, text string")
+    bench = spark.createDataFrame([*items, (90, None), (91, "?")], "item_id long, text string")
+    rows = decontaminate.all_leaks(frame, bench, seeds_at_once=seeds_at_once).collect()
+    # Long items overlap their neighbours by parts; no other item stands in a text of another.
+    assert {(r.doc_id, r.item_id) for r in rows} == want and len(rows) == len(want)
+
+
+def test_items_without_spaces_are_found(spark, in_folder):
+    chinese, thai, japanese = "植物为什么需要阳光和水才能生长", "ทำไมท้องฟ้าจึงเป็นสีฟ้าในเวลากลางวัน", "日本の首都はどこですか"
+    mixed, tiny, far = "GDP是什么的缩写", "東京", "𠮷野家の牛丼は何円ですか"
+    long = "".join(chr(0x4E00 + (7 * n * n + 13 * n) % 5000) for n in range(120))
+    items = [(1, chinese + "？"), (2, thai), (3, japanese), (4, mixed), (5, tiny), (6, far), (7, long)]
+    docs = [
+        (1, f"昨天老师问：{chinese}。没有人回答。"),
+        (2, f"คำถาม{thai}คำตอบ"),
+        (3, f"問題：{japanese.replace('首', '主')}？"),
+        (4, f"请问,{mixed}"),
+        (5, "東京。"),
+        (6, f"x {far}"),
+        (7, "前文" + long[30:90] + "后文"),
+        (11, "今天天气很好，我们去公园散步吧。"),
+        (12, f"{tiny}へ行きました"),
+        (13, f"問題：{japanese.replace('首都', '主人')}？"),
+        (14, "no such script"),
+        (15, None),
+        (16, f"x {far.replace('𠮷', '𠀋')[:4]}"),
+    ]
+    folder = in_folder(
+        documents=spark.createDataFrame(docs, "doc_id long, text string"), benchmark=spark.createDataFrame(items, "item_id long, text string")
+    )
+    found = decontaminate.op7_decontaminate(spark, folder).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(n, n) for n in range(1, 8)}
+    assert {r.n_equal for r in found if r.doc_id == 3} == {len(japanese) - 1}
+
+
 # Packing
 
 
