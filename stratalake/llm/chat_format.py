@@ -5,8 +5,9 @@ nested field paths (list elements share one path); the hash of the sorted paths
 its fingerprint. The first record with a fingerprint looks up the first declared
 layout whose paths it has; all later ones find it by the fingerprint alone. The
 layout says where turns, roles and texts are, and every record becomes turns
-(role, text). Records that fit no layout give a row with ``layout`` null and no
-turn, so that nothing is lost unseen.
+(role, text). A text is a string, a number, or a list of strings and of objects with a
+``text``. Records that fit no layout give a row with ``layout`` null and no turn; the
+paths of strings that are in no turn stand in ``unread``, so that nothing is lost unseen.
 
 A conversation is its turns by turn number, place in the record, role and text; it
 becomes one text, in one row, as the output asks for. In that text every turn is
@@ -43,13 +44,15 @@ class Part:
     """Turns of a record: ``each`` is the path of a list, or empty for the record itself.
 
     ``role`` is a path if it starts with ``$``, else the role itself. ``text`` lists
-    paths whose non-empty values are joined with an empty line.
+    paths whose non-empty values are joined with an empty line. With ``pairs``, lists
+    among the elements are texts of the user and the assistant in turn.
     """
 
     role: str
     text: tuple[str, ...]
     each: str = ""
     optional: bool = False
+    pairs: bool = False
 
     def paths(self) -> set[str]:
         start = f"{self.each}[]." if self.each else ""
@@ -67,17 +70,26 @@ class Layout:
 
 
 SYSTEM = Part("system", ("system",), optional=True)
+HISTORY = Part("$role", ("content",), "history", optional=True, pairs=True)
+PROMPTS, COMPLETIONS, RESPONSES = (Part("$role", ("content",), each) for each in ("prompt", "completion", "response"))
+PROMPT, COMPLETION, RESPONSE = Part("user", ("prompt",)), Part("assistant", ("completion",)), Part("assistant", ("response",))
 LAYOUTS = [
     Layout("message parts", (SYSTEM, Part("$role", ("content[].text",), "messages"))),
     Layout("messages", (SYSTEM, Part("$role", ("content",), "messages"))),
     Layout("from and value", (SYSTEM, Part("$from", ("value",), "conversations"))),
     Layout("nested messages", (Part("$role", ("content",), "data.messages"),)),
     Layout("dialog turns", (SYSTEM, Part("$speaker", ("text",), "turns"))),
-    Layout("instruction and output", (SYSTEM, Part("user", ("instruction", "input")), Part("assistant", ("output",)))),
-    Layout("instruction and response", (SYSTEM, Part("user", ("instruction", "context")), Part("assistant", ("response",)))),
-    Layout("prompt and completion", (SYSTEM, Part("user", ("prompt",)), Part("assistant", ("completion",)))),
-    Layout("prompt and response", (SYSTEM, Part("user", ("prompt",)), Part("assistant", ("response",)))),
-    Layout("question and answer", (SYSTEM, Part("user", ("question", "context")), Part("assistant", ("answer",)))),
+    Layout("instruction and output", (SYSTEM, HISTORY, Part("user", ("instruction", "input")), Part("assistant", ("output",)))),
+    Layout("instruction and response", (SYSTEM, HISTORY, Part("user", ("instruction", "context")), RESPONSE)),
+    Layout("prompt and completion messages", (SYSTEM, HISTORY, PROMPTS, COMPLETIONS)),
+    Layout("prompt messages and completion", (SYSTEM, HISTORY, PROMPTS, COMPLETION)),
+    Layout("prompt and response messages", (SYSTEM, HISTORY, PROMPTS, RESPONSES)),
+    Layout("prompt messages and response", (SYSTEM, HISTORY, PROMPTS, RESPONSE)),
+    Layout("prompt and messages of a completion", (SYSTEM, HISTORY, PROMPT, COMPLETIONS)),
+    Layout("prompt and messages of a response", (SYSTEM, HISTORY, PROMPT, RESPONSES)),
+    Layout("prompt and completion", (SYSTEM, HISTORY, PROMPT, COMPLETION)),
+    Layout("prompt and response", (SYSTEM, HISTORY, PROMPT, RESPONSE)),
+    Layout("question and answer", (SYSTEM, HISTORY, Part("user", ("question", "context")), Part("assistant", ("answer",)))),
     Layout("one turn", (Part("$role", ("text",)),)),
     Layout("one message", (Part("$role", ("content",)),)),
 ]
@@ -101,33 +113,63 @@ def layout_of(paths: set[str]) -> Layout | None:
     return next((layout for layout in LAYOUTS if layout.paths() <= paths), None)
 
 
-def _at(value: object, path: str) -> object:
+Place = tuple[str | int, ...]
+
+
+def _at(value: object, path: str, place: Place = ()) -> tuple[object, Place]:
+    """The value of a path, and its place: the keys and indices that lead there."""
     for name in path.split(".") if path else []:
-        if name.endswith("[]"):
-            found = value.get(name[:-2]) if isinstance(value, dict) else None
-            rest = path.split("[].", 1)[1]
-            return "".join(str(_at(v, rest) or "") for v in found or [])
-        value = value.get(name) if isinstance(value, dict) else None
-    return value
+        value, place = value.get(name) if isinstance(value, dict) else None, (*place, name)
+    return value, place
+
 
+def _text(value: object, place: Place, seen: set[Place]) -> str:
+    """The text of a value, or nothing; the places of strings that are in it are ``seen``."""
+    if isinstance(value, str):
+        seen.add(place)
+        return value
+    if isinstance(value, (bool, int, float)):
+        return json.dumps(value)
+    parts = enumerate(value) if isinstance(value, list) else []
+    return "".join(_text(*(_at(v, "text", (*place, i)) if isinstance(v, dict) else (v, (*place, i))), seen) for i, v in parts)
 
-def turns_of(record: dict, layout: Layout) -> Iterator[tuple[str, str]]:
+
+def turns_of(record: object, layout: Layout, seen: set[Place] | None = None) -> Iterator[tuple[str, str]]:
+    """Role and text of each turn; the places of the strings that they hold go to ``seen``."""
+    seen = set() if seen is None else seen
     for part in layout.parts:
-        items = _at(record, part.each) if part.each else [record]
-        for item in items if isinstance(items, list) else []:
-            texts = [str(t) for p in part.text if (t := _at(item, p)) not in (None, "")]
+        items, place = _at(record, part.each)
+        places = [(*place, i) for i in range(len(items))] if part.each and isinstance(items, list) else [place]
+        items = items if part.each and isinstance(items, list) else [items]
+        for item, at in zip(items, places):
+            if part.pairs and isinstance(item, list):
+                for i, value in enumerate(item):
+                    yield ("user", "assistant")[i % 2], _text(value, (*at, i), seen)
+            if not isinstance(item, dict):
+                continue
+            # The path of parts chooses a layout; a single text may stand in place of the list.
+            texts = [t for p in part.text if (t := _text(*_at(item, p.split("[]")[0], at), seen)) != ""]
             if part.optional and not texts:
                 continue
-            role = str(_at(item, part.role[1:]) or "") if part.role[0] == "$" else part.role
+            role = _text(*_at(item, part.role[1:], at), seen) if part.role[0] == "$" else part.role
             yield ROLES.get(role, role), "\n\n".join(texts)
 
 
+def unread(value: object, seen: set[Place], place: Place = (), path: str = "") -> set[str]:
+    """The paths of strings, but empty ones, whose places are not ``seen``."""
+    if isinstance(value, dict):
+        return set().union(*[unread(v, seen, (*place, k), f"{path}.{k}" if path else k) for k, v in value.items()])
+    if isinstance(value, list):
+        return set().union(*[unread(v, seen, (*place, i), f"{path}[]") for i, v in enumerate(value)])
+    return {path} if isinstance(value, str) and value and place not in seen else set()
+
+
 def canonical_turns(records: DataFrame, record: str = "record") -> DataFrame:
-    """The other columns of ``records`` with fingerprint, layout, place, role and text of each turn.
+    """The other columns of ``records`` with fingerprint, layout, place, role and text of each turn, and the unread paths.
 
-    These five replace columns of the same names.
+    These six replace columns of the same names. A record that is no JSON is unread as a whole, under the empty path.
     """
-    made = StructType.fromDDL("fingerprint string, layout string, place int, role string, text string")
+    made = StructType.fromDDL("fingerprint string, layout string, place int, role string, text string, unread array<string>")
     others = [c for c in records.columns if c not in (record, *made.names)]
     schema = StructType([records.schema[c] for c in others] + made.fields)
 
@@ -138,6 +180,7 @@ def canonical_turns(records: DataFrame, record: str = "record") -> DataFrame:
             ("place", pa.int32()),
             ("role", pa.string()),
             ("text", pa.string()),
+            ("unread", pa.list_(pa.string())),
         ]
     )
 
@@ -149,20 +192,22 @@ def canonical_turns(records: DataFrame, record: str = "record") -> DataFrame:
                 try:
                     parsed = json.loads(value) if value else {}
                 except ValueError:
-                    parsed = {}
+                    parsed = value
                 paths = field_paths(parsed)
                 key = fingerprint(paths)
                 if key not in known:
                     known[key] = layout_of(paths)
                 layout = known[key]
-                turns = list(turns_of(parsed, layout)) if layout else []
-                found = [(key, layout.name, n, *turn) for n, turn in enumerate(turns)] if turns else [
-                    (key, layout.name if layout else None, None, None, None)
+                seen: set[Place] = set()
+                turns = list(turns_of(parsed, layout, seen)) if layout else []
+                left = sorted(unread(parsed, seen))
+                found = [(key, layout.name, n, *turn, left) for n, turn in enumerate(turns)] if turns else [
+                    (key, layout.name if layout else None, None, None, None, left)
                 ]
                 index += [i] * len(found)
                 rows += found
             kept = batch.select(others).take(pa.array(index, pa.int64()))
-            new = [pa.array(c, f.type) for c, f in zip(list(zip(*rows)) or [()] * 5, made_schema)]
+            new = [pa.array(c, f.type) for c, f in zip(list(zip(*rows)) or [()] * 6, made_schema)]
             yield pa.RecordBatch.from_arrays([*kept.columns, *new], [*others, *made_schema.names])
 
     return records.mapInArrow(convert, schema)

@@ -206,6 +206,33 @@ def test_layouts_become_the_same_turns(spark):
     assert chat_format.canonical_turns(df.limit(0)).count() == 0
 
 
+def test_mixed_layouts_keep_every_text(spark):
+    said = [("user", "hi"), ("assistant", "yes")]
+    earlier = [("user", "a"), ("assistant", "b")]
+    records = [
+        ('{"messages": [{"role": "user", "content": [{"text": "h"}, "i"]}, {"role": "assistant", "content": "yes"}]}', said, []),
+        ('{"prompt": [{"role": "user", "content": "hi"}], "completion": [{"role": "assistant", "content": "yes"}]}', said, []),
+        ('{"prompt": [{"role": "user", "content": "hi"}], "completion": "yes"}', said, []),
+        ('{"prompt": "hi", "response": [{"role": "assistant", "content": [{"text": "yes"}]}]}', said, []),
+        ('{"instruction": "hi", "output": "yes", "history": [["a", "b"]]}', earlier + said, []),
+        ('{"instruction": "hi", "output": "yes", "history": [{"role": "user", "content": "a"}, {"role": "bot", "content": "b"}]}', earlier + said, []),
+        ('{"instruction": "hi", "output": "yes", "history": []}', said, []),
+        ('{"prompt": "hi", "completion": "yes", "chosen": "no", "n": 1, "empty": ""}', said, ["chosen"]),
+        ('{"prompt": "hi", "completion": {"a": ["yes"]}}', [("user", "hi"), ("assistant", "")], ["completion.a[]"]),
+        ('{"messages": ["lost", {"role": "user", "content": "hi"}, {"role": "assistant", "content": "yes"}]}', said, ["messages[]"]),
+        ('{"messages": [{"role": "user", "content": [{"text": "hi"}, {"url": "u"}]}, {"role": "assistant", "content": "yes"}]}', said, ["messages[].content[].url"]),
+        ('{"question": "hi", "answer": 42, "unsure": true}', [("user", "hi"), ("assistant", "42")], []),
+        ('{"other": {"x": "y"}}', [(None, None)], ["other.x"]),
+        ("not json", [(None, None)], [""]),
+    ]
+    df = spark.createDataFrame([(n, r[0]) for n, r in enumerate(records)], "id long, record string")
+    turns, left = defaultdict(list), {}
+    for r in chat_format.canonical_turns(df).orderBy("id", "place").collect():
+        turns[r.id].append((r.role, r.text))
+        left[r.id] = r.unread
+    assert [(turns[n], left[n]) for n in range(len(records))] == [(r[1], r[2]) for r in records]
+
+
 def test_control_strings_come_back():
     rng = random.Random(1)
     parts = [*chat_format.CONTROL, "\\", "\\l", "<", "[", "é", "\n", "s>", "b"]
