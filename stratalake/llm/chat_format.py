@@ -10,7 +10,9 @@ layout says where turns, roles and texts are, and every record becomes turns
 paths of strings that are in no turn stand in ``unread``, so that nothing is lost unseen.
 
 A conversation is its turns by turn number, place in the record, role and text; it
-becomes one text, in one row, as the output asks for. In that text every turn is
+becomes one text. Turns are sorted in their partition and formatted one by one, so that
+none is ever held whole: a long text comes in pieces of whole turns, in order, each with
+its begin in the text. In that text every turn is
 marked, and control strings inside roles and texts are escaped so that the marks
 cannot be imitated and the texts come back exactly. The loss mask lists where the
 assistant's texts are. Null roles and texts are empty. Rows without a conversation
@@ -30,8 +32,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stratalake.llm.common import read
+from stratalake.llm.common import in_slices, read
 
+# A piece of a conversation is ended by the turn that reaches so many characters.
+PIECE_CHARS = 1_000_000
 TURN, TEXT, END = "<|turn|>", "<|text|>", "</s>"
 # Control strings of public chat templates.
 CONTROL = [TURN, TEXT, END, "<s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|im_start|>", "<|im_end|>", "<|endoftext|>"]
@@ -248,37 +252,88 @@ def parsed_back(conversation: str) -> list[tuple[str, str]]:
     return turns
 
 
-def _format_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = batch.column("turns").to_pylist()
-        made = [formatted([(t["role"] or "", t["text"] or "") for t in turns if t["place"] is not None]) for turns in rows]
-        texts, masks = pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([batch.column("conv_id"), texts, masks], ["conv_id", "formatted", "loss_mask"])
+def _format_rows(batches: Iterator[pa.RecordBatch], piece_chars: int) -> Iterator[pa.RecordBatch]:
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64())]
+    names = ["conv_id", "piece", "begin", "formatted", "loss_mask"]
+    key, piece, begin, size, turns, opened = None, 0, 0, 0, [], False
+    rows = []
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 5, types)], names)
+
+    for batch in in_slices(batches):
+        for conv_id, place, role, text in zip(*[batch.column(c).to_pylist() for c in ("conv_id", "place", "role", "text")]):
+            other = opened and conv_id != key
+            if other or size >= piece_chars:
+                made, mask = formatted(turns)
+                rows.append((key, piece, begin, made, mask))
+                piece, begin = (0, 0) if other else (piece + 1, begin + len(made))
+                size, turns = 0, []
+            key, opened = conv_id, True
+            if place is not None:
+                turns.append((role or "", text or ""))
+                size += len(turns[-1][0]) + len(turns[-1][1]) + len(TURN + TEXT + END)
+        yield batch_of(rows)
+        rows = []
+    if opened:
+        yield batch_of([(key, piece, begin, *formatted(turns))])
+
 
+def conversations(turns: DataFrame, piece_chars: int = PIECE_CHARS) -> DataFrame:
+    """``turns`` (conv_id, turn, place, role, text) as formatted texts and loss masks.
 
-def conversations(turns: DataFrame) -> DataFrame:
-    """``turns`` (conv_id, turn, place, role, text) as one formatted text and loss mask per conversation."""
-    row = F.struct("turn", "place", "role", "text")
-    grouped = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(row)).alias("turns"))
-    return grouped.mapInArrow(_format_rows, "conv_id long, formatted string, loss_mask array<long>")
+    A row per conversation, or per piece of a long one: piece counts from 0, begin is the
+    piece's first character in the text of the conversation, and the loss mask counts from
+    there. The pieces of a conversation follow each other in one partition.
+    """
+    rows = turns.select("conv_id", "turn", "place", "role", "text").repartition("conv_id")
+    rows = rows.sortWithinPartitions("conv_id", "turn", "place", "role", "text")
+    schema = "conv_id long, piece long, begin long, formatted string, loss_mask array<long>"
+    return rows.mapInArrow(lambda batches: _format_rows(batches, piece_chars), schema)
 
 
 READ_BACK = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
 
+class _Digest:
+    """What is read back from the pieces of one conversation."""
+
+    def __init__(self, conv_id: int | None):
+        self.conv_id, self.n_turns, self.loss_chars, self.chars = conv_id, 0, 0, 0
+        self.said, self.loss = hashlib.sha256(), hashlib.sha256()
+
+    def add(self, text: str, mask: list[int]) -> None:
+        for role, body in parsed_back(text):
+            self.n_turns += 1
+            self.said.update(f"{role}\n{body}\n".encode())
+        for a, b in zip(mask[::2], mask[1::2]):
+            loss = unescaped(text[a:b])
+            self.loss_chars += len(loss)
+            self.loss.update(loss.encode())
+        self.chars += len(text)
+
+    def row(self) -> tuple:
+        return self.conv_id, self.n_turns, self.said.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars
+
+
 def _read_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-    names = ["n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-    for batch in batches:
+    types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 6, types)], names)
+
+    digest = None
+    for batch in in_slices(batches):
         rows = []
-        for text, mask in zip(batch.column("formatted").to_pylist(), batch.column("loss_mask").to_pylist()):
-            turns = parsed_back(text)
-            said = "".join(f"{role}\n{body}\n" for role, body in turns)
-            loss = "".join(unescaped(text[a:b]) for a, b in zip(mask[::2], mask[1::2]))
-            digests = [hashlib.sha256(x.encode()).hexdigest() for x in (said, loss)]
-            rows.append((len(turns), digests[0], len(loss), digests[1], len(text)))
-        columns = [pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 5, types)]
-        yield pa.RecordBatch.from_arrays([batch.column("conv_id"), *columns], ["conv_id", *names])
+        for conv_id, piece, text, mask in zip(*[batch.column(c).to_pylist() for c in ("conv_id", "piece", "formatted", "loss_mask")]):
+            if piece == 0:
+                rows += [digest.row()] if digest else []
+                digest = _Digest(conv_id)
+            digest.add(text, mask)
+        yield batch_of(rows)
+    if digest:
+        yield batch_of([digest.row()])
 
 
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -254,6 +254,33 @@ def test_odd_conversations(spark, in_folder):
     assert got[-1].loss_sha256 == hashlib.sha256(b"</s>[INST] ok [/INST]").hexdigest()
 
 
+def test_long_conversations_are_never_one_row(spark, in_folder):
+    rng = random.Random(2)
+    parts = [*chat_format.CONTROL, "\\", "é", "word "]
+    said = {key: [(rng.choice(["user", "assistant"]), "".join(rng.choices(parts, k=rng.randrange(6)))) for _ in range(5000)] for key in (None, 1)}
+    said[2] = [("user", "x")]
+    rows = [(key, n, *turn) for key, turns in said.items() for n, turn in enumerate(turns)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = defaultdict(list)
+    for r in chat_format.conversations(df.withColumn("place", F.lit(0)), piece_chars=500).collect():
+        got[r.conv_id].append(r)
+    assert set(got) == set(said) and len(got[2]) == 1
+    for key, turns in said.items():
+        text, mask = chat_format.formatted(turns)
+        pieces = sorted(got[key], key=lambda r: r.piece)
+        assert pieces == got[key] and [r.piece for r in pieces] == list(range(len(pieces)))
+        assert "".join(r.formatted for r in pieces) == text and [r.begin + n for r in pieces for n in r.loss_mask] == mask
+        assert all(text[r.begin :].startswith(r.formatted) and len(r.formatted) < 1000 for r in pieces)
+    result = chat_format.op4_chat_format(spark, in_folder(conversations=df))
+    assert "collect_list" not in result._jdf.queryExecution().executedPlan().toString()
+    read = {r.conv_id: r for r in result.collect()}
+    for key, turns in said.items():
+        assert read[key].n_turns == len(turns) and read[key].formatted_chars == len(chat_format.formatted(turns)[0])
+        assert read[key].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
+        assert read[key].loss_sha256 == hashlib.sha256("".join(t for r, t in turns if r == "assistant").encode()).hexdigest()
+
+
 # Fingerprints
 
 
