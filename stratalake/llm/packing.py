@@ -10,9 +10,10 @@ length.
 
 Ranks come from small windows: a length is split by a hash into as many parts as
 there are shuffle partitions, and the counts of the parts give where each begins.
-So no length, however frequent, is ranked by one task. The tokens are written once
-to the shared folder. Null texts are empty and have the end token only; an empty
-table has no pieces; repeated rows are packed as often as they occur.
+So no length, however frequent, is ranked by one task. ``pack_documents`` writes and
+places digests of the pieces, without their tokens; ``sequences`` makes the token
+sequences of pieces that have kept theirs. Null texts are empty and have the end token
+only; an empty table has no pieces; repeated rows are packed as often as they occur.
 """
 
 from __future__ import annotations
