@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stratalake.llm.chat_format import OP4_SQL, op4_chat_format
+from stratalake.llm.collocations import OP11_SQL, op11_collocations
 from stratalake.llm.decontaminate import op7_decontaminate
 from stratalake.llm.hash_ring import op1_hash_ring
 from stratalake.llm.language_id import op3_language_id
@@ -15,6 +16,7 @@ from stratalake.llm.merkle import OP5_SQL, op5_merkle
 from stratalake.llm.packing import op8_packing
 from stratalake.llm.pii import op9_pii
 from stratalake.llm.simhash_golay import op10_simhash
+from stratalake.llm.variants import OP13_SQL, op13_variants
 from stratalake.llm.warc import OP6_SQL, op6_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -30,6 +32,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_pii,
         op10_simhash,
+        op11_collocations,
+        op13_variants,
     )
 }
 SQL = {
@@ -39,5 +43,7 @@ SQL = {
         "op4_chat_format": OP4_SQL,
         "op5_merkle": OP5_SQL,
         "op6_warc": OP6_SQL,
+        "op11_collocations": OP11_SQL,
+        "op13_variants": OP13_SQL,
     }.items()
 }
