@@ -23,6 +23,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -40,20 +41,25 @@ BYTES = bytes(range(256)).translate(
     bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" ")
 )
 ID_BITS = 21
-MOST_IDS = 1 << 20
+IDS_IN_TASK = 1 << 18
 BURST = 1 << 13
-ENTRIES_IN_TASK = 300_000
-BUFFERED_WORDS = 1 << 17
+ENTRIES_IN_TASK = 250_000
+BUFFERED_WORDS = 1 << 18
+TOKENS_AT_ONCE = 1 << 20
 FILTER_BITS = 1 << 27
 SEED = 42
 RUNS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
 
 
+END, NO_WORD = 0, 1
+
+
 class Ids(dict):
-    """Numbers from 1 for words, in the order in which they are met."""
+    """Numbers for words, in the order in which they are met, after those of the end of a piece and of no word."""
 
     def __init__(self) -> None:
-        self.words: list[bytes] = [b""]
+        self.words: list[bytes] = [b"\n", b""]
+        self.update({word: n for n, word in enumerate(self.words)})
 
     def __missing__(self, word: bytes) -> int:
         self[word] = number = len(self.words)
@@ -73,23 +79,42 @@ class HatTrie:
         self.sizes: dict[int, int] = {}
         self.entries = 0
 
-    def add(self, firsts: list[int], rests: list[int]) -> None:
-        root, sizes, shift = self.root, self.sizes, 2 * ID_BITS
-        for first, rest in zip(firsts, rests):
+    def add(self, firsts: np.ndarray, rests: np.ndarray) -> None:
+        """Counts phrases; in order, so that those of a first word go to its containers together."""
+        if not len(firsts):
+            return
+        order = np.lexsort((rests, firsts))
+        firsts, rests = firsts[order], rests[order]
+        new_first = np.ones(len(firsts), dtype=bool)
+        new_first[1:] = firsts[1:] != firsts[:-1]
+        new = new_first.copy()
+        new[1:] |= rests[1:] != rests[:-1]
+        begins = np.flatnonzero(new)
+        counts = np.diff(np.append(begins, len(firsts))).tolist()
+        groups = np.flatnonzero(new_first[begins])
+        names, rest_list = firsts[begins][groups].tolist(), rests[begins].tolist()
+        bounds = [*groups.tolist(), len(begins)]
+        root, sizes = self.root, self.sizes
+        for first, begin, end in zip(names, bounds, bounds[1:]):
+            entries = zip(rest_list[begin:end], counts[begin:end])
             container = root.get(first)
+            before = sizes.get(first, 0)
             if container is None:
-                root[first], sizes[first] = {rest: 1}, 1
-                continue
-            if type(container) is list:
-                container = container[0].setdefault(rest >> shift, {})
-            if rest in container:
-                container[rest] += 1
+                root[first] = container = dict(entries)
+                sizes[first] = len(container)
+            elif type(container) is dict:
+                for rest, n in entries:
+                    container[rest] = container.get(rest, 0) + n
+                sizes[first] = len(container)
             else:
-                container[rest] = 1
-                sizes[first] += 1
-                if sizes[first] > BURST and type(root[first]) is dict:
-                    root[first] = self._burst(container)
-        self.entries = sum(sizes.values())
+                below = container[0]
+                for rest, n in entries:
+                    inner = below.setdefault(rest >> (2 * ID_BITS), {})
+                    sizes[first] += rest not in inner
+                    inner[rest] = inner.get(rest, 0) + n
+            if type(container) is dict and len(container) > BURST:
+                root[first] = self._burst(container)
+            self.entries += sizes[first] - before
 
     @staticmethod
     def _burst(container: dict[int, int]) -> list:
@@ -160,37 +185,33 @@ class Counter:
         self._clear()
 
     def _clear(self) -> None:
-        self.buffer: list[int] = []
-        self.parts: list[tuple[int, int]] = []  # language, begin in the buffer
-        self.closed: list[tuple[int, int]] = []  # words that begin no phrase here
+        self.texts: list[tuple[int, np.ndarray, int]] = []  # language, words, how many may begin a phrase
+        self.buffered = 0
 
     def text(self, lang: str, text: str) -> Iterator[pa.RecordBatch]:
         number = self.langs.setdefault(lang, len(self.langs))
-        self.parts.append((number, len(self.buffer)))
-        for piece in text.encode().translate(BYTES).split(b"\n"):
-            words = piece.split()
-            self.words[lang] = self.words.get(lang, 0) + len(words)
-            # A long piece is read in parts that overlap by the words of a phrase less one.
-            for at in range(0, len(words), BUFFERED_WORDS):
-                part = words[at : at + BUFFERED_WORDS + self.most - 1]
-                if len(self.ids) + len(part) > MOST_IDS or len(self.buffer) > 2 * BUFFERED_WORDS:
-                    yield from self.flush(len(self.ids) + len(part) > MOST_IDS)
-                    self.parts.append((number, 0))
-                begin = len(self.buffer)
-                self.buffer += map(self.ids.__getitem__, part)
-                if len(part) > BUFFERED_WORDS:
-                    self.closed.append((begin + BUFFERED_WORDS, len(self.buffer)))
-                self.buffer += [0] * (MOST_WORDS - 1)
-        if len(self.buffer) > BUFFERED_WORDS:
-            yield from self.flush(False)
+        tokens = text.encode().translate(BYTES).replace(b"\n", b" \n ").split(b" ")
+        for at in range(0, len(tokens), TOKENS_AT_ONCE):
+            end = min(at + TOKENS_AT_ONCE, len(tokens))
+            # A long text is read in parts that overlap by the words of a phrase less one.
+            after, more = end, 0
+            while more < MOST_WORDS - 1 and after < len(tokens) and tokens[after] != b"\n":
+                more += tokens[after] != b""
+                after += 1
+            words = np.fromiter(map(self.ids.__getitem__, tokens[at:after]), np.int64, after - at)
+            begins = int(np.count_nonzero(words[: end - at] != NO_WORD))
+            words = words[words != NO_WORD]
+            self.words[lang] = self.words.get(lang, 0) + int(np.count_nonzero(words[:begins] != END))
+            self.texts.append((number, words, begins))
+            self.buffered += len(words)
+            full = len(self.ids) > IDS_IN_TASK
+            if full or self.buffered > BUFFERED_WORDS:
+                yield from self.flush(full)
 
     def flush(self, all_of_it: bool) -> Iterator[pa.RecordBatch]:
         """Puts the buffered words into the trie, and spills if it is full, or all of it."""
-        words = np.array(self.buffer, dtype=np.int64)
-        if len(words):
-            begins = [begin for _, begin in self.parts]
-            lang = np.repeat([n for n, _ in self.parts], np.diff([*begins, len(words)]))
-            self._add(words, lang)
+        for at in range(0, len(self.texts), 4096):
+            self._add(self.texts[at : at + 4096])
         self._clear()
         if self.trie.entries > ENTRIES_IN_TASK or (all_of_it and self.trie.entries):
             yield from self._runs(0 if all_of_it else ENTRIES_IN_TASK // 2)
@@ -202,30 +223,35 @@ class Counter:
         names, numbers = list(self.words), list(self.words.values())
         return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([""] * len(names)), pa.array(numbers)], schema=RUNS)
 
-    def _add(self, words: np.ndarray, lang: np.ndarray) -> None:
-        n = len(words) - MOST_WORDS + 1
-        follow = [words[i : i + n] for i in range(1, MOST_WORDS)]
-        begins = words[:n] > 0
-        for begin, end in self.closed:
-            begins[begin:end] = False
+    def _add(self, texts: list[tuple[int, np.ndarray, int]]) -> None:
+        apart = np.full(MOST_WORDS - 1, END)
+        words = np.concatenate([part for _, text, _ in texts for part in (text, apart)])
+        lengths = [len(text) + len(apart) for _, text, _ in texts]
+        lang = np.repeat([number for number, _, _ in texts], lengths)
+        place = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        n = len(words) - len(apart)
+        begins = (words[:n] != END) & (place < np.repeat([b for _, _, b in texts], lengths))[:n]
+        follow = [words[1 : n + 1]]
+        for i in range(2, MOST_WORDS):
+            # What comes after the end of a piece, or is beyond the longest phrase, is not there.
+            ended = (follow[-1] == END) | (i >= self.most)
+            follow.append(np.where(ended, END, words[i : i + n]))
         if self.pairs is not None:
             frequent = self._frequent(words, lang)
             begins &= frequent[:n] & frequent[1 : n + 1]
-            follow[2] = np.where(frequent[2 : n + 2], follow[2], 0)
-        for i in range(self.most - 1, MOST_WORDS - 1):
-            follow[i] = np.zeros(n, dtype=np.int64)
+            follow[2] = np.where(frequent[2 : n + 2], follow[2], END)
         rest = (follow[0] << (2 * ID_BITS)) | (follow[1] << ID_BITS) | follow[2]
         first = (lang[:n] << ID_BITS) | words[:n]
-        self.trie.add(first[begins].tolist(), rest[begins].tolist())
+        self.trie.add(first[begins], rest[begins])
 
     def _frequent(self, words: np.ndarray, lang: np.ndarray) -> np.ndarray:
         """Whether each word begins a pair that passes the filter."""
         new = [xxhash.xxh64_intdigest(w, SEED) for w in self.ids.words[len(self.hashes) :]]
         self.hashes = np.concatenate([self.hashes, np.array(new, dtype=np.uint64)])
         of_langs = np.array([xxhash.xxh64_intdigest(name, SEED) for name in self.langs], dtype=np.uint64)
-        second = np.append(words[1:], 0)
+        second = np.append(words[1:], END)
         h = pair_hash(self.hashes[words], self.hashes[second], of_langs[lang])
-        passed = (words > 0) & (second > 0)
+        passed = (words != END) & (second != END)
         for bit in (h & np.uint64(FILTER_BITS - 1), (h >> np.uint64(32)) & np.uint64(FILTER_BITS - 1)):
             passed &= (self.pairs[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
         return passed
@@ -233,7 +259,7 @@ class Counter:
     def _runs(self, leave: int) -> Iterator[pa.RecordBatch]:
         """Sorted runs of the subtrees that are spilled."""
         firsts, rests, counts = self.trie.take(leave)
-        names, words = list(self.langs), self.ids.words
+        names, words = pa.array(list(self.langs), pa.string()), pa.array(self.ids.words, pa.binary())
         mask = (1 << ID_BITS) - 1
         columns = [firsts & mask, rests >> (2 * ID_BITS), (rests >> ID_BITS) & mask, rests & mask]
         langs = firsts >> ID_BITS
@@ -246,14 +272,14 @@ class Counter:
                 continue
             begins = np.flatnonzero(changed)
             sums = np.add.reduceat(counts, begins)
-            whole = columns[k - 1][begins] > 0
+            whole = columns[k - 1][begins] != END
             begins, sums = begins[whole], sums[whole]
             for at in range(0, len(begins), 50_000):
                 some = begins[at : at + 50_000]
-                texts = zip(*[map(words.__getitem__, column[some].tolist()) for column in columns[:k]])
-                phrases = pa.array(map(b" ".join, texts), pa.binary()).cast(pa.string())
-                lang = pa.array(map(names.__getitem__, langs[some].tolist()), pa.string())
-                yield pa.RecordBatch.from_arrays([lang, phrases, pa.array(sums[at : at + 50_000])], schema=RUNS)
+                parts = [words.take(pa.array(column[some])) for column in columns[:k]]
+                phrases = parts[0] if k == 1 else pc.binary_join_element_wise(*parts, b" ")
+                lang = names.take(pa.array(langs[some]))
+                yield pa.RecordBatch.from_arrays([lang, phrases.cast(pa.string()), pa.array(sums[at : at + 50_000])], schema=RUNS)
 
 
 def phrase_counts(docs: DataFrame, fewest: int, most: int, least_times: int, pairs: bytes | None = None) -> DataFrame:
