@@ -41,10 +41,10 @@ BYTES = bytes(range(256)).translate(
     bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" ")
 )
 ID_BITS = 21
-IDS_IN_TASK = 1 << 18
+IDS_IN_TASK = 1 << 17
 BURST = 1 << 13
-ENTRIES_IN_TASK = 250_000
-BUFFERED_WORDS = 1 << 18
+ENTRIES_IN_TASK = 200_000
+BUFFERED_WORDS = 1 << 17
 TOKENS_AT_ONCE = 1 << 20
 FILTER_BITS = 1 << 27
 SEED = 42
@@ -301,7 +301,8 @@ def phrase_counts(docs: DataFrame, fewest: int, most: int, least_times: int, pai
             yield counter.totals()
 
     runs = docs.select("lang", "text").mapInArrow(count, "lang string, phrase string, n long")
-    counts = runs.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    # Tasks have added up what they could: runs go into the shuffle as they are.
+    counts = runs.repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
     return counts.filter((F.col("n") >= least_times) | (F.col("phrase") == ""))
 
 
