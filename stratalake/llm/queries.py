@@ -15,6 +15,7 @@ from stratalake.llm.license_scan import OP2_SQL, op2_license_scan
 from stratalake.llm.merkle import OP5_SQL, op5_merkle
 from stratalake.llm.packing import op8_packing
 from stratalake.llm.pii import op9_pii
+from stratalake.llm.run_length import OP12_SQL, op12_run_length
 from stratalake.llm.simhash_golay import op10_simhash
 from stratalake.llm.variants import OP13_SQL, op13_variants
 from stratalake.llm.warc import OP6_SQL, op6_warc
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_pii,
         op10_simhash,
         op11_collocations,
+        op12_run_length,
         op13_variants,
     )
 }
@@ -44,6 +46,7 @@ SQL = {
         "op5_merkle": OP5_SQL,
         "op6_warc": OP6_SQL,
         "op11_collocations": OP11_SQL,
+        "op12_run_length": OP12_SQL,
         "op13_variants": OP13_SQL,
     }.items()
 }
