@@ -4,24 +4,24 @@ A string of ``LENGTH`` bytes is removed where it also starts earlier: in a docum
 further up in the same one. Strings are compared in buckets, so that no task needs the corpus:
 
 1. Each string of ``LENGTH`` bytes holds an anchor, the leftmost of its ``GRAM``-byte grams with the least hash. The choice
-   depends on the string alone, so equal strings have equal anchors. An anchor's surroundings are all bytes of
-   the strings it may be the anchor of. Of equal surroundings all but the first are repeats; tasks
+   depends on the string alone, so equal strings have equal anchors. Strings that begin side by side and have one anchor
+   make up a piece of text. Of equal pieces all but the first are repeats; tasks
    settle that for their own documents first, so that frequent passages are a row per task.
-2. Anchors with several different surroundings go into buckets. For the surroundings of a bucket a suffix array is
-   sorted and its Burrows-Wheeler transform cut into runs. At the start of each run the neighbour of the suffix and
+2. Anchors with several different pieces are looked at again, by a key that takes in more bytes. The pieces whose key is
+   not theirs alone go into buckets of whole keys. For the text of a bucket a suffix array is sorted and its Burrows-Wheeler transform cut into runs. At the start of each run the neighbour of the suffix and
    the number of bytes they share are sampled. Those samples are enough: going through the text, the longest match of each place
    is that of the place before less one byte, unless it is sampled itself. Places that match over ``LENGTH`` bytes are linked
    to their neighbours; in each class of linked places all but the earliest are repeats.
 3. Marked strings are merged per document and cut out.
 
-An anchor with more than ``LARGEST_GROUP`` different surroundings is divided: strings that begin
-further left from the anchor share more bytes before it, others more bytes after it, and these become part
-of the key. Divided to the end, all strings of a key are equal, and their first is found by an aggregation.
+Keys take in more bytes by division: strings that begin further left from the anchor share more bytes before it, others
+more bytes after it. All pieces are divided once, those of a key with more than ``LARGEST_GROUP`` of them again and again.
+Divided to the end, all strings of a key are equal, and their first is found by an aggregation.
 
 Documents count in the order of their ids, rows with one id in the order of a hash of their texts, rows without an
 id last; copies of one row are repeats of the first. Null texts are empty; texts shorter than ``LENGTH`` stay as
 they are. An empty table gives an empty result. Only ``doc_id`` and ``text`` are read. Texts are read whole. What is kept is
-binary, because a cut may fall inside a character. Grams and surroundings are compared by hashes of 64 bits each, 128 in
+binary, because a cut may fall inside a character. Grams and pieces are compared by hashes of 64 bits each, 128 in
 all; matches in buckets by their bytes.
 """
 
@@ -45,14 +45,14 @@ GRAM = 20
 REACH = LENGTH - GRAM
 CHUNK = 1 << 20
 BUCKET_BYTES = 1 << 20
-LARGEST_GROUP = 5_000
+LARGEST_GROUP = 10_000
 SEED = 42
 BETWEEN, AFTER = 0xFF, 0xFE  # in no UTF-8 text
 INDEX_BITS = 21  # places of a chunk and its overlap
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
-NAMES = ["key", "around", "no_id", "doc_id", "tie", "start", "end"]
-ROW = "key long, around long, no_id boolean, doc_id long, tie long, start long, end long"
-NO_END = -1
+NAMES = ["key", "content", "no_id", "doc_id", "tie", "start", "end", "anchor"]
+ROW = "key long, content long, no_id boolean, doc_id long, tie long, start long, end long, anchor int"
+NO_ANCHOR = -1
 PLACE = ["no_id", "doc_id", "tie"]
 
 
@@ -112,68 +112,63 @@ class Chunk:
 
     def __init__(self) -> None:
         self.values = byte_values()
-        self.parts: list[tuple[tuple[bool, int, int], int, int, int, bytes]] = []
+        self.parts: list[tuple[tuple[bool, int, int], int, bytes]] = []
         self.size = 0
 
     def add(self, place: tuple[bool, int, int], data: bytes) -> Iterator[pa.RecordBatch]:
-        """A long document is read in parts: strings that begin in ``CHUNK`` bytes, and what their surroundings reach."""
+        """A long document is read in parts: the strings that begin in ``CHUNK`` bytes."""
         for at in range(0, len(data) - LENGTH + 1, CHUNK):
-            low, high = max(0, at - LENGTH), min(len(data), at + CHUNK + 2 * LENGTH)
-            self.parts.append((place, low, at - low, min(CHUNK, len(data) - LENGTH + 1 - at), data[low:high]))
-            self.size += high - low
+            part = data[at : at + CHUNK + LENGTH - 1]
+            self.parts.append((place, at, part))
+            self.size += len(part)
             if self.size >= CHUNK // 2:
                 yield from self.rows()
 
     def rows(self) -> Iterator[pa.RecordBatch]:
-        """Anchors (key, around, doc_id, tie, start) and marked spans (with an end) of the documents held."""
+        """Pieces (key, content, place, start, end, anchor) and spans that are repeats, of the documents held."""
         parts, self.parts, self.size = self.parts, [], 0
         if not parts:
             return
-        # Documents in order: of equal surroundings the first counts.
+        # Documents in order: of equal pieces the first counts.
         parts.sort(key=lambda part: part[:2])
-        joined = b"".join(part[4] for part in parts)
-        data = np.frombuffer(joined, dtype=np.uint8)
-        lengths = np.array([len(part[4]) for part in parts])
-        begins = np.cumsum(lengths) - lengths
-        hashes = gram_hashes(data, self.values)
+        joined = b"".join(part[2] for part in parts)
+        hashes = gram_hashes(np.frombuffer(joined, dtype=np.uint8), self.values)
         least = least_places(hashes, REACH + 1)
-        inside = np.zeros(len(least), dtype=bool)
-        for part, begin in zip(parts, begins.tolist()):
-            inside[begin + part[2] : begin + part[2] + part[3]] = True
-        places = least[inside]
-        new = np.ones(len(places), dtype=bool)
-        new[1:] = places[1:] != places[:-1]
-        places = places[new]
-        owner = np.searchsorted(begins, places, side="right") - 1
-        low = np.maximum(places - REACH, begins[owner])
-        high = np.minimum(places + LENGTH, begins[owner] + lengths[owner])
+        lengths = np.array([len(part[2]) for part in parts])
+        begins = np.cumsum(lengths) - lengths
+        inside = np.ones(len(joined), dtype=bool)
+        for begin, length in zip(begins.tolist(), lengths.tolist()):
+            inside[begin + length - LENGTH + 1 : begin + length] = False
+        strings = np.flatnonzero(inside)
+        places = least[strings]
+        first = np.flatnonzero(np.append(True, places[1:] != places[:-1]))
+        places, low = places[first], strings[first]
+        high = strings[np.append(first[1:], len(strings)) - 1] + LENGTH
+        owner = np.searchsorted(begins, low, side="right") - 1
         one = xxhash.xxh3_64_intdigest
-        around = np.array([one(joined[a:b]) for a, b in zip(low.tolist(), high.tolist())], dtype=np.uint64).view(np.int64)
+        content = np.array([one(joined[a:b]) for a, b in zip(low.tolist(), high.tolist())], dtype=np.uint64).view(np.int64)
         keys = hashes[places].view(np.int64)
-        order = np.lexsort((places, around, keys))
-        first = np.ones(len(order), dtype=bool)
-        first[1:] = (keys[order][1:] != keys[order][:-1]) | (around[order][1:] != around[order][:-1])
+        order = np.lexsort((low, content, keys))
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = (keys[order][1:] != keys[order][:-1]) | (content[order][1:] != content[order][:-1])
         shift = np.array([part[1] for part in parts]) - begins
-        keep, again = np.sort(order[first]), np.sort(order[~first])
-        yield self._batch(parts, keys[keep], around[keep], owner[keep], places[keep] + shift[owner[keep]], None)
+        keep, again = np.sort(order[new]), np.sort(order[~new])
+        move = shift[owner[keep]]
+        anchors = (places - low)[keep]
+        yield self._batch(parts, keys[keep], content[keep], owner[keep], low[keep] + move, high[keep] + move, anchors)
         if len(again):
-            # Spans of one part that overlap are one; those of different parts are kept apart by their places.
-            wide = np.arange(len(parts)) * (LENGTH + 1)
-            starts, ends = merged(low[again] + wide[owner[again]], high[again] + wide[owner[again]])
-            of = np.searchsorted(begins + wide, starts, side="right") - 1
-            starts, ends = starts - wide[of] + shift[of], ends - wide[of] + shift[of]
+            # Spans of one part that overlap are one; those of different parts are kept apart.
+            apart = np.arange(len(parts))
+            starts, ends = merged(low[again] + apart[owner[again]], high[again] + apart[owner[again]])
+            of = np.searchsorted(begins + apart, starts, side="right") - 1
+            move = shift[of] - apart[of]
             # The key spreads spans over the partitions.
-            spread = (starts * 31 + of).astype(np.int64)
-            yield self._batch(parts, spread, None, of, starts, ends)
+            yield self._batch(parts, starts * 31 + of, of, of, starts + move, ends + move, np.full(len(of), NO_ANCHOR))
 
     @staticmethod
-    def _batch(parts, keys, around, owner, starts, ends) -> pa.RecordBatch:
-        no_id, doc_id, tie = zip(*[parts[o][0] for o in owner.tolist()])
-        n = len(keys)
-        around = np.zeros(n, dtype=np.int64) if around is None else around
-        ends = np.full(n, NO_END) if ends is None else ends
-        columns = [pa.array(keys), pa.array(around), pa.array(no_id), pa.array(doc_id), pa.array(tie), pa.array(starts), pa.array(ends)]
-        return pa.RecordBatch.from_arrays(columns, NAMES)
+    def _batch(parts, keys, content, owner, starts, ends, anchors) -> pa.RecordBatch:
+        columns = [pa.array(c) for c in (keys, content, *zip(*[parts[o][0] for o in owner.tolist()]), starts, ends)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(anchors, pa.int32())], NAMES)
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,49 +181,43 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows sorted by key, surroundings and place: spans that are repeats, and the places of surroundings to be indexed.
+    """Rows sorted by key, content and place: spans that are repeats, and the places of pieces that are to be indexed.
 
-    The first row of surroundings is held back until the next shows whether its key has others.
+    The first of equal pieces is held back until the next shows whether its key has others.
     """
     held, held_is_first = None, False
     for batch in batches:
-        is_anchor = (batch["end"] == NO_END).to_numpy()
-        if not is_anchor.all():
-            yield batch[~is_anchor].assign(is_span=True)[FOUND]
-        rows = batch[is_anchor]
+        has_anchor = (batch["anchor"] != NO_ANCHOR).to_numpy()
+        if not has_anchor.all():
+            yield batch[~has_anchor][FOUND]
+        rows = batch[has_anchor]
         if not len(rows):
             continue
         if held is not None:
             rows = pd.concat([held, rows], ignore_index=True)
-        key, around = rows["key"].to_numpy(), rows["around"].to_numpy()
+        key, content = rows["key"].to_numpy(), rows["content"].to_numpy()
         new_key = np.ones(len(rows), dtype=bool)
         new_key[1:] = key[1:] != key[:-1]
         new = new_key.copy()
-        new[1:] |= around[1:] != around[:-1]
+        new[1:] |= content[1:] != content[:-1]
         if held is not None:
             new_key[0] = held_is_first
+        if not new.all():
+            yield rows[~new].assign(anchor=np.int32(NO_ANCHOR))[FOUND]
         firsts = np.flatnonzero(new)
-        again = np.flatnonzero(~new)
-        if len(again):
-            # The same place can be met in two parts of a long document.
-            before = firsts[np.searchsorted(firsts, again, side="right") - 1]
-            same = np.logical_and.reduce([rows[c].to_numpy()[again] == rows[c].to_numpy()[before] for c in (*PLACE, "start")])
-            repeats = rows.iloc[again[~same]]
-            starts = (repeats["start"] - REACH).clip(lower=0)
-            yield repeats.assign(is_span=True, start=starts, end=repeats["start"] + LENGTH)[FOUND]
         others = ~new_key[firsts]
         asked = others.copy()
         asked[:-1] |= others[1:]
         chosen = firsts[:-1][asked[:-1]]
         if len(chosen):
-            yield rows.iloc[chosen].assign(is_span=False)[FOUND]
+            yield rows.iloc[chosen][FOUND]
         held, held_is_first = rows.iloc[[firsts[-1]]], bool(new_key[firsts[-1]])
     if held is not None and not held_is_first:
-        yield held.assign(is_span=False)[FOUND]
+        yield held[FOUND]
 
 
-FOUND = ["is_span", "key", *PLACE, "start", "end"]
-FOUND_SCHEMA = "is_span boolean, key long, no_id boolean, doc_id long, tie long, start long, end long"
+FOUND = ["key", *PLACE, "start", "end", "anchor"]
+FOUND_SCHEMA = "key long, no_id boolean, doc_id long, tie long, start long, end long, anchor int"
 
 
 def placed(docs: DataFrame) -> DataFrame:
@@ -246,23 +235,24 @@ def _packed_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in in_slices(batches):
         packed = pa.array([packer.compress(t.encode()) for t in batch.column("text").to_pylist()], pa.binary())
         nothing = pa.array(np.zeros(batch.num_rows, dtype=np.int64))
-        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in PLACE], nothing, nothing, nothing, packed], BESIDE)
+        others = [nothing, nothing, nothing.cast(pa.int32()), nothing, packed]
+        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in PLACE], *others], BESIDE)
 
 
-BESIDE = [*PLACE, "start", "end", "key", "packed"]
-BESIDE_SCHEMA = "no_id boolean, doc_id long, tie long, start long, end long, key long, packed binary"
+BESIDE = [*PLACE, "start", "end", "anchor", "key", "packed"]
+BESIDE_SCHEMA = "no_id boolean, doc_id long, tie long, start long, end long, anchor int, key long, packed binary"
 
 
 def beside(texts: DataFrame, rows: DataFrame) -> DataFrame:
-    """Rows of places (start, end, key) and the texts they are in, one after the other in a partition; rows come first."""
+    """Rows (start, end, anchor, key) and the texts they are in, one after the other in a partition; rows come first."""
     packed = texts.mapInArrow(_packed_text, BESIDE_SCHEMA)
-    listed = rows.select(*PLACE, "start", "end", "key", F.lit(None).cast("binary").alias("packed"))
+    listed = rows.select(*BESIDE[:-1], F.lit(None).cast("binary").alias("packed"))
     dealt = packed.unionByName(listed).repartition(*PLACE)
     return dealt.sortWithinPartitions(*PLACE, F.col("packed").isNotNull())
 
 
-def _texts_with_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, bytes, list[tuple[int, int, int]], bool]]:
-    """Each text with its rows (start, end, key), and whether it is a copy of the row before."""
+def _texts_with_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, bytes, list[tuple[int, int, int, int]], bool]]:
+    """Each text with its rows (start, end, anchor, key), and whether it is a copy of the row before."""
     unpacker = zstandard.ZstdDecompressor()
     rows, of, last = [], None, None
     for batch in in_slices(batches, 4096):
@@ -286,8 +276,8 @@ PIECES_SCHEMA = (
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The surroundings of anchors: where they start and where the anchor stands in them."""
-    out, size = [], 0
+    """Pieces with their bytes; their strings begin from ``from_left`` to ``to_left`` bytes before the anchor."""
+    out = []
 
     def rows() -> pa.RecordBatch:
         return pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=PIECES), schema=PIECES_ARROW, preserve_index=False)
@@ -295,9 +285,7 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for place, data, asked, is_copy in _texts_with_rows(batches):
         if is_copy:
             continue
-        for start, _, key in asked:
-            low = max(0, start - REACH)
-            out.append((key, *place, low, start - low, 0, REACH, data[low : start + LENGTH]))
+        out += [(key, *place, start, anchor, 0, REACH, data[start:end]) for start, end, anchor, key in asked]
         if len(out) > 5_000:
             yield rows()
             out = []
@@ -321,16 +309,16 @@ PIECES_ARROW = pa.schema(
 
 
 def divided(pieces: DataFrame) -> DataFrame:
-    """Pieces of hot keys, for the strings that begin near the anchor and for those that begin far from it.
+    """Pieces cut in two: the strings that begin near the anchor and those that begin far from it.
 
     Strings that begin ``from_left`` to ``to_left`` bytes before the anchor share what lies between the last
-    beginning and the first end; that becomes the key. Pieces are cut to what such strings can reach.
+    beginning and the first end; that becomes the key.
     """
     middle = F.expr("(from_left + to_left) div 2").cast("int")
     near = F.struct(F.col("from_left").alias("f"), middle.alias("t"))
     far = F.struct((middle + 1).alias("f"), F.col("to_left").alias("t"))
     halves = pieces.withColumn("_h", F.explode(F.array(near, far))).withColumns({"from_left": F.col("_h.f"), "to_left": F.col("_h.t")})
-    # Pieces at the beginning or end of a text may lack strings that begin so far left, or so far right.
+    # Not every piece has strings of both kinds.
     first = F.greatest(F.col("anchor") - F.col("to_left"), F.lit(0))
     last = F.least(F.col("anchor") - F.col("from_left") + LENGTH, F.length("piece"))
     cut = halves.withColumns({"_first": first, "_last": last}).filter(F.col("_last") - F.col("_first") >= LENGTH)
@@ -351,13 +339,14 @@ def divided(pieces: DataFrame) -> DataFrame:
 def indexed_spans(pieces: DataFrame, largest: int = LARGEST_GROUP) -> DataFrame:
     """Spans (no_id, doc_id, tie, start, end) of strings that are repeats, from pieces that meet under a key."""
     spans = None
+    pieces = divided(pieces)
     while True:
         pieces = written(pieces, "pieces")
         sizes = pieces.groupBy("key").agg(F.count(F.lit(1)).alias("_n"))
         hot = written(sizes.filter(F.col("_n") > largest).select(F.col("key").alias("_key")), "hot-anchors")
         none_hot = hot.isEmpty()
         cold = pieces if none_hot else pieces.join(hot, F.col("key") == F.col("_key"), "left_anti")
-        in_runs = cold.repartition("key").sortWithinPartitions("key")
+        in_runs = cold.repartition("key").sortWithinPartitions("key", "piece", *PLACE, "start")
         found = in_runs.mapInArrow(_bucket_spans, "no_id boolean, doc_id long, tie long, start long, end long")
         spans = found if spans is None else spans.unionByName(found)
         if none_hot:
@@ -379,7 +368,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     rank = np.zeros(n, dtype=np.uint64)
     for i in range(8):
         rank = (rank << np.uint64(8)) | padded[i : i + n]
-    order = np.argsort(rank, kind="stable")
+    order = np.argsort(rank)
     size = 8
     in_order = rank[order]
     while True:
@@ -393,7 +382,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
         second = np.zeros(n, dtype=np.int64)
         second[: n - size] = rank[size:]
         both = rank * np.int64(n + 1) + second
-        order = np.argsort(both, kind="stable")
+        order = np.argsort(both)
         in_order = both[order]
         size *= 2
 
@@ -480,23 +469,34 @@ def _spans_of(rows: list[tuple]) -> list[tuple]:
 
 
 def _bucket_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keys follow each other; a bucket holds whole ones."""
+    """Pieces sorted by key and content: of equal ones all but the first are repeats; a bucket holds whole keys."""
     names = [*PLACE, "start", "end"]
     types = [pa.bool_(), *[pa.int64()] * 4]
-    held, size, key = [], 0, None
+    held, of_key, size, key = [], [], 0, None
 
     def close() -> Iterator[pa.RecordBatch]:
-        if len(held) > 1 and (spans := _spans_of(held)):
+        if held and (spans := _spans_of(held)):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*spans), types)], names)
 
     for batch in in_slices(batches, 4096):
+        again = []
         for row_key, *row in zip(*[batch.column(c).to_pylist() for c in ("key", *PLACE, "start", "piece")]):
-            if row_key != key and size >= BUCKET_BYTES:
-                yield from close()
-                held, size = [], 0
-            key = row_key
-            held.append(tuple(row))
-            size += len(row[-1]) + 1
+            if row_key != key:
+                if len(of_key) > 1:
+                    held += of_key
+                    size += sum(len(r[-1]) + 1 for r in of_key)
+                    if size >= BUCKET_BYTES:
+                        yield from close()
+                        held, size = [], 0
+                key, of_key = row_key, []
+            if of_key and of_key[-1][-1] == row[-1]:
+                again.append((*row[:-1], row[-2] + len(row[-1])))
+            else:
+                of_key.append(tuple(row))
+        if again:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*again), types)], names)
+    if len(of_key) > 1:
+        held += of_key
     yield from close()
 
 
@@ -518,7 +518,7 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), KEPT_ARROW.types)], schema=KEPT_ARROW)
 
     for (no_id, doc_id, _), data, marks, is_copy in _texts_with_rows(batches):
-        marks = [(0, len(data), 0)] if is_copy and len(data) >= LENGTH else marks
+        marks = [(0, len(data))] if is_copy and len(data) >= LENGTH else marks
         starts, ends = merged(*np.array([m[:2] for m in marks], dtype=np.int64).reshape(-1, 2).T)
         ends = np.minimum(ends, len(data))
         spans = list(zip(starts.tolist(), ends.tolist()))
@@ -535,17 +535,18 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_spans(texts: DataFrame, largest: int = LARGEST_GROUP) -> DataFrame:
     """Spans (no_id, doc_id, tie, start, end) that cover all repeated strings of ``placed`` texts; they may overlap."""
     anchors = texts.mapInArrow(_anchor_rows, ROW)
-    in_runs = anchors.repartition("key").sortWithinPartitions("key", "around", *PLACE, "start")
+    in_runs = anchors.repartition("key").sortWithinPartitions("key", "content", *PLACE, "start")
     found = written(in_runs.mapInPandas(_compare, FOUND_SCHEMA), "anchors")
-    pieces = beside(texts, found.filter("NOT is_span")).mapInArrow(_pieces, PIECES_SCHEMA)
-    return found.filter("is_span").select(*PLACE, "start", "end").unionByName(indexed_spans(pieces, largest))
+    pieces = beside(texts, found.filter(F.col("anchor") != NO_ANCHOR)).mapInArrow(_pieces, PIECES_SCHEMA)
+    return found.filter(F.col("anchor") == NO_ANCHOR).select(*PLACE, "start", "end").unionByName(indexed_spans(pieces, largest))
 
 
 def without_repeats(docs: DataFrame, largest: int = LARGEST_GROUP) -> DataFrame:
     """For each row of documents: doc_id, n_bytes, the removed ``spans``, and the bytes ``kept``."""
     texts = placed(docs)
     spans = written(repeated_spans(texts, largest), "spans")
-    return beside(texts, spans.withColumn("key", F.lit(0).cast("long"))).mapInArrow(_kept, KEPT_SCHEMA)
+    marks = spans.withColumns({"anchor": F.lit(NO_ANCHOR), "key": F.lit(0).cast("long")})
+    return beside(texts, marks).mapInArrow(_kept, KEPT_SCHEMA)
 
 
 def op12_run_length(spark: SparkSession, sf_dir: str) -> DataFrame:
