@@ -129,8 +129,8 @@ class Chunk:
         parts, self.parts, self.size = self.parts, [], 0
         if not parts:
             return
-        # Documents in order: of equal pieces the first counts.
-        parts.sort(key=lambda part: part[:2])
+        # Documents in order: of equal pieces the first counts. A row that is repeated is no repeat of itself.
+        parts = list({part[:2]: part for part in sorted(parts, key=lambda part: part[:2])}.values())
         joined = b"".join(part[2] for part in parts)
         hashes = gram_hashes(np.frombuffer(joined, dtype=np.uint8), self.values)
         least = least_places(hashes, REACH + 1)
@@ -202,9 +202,11 @@ def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         new[1:] |= content[1:] != content[:-1]
         if held is not None:
             new_key[0] = held_is_first
-        if not new.all():
-            yield rows[~new].assign(anchor=np.int32(NO_ANCHOR))[FOUND]
-        firsts = np.flatnonzero(new)
+        firsts, again = np.flatnonzero(new), np.flatnonzero(~new)
+        if len(again):
+            before = firsts[np.searchsorted(firsts, again, side="right") - 1]
+            same_row = np.logical_and.reduce([rows[c].to_numpy()[again] == rows[c].to_numpy()[before] for c in (*PLACE, "start")])
+            yield rows.iloc[again[~same_row]].assign(anchor=np.int32(NO_ANCHOR))[FOUND]
         others = ~new_key[firsts]
         asked = others.copy()
         asked[:-1] |= others[1:]
