@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from stratalake.checks.runner import Check, expression_is_true, not_null, relationships, run_checks, unique
 from stratalake.plans import bronze, gold, marts, silver
-from stratalake.sources.layers import layer_path, materialize, publish_view, read_layer
+from stratalake.sources.layers import layer_path, materialize, new_version, publish_view, read_layer, switch_to
 
 # The columns each table is laid out by.
 CLUSTER_COLUMNS = {
@@ -103,9 +103,10 @@ def run_layers(
     """Write bronze, silver and gold below ``root`` and publish the marts as views.
 
     Each layer starts from the files of the layer before, so a failure never goes
-    back further than one layer. A layer's checks run once its tables are
+    back further than one layer. A layer's checks run once new versions of its tables are
     written; their report is kept below ``<root>/checks``, one row per layer,
-    table and check, and a failed check of severity error ends the run.
+    table and check, and a failed check of severity error ends the run. Readers see
+    the new versions once the checks of the layer have passed, and the earlier ones until then.
 
     With fewer ``layers`` only those are built: what they start from is read from
     the files of an earlier run, and the marts are published if gold is among them.
@@ -122,13 +123,16 @@ def run_layers(
             tables.update({name: read_layer(spark, root, layer, name) for name in plans})
             return
 
-        def store(name: str) -> DataFrame:
+        spark = next(iter(plans.values())).sparkSession
+
+        def store(name: str) -> str:
             sample = (samples or {}).get(name)
-            return materialize(plans[name], layer_path(root, layer, name), CLUSTER_COLUMNS[name], sample)
+            return new_version(plans[name], layer_path(root, layer, name), CLUSTER_COLUMNS[name], sample)
 
         # The tables of a layer do not depend on each other: one fills the cores that another leaves idle.
         with ThreadPoolExecutor(len(plans)) as pool:
-            tables.update(zip(plans, pool.map(store, plans)))
+            versions = dict(zip(plans, pool.map(store, plans)))
+        tables.update({name: spark.read.schema(plans[name].schema).parquet(versions[name]) for name in plans})
         checks = checks_of(tables)
         outcomes = [
             run_checks(tables[name], checks[name]).select(
@@ -137,8 +141,12 @@ def run_layers(
             for name in plans
             if checks.get(name)
         ]
-        if not outcomes:
-            return
+        if outcomes:
+            report_on(layer, outcomes)
+        for name, version in versions.items():
+            switch_to(spark, layer_path(root, layer, name), version)
+
+    def report_on(layer: str, outcomes: list[DataFrame]) -> None:
         report = materialize(reduce(DataFrame.unionAll, outcomes), layer_path(root, "checks", layer))
         reports.append(report)
         failed = report.filter("status = 'fail'").select("table_name", "check_name", "failures").collect()

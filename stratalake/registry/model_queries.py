@@ -12,8 +12,9 @@ from stratalake.registry.book import QueryBook
 from stratalake.registry.sales_sql import with_tables
 from stratalake.session import scratch_path
 from stratalake.sources.files import load_table, source, typed_load, write_text_csv
-from stratalake.sources.layers import layer_path, materialize, read_layer, write_table
+from stratalake.sources.layers import layer_path, materialize, new_version, read_layer, switch_to, write_table
 from stratalake.sources.sales import sales_sources
+from stratalake.sources.zones import overlapping_files, read_range, read_zone_map, write_zone_map
 
 BOOK = QueryBook()
 
@@ -191,6 +192,46 @@ def clustered_write(spark: SparkSession, directory: str) -> DataFrame:
     return _unstamped(materialize(header, layer_path(root, "silver", name), CLUSTER_COLUMNS[name]))
 
 
+def _zoned_orders(spark: SparkSession, directory: str) -> str:
+    """Orders laid out by their key in some files, with a zone map; returns the table's path."""
+    path = layer_path(scratch_path(spark, "zones"), "silver", "orders")
+    orders = load_table(spark, directory, "orders")
+    switch_to(spark, path, new_version(orders, path, ["o_orderkey"]))
+    write_zone_map(spark, path, "o_orderkey")
+    return path
+
+
+@BOOK.add(
+    "zone_map_overlaps",
+    """
+    SELECT count(*) AS n_rows, min(o_orderkey) AS least, max(o_orderkey) AS greatest, CAST(0 AS BIGINT) AS overlapping_files
+    FROM orders
+    """,
+)
+def zone_map_overlaps(spark: SparkSession, directory: str) -> DataFrame:
+    zones = read_zone_map(spark, _zoned_orders(spark, directory), "o_orderkey")
+    ends = zones.agg(F.sum("n_rows").alias("n_rows"), F.min("least").alias("least"), F.max("greatest").alias("greatest"))
+    overlaps = overlapping_files(zones).agg(F.count(F.lit(1)).alias("overlapping_files"))
+    return ends.withColumn("_one", F.lit(1)).join(overlaps.withColumn("_one", F.lit(1)), "_one").drop("_one")
+
+
+@BOOK.add(
+    "zone_map_range",
+    """
+    SELECT o_orderkey, o_custkey, o_totalprice, TRUE AS in_fewer_files
+    FROM orders
+    WHERE o_orderkey BETWEEN (SELECT max(o_orderkey) FROM orders) // 4 AND (SELECT max(o_orderkey) FROM orders) // 3
+    """,
+)
+def zone_map_range(spark: SparkSession, directory: str) -> DataFrame:
+    path = _zoned_orders(spark, directory)
+    zones = read_zone_map(spark, path, "o_orderkey")
+    greatest, files = zones.agg(F.max("greatest"), F.count(F.lit(1))).first()
+    chosen = read_range(spark, path, "o_orderkey", greatest // 4, greatest // 3)
+    fewer = F.lit(len(chosen.inputFiles()) <= max(1, files // 2))
+    return chosen.select("o_orderkey", "o_custkey", "o_totalprice", fewer.alias("in_fewer_files"))
+
+
 def _count(condition: str, table: str) -> str:
     return f"(SELECT count(*) FROM {table} WHERE {condition})"
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from stratalake.checks import compare, groups, ordered
 from stratalake.operators.dedupe import deduplicate
 from stratalake.operators import ordered as ordered_operators
-from stratalake.operators.ordered import by_rows, hot_groups, sort_position, value_ranges, with_neighbour
+from stratalake.operators.ordered import by_rows, hot_groups, with_neighbour
+from stratalake.operators.ranges import value_ranges
 from stratalake.registry.operator_queries import union_event_shards
 from stratalake.plans import gold, marts
 from stratalake.session import DEFAULT_SHUFFLE_PARTITIONS, shuffle_partitions_for
@@ -120,35 +121,6 @@ def test_exclusive_ranges_in_ranges(table, rows_of, make_rows, gaps, zero_length
     assert rows_of(found) == ranges_by_hand(rows, grouped, gaps, zero_length)
 
 
-@pytest.mark.parametrize(
-    "ddl, values",
-    [
-        ("date", [dt.date(2024, 1, 1) + dt.timedelta(i) for i in range(40)]),
-        ("timestamp_ntz", [dt.datetime(2024, 1, 1) + dt.timedelta(hours=i) for i in range(40)]),
-        ("string", sorted(f"{chr(97 + i % 7)}{'é' * (i % 3)}{i:03d}" for i in range(40))),
-        ("double", [None, -1e300, -1.5, 0.0, 2.5, 1e300, float("inf"), float("nan")]),
-        ("decimal(20,2)", [None, 1, 2, 3]),
-    ],
-)
-def test_sort_position_never_decreases(spark, ddl, values):
-    df = spark.createDataFrame([(str(v) if v is not None else None,) for v in values], "t string")
-    typed = df.select(F.col("t").cast(ddl).alias("v")).select("v", sort_position(F.col("v"), df.select(F.col("t").cast(ddl).alias("v")).schema["v"].dataType).alias("p"))
-    positions = [row.p for row in typed.orderBy("v").collect()]
-    assert positions == sorted(positions) and None not in positions
-
-
-def test_ranges_of_a_table_with_one_hot_value(table):
-    hot = value_ranges(table("v int", *([5] * 500 + list(range(100)))), "v", by_rows(50))
-    assert hot.crowded
-    assert hot.splits[0] == float("-inf") and hot.splits[-1] == float("inf") and len(hot.splits) > 3
-    assert hot.splits == sorted(set(hot.splits))
-    even = value_ranges(table("v int", *range(600)), "v", by_rows(50))
-    assert not even.crowded and len(even.splits) == 13
-    assert value_ranges(table("v int", *range(600)), "v", by_rows(10_000)) is None
-    only_nulls = value_ranges(table("v int", *([None] * 50)), "v", by_rows(5))
-    assert only_nulls.crowded and len(only_nulls.splits) == 3
-
-
 def test_no_window_runs_over_everything_at_once(spark):
     """With several ranges only the ends of the ranges, one row each, come together in one task."""
     df = spark.range(100_000).withColumn("g", F.col("id") % 3)
@@ -252,56 +224,94 @@ def without_merged_partitions(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
-@pytest.mark.parametrize("copies", [False, True])
-def test_hot_cluster_key_is_spread(spark, without_merged_partitions, monkeypatch, copies):
-    """A key with a third of the rows, all different or all the same, spans several partitions."""
-    key = F.when(F.col("id") % 3 == 0, 30_000).otherwise(F.col("id"))
-    value = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")) if copies else F.col("id")
-    monkeypatch.setattr(layers, "FEWEST_ROWS_PER_FILE", 5_000)
-    df = spark.range(0, 60_000, 1, 8).select(key.alias("k"), value.alias("v"))
-    laid_out = clustered(df, ["k"])
-    assert "rangepartitioning" in plan_of(laid_out)
-    assert laid_out.columns == ["k", "v"]
+def sizes_in_order(laid_out):
+    """Rows per partition; partitions hold values in order."""
     parts = laid_out.groupBy(F.spark_partition_id().alias("part")).agg(
         F.count("*").alias("n"), F.min("k").alias("lo"), F.max("k").alias("hi")
     )
     rows = parts.orderBy("part").collect()
-    assert len(rows) == int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert sum(r.n for r in rows) == 60_000 and max(r.n for r in rows) < 19_000
-    assert all(a.hi <= b.lo for a, b in zip(rows, rows[1:]))
+    assert all(a.hi <= b.lo for a, b in zip(rows, rows[1:]) if a.hi is not None)
+    return [r.n for r in rows]
+
+
+KEYS = {
+    "numbers": "xxhash64(id) % 1000000",
+    "negative": "-id * 3",
+    "hot": "if(id % 3 = 0, 30000, id)",
+    "nulls": "if(id % 3 = 0, NULL, id)",
+    "urls": "if(id = 7, 'ftp://a', concat('https://example.com/', lpad(cast(id * 7 AS string), 8, '0')))",
+    "late texts": "concat('customer/2024/', xxhash64(id) % 1000000 + 5000000)",
+    "binary": "unhex(sha2(cast(id AS string), 256))",
+    "binary with one beginning": "cast(concat('prefix/prefix/', id) AS binary)",
+    "no value": "cast(NULL AS string)",
+    "large decimals": "cast(id / 7 AS decimal(30,4))",
+    "decimals": "cast(id / 7 AS decimal(12,4))",
+    "times": "timestamp_micros(id * 12345678)",
+    "local times": "cast(timestamp_micros(id * 12345678) AS timestamp_ntz)",
+    "dates": "date_from_unix_date(cast(id % 5000 AS int))",
+    "doubles": "CASE id % 50 WHEN 0 THEN double('NaN') WHEN 1 THEN double('Infinity') ELSE id / -3.0D END",
+}
+
+
+@pytest.mark.parametrize("n_files", [2, 10])
+@pytest.mark.parametrize("kind", KEYS)
+def test_cluster_keys_of_any_type_are_balanced(spark, without_merged_partitions, kind, n_files):
+    df = spark.range(0, 60_000, 1, 8).selectExpr(f"{KEYS[kind]} AS k", "id")
+    sizes = sizes_in_order(clustered(df, ["k", "id"], n_files=n_files))
+    assert len(sizes) >= n_files and sum(sizes) == 60_000 and max(sizes) <= 2 * 60_000 / n_files
+
+
+@pytest.mark.parametrize("copies", [False, True])
+def test_hot_cluster_key_is_spread(spark, without_merged_partitions, copies):
+    """A key with a third of the rows, all different or all the same, spans several partitions."""
+    value = "if(id % 3 = 0, 0, id)" if copies else "id"
+    df = spark.range(0, 60_000, 1, 8).selectExpr(f"{KEYS['hot']} AS k", f"{value} AS v")
+    laid_out = clustered(df, ["k"], n_files=12)
+    assert laid_out.columns == ["k", "v"]
+    sizes = sizes_in_order(laid_out)
+    assert sum(sizes) == 60_000 and max(sizes) <= 10_000
     assert exactly_equal(laid_out, df)
 
 
 @pytest.mark.parametrize("as_text", [False, True])
 @pytest.mark.parametrize("apart", [False, True])
-def test_even_cluster_keys_go_straight_to_their_range(spark, monkeypatch, as_text, apart):
-    """Ranges come from the key column alone, and partitions hold neighbouring keys in similar numbers."""
-    monkeypatch.setattr(layers, "FEWEST_ROWS_PER_FILE", 5_000)
-    number = F.xxhash64("id") % 1_000_000 + 5_000_000
-    key = F.concat(F.lit("customer/2024/"), number.cast("string")) if as_text else number
-    df = spark.range(0, 60_000, 1, 8).select(key.alias("k"), "id")
-    laid_out = clustered(df, ["k", "id"], sample_from=df.select("k") if apart else None)
+def test_cluster_keys_go_straight_to_their_range(spark, as_text, apart):
+    """Ranges come from the key column alone; the plan itself has one shuffle, by the number of the range."""
+    key = KEYS["late texts"] if as_text else KEYS["numbers"]
+    df = spark.range(0, 60_000, 1, 8).selectExpr(f"{key} AS k", "id")
+    laid_out = clustered(df, ["k", "id"], sample_from=df.select("k") if apart else None, n_files=8)
     plan = plan_of(laid_out)
     assert "rangepartitioning" not in plan and "direct_shuffle_partition_id" in plan
-    parts = laid_out.groupBy(F.spark_partition_id().alias("part")).agg(
-        F.count("*").alias("n"), F.min("k").alias("lo"), F.max("k").alias("hi")
-    )
-    rows = parts.orderBy("part").collect()
-    assert len(rows) == 8 and sum(r.n for r in rows) == 60_000
-    assert all(4_500 < r.n < 11_500 for r in rows)
-    assert all(a.hi < b.lo for a, b in zip(rows, rows[1:]))
+    assert plan.count("Exchange ") - plan.count("BroadcastExchange ") - plan.count("ReusedExchange ") == 1
     assert exactly_equal(laid_out, df)
 
 
-def test_small_tables_are_one_sorted_file(spark):
+def test_columns_with_the_names_of_helpers_are_kept(spark):
+    df = spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("_Value"), F.lit("x").alias("lo"))
+    assert clustered(df, ["k"], n_files=3).count() == 100
+
+
+def test_ranges_need_no_list_longer_than_a_level(spark):
+    ranges = value_ranges(spark.range(0, 200_000, 1, 4).withColumnRenamed("id", "k"), "k", 10_000)
+    assert ranges.coarse == ranges.fine == 100 and len(ranges.first_ends) == 99
+    assert ranges.ends.agg(F.max(F.size("_ends"))).first()[0] == 99
+    counts = ranges.assign(spark.range(200_000).withColumnRenamed("id", "k"), "r").groupBy("r").count()
+    assert counts.agg(F.max("count")).first()[0] <= 40 and counts.count() >= 9_990
+    assert value_ranges(spark.range(5).withColumnRenamed("id", "k"), "k", 10**12).n == 65_536
+
+
+def test_ranges_of_an_empty_table(spark, table):
+    for ddl in ("k string", "k double", "k int"):
+        assert clustered(table(ddl), ["k"], n_files=4).count() == 0
+
+
+def test_small_tables_are_sorted(spark):
     df = spark.range(100).select((100 - F.col("id")).alias("k"))
     assert [r.k for r in clustered(df, ["k"]).collect()] == list(range(1, 101))
 
 
 def test_partitions_for_a_table():
-    assert layers._partitions_for(0, 8) == 0
-    assert layers._partitions_for(10_000, 8) == 1
-    assert layers._partitions_for(120_000, 8) == 3
+    assert layers._partitions_for(0, 8) == 8
     assert layers._partitions_for(5_000_000, 8) == 8
     assert layers._partitions_for(50_000_000, 8) == 50
     assert layers._partitions_for(10**13, 8) == 10**7
