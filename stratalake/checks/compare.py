@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.operators.counted import expand_counts
+from stratalake.session import scratch_path
+
+CHECKSUM_BUCKETS = 65_536
 
 
 def _side_counts(
@@ -42,6 +45,37 @@ def equality(a: DataFrame, b: DataFrame, compare_columns: Sequence[str] | None =
     return counts.filter(only_a | only_b).select(which.alias("which_diff"), *columns)
 
 
+def reconcile(
+    a: DataFrame, b: DataFrame, compare_columns: Sequence[str] | None = None, n_buckets: int = CHECKSUM_BUCKETS
+) -> DataFrame:
+    """The rows of ``equality``, from sums of row hashes where the tables agree.
+
+    Rows are dealt by a hash into buckets, and a bucket of each side is a count and sums of two
+    other hashes, in any order: some rows per task in place of all rows. Only rows of buckets
+    whose sums differ are compared themselves. Both tables are read before the result is; different
+    rows go unseen only if counts and 128 bits of sums agree by chance.
+    """
+    names = list(compare_columns or a.columns)
+    columns = [F.col(f"`{n}`") for n in names]
+    # Hashes leave out NULLs, so where they stand is hashed as well.
+    nulls = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in columns])
+    bucket = F.pmod(F.xxhash64(*columns, nulls), F.lit(n_buckets))
+
+    def sums(df: DataFrame, sign: int) -> DataFrame:
+        hashes = [F.xxhash64(F.lit(1), nulls, *columns), F.xxhash64(F.lit(2), *reversed(columns), nulls)]
+        # Halves of hashes, so that their sums are far from the ends of their type.
+        halves = [half for h in hashes for half in (F.shiftright(h, 32), h.bitwiseAND(F.lit(0xFFFFFFFF)))]
+        parts = [(value.cast("decimal(20,0)") * sign).alias(f"_s{i}") for i, value in enumerate([F.lit(1), *halves])]
+        return df.select(bucket.alias("_bucket"), *parts)
+
+    totals = sums(a, 1).unionAll(sums(b, -1)).groupBy("_bucket").agg(*[F.sum(f"_s{i}").alias(f"_s{i}") for i in range(5)])
+    path = scratch_path(a.sparkSession, "checksums")
+    totals.filter(" OR ".join(f"_s{i} <> 0" for i in range(5))).select("_bucket").write.parquet(path)
+    differ = a.sparkSession.read.schema("_bucket long").parquet(path)
+    left, right = (df.select(*columns).join(differ, bucket == F.col("_bucket"), "left_semi") for df in (a, b))
+    return equality(left, right, names)
+
+
 # Failure count of ``equality``: the rows, plus how uneven the two directions are.
 EQUALITY_FAILURES = (
     "count(*) + abs(count_if(which_diff = 'a_minus_b') - count_if(which_diff = 'b_minus_a'))"

@@ -15,13 +15,29 @@ from stratalake.functions.numbers import as_column
 SEVERITIES = ("warn", "error")
 
 
+@dataclass(frozen=True, eq=False)
+class Key:
+    """What a key check counts: repeated values of a column, or rows whose value ``parent`` lacks."""
+
+    column: str
+    parent: DataFrame | None = None
+    field: str = ""
+    from_condition: Column | str = "true"
+    to_condition: Column | str = "true"
+
+    @property
+    def failures(self) -> str:
+        return "count(*)" if self.parent is None else compare.ORPHAN_FAILURES
+
+
 @dataclass(frozen=True, eq=False)
 class Check:
     """One check of one table.
 
     A check is either a ``violation`` predicate or a ``query`` from the table to
     its violating rows. ``failures`` turns those rows into a number, and
-    ``warn_if`` and ``error_if`` are conditions on that number.
+    ``warn_if`` and ``error_if`` are conditions on that number. ``key`` says what
+    the query does, where checks of keys can share a scan.
     """
 
     name: str
@@ -34,6 +50,7 @@ class Check:
     error_if: str = "!= 0"
     owner: str | None = None
     store_as: str | None = None
+    key: Key | None = None
 
     def __post_init__(self):
         if (self.violation is None) == (self.query is None):
@@ -42,6 +59,8 @@ class Check:
             raise ValueError(f"severity must be one of {SEVERITIES}, got {self.severity!r}")
 
     def configured(self, **options) -> Check:
+        if "query" in options:
+            options = {"key": None, **options}
         return replace(self, **options)
 
     def violations(self, df: DataFrame) -> DataFrame:
@@ -50,7 +69,9 @@ class Check:
 
     @property
     def fits_one_pass(self) -> bool:
-        return self.query is None and self.failures == "count(*)"
+        if self.store_as or (self.query is not None and self.key is None):
+            return False
+        return self.failures == ("count(*)" if self.key is None else self.key.failures)
 
 
 def not_null(column: str, **options) -> Check:
@@ -58,7 +79,7 @@ def not_null(column: str, **options) -> Check:
 
 
 def unique(column: str, **options) -> Check:
-    return Check(f"unique_{column}", query=lambda df: groups.unique(df, column), **options)
+    return Check(f"unique_{column}", query=lambda df: groups.unique(df, column), key=Key(column), **options)
 
 
 def accepted_range(column: str, min_value=None, max_value=None, inclusive: bool = True, **options) -> Check:
@@ -125,6 +146,7 @@ def relationships(
         f"relationships_{column}",
         query=lambda df: compare.orphan_counts(df, column, parent, field, from_condition, to_condition),
         failures=compare.ORPHAN_FAILURES,
+        key=Key(column, parent, field, from_condition, to_condition),
         **options,
     )
 
@@ -150,22 +172,70 @@ def _report_row(counted: DataFrame, check: Check, failures: Column) -> DataFrame
     ).withColumn("status", _status(check))
 
 
-def _one_pass(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """All predicate checks of a table in a single aggregation, one report row each."""
+def _all_of(*conditions: Column | str | None) -> Column:
+    return reduce(lambda a, b: a & b, [as_column(c) for c in conditions if c is not None])
+
+
+def _failures(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """One row: the failures ``_i`` of each predicate check, from a single aggregation."""
+    return df.agg(*[F.count_if(_all_of(c.where, c.violation)).alias(f"_{i}") for i, c in enumerate(checks)])
+
 
-    def counter(check: Check) -> Column:
-        broken = as_column(check.violation)
-        if check.where is not None:
-            broken = as_column(check.where) & broken
-        return F.count_if(broken)
+def _keyed_failures(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """One row: the failures ``_i`` of predicate and key checks, from one scan of the table and one of each parent.
 
-    counts = df.agg(*[counter(check).alias(f"_{i}") for i, check in enumerate(checks)])
+    A row of the table is a row for each key column, and one without a key for all predicates.
+    Those are stacked with the keys of the parents, and one aggregation counts each
+    value of each column, in the input tasks first.
+    """
+    columns = list(dict.fromkeys(c.key.column for c in checks if c.key))
+    types = [df.select(F.col(c)).schema[0].dataType for c in columns]
+    keys = [f"_k{n}" for n in range(len(columns))]
+    set_of = {i: columns.index(c.key.column) if c.key else -1 for i, c in enumerate(checks)}
+    orphans = [i for i, c in enumerate(checks) if c.key and c.key.parent is not None]
+    counted = [_all_of(c.where, c.key.from_condition if c.key else c.violation) for c in checks]
+    none = F.lit(0).cast("bigint")
+    flagged = df.select(
+        *[F.col(c).alias(k) for c, k in zip(columns, keys)],
+        *[F.when(flag, F.lit(1).cast("bigint")).otherwise(none).alias(f"_c{i}") for i, flag in enumerate(counted)],
+    )
+
+    def entry(of: int) -> Column:
+        return F.struct(
+            F.lit(of).alias("_set"),
+            *[(F.col(k) if n == of else F.lit(None).cast(types[n])).alias(k) for n, k in enumerate(keys)],
+            *[(F.col(f"_c{i}") if set_of[i] == of else none).alias(f"_c{i}") for i in set_of],
+        )
+
+    entries = F.array(*[entry(of) for of in sorted(set(set_of.values()))])
+    rows_of = flagged.select(F.explode(entries).alias("_e")).select("_e.*")
+    stacked = rows_of.filter(reduce(lambda a, b: a | b, [F.col(k).isNotNull() for k in keys], F.col("_set") < 0))
+    for i in orphans:
+        key, name = checks[i].key, keys[set_of[i]]
+        parents = key.parent.filter(key.to_condition).filter(F.col(key.field).isNotNull())
+        tagged = parents.select(F.lit(set_of[i]).alias("_set"), F.col(key.field).alias(name), F.lit(1).cast("bigint").alias(f"_p{i}"))
+        stacked = stacked.unionByName(tagged, allowMissingColumns=True)
+    marks = [*[f"_c{i}" for i in set_of], *[f"_p{i}" for i in orphans]]
+    values = stacked.groupBy("_set", *keys).agg(*[F.coalesce(F.sum(m), none).alias(m) for m in marks])
+
+    def failures(i: int, check: Check) -> Column:
+        here, n = F.col("_set") == set_of[i], F.col(f"_c{i}")
+        if check.key and check.key.parent is None:
+            return F.count_if(here & (n > 1))
+        return F.sum(F.when(here & (F.col(f"_p{i}") == 0) if check.key else here, n))
+
+    return values.agg(*[failures(i, c).alias(f"_{i}") for i, c in enumerate(checks)])
+
+
+def _one_pass(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """All predicate and key checks of a table from one scan of it, one report row each."""
+    counts = (_keyed_failures if any(c.key for c in checks) else _failures)(df, checks)
     entries = [
         F.struct(
             F.lit(check.name).alias("check_name"),
             F.lit(check.owner).cast("string").alias("owner"),
             F.lit(check.severity).alias("severity"),
-            F.col(f"_{i}").alias("failures"),
+            F.coalesce(F.col(f"_{i}"), F.lit(0).cast("bigint")).alias("failures"),
         )
         for i, check in enumerate(checks)
     ]
@@ -184,7 +254,7 @@ def run_checks(df: DataFrame, checks: Iterable[Check]) -> DataFrame:
     checks = list(checks)
     if len({c.name for c in checks}) != len(checks):
         raise ValueError("check names must differ")
-    fused = [c for c in checks if c.fits_one_pass and not c.store_as]
+    fused = [c for c in checks if c.fits_one_pass]
     reports = [_one_pass(df, fused)] if fused else []
     for check in checks:
         if check in fused:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.checks import compare, groups, ordered, rows, runner, schema
+from stratalake.checks import bitmaps, compare, groups, ordered, rows, runner, schema
 from stratalake.operators import introspect
 from stratalake.operators.reshape import pivot
 from stratalake.plans.layered_run import LINE_TOTAL, build_layers
@@ -59,14 +59,51 @@ def chk_at_least_one(spark: SparkSession, directory: str) -> DataFrame:
     """,
 )
 def chk_equality(spark: SparkSession, directory: str) -> DataFrame:
-    """Orders against a copy that is some weeks old and has other states for large orders."""
+    return compare.equality(*_orders_and_copy(spark, directory))
+
+
+@BOOK.add("chk_reconciled", BOOK.sql["chk_equality"])
+def chk_reconciled(spark: SparkSession, directory: str) -> DataFrame:
+    """The same rows, by sums of hashes first."""
+    return compare.reconcile(*_orders_and_copy(spark, directory))
+
+
+def _orders_and_copy(spark: SparkSession, directory: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Orders, a copy that is some weeks old and has other states for large orders, and the columns to compare."""
     day = F.col("o_orderdate").cast("date").alias("day")
     orders = load_table(spark, directory, "orders")
     state = F.when(F.col("o_totalprice") > 490_000, "X").otherwise(F.col("o_orderstatus")).alias("o_orderstatus")
     copy = orders.filter(F.col("o_orderdate") < "2001-06-01")
     columns = ["o_custkey", "o_orderstatus", "o_orderpriority", "day"]
-    return compare.equality(
-        orders.withColumn("day", day), copy.withColumns({"o_orderstatus": state, "day": day}), columns
+    return orders.withColumn("day", day), copy.withColumns({"o_orderstatus": state, "day": day}), columns
+
+
+@BOOK.add(
+    "chk_key_bitmaps",
+    """
+    SELECT 'repeated' AS kind, l_orderkey AS id, count(*) AS n FROM lineitem WHERE l_linenumber > 5 GROUP BY ALL HAVING count(*) > 1
+    UNION ALL
+    SELECT 'orphan', l_orderkey, count(*) FROM lineitem
+    WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderdate < '2001-06-01') GROUP BY ALL
+    UNION ALL
+    SELECT 'rows', NULL, count(l_orderkey) FROM lineitem
+    UNION ALL
+    SELECT 'keys', NULL, count(DISTINCT l_orderkey) FROM lineitem
+    """,
+)
+def chk_key_bitmaps(spark: SparkSession, directory: str) -> DataFrame:
+    """Order numbers of the lines: repeated ones among the last lines, those without an early order, and their number."""
+    lines, orders = load_table(spark, directory, "lineitem"), load_table(spark, directory, "orders")
+    repeated = bitmaps.unique(lines.filter("l_linenumber > 5"), "l_orderkey")
+    orphans = bitmaps.orphan_counts(lines, "l_orderkey", orders, "o_orderkey", to_condition="o_orderdate < '2001-06-01'")
+    totals = bitmaps.distinct_keys(lines, "l_orderkey")
+    counts = F.array(
+        F.struct(F.lit("rows").alias("kind"), F.col("n_rows").alias("n")), F.struct(F.lit("keys").alias("kind"), F.col("n_keys").alias("n"))
+    )
+    return (
+        repeated.select(F.lit("repeated").alias("kind"), F.col("unique_field").alias("id"), F.col("n_records").alias("n"))
+        .unionAll(orphans.select(F.lit("orphan"), "id", "n_rows"))
+        .unionAll(totals.select(F.explode(counts).alias("c")).select("c.kind", F.lit(None).cast("bigint"), "c.n"))
     )
 
 

@@ -140,6 +140,48 @@ def save_as_table(df: DataFrame, layer: str, table: str, cluster_by: list[str] |
     return spark.table(name)
 
 
+def save_bucketed(df: DataFrame, layer: str, table: str, key: str, n_buckets: int) -> DataFrame:
+    """Full refresh of a catalog table whose rows are dealt into buckets by ``key``, each sorted by it.
+
+    Tables with as many buckets of the same key are joined, and aggregated by it, as they lie. Rows are dealt
+    before the write, so that a bucket is one file. The catalog is pointed at the new version once that is written.
+    """
+    spark = df.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
+    folder = spark.sql(f"DESCRIBE DATABASE `{layer}`").filter("info_name = 'Location'").first()["info_value"]
+    path, draft = f"{folder.rstrip('/')}/{table}", f"{table}_{uuid.uuid4().hex}"
+    version = f"{path}/{VERSION}{uuid.uuid4().hex}"
+
+    def saved(name: str) -> None:
+        writer = dealt.write.format("parquet").option("path", version).bucketBy(n_buckets, key).sortBy(key)
+        writer.saveAsTable(f"`{layer}`.`{name}`")
+
+    dealt = df.repartition(n_buckets, F.col(f"`{key}`"))
+    name = f"`{layer}`.`{table}`"
+    if spark.catalog.tableExists(name):
+        same = spark.table(name).schema == df.schema and _buckets_of(spark, name) == (key, n_buckets)
+        # The draft is a second name for the files; dropping it leaves them.
+        saved(draft)
+        if same:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
+            spark.sql(f"DROP TABLE `{layer}`.`{draft}`")
+            spark.catalog.refreshTable(name)
+        else:
+            spark.sql(f"DROP TABLE {name}")
+            spark.sql(f"ALTER TABLE `{layer}`.`{draft}` RENAME TO {name}")
+    else:
+        saved(table)
+    switch_to(spark, path, version)
+    return spark.table(name)
+
+
+def _buckets_of(spark: SparkSession, name: str) -> tuple[str, int] | None:
+    facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+    if "Num Buckets" not in facts:
+        return None
+    return facts["Bucket Columns"].strip("[]`"), int(facts["Num Buckets"])
+
+
 def materialize(
     df: DataFrame, path: str, cluster_by: list[str] | None = None, sample_from: DataFrame | None = None
 ) -> DataFrame:
