@@ -8,12 +8,12 @@ least room, many at a time. The plan says which ranks of a length go to which
 sequences and offsets, and pieces find their slots by their rank within their
 length.
 
-Ranks come from small windows: a length is split by a hash into as many parts as
-there are shuffle partitions, and the counts of the parts give where each begins.
-So no length, however frequent, is ranked by one task. ``pack_documents`` writes and
-places digests of the pieces, without their tokens; ``sequences`` makes the token
-sequences of pieces that have kept theirs. Null texts are empty and have the end token
-only; an empty table has no pieces; repeated rows are packed as often as they occur.
+Tasks number their pieces of each length as they make them, and the counts of the tasks give where the numbers of each
+begin: so ranks need no window over pieces, and no length or copy, however frequent, is ranked by one task. Pieces
+are written once with their ids, go to their sequences in one shuffle, and are joined up there: ``packed_sequences`` returns
+the token sequences. ``pack_documents`` reads them back: each piece with its ids as they stand in its sequence. Null texts
+are empty and have the end token only; an empty table has no pieces; repeated rows are packed as often as they occur.
+Ids take two bytes each on the way where the vocabulary allows it, and four in sequences.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -47,8 +48,11 @@ PIECE = pa.schema(
         ("length", pa.int64()),
         ("ids_crc32", pa.int64()),
         ("ids", pa.binary()),
+        ("part", pa.int32()),
+        ("nth", pa.int64()),
     ]
 )
+PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary, part int, nth long"
 
 
 @dataclass(frozen=True)
@@ -134,12 +138,21 @@ def public_tokenizer() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def _id_type(encoders: tuple) -> str:
+    return "<u2" if encoders[0].get_vocab_size() <= 1 << 16 else "<u4"
+
+
 def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """Pieces of all documents: doc_id, piece, start, length, ids_crc32 and the ids, little-endian."""
+    """Pieces of all documents: doc_id, piece, start, length, ids_crc32 and the ids, little-endian.
+
+    ``part`` and ``nth`` number the pieces of each length: the task, and how many it had before.
+    """
     tokenizer = tokenizer or public_tokenizer()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoders = _encoders(tokenizer)
+        id_type = _id_type(encoders)
+        part, before = TaskContext.get().partitionId(), defaultdict(int)
         for batch in in_slices(batches):
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
@@ -147,55 +160,90 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
                 ends = range(len(ids) % capacity or capacity, len(ids) + 1, capacity)
                 for piece, end in enumerate(ends):
                     start = max(0, end - capacity)
-                    part = ids[start:end].tobytes()
-                    rows.append((doc_id, piece, start, end - start, zlib.crc32(part), part))
+                    some, length = ids[start:end], end - start
+                    rows.append((doc_id, piece, start, length, zlib.crc32(some.tobytes()), some.astype(id_type).tobytes(), part, before[length]))
+                    before[length] += 1
             columns = list(zip(*rows)) or [()] * len(PIECE)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, PIECE.types)], schema=PIECE)
 
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
-    return docs.select("doc_id", "text").mapInArrow(cut, schema)
+    return docs.select("doc_id", "text").mapInArrow(cut, PIECE_SCHEMA)
 
 
 def packed(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``rows`` (doc_id, piece, length, ids_crc32 and others) with sequence_id and offset."""
+    """``rows`` (length, part, nth and others) with sequence_id and offset."""
     spark = rows.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    salted = rows.withColumn("_part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(parts)).cast("int"))
-    sizes = salted.groupBy("length", "_part").agg(F.count(F.lit(1)).alias("_n"))
-    counts = {r["length"]: r["n"] for r in rows.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = rows.groupBy("length", "part").agg((F.max("nth") + 1).alias("_n"))
+    before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # A row for each task and length; pieces with all their ids are joined with it as its size allows.
+    begins = written(sizes.withColumn("_begin", F.coalesce(F.sum("_n").over(before), F.lit(0))), "begins")
+    counts = {r["length"]: r["n"] for r in begins.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
     slots = spark.createDataFrame(
         [(s.length, s.first_rank, s.n, s.per_sequence, s.first_sequence, s.offset) for s in best_fit(counts, capacity)],
-        "_length long, _first long, _n long, _each long, _sequence long, _offset long",
+        "_length long, _first long, _each_n long, _each long, _sequence long, _offset long",
     )
-    before = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    begins = sizes.select("length", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_begin"))
-    inside = Window.partitionBy("length", "_part").orderBy("doc_id", "piece", "ids_crc32")
-    ranked = salted.withColumn("_in_part", F.row_number().over(inside)).join(begins, ["length", "_part"])
-    ranked = ranked.withColumn("_rank", F.col("_begin") + F.col("_in_part") - 1)
-    here = (F.col("length") == F.col("_length")) & F.col("_rank").between(F.col("_first"), F.col("_first") + F.col("_n") - 1)
+    ranked = rows.join(begins.drop("_n"), ["length", "part"]).withColumn("_rank", F.col("_begin") + F.col("nth"))
+    last = F.col("_first") + F.col("_each_n") - 1
+    here = (F.col("length") == F.col("_length")) & F.col("_rank").between(F.col("_first"), last)
     nth = F.col("_rank") - F.col("_first")
     # The plan has at most a row for each pair of lengths: a constant bound.
     return ranked.join(F.broadcast(slots), here).select(
-        *rows.columns,
+        *[c for c in rows.columns if c not in ("part", "nth")],
         (F.col("_sequence") + F.expr("(_rank - _first) div _each")).alias("sequence_id"),
         (F.col("_offset") + nth % F.col("_each") * F.col("length")).alias("offset"),
     )
 
 
+PLACED = ["doc_id", "piece", "start", "length", "offset"]
+SEQUENCE = pa.schema(
+    [
+        ("sequence_id", pa.int64()),
+        ("ids", pa.binary()),
+        ("pieces", pa.list_(pa.struct([(c, pa.int32() if c == "piece" else pa.int64()) for c in PLACED]))),
+    ]
+)
+SEQUENCE_SCHEMA = (
+    "sequence_id long, ids binary, pieces array<struct<doc_id: long, piece: int, start: long, length: long, offset: long>>"
+)
+
+
 def sequences(packed_rows: DataFrame) -> DataFrame:
-    """The token sequences of packed pieces with ids: at most ``CAPACITY`` tokens a row."""
-    parts = F.sort_array(F.collect_list(F.struct("offset", "doc_id", "ids")))
-    grouped = packed_rows.groupBy("sequence_id").agg(parts.alias("_parts"))
-    joined = F.aggregate("_parts", F.lit("").cast("binary"), lambda ids, part: F.concat(ids, part["ids"]))
-    return grouped.select("sequence_id", joined.alias("ids"), F.transform("_parts", lambda p: p["offset"]).alias("offsets"))
+    """The token sequences of packed pieces with ids: ids of four bytes, and the pieces in their order."""
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done, open_id, ids, placed = [], None, [], []
+        for batch in in_slices(batches):
+            for row in batch.to_pylist():
+                if placed and row["sequence_id"] != open_id:
+                    done.append((open_id, b"".join(ids), placed))
+                    ids, placed = [], []
+                open_id = row["sequence_id"]
+                width = len(row["ids"]) // row["length"]
+                ids.append(np.frombuffer(row["ids"], dtype=f"<u{width}").astype("<u4").tobytes())
+                placed.append({c: row[c] for c in PLACED})
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done), SEQUENCE.types)], schema=SEQUENCE)
+                done = []
+        if placed:
+            last = [(open_id, b"".join(ids), placed)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*last), SEQUENCE.types)], schema=SEQUENCE)
+
+    in_order = packed_rows.select("sequence_id", *PLACED, "ids").repartition("sequence_id")
+    return in_order.sortWithinPartitions("sequence_id", "offset").mapInArrow(join, SEQUENCE_SCHEMA)
+
+
+def packed_sequences(docs: DataFrame) -> DataFrame:
+    """All documents as token sequences: sequence_id, ids, and the pieces that they are made of."""
+    return sequences(packed(written(pieces(docs).drop("ids_crc32"), "pieces", compression="zstd")))
 
 
 def pack_documents(docs: DataFrame) -> DataFrame:
-    """Digests and places of the pieces of all documents."""
-    rows = written(pieces(docs).drop("ids"), "pieces")
-    return packed(rows)
+    """The pieces of all documents as they stand in the token sequences, with their ids."""
+    placed = packed_sequences(docs).select("sequence_id", F.col("ids").alias("_ids"), F.explode("pieces").alias("_p"))
+    ids = F.substring(F.col("_ids"), (F.col("_p.offset") * 4 + 1).cast("int"), (F.col("_p.length") * 4).cast("int"))
+    piece = placed.select("_p.doc_id", "_p.piece", "_p.start", "_p.length", "sequence_id", "_p.offset", ids.alias("ids"))
+    return piece.withColumn("ids_crc32", F.crc32("ids"))
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents in sequences of at most 1024 tokens."""
-    return pack_documents(read(spark, sf_dir, "documents"))
+    """All documents in sequences of at most 1024 tokens: digests of what the sequences hold."""
+    return pack_documents(read(spark, sf_dir, "documents")).drop("ids")
