@@ -111,3 +111,23 @@ def with_neighbour(
         .select(*group_by, "_row.*", into, end_flag)
     )
     return inside.unionByName(ends)
+
+
+def numbered(df: DataFrame, order_by: Sequence[str], into: str, n_ranges: int | None = None) -> DataFrame:
+    """``df`` with the number of each row in the order of some columns, from 0; ties are ordered by all others.
+
+    Rows are dealt by value into ranges and numbered there; the counts of the ranges say where each begins. So no
+    task has more than a range.
+    """
+    others = [c for c in df.columns if c not in order_by]
+    keys = [F.col(f"`{c}`") for c in (*order_by, *others)]
+    dealt = df.repartitionByRange(n_ranges, *keys) if n_ranges else df.repartitionByRange(*keys)
+    ranged = _written(dealt.withColumn("_range", F.spark_partition_id()), "numbered")
+    before = Window.orderBy("_in").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range.
+    begins = ranged.groupBy(F.col("_range").alias("_in")).agg(F.count(F.lit(1)).alias("_n"))
+    begins = begins.select("_in", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_begin"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*keys))
+    counted = ranged.withColumn("_nth", inside).join(begins, F.col("_range") == F.col("_in"))
+    number = (F.col("_begin") + F.col("_nth") - 1).cast("bigint")
+    return counted.select(*[F.col(f"`{c}`") for c in df.columns], number.alias(into))

@@ -12,7 +12,17 @@ from pyspark.sql import functions as F
 
 from stratalake.checks.runner import Check, expression_is_true, not_null, relationships, run_checks, unique
 from stratalake.plans import bronze, gold, marts, silver
-from stratalake.sources.layers import layer_path, materialize, new_version, publish_view, read_layer, switch_to
+from stratalake.plans.graph import Model, ModelGraph
+from stratalake.sources.layers import (
+    layer_path,
+    materialize,
+    new_version,
+    persistent_view,
+    publish_view,
+    read_layer,
+    save_as_table,
+    switch_to,
+)
 
 # The columns each table is laid out by.
 CLUSTER_COLUMNS = {
@@ -58,7 +68,7 @@ def table_checks(tables: Mapping[str, DataFrame]) -> dict[str, list[Check]]:
             not_null("ShipDate"),
             expression_is_true("total_line_extended_price", LINE_TOTAL),
             expression_is_true("total_order_freight_non_negative", "TotalOrderFreight >= 0"),
-            *([on_silver_lines()] if "store_sales_order_header" in tables else []),
+            *([on_silver_lines()] if {"store_sales_order_header", "store_sales_order_detail"} <= set(tables) else []),
         ],
         "publish_products": [
             not_null("ProductId"),
@@ -74,20 +84,54 @@ class LayeredRun:
     report: DataFrame | None
 
 
+def _model(layer: str, build: Callable[..., DataFrame], *inputs: str, sample_from: str | None = None) -> Model:
+    name = build.__name__
+    return Model(name, layer, inputs, build, tuple(CLUSTER_COLUMNS.get(name, ())), layer == "datamart", sample_from)
+
+
+SALES = ModelGraph(
+    [
+        _model("bronze", bronze.raw_products, "src_products", sample_from="src_products"),
+        _model("bronze", bronze.raw_sales_order_header, "src_sales_order_header"),
+        _model("bronze", bronze.raw_sales_order_detail, "src_sales_order_detail"),
+        _model("silver", silver.store_products, "raw_products"),
+        _model("silver", silver.store_sales_order_header, "raw_sales_order_header"),
+        _model("silver", silver.store_sales_order_detail, "raw_sales_order_detail"),
+        # The order lines have the order ids of the join, without the join.
+        _model(
+            "gold",
+            gold.publish_orders,
+            "store_sales_order_header",
+            "store_sales_order_detail",
+            sample_from="store_sales_order_detail",
+        ),
+        _model("gold", gold.publish_products, "store_products"),
+        _model("datamart", marts.avg_lead_time_prod_category, "publish_orders", "publish_products"),
+        _model("datamart", marts.color_with_highest_reven_year, "publish_orders", "publish_products"),
+    ]
+)
+
+
 def build_layers(sources: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """All tables as plans over the sources, nothing written."""
-    tables = {}
-    tables["raw_products"] = bronze.raw_products(sources["src_products"])
-    tables["raw_sales_order_header"] = bronze.raw_sales_order_header(sources["src_sales_order_header"])
-    tables["raw_sales_order_detail"] = bronze.raw_sales_order_detail(sources["src_sales_order_detail"])
-    tables["store_products"] = silver.store_products(tables["raw_products"])
-    tables["store_sales_order_header"] = silver.store_sales_order_header(tables["raw_sales_order_header"])
-    tables["store_sales_order_detail"] = silver.store_sales_order_detail(tables["raw_sales_order_detail"])
-    tables["publish_orders"] = gold.publish_orders(
-        tables["store_sales_order_header"], tables["store_sales_order_detail"]
-    )
-    tables["publish_products"] = gold.publish_products(tables["store_products"])
-    return tables
+    tables = SALES.plans(sources)
+    return {name: table for name, table in tables.items() if not SALES.models[name].is_view}
+
+
+def publish_catalog(sources: Mapping[str, DataFrame], prefix: str = "") -> dict[str, str]:
+    """Gold tables and mart views in the catalog, one database for each layer; returns the names of the marts.
+
+    The marts are persistent views: any session that shares the catalog reads them, and they follow the gold tables.
+    """
+    tables = build_layers(sources)
+    gold_layer, mart_layer = f"{prefix}gold", f"{prefix}datamart"
+    for name in ("publish_orders", "publish_products"):
+        save_as_table(tables[name], gold_layer, name, CLUSTER_COLUMNS[name])
+    names = {"orders": f"`{gold_layer}`.publish_orders", "products": f"`{gold_layer}`.publish_products"}
+    spark = tables["publish_orders"].sparkSession
+    for name, query in marts.VIEWS.items():
+        persistent_view(spark, mart_layer, name, query.format(**names))
+    return {name: f"`{mart_layer}`.`{name}`" for name in marts.VIEWS}
 
 
 class ChecksFailed(RuntimeError):

@@ -42,3 +42,26 @@ def color_with_highest_reven_year(orders: DataFrame, products: DataFrame) -> Dat
     # Sums of doubles depend on their order; cents do not, so ties are ties.
     by_revenue = Window.partitionBy("Year").orderBy(F.desc(F.round("Revenue", 2)))
     return revenue.withColumn("_rank", F.rank().over(by_revenue)).filter("_rank = 1").drop("_rank")
+
+
+# The marts as texts of catalog views over {orders} and {products}.
+VIEWS = {
+    "avg_lead_time_prod_category": """
+        SELECT CASE WHEN p.ProductCategoryName = '' THEN 'Unknown' ELSE p.ProductCategoryName END AS ProductCategoryName,
+               sum(o.days) / nullif(sum(o.n_lines), 0) AS AverageLeadTime
+        FROM (SELECT ProductID, sum(LeadTimeInBusinessDays) AS days, count(LeadTimeInBusinessDays) AS n_lines
+              FROM {orders} GROUP BY ProductID) o
+        LEFT JOIN {products} p ON o.ProductID = p.ProductId
+        GROUP BY 1
+    """,
+    "color_with_highest_reven_year": """
+        SELECT Year, Color, Revenue
+        FROM (SELECT *, rank() OVER (PARTITION BY Year ORDER BY round(Revenue, 2) DESC) AS place
+              FROM (SELECT o.Year, p.Color, sum(o.revenue) AS Revenue
+                    FROM (SELECT CAST(year(OrderDate) AS BIGINT) AS Year, ProductID, sum(TotalLineExtendedPrice) AS revenue
+                          FROM {orders} GROUP BY 1, 2) o
+                    LEFT JOIN {products} p ON o.ProductID = p.ProductId
+                    GROUP BY 1, 2))
+        WHERE place = 1
+    """,
+}

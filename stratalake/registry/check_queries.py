@@ -337,6 +337,55 @@ def chk_sequential_values_global(spark: SparkSession, directory: str) -> DataFra
     return ordered.sequential_values(lines, "l_orderkey")
 
 
+_HOT_LINES = """
+    WITH lines AS (
+        SELECT CASE WHEN l_orderkey % 3 = 0 THEN -1 ELSE l_suppkey END AS supplier, l_orderkey * 8 + l_linenumber AS line
+        FROM lineitem
+    )
+"""
+
+
+def _hot_lines(spark: SparkSession, directory: str) -> DataFrame:
+    """Lines of which a third belong to one supplier."""
+    supplier = F.when(F.col("l_orderkey") % 3 == 0, -1).otherwise(F.col("l_suppkey")).alias("supplier")
+    lines = load_table(spark, directory, "lineitem")
+    return lines.select(supplier, (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line"))
+
+
+@BOOK.add(
+    "chk_sequential_hot_group",
+    _HOT_LINES
+    + """
+    SELECT * FROM (SELECT supplier, line, lag(line) OVER (PARTITION BY supplier ORDER BY line) AS previous_line FROM lines)
+    WHERE line <> previous_line + 1
+    """,
+)
+def chk_sequential_hot_group(spark: SparkSession, directory: str) -> DataFrame:
+    return ordered.sequential_values(_hot_lines(spark, directory), "line", group_by=["supplier"], rows_per_range=1_000)
+
+
+@BOOK.add(
+    "chk_exclusive_ranges_hot_group",
+    _HOT_LINES
+    + """
+    , linked AS (
+        SELECT supplier AS partition_by_col, line AS lower_bound, line + 2 AS upper_bound, lead(line) OVER w AS next_lower_bound,
+               row_number() OVER w = count(*) OVER (PARTITION BY supplier) AS is_last_record
+        FROM lines WINDOW w AS (PARTITION BY supplier ORDER BY line)
+    )
+    SELECT *, lower_bound < upper_bound AS lower_bound_less_than_upper_bound,
+           coalesce(upper_bound <= next_lower_bound, is_last_record) AS upper_bound_less_than_or_equal_to_next_lower_bound
+    FROM linked
+    WHERE NOT (coalesce(lower_bound < upper_bound, FALSE) AND coalesce(upper_bound <= next_lower_bound, is_last_record))
+    """,
+)
+def chk_exclusive_ranges_hot_group(spark: SparkSession, directory: str) -> DataFrame:
+    lines = _hot_lines(spark, directory)
+    return ordered.mutually_exclusive_ranges(
+        lines, "line", F.col("line") + 2, partition_by="supplier", rows_per_range=1_000
+    )
+
+
 @BOOK.add(
     "chk_sequential_timestamps",
     """

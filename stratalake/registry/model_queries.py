@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.plans import bronze, gold, marts, silver
 from stratalake.plans.bronze import PARENT_STAMP, STAMP
-from stratalake.plans.layered_run import CLUSTER_COLUMNS, build_layers, run_layers
+from stratalake.plans.layered_run import CLUSTER_COLUMNS, SALES, build_layers, publish_catalog, run_layers, table_checks
 from stratalake.registry.book import QueryBook
 from stratalake.registry.sales_sql import with_tables
 from stratalake.session import scratch_path
@@ -208,6 +209,52 @@ def clustered_write(spark: SparkSession, directory: str) -> DataFrame:
     return _unstamped(materialize(header, layer_path(root, "silver", name), CLUSTER_COLUMNS[name]))
 
 
+def _in_catalog(spark: SparkSession, directory: str) -> dict[str, str]:
+    """The marts of a new catalog, in databases of their own."""
+    prefix = f"run_{uuid.uuid4().hex}_"
+    for layer in ("gold", "datamart"):
+        spark.sql(f"CREATE DATABASE `{prefix}{layer}` LOCATION '{scratch_path(spark, layer)}'")
+    return publish_catalog(sales_sources(spark, directory), prefix)
+
+
+@BOOK.add("mart_view_avg_lead_time", BOOK.sql["mart_avg_lead_time"])
+def mart_view_avg_lead_time(spark: SparkSession, directory: str) -> DataFrame:
+    """The mart as another session reads it from the catalog."""
+    mart = spark.newSession().table(_in_catalog(spark, directory)["avg_lead_time_prod_category"])
+    return mart.withColumn("AverageLeadTime", F.round("AverageLeadTime", 6))
+
+
+@BOOK.add("mart_view_top_color", BOOK.sql["mart_top_color_by_year"])
+def mart_view_top_color(spark: SparkSession, directory: str) -> DataFrame:
+    mart = spark.newSession().table(_in_catalog(spark, directory)["color_with_highest_reven_year"])
+    return mart.withColumn("Revenue", F.round("Revenue", 2))
+
+
+@BOOK.add(
+    "graph_run",
+    with_tables(
+        ["products", "gold_orders", "gold_products"],
+        """
+        SELECT 1 AS level, 'bronze' AS layer, 'raw_products' AS model, count(*) AS n_rows FROM products
+        UNION ALL SELECT 1, 'bronze', 'raw_sales_order_header', count(*) FROM orders
+        UNION ALL SELECT 1, 'bronze', 'raw_sales_order_detail', count(*) FROM lineitem
+        UNION ALL SELECT 2, 'silver', 'store_products', count(*) FROM products
+        UNION ALL SELECT 2, 'silver', 'store_sales_order_header', count(*) FROM header
+        UNION ALL SELECT 2, 'silver', 'store_sales_order_detail', count(*) FROM detail
+        UNION ALL SELECT 3, 'gold', 'publish_orders', count(*) FROM gold_orders
+        UNION ALL SELECT 3, 'gold', 'publish_products', count(*) FROM gold_products
+        """,
+    ),
+)
+def graph_run(spark: SparkSession, directory: str) -> DataFrame:
+    """The models that a mart is built from, in the order in which they were run, with their rows."""
+    root = scratch_path(spark, "graph")
+    tables = SALES.run(sales_sources(spark, directory), root, ["+publish_orders", "+publish_products"], table_checks)
+    states = read_layer(spark, root, "runs", "states").filter("state = 'done'").select("level", "layer", "model")
+    counts = [t.agg(F.lit(n).alias("of"), F.count(F.lit(1)).alias("n_rows")) for n, t in tables.items()]
+    return states.join(reduce(DataFrame.unionAll, counts), F.col("model") == F.col("of")).drop("of")
+
+
 def _zoned_orders(spark: SparkSession, directory: str) -> str:
     """Orders laid out by their key in some files, with a zone map; returns the table's path."""
     path = layer_path(scratch_path(spark, "zones"), "silver", "orders")

@@ -555,6 +555,26 @@ def priorities_as_arrays(spark: SparkSession, directory: str) -> DataFrame:
     return arrays.select(*[F.array_join(c, "; ", "NULL").alias(c) for c in arrays.columns])
 
 
+@BOOK.add(
+    "results_in_columns",
+    """
+    WITH customers AS (
+        SELECT o_custkey, count(*) AS n, max(CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderkey END) AS last_urgent
+        FROM orders GROUP BY 1
+    ), placed AS (SELECT *, row_number() OVER (ORDER BY n, o_custkey) - 1 AS position FROM customers)
+    SELECT 'o_custkey' AS column_name, position, CAST(o_custkey AS VARCHAR) AS value FROM placed
+    UNION ALL SELECT 'n', position, CAST(n AS VARCHAR) FROM placed
+    UNION ALL SELECT 'last_urgent', position, CAST(last_urgent AS VARCHAR) FROM placed
+    """,
+)
+def customers_in_columns(spark: SparkSession, directory: str) -> DataFrame:
+    """Customers in the order of their number of orders, column by column."""
+    urgent = F.max(F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_orderkey")))
+    customers = load_table(spark, directory, "orders").groupBy("o_custkey")
+    counts = customers.agg(F.count(F.lit(1)).alias("n"), urgent.alias("last_urgent"))
+    return introspect.results_in_columns(counts, ["n", "o_custkey"])
+
+
 @BOOK.add(
     "union_sharded_events",
     """

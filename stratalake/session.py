@@ -48,17 +48,25 @@ def build_session(
     return builder.getOrCreate()
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    """The folder of this application's tables, below one that all executors share."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    root = root or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/{SCRATCH}/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A new path for an intermediate table in the folder shared by all executors.
 
-    The folder is the session's ``spark.checkpoint.dir``, or else one below the
-    warehouse, which executors share as well. ``remove_scratch`` takes it away.
+    The folder is the session's ``spark.checkpoint.dir``. Where that is unset, a local session takes one
+    below the warehouse, and a cluster's raises. ``remove_scratch`` takes this application's tables away.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/{SCRATCH}/{purpose}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
 def remove_scratch(spark: SparkSession) -> None:
-    """Removes all tables of earlier runs; results that still read them can no longer be computed."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "x")).getParent()
+    """Removes the tables of this application's runs; results that still read them can no longer be computed."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -121,21 +121,20 @@ def write_table(
 def save_as_table(df: DataFrame, layer: str, table: str, cluster_by: list[str] | None = None) -> DataFrame:
     """Full refresh of a catalog table in the database named like the layer.
 
-    The catalog is pointed at the new version once that is written.
+    The catalog is pointed at the new version once that is written. With other columns than before, the table is made anew.
     """
     spark = df.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
     name = f"`{layer}`.`{table}`"
     folder = spark.sql(f"DESCRIBE DATABASE `{layer}`").filter("info_name = 'Location'").first()["info_value"]
-    path = f"{folder.rstrip('/')}/{table}"
+    path = f"{folder.rstrip('/')}/_{table}"
     version = new_version(df, path, cluster_by)
     if spark.catalog.tableExists(name) and spark.table(name).schema != df.schema:
         spark.sql(f"DROP TABLE {name}")
-    if spark.catalog.tableExists(name):
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
-        spark.catalog.refreshTable(name)
-    else:
-        spark.catalog.createTable(name, path=version, source="parquet", schema=df.schema)
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, source="parquet", schema=df.schema)
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
+    spark.catalog.refreshTable(name)
     switch_to(spark, path, version)
     return spark.table(name)
 
