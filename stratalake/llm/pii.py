@@ -12,6 +12,11 @@ from which on at least ``PRECISION`` of the candidates hold a base span. Candida
 above it are spans as well, unless they touch a base span or a neighbour that scores
 higher. Base spans always stay.
 
+Secrets have no base rule. Their candidates are long runs of letters, digits and the marks of encoded bytes; those that
+something like ``token =`` stands before are labelled so. Trees of their own learn from the form alone, not from what stands
+before, so that a secret without such a word is found too. They are fitted on one half of the candidates, by hash, and the
+threshold comes from the other.
+
 Patterns are anchored or possessive, so that long texts without a match take linear
 time. Equal texts are judged once: candidates have the text's digest as key, and rows
 find their spans by it. The trees are fitted on at most ``SAMPLE_ROWS`` candidates,
@@ -34,6 +39,8 @@ from pyspark.sql import functions as F
 from stratalake.llm.common import numbered, read, written
 
 KINDS = ["email", "ip", "card", "phone"]
+SECRET = len(KINDS)
+ALL_KINDS = [*KINDS, "secret"]
 SAMPLE_ROWS = 20_000
 PRECISION = 0.95
 SCORE_STEPS = 100
@@ -58,9 +65,12 @@ WIDE = {
     "card": r"(?<![0-9])[0-9]{4}[0-9 ./-]{6,}[0-9]",
     "phone": r"[+(]?[0-9][0-9 ().-]{6,}[0-9]",
 }
+WIDE_SECRET = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{16,}+"
+SECRET_BEFORE = r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|key|auth)[\"']?\s*[=:]\s*[\"']?$"
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 FEATURES = ["kind", "length", "digits", "letters", "groups", "longest", "dots", "plus", "parens", "spaces", "dashes",
             "before_space", "before_word", "before_length", "after_space", "after_mark", "after_word"]
+SECRET_FEATURES = ["length", "digits", "letters", "groups", "longest", "dashes", "different", "hex", "vowels", "changes"]
 
 
 def _digits(text: Column) -> Column:
@@ -151,11 +161,13 @@ def candidates(docs: DataFrame) -> DataFrame:
     hint = "[@0-9]"  # every pattern needs one of these
     texts = docs.select(text_key(F.col("text")).alias("key"), "text").filter(F.col("text").rlike(hint))
     patterns = {f"base_{k}": p for k, p in BASE.items()} | {f"wide_{k}": p for k, p in WIDE.items()}
+    patterns["wide_secret"] = WIDE_SECRET
     found = with_matches(texts, "text", patterns)
     arrays = []
     for number, kind in enumerate(KINDS):
         arrays.append(_marked(F.filter(f"base_{kind}", _passing(kind)), number, True))
         arrays.append(_marked(F.col(f"wide_{kind}"), number, False))
+    arrays.append(_marked(F.col("wide_secret"), SECRET, False))
     # Only this narrow array is shuffled; copies of a text are one row from here on.
     # No filter on its size: that would work everything out once more.
     rows = found.select("key", F.concat(*arrays).alias("_all"))
@@ -187,6 +199,7 @@ def _described(spans: DataFrame) -> DataFrame:
     holds = F.col("base") | (F.coalesce(base_end, F.lit(0)) > F.col("start")) | (
         F.coalesce(base_start, F.col("end")) < F.col("end")
     )
+    holds = F.when(F.col("kind_no") == SECRET, F.col("before").rlike(SECRET_BEFORE)).otherwise(holds)
     labelled = spans.withColumns({"label": F.when(holds, 1).otherwise(0), "_twin": twin}).filter("NOT _twin").drop("_twin")
     word, before, after = F.col("text"), F.col("before"), F.col("after")
     count = lambda pattern: F.length(word) - F.length(F.regexp_replace(word, pattern, ""))
@@ -210,20 +223,32 @@ def _described(spans: DataFrame) -> DataFrame:
         "after_space": flag((after == "") | after.rlike(r"^\s")),
         "after_mark": flag(after.rlike(r"^[.,;:!?]")),
         "after_word": flag(after.rlike(r"^[\p{L}\p{N}]")),
+        "different": F.size(F.array_distinct(F.split(F.left(word, F.lit(256)), ""))),
+        "hex": count("[0-9A-Fa-f]"),
+        "vowels": count("[AEIOUaeiou]"),
+        # Where letters follow digits: often in codes, rarely in words with a number.
+        "changes": F.size(F.regexp_extract_all(word, F.lit("[0-9][A-Za-z]"), F.lit(0))),
     }
+    features = dict.fromkeys([*FEATURES, *SECRET_FEATURES])
     return labelled.select(
-        "key", "kind_no", "start", "end", "base", "label", *[values[n].cast("double").alias(n) for n in FEATURES]
+        "key", "kind_no", "start", "end", "base", "label", *[values[n].cast("double").alias(n) for n in features]
     )
 
 
-def scored(spans: DataFrame) -> DataFrame:
-    """Candidates with ``score``; zero where there is nothing to learn from."""
-    sample = spans.orderBy(F.xxhash64("key", "kind_no", "start", "base"), "key", "start", "end").limit(SAMPLE_ROWS)
-    sample = written(sample.select("label", *FEATURES), "sample").coalesce(1)
+def held_out() -> Column:
+    """The half of the candidates of secrets that the trees never see."""
+    return (F.col("kind_no") == SECRET) & (F.pmod(F.xxhash64("key", "start"), F.lit(2)) == 1)
+
+
+def _judged(spans: DataFrame, features: list[str]) -> DataFrame:
+    """Candidates with ``score``; below zero where there is nothing to learn from."""
+    seen = spans.filter(~held_out())
+    sample = seen.orderBy(F.xxhash64("key", "kind_no", "start", "base"), "key", "start", "end").limit(SAMPLE_ROWS)
+    sample = written(sample.select("label", *features), "sample").coalesce(1)
     labels = {r["label"] for r in sample.select("label").distinct().collect()}
     if labels != {0, 1}:
-        return spans.withColumn("score", F.lit(0.0))
-    assembler = VectorAssembler(inputCols=FEATURES, outputCol="_features")
+        return spans.withColumn("score", F.lit(-1.0))
+    assembler = VectorAssembler(inputCols=features, outputCol="_features")
     trees = GBTClassifier(
         featuresCol="_features", labelCol="label", maxIter=ROUNDS, maxDepth=DEPTH, seed=17
     ).fit(assembler.transform(sample))
@@ -231,11 +256,18 @@ def scored(spans: DataFrame) -> DataFrame:
     return judged.withColumn("score", vector_to_array("probability")[1]).drop("_features", "probability", "rawPrediction", "prediction")
 
 
+def scored(spans: DataFrame) -> DataFrame:
+    """Candidates with ``score``, by one set of trees for the kinds with base rules and one for secrets."""
+    is_secret = F.col("kind_no") == SECRET
+    return _judged(spans.filter(~is_secret), FEATURES).unionByName(_judged(spans.filter(is_secret), SECRET_FEATURES))
+
+
 def thresholds(judged: DataFrame) -> dict[int, float]:
-    """Per kind the lowest score whose candidates, with all above, are right often enough."""
+    """Per kind the lowest score whose candidates, with all above, are right often enough; of secrets the held-out ones."""
+    known = judged.filter((F.col("score") >= 0) & ((F.col("kind_no") != SECRET) | held_out()))
     step = F.floor(F.col("score") * SCORE_STEPS).cast("int").alias("step")
     # Rows: kinds by steps.
-    counts = judged.groupBy("kind_no", step).agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("right")).collect()
+    counts = known.groupBy("kind_no", step).agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("right")).collect()
     found = {}
     for kind in {r["kind_no"] for r in counts}:
         n = right = 0
@@ -302,7 +334,7 @@ def redact(docs: DataFrame) -> DataFrame:
     rows, names_of = numbered(docs)
     own = F.col(names_of["text"])
     keyed = rows.withColumn("_own_key", text_key(own))
-    names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
+    names = F.array(*[F.lit(f"[{k.upper()}]") for k in ALL_KINDS])
     empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def add(done: Column, span: Column) -> Column:
@@ -322,7 +354,7 @@ def redact(docs: DataFrame) -> DataFrame:
 
 
 def _listed(spans: Column) -> Column:
-    names = F.array(*map(F.lit, KINDS))
+    names = F.array(*map(F.lit, ALL_KINDS))
     return F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind_no"]), s["start"].cast("string"), s["end"].cast("string"))),
         ",",
