@@ -171,7 +171,8 @@ def unread(value: object, seen: set[Place], place: Place = (), path: str = "") -
 def canonical_turns(records: DataFrame, record: str = "record") -> DataFrame:
     """The other columns of ``records`` with fingerprint, layout, place, role and text of each turn, and the unread paths.
 
-    These six replace columns of the same names. A record that is no JSON is unread as a whole, under the empty path.
+    These six replace columns of the same names. A record that is no JSON, is nested too deeply, or
+    holds half a surrogate pair, is unread as a whole, under the empty path.
     """
     made = StructType.fromDDL("fingerprint string, layout string, place int, role string, text string, unread array<string>")
     others = [c for c in records.columns if c not in (record, *made.names)]
@@ -188,6 +189,18 @@ def canonical_turns(records: DataFrame, record: str = "record") -> DataFrame:
         ]
     )
 
+    def rows_of(parsed: object, known: dict[str, Layout | None]) -> list[tuple]:
+        paths = field_paths(parsed)
+        key = fingerprint(paths)
+        if key not in known:
+            known[key] = layout_of(paths)
+        layout = known[key]
+        seen: set[Place] = set()
+        turns = list(turns_of(parsed, layout, seen)) if layout else []
+        left = sorted(unread(parsed, seen))
+        found = [(key, layout.name, n, *turn, left) for n, turn in enumerate(turns)] if turns else []
+        return found or [(key, layout.name if layout else None, None, None, None, left)]
+
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, Layout | None] = {}
         for batch in batches:
@@ -195,19 +208,11 @@ def canonical_turns(records: DataFrame, record: str = "record") -> DataFrame:
             for i, value in enumerate(batch.column(record).to_pylist()):
                 try:
                     parsed = json.loads(value) if value else {}
-                except ValueError:
-                    parsed = value
-                paths = field_paths(parsed)
-                key = fingerprint(paths)
-                if key not in known:
-                    known[key] = layout_of(paths)
-                layout = known[key]
-                seen: set[Place] = set()
-                turns = list(turns_of(parsed, layout, seen)) if layout else []
-                left = sorted(unread(parsed, seen))
-                found = [(key, layout.name, n, *turn, left) for n, turn in enumerate(turns)] if turns else [
-                    (key, layout.name if layout else None, None, None, None, left)
-                ]
+                    if value and "\\u" in value:
+                        json.dumps(parsed, ensure_ascii=False).encode()  # half a character is no text
+                    found = rows_of(parsed, known)
+                except (ValueError, RecursionError):  # also where it is nested too deeply to be read
+                    found = rows_of(value, known)
                 index += [i] * len(found)
                 rows += found
             kept = batch.select(others).take(pa.array(index, pa.int64()))

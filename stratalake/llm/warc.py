@@ -16,6 +16,7 @@ response, or are responses where no row of the group has an id.
 
 from __future__ import annotations
 
+import base64
 import gzip
 import hashlib
 import re
@@ -79,6 +80,8 @@ def unchunked(body: bytes) -> bytes:
     while True:
         line = body.index(b"\r\n", at)
         size = int(body[at:line].split(b";")[0], 16)
+        if size < 0 or line + 2 + size > len(body):
+            raise ValueError("a chunk does not fit")
         if not size:
             return b"".join(parts)
         parts.append(body[line + 2 : line + 2 + size])
@@ -185,29 +188,48 @@ def write_archives(pages: DataFrame, path: str) -> None:
         conf.set(setting, before)
 
 
+PAGE_RECORDS = ("response", "revisit", "continuation")
+
+
+class Fields(dict):
+    """Header fields by name in any case; None for those that are missing."""
+
+    def __missing__(self, name: str) -> str | None:
+        return self.get(name.lower())
+
+
+def _fields(head: bytes) -> dict[str, str]:
+    """Header lines by name; lines without a colon are none."""
+    lines = [line.partition(":") for line in head.decode(errors="replace").split("\r\n")]
+    return {name.strip().lower(): value.strip() for name, colon, value in lines if colon}
+
+
 def parse_archive(data: bytes) -> Iterator[dict]:
+    """The records that hold pages; others are passed over. What follows a header without a length is not read."""
     at = 0
-    while at < len(data):
-        head_end = data.index(b"\r\n\r\n", at)
-        lines = data[at:head_end].decode().split("\r\n")
-        fields = dict(line.split(": ", 1) for line in lines[1:])
+    while (head_end := data.find(b"\r\n\r\n", at)) >= 0:
+        fields = Fields(_fields(data[at:head_end]))
         start = head_end + 4
+        if not (fields["Content-Length"] or "").isdigit():
+            return
         end = start + int(fields["Content-Length"])
-        origin = fields.get("WARC-Segment-Origin-ID")
-        number = lambda name: int(fields[name]) if name in fields else None  # noqa: B023, E731
+        at = end + len(END)
+        if fields["WARC-Type"] not in PAGE_RECORDS:
+            continue
+        origin = fields["WARC-Segment-Origin-ID"]
+        number = lambda name: int(fields[name]) if (fields[name] or "").isdigit() else None  # noqa: B023, E731
         yield {
             "record_id": fields["WARC-Record-ID"],
-            "origin_id": origin or (fields["WARC-Record-ID"] if "WARC-Segment-Number" in fields else None),
+            "origin_id": origin or (fields["WARC-Record-ID"] if fields["WARC-Segment-Number"] else None),
             "segment": number("WARC-Segment-Number"),
             "total_length": number("WARC-Segment-Total-Length"),
             "record_type": fields["WARC-Type"],
             "page_id": number("Page-ID"),
             "refers_to": number("Refers-To-Page-ID"),
-            "payload_digest": fields.get("WARC-Payload-Digest", "").removeprefix("sha1:"),
+            "payload_digest": (fields["WARC-Payload-Digest"] or "").removeprefix("sha1:") or None,
             "payload_bytes": number("Payload-Length"),
             "block": data[start:end],
         }
-        at = end + len(END)
 
 
 def _pages_and_segments(payloads: bool):
@@ -236,13 +258,30 @@ def page_of(records: list[dict], payloads: bool = True) -> dict:
             problem = "total length"
     page = {k: first[k] for k in ("page_id", "record_type", "refers_to", "payload_digest", "payload_bytes")}
     page |= {"payload": None, "problem": problem}
-    if problem is None and first["record_type"] == "response":
-        payload = unchunked(block[block.index(b"\r\n\r\n") + 4 :])
-        digest = hashlib.sha1(payload).hexdigest()
-        page |= {"payload": payload if payloads else None, "payload_bytes": len(payload), "payload_digest": digest}
-        if digest != first["payload_digest"]:
-            page["problem"] = "digest"
-    return page
+    if first["record_type"] == "revisit":
+        return page
+    # What a record says of its payload counts only where the payload was read.
+    payload = None if problem else payload_of(block)
+    if payload is None:
+        return page | {"payload_digest": None, "payload_bytes": None, "problem": problem or "framing"}
+    digest = hashlib.sha1(payload).hexdigest()
+    # Others write digests in base 32.
+    if first["payload_digest"] not in (None, digest, base64.b32encode(bytes.fromhex(digest)).decode()):
+        page["problem"] = "digest"
+    return page | {"payload": payload if payloads else None, "payload_bytes": len(payload), "payload_digest": digest}
+
+
+def payload_of(block: bytes) -> bytes | None:
+    """What follows the header of an HTTP response, chunks joined where it says so; None if it does not fit."""
+    head, end, body = block.partition(b"\r\n\r\n")
+    if not end:
+        return None
+    if "chunked" not in (_fields(head).get("transfer-encoding") or "").lower():
+        return body
+    try:
+        return unchunked(body)
+    except (ValueError, IndexError):
+        return None
 
 
 def _joined_pages(payloads: bool):
@@ -272,7 +311,8 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages, written to archives and read back."""
     path = scratch_path(spark, "archives")
     write_archives(read(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
-    return read_archives(spark, path, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "problem"]
+    return read_archives(spark, path, payloads=False).select(*columns)
 
 
 OP6_SQL = """
@@ -283,6 +323,7 @@ WITH sized AS (
 )
 SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND page_id <> largest THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN payload_bytes >= 1000 AND page_id <> largest THEN largest END AS refers_to
+       CASE WHEN payload_bytes >= 1000 AND page_id <> largest THEN largest END AS refers_to,
+       CAST(NULL AS VARCHAR) AS problem
 FROM grouped
 """
