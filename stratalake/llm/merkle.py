@@ -1,13 +1,18 @@
 """Document fingerprints: Merkle trees over phrases, paragraphs and sections.
 
-The leaves are the hashes of a text's phrases, with their lengths: a phrase has four
-words, or fewer where a mark ends one. A paragraph's (line's) hash covers its phrases'.
-A section ends where a paragraph's hash ends in ``0``, one in sixteen: borders move
-with the text, so an insertion changes its own section only. A section's hash covers
-its paragraphs' hashes, the root covers the sections'. Equal roots mean equal texts.
-Where roots differ, sections that only one tree has hold the paragraphs that differ
-(``changed_paragraphs``), and likeness compares the leaves: twice the characters of
-shared ones by those of both trees, repeats included. Nothing but the trees is needed.
+The leaves are the hashes of a text's phrases, with their lengths. A phrase ends behind a
+word whose own hash says so, one in four, or behind its eighth word: so phrases move with
+the text, and a word put in changes the phrase around it only. A paragraph's (line's) hash
+covers its phrases'. A section ends where a paragraph's hash ends in ``0``, one in sixteen.
+A section's hash covers its paragraphs' hashes, the root covers the sections'. Equal roots
+mean equal texts.
+
+Where roots differ, two trees are compared from the top (``left_out``): sections of equal
+hash are done with, the paragraphs of the others are compared by their hashes, and the
+phrases of paragraphs that are still left by theirs. Repeats count at each level.
+Likeness is the share of the characters that found their like. ``edits`` gives the numbers
+of the paragraphs that one text lacks, and of those that stand in another order: if the
+roots differ, it is never empty on both sides. Nothing but the trees is needed.
 
 The next document is found by joins on ids only: ids are ordered in ranges, as many
 as shuffle partitions, written, and linked within ranges and from range to range. Texts
@@ -17,112 +22,196 @@ and a repeated id stands for its smallest text where it is the next one.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratalake.llm.common import read, written
 
-# Space, up to three words that end in a letter or digit, with the space behind them, and any word.
-PHRASE = r"[ \t\r]*+(?:[^ \t\r]*+(?<=[\p{L}\p{N}])[ \t\r]++){0,3}+[^ \t\r]*+"
+WORD = r"[ \t\r]*+[^ \t\r]++|[ \t\r]++"
+# A line feed, of which paragraphs have none, marks where hashes end phrases.
+PHRASE = r"(?:[ \t\r]*+[^ \t\r\n]++){1,8}+|[ \t\r]++"
+LAST_WORDS = ("0", "4", "8", "c")
+LEAF_DIGITS = 32
 
 
-def _leaf(phrase: Column) -> Column:
-    return F.concat_ws(":", F.sha2(phrase, 256), F.length(phrase).cast("string"))
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once: the variable of a list of one."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _phrases(paragraph: Column) -> Column:
-    return F.filter(F.regexp_extract_all(paragraph, F.lit(PHRASE), F.lit(0)), lambda phrase: phrase != "")
+    words = F.regexp_extract_all(paragraph, F.lit(WORD), F.lit(0))
+    ended = F.transform(words, lambda w: F.when(F.substring(F.md5(w), 32, 1).isin(*LAST_WORDS), F.concat(w, F.lit("\n"))).otherwise(w))
+    return F.regexp_extract_all(F.array_join(ended, ""), F.lit(PHRASE), F.lit(0))
+
 
+def _leaf(phrase: Column) -> Column:
+    return F.concat_ws(":", F.substring(F.sha2(phrase, 256), 1, LEAF_DIGITS), F.length(phrase).cast("string"))
 
-def leaves(text: Column) -> Column:
-    """The leaves of each paragraph."""
-    return F.transform(F.split(text, "\n"), lambda p: F.transform(_phrases(p), _leaf))
 
+def _branch(hashed: Column, content: Column) -> Column:
+    return F.concat_ws("=", F.sha2(hashed, 256), content)
 
-def paragraphs(text_leaves: Column) -> Column:
-    """The hash of each paragraph."""
-    return F.transform(text_leaves, lambda found: F.sha2(F.array_join(found, " "), 256))
 
+def _hash_of(branch: Column) -> Column:
+    return F.substring(branch, 1, 64)
 
-def sections(hashes: Column) -> Column:
-    """Each section as the hashes of its paragraphs."""
-    return F.split(F.replace(F.array_join(hashes, " "), F.lit("0 "), F.lit("0|")), r"\|")
 
+def _content_of(branch: Column) -> Column:
+    return F.substr(branch, F.locate("=", branch) + 1)
 
-def root(section_hashes: Column) -> Column:
-    return F.sha2(F.array_join(F.transform(section_hashes, lambda s: F.sha2(s, 256)), " "), 256)
 
+def paragraphs(text: Column) -> Column:
+    """Each paragraph as a branch: the hash over its leaves, and behind it these."""
 
-def fingerprint(text_leaves: Column) -> Column:
-    return root(sections(paragraphs(text_leaves)))
+    def of_paragraph(paragraph: Column) -> Column:
+        return _let(F.array_join(F.transform(_phrases(paragraph), _leaf), " "), lambda found: _branch(found, found))
 
+    return F.transform(F.split(text, "\n"), of_paragraph)
 
-def _hashes_of(some_sections: Column) -> Column:
-    return F.split(F.array_join(some_sections, " "), " ")
 
+def sections(some_paragraphs: Column) -> Column:
+    """Each section as a branch: the hash over those of its paragraphs, and behind it these."""
+    ended = F.transform(some_paragraphs, lambda p: F.when(F.substring(p, 64, 1) == "0", F.concat(p, F.lit("|"))).otherwise(F.concat(p, F.lit(";"))))
+    # Without what ends the last paragraph.
+    contents = F.split(F.regexp_replace(F.array_join(ended, ""), r"[;|]\z", ""), r"\|")
 
-def changed_paragraphs(text: Column, other: Column) -> Column:
-    """Numbers of the paragraphs of ``text``, from 0, that lie in no section or paragraph of ``other``."""
-    own = paragraphs(leaves(text))
-    mine, theirs = sections(own), sections(paragraphs(leaves(other)))
-    left = F.array_except(_hashes_of(F.array_except(mine, theirs)), _hashes_of(theirs))
-    numbers = F.transform(own, lambda h, i: F.when(F.array_contains(left, h), i))
-    return F.filter(numbers, lambda i: i.isNotNull())
+    def of_section(content: Column) -> Column:
+        return _branch(F.array_join(F.transform(F.split(content, ";"), _hash_of), " "), content)
 
+    return F.transform(contents, of_section)
 
-def told_apart(some_leaves: Column) -> Column:
-    """Sorted leaves, equal ones numbered, so that sets of them count repeats.
 
-    Lists of one make lambda variables of what would else be worked out for each element.
-    """
+def root(some_sections: Column) -> Column:
+    return F.sha2(F.array_join(F.transform(some_sections, _hash_of), " "), 256)
 
-    def of_runs(run: Column) -> Column:
-        n = F.size(run["starts"])
-        ends = F.slice(F.concat(F.slice(run["starts"], F.lit(2), n), F.array(F.size(run["sorted"]))), F.lit(1), n)
-        return F.flatten(
-            F.zip_with(
-                run["starts"],
-                ends,
-                lambda start, end: F.transform(
-                    F.slice(run["sorted"], start + 1, end - start), lambda leaf, nth: F.concat_ws("#", leaf, nth.cast("string"))
-                ),
-            )
-        )
+
+def fingerprint(text: Column) -> Column:
+    return root(sections(paragraphs(text)))
+
+
+def _in_runs(ordered: Column, key: Callable[[Column], Column], made: Callable[[Column, Column], Column]) -> Column:
+    """``made(element, nth)`` for all elements in order of ``key``, numbered from 0 among those of equal key."""
+
+    def of_runs(found: Column, starts: Column) -> Column:
+        n = F.size(starts)
+        ends = F.slice(F.concat(F.slice(starts, F.lit(2), n), F.array(F.size(found))), F.lit(1), n)
+        return F.flatten(F.zip_with(starts, ends, lambda start, end: F.transform(F.slice(found, start + 1, end - start), made)))
 
     def of_sorted(found: Column) -> Column:
-        places = F.transform(found, lambda leaf, i: F.when((i == 0) | (leaf != F.get(found, F.greatest(i - 1, F.lit(0)))), i))
-        return F.struct(found.alias("sorted"), F.filter(places, lambda i: i.isNotNull()).alias("starts"))
+        places = F.transform(found, lambda x, i: F.when((i == 0) | (key(x) != key(F.get(found, F.greatest(i - 1, F.lit(0))))), i))
+        return _let(F.filter(places, lambda i: i.isNotNull()), lambda starts: of_runs(found, starts))
+
+    return _let(ordered, of_sorted)
 
-    runs = F.transform(F.array(F.sort_array(some_leaves)), of_sorted)
-    return F.get(F.transform(runs, of_runs), F.lit(0))
+
+def told_apart(branches: Column) -> Column:
+    """Branches or leaves, equal ones numbered, so that sets of them count repeats."""
+    return _in_runs(F.sort_array(branches), lambda b: b, lambda b, nth: F.concat_ws("#", nth.cast("string"), b))
+
+
+def _only(mine: Column, theirs: Column) -> Column:
+    left = F.array_except(mine, theirs)
+    return F.transform(left, lambda b: F.substr(b, F.locate("#", b) + 1))
+
+
+def _both_ways(mine: Column, theirs: Column) -> Column:
+    """What each side has and the other has not, as a struct of two lists."""
+    pair = F.struct(told_apart(mine).alias("l"), told_apart(theirs).alias("r"))
+    return _let(pair, lambda p: F.struct(_only(p["l"], p["r"]).alias("l"), _only(p["r"], p["l"]).alias("r")))
+
+
+def _below(branches: Column, separator: str) -> Column:
+    parts = F.flatten(F.transform(branches, lambda b: F.split(_content_of(b), separator)))
+    return F.filter(parts, lambda part: part != "")
+
+
+def left_out(mine: Column, theirs: Column) -> Column:
+    """The leaves of two trees' sections that have no like: compared from the top, only what differs is opened."""
+    by_paragraph = lambda p: _both_ways(_below(p["l"], ";"), _below(p["r"], ";"))
+    by_leaf = lambda p: _both_ways(_below(p["l"], " "), _below(p["r"], " "))
+    return _let(_let(_both_ways(mine, theirs), by_paragraph), by_leaf)
 
 
 def _characters(some_leaves: Column) -> Column:
-    # A leaf's length stands behind 64 hexadecimal digits and a colon.
-    lengths = F.transform(some_leaves, lambda leaf: F.substring_index(F.substring(leaf, 66, 40), "#", 1).cast("long"))
+    # A leaf's length stands behind its digits and a colon.
+    lengths = F.transform(some_leaves, lambda leaf: F.substring(leaf, LEAF_DIGITS + 2, 20).cast("long"))
     return F.aggregate(lengths, F.lit(0).cast("long"), lambda n, length: n + length)
 
 
+def edits(text: Column, other: Column) -> Column:
+    """Numbers of paragraphs, from 0: ``removed`` and ``moved`` of ``text``, ``added`` of ``other``.
+
+    Equal paragraphs are paired in their order. Of the pairs, those are moved whose place
+    among all pairs is another in ``other``.
+    """
+    return edits_of(paragraphs(text), paragraphs(other))
+
+
+def edits_of(mine: Column, theirs: Column) -> Column:
+    def keyed(branches: Column, side: int) -> Column:
+        ordered = F.sort_array(F.transform(branches, lambda b, i: F.struct(_hash_of(b).alias("h"), i.alias("i"))))
+        keys = lambda x, nth: F.struct(F.concat_ws("#", x["h"], nth.cast("string")).alias("k"), F.lit(side).alias("s"), x["i"].alias("i"))
+        return _in_runs(ordered, lambda x: x["h"], keys)
+
+    def places(found: Column, made: Callable[[Column, Column], Column]) -> Column:
+        return F.sort_array(F.filter(F.transform(found, made), lambda x: x.isNotNull()))
+
+    def of_merged(found: Column) -> Column:
+        before = lambda m: F.get(found, F.greatest(m - 1, F.lit(0)))
+        behind = lambda m: F.get(found, m + 1)
+        paired = lambda x, m: F.coalesce(behind(m)["k"] == x["k"], F.lit(False))
+        removed = places(found, lambda x, m: F.when((x["s"] == 0) & ~paired(x, m), x["i"]))
+        added = places(found, lambda x, m: F.when((x["s"] == 1) & ((m == 0) | (before(m)["k"] != x["k"])), x["i"]))
+        pairs = places(found, lambda x, m: F.when((x["s"] == 0) & paired(x, m), F.struct(x["i"].alias("i"), behind(m)["i"].alias("j"))))
+
+        def of_pairs(p: Column) -> Column:
+            return _let(F.sort_array(p["j"]), lambda js: F.transform(p, lambda x, r: F.when(x["j"] != F.get(js, r), x["i"])))
+
+        moved = F.filter(_let(pairs, of_pairs), lambda i: i.isNotNull())
+        return F.struct(removed.alias("removed"), added.alias("added"), moved.alias("moved"))
+
+    return _let(F.sort_array(F.concat(keyed(mine, 0), keyed(theirs, 1))), of_merged)
+
+
+def changed_paragraphs(text: Column, other: Column) -> Column:
+    """Numbers of the paragraphs of ``text``, from 0, that ``other`` has not, or has in another order."""
+    return _let(edits(text, other), lambda e: F.sort_array(F.concat(e["removed"], e["moved"])))
+
+
 def with_trees(df: DataFrame, texts: dict[str, str]) -> DataFrame:
-    """Root and numbered leaves of several text columns, by prefix; the texts' columns stay."""
-    others = df.columns
-    df = df.withColumns({f"_{prefix}": leaves(F.col(column)) for prefix, column in texts.items()})
-    made = []
-    for prefix in texts:
-        made.append(fingerprint(F.col(f"_{prefix}")).alias(f"{prefix}_root"))
-        made.append(told_apart(F.flatten(f"_{prefix}")).alias(f"{prefix}_leaves"))
-    return df.select(*[F.col(f"`{c}`") for c in others], *made)
-
-
-def likeness(left: str, right: str) -> Column:
-    """1 for equal roots, else the share of common leaves by their characters."""
-    mine, theirs = F.col(f"{left}_leaves"), F.col(f"{right}_leaves")
-    both = _characters(mine) + _characters(theirs)
-    shared = _characters(F.array_intersect(mine, theirs))
-    by_parts = F.when(both > 0, 2.0 * shared / both).otherwise(0.0)
+    """Tree and root of several text columns, by prefix; the texts' columns stay."""
+    others = [F.col(f"`{c}`") for c in df.columns]
+    lines = df.select(*others, *[paragraphs(F.col(column)).alias(f"{prefix}_paragraphs") for prefix, column in texts.items()])
+    return with_roots(lines, list(texts))
+
+
+def with_roots(df: DataFrame, prefixes: list[str]) -> DataFrame:
+    """Sections, root and number of characters above the paragraphs of each prefix."""
+    df = df.select("*", *[sections(F.col(f"{p}_paragraphs")).alias(f"{p}_sections") for p in prefixes])
+    return df.select("*", *[root(F.col(f"{p}_sections")).alias(f"{p}_root") for p in prefixes])
+
+
+def likeness(left: str, right: str, n_left: Column, n_right: Column) -> Column:
+    """1 for equal roots, else the share of characters in branches and leaves that have their like.
+
+    ``n_left`` and ``n_right`` are the characters of both texts, line feeds aside.
+    """
+    both = n_left + n_right
+    missing = _let(
+        left_out(F.col(f"{left}_sections"), F.col(f"{right}_sections")), lambda p: _characters(p["l"]) + _characters(p["r"])
+    )
+    by_parts = F.when(both > 0, (both - missing) / both).otherwise(0.0)
     return F.when(F.col(f"{left}_root") == F.col(f"{right}_root"), 1.0).otherwise(by_parts)
 
 
+def characters(text: Column) -> Column:
+    """How many characters stand in phrases: all but line feeds."""
+    return F.length(F.replace(text, F.lit("\n"), F.lit(""))).cast("long")
+
+
 def previous_ids(docs: DataFrame) -> DataFrame:
     """Every id with the one before it; the first follows the last."""
     ids = docs.select("doc_id").filter("doc_id IS NOT NULL").distinct()
@@ -156,45 +245,50 @@ def with_next_text(docs: DataFrame) -> DataFrame:
 
 
 def op5_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of all documents and of their edited texts."""
+    """Fingerprints of all documents and of their edited texts, and which paragraphs the edit removed, added and moved."""
     rows = with_next_text(read(spark, sf_dir, "documents")).withColumn("n_chars", F.length("text").cast("long"))
     rows = rows.withColumn("_replaced", F.expr("cast(n_chars div 4 as int)"))
     start = F.substring("text", F.lit(1), (F.col("n_chars") - F.col("_replaced")).cast("int"))
-    edited = rows.withColumn("edited", F.concat(start, F.substring("next_text", F.lit(1), F.col("_replaced"))))
-    trees = with_trees(edited, {"own": "text", "edited": "edited", "next": "next_text"})
-    return trees.select(
+    cut = rows.select("*", start.alias("_start"), F.substring("next_text", F.lit(1), F.col("_replaced")).alias("_piece"))
+    edited = cut.select("*", F.concat("_start", "_piece").alias("edited"))
+    lines = edited.select("*", paragraphs(F.col("text")).alias("own_paragraphs"), paragraphs(F.col("next_text")).alias("next_paragraphs"))
+    # The paragraphs before the cut are known from the text's own tree.
+    kept = F.length("_start") - characters(F.col("_start"))
+    begun = F.concat(F.substring_index("_start", "\n", -1), F.col("_piece"))
+    lines = lines.select("*", F.concat(F.slice("own_paragraphs", F.lit(1), kept.cast("int")), paragraphs(begun)).alias("edited_paragraphs"))
+    trees = with_roots(lines, ["own", "edited", "next"])
+    n_own, n_edited, n_next = (characters(F.col(c)) for c in ("text", "edited", "next_text"))
+    found = trees.select(
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
         F.col("own_root").alias("fingerprint"),
         F.col("edited_root").alias("edited_fingerprint"),
-        likeness("own", "edited").alias("near_edited"),
-        likeness("own", "next").alias("near_next"),
+        likeness("own", "edited", n_own, n_edited).alias("near_edited"),
+        likeness("own", "next", n_own, n_next).alias("near_next"),
+        edits_of(F.col("own_paragraphs"), F.col("edited_paragraphs")).alias("_edits"),
     )
+    counts = [F.size(F.col("_edits")[c]).cast("long").alias(f"n_{c}") for c in ("removed", "added", "moved")]
+    first = F.array_min(F.concat(F.col("_edits.removed"), F.col("_edits.moved"))).cast("long").alias("first_changed")
+    return found.select(*[c for c in found.columns if c != "_edits"], *counts, first)
 
 
 def _sql() -> str:
-    def found(column: str) -> str:
-        phrase = "[ \\t\\r]*(?:[^ \\t\\r]*[\\pL\\pN][ \\t\\r]+){0,3}[^ \\t\\r]*"
-        phrases = f"list_filter(regexp_extract_all(p, '{phrase}'), lambda c: c <> '')"
-        leaves = f"list_transform({phrases}, lambda c: sha256(c) || ':' || length(c))"
-        return f"list_transform(string_split({column}, chr(10)), lambda p: {leaves})"
-
-    def tree(prefix: str) -> str:
-        hashes = f"array_to_string(list_transform({prefix}, lambda p: sha256(array_to_string(p, ' '))), ' ')"
-        parts = f"string_split(replace({hashes}, '0 ', '0|'), '|')"
-        return (
-            f"sha256(array_to_string(list_transform({parts}, lambda s: sha256(s)), ' ')) AS {prefix}_root, "
-            f"list_transform(list_sort(flatten({prefix})), lambda c, i: c || '#' || "
-            f"(i - list_position(list_sort(flatten({prefix})), c))) AS {prefix}_leaves"
-        )
-
-    def near(a: str, b: str) -> str:
-        size = lambda x: f"coalesce(list_sum(list_transform({x}, lambda c: split_part(substr(c, 66), '#', 1)::BIGINT)), 0)"
-        both = f"({size(f'{a}_leaves')} + {size(f'{b}_leaves')})"
-        shared = size(f"list_intersect({a}_leaves, {b}_leaves)")
-        return f"""CASE WHEN {a}_root = {b}_root THEN 1.0::DOUBLE WHEN {both} > 0
-                   THEN 2.0::DOUBLE * {shared}::DOUBLE / {both}::DOUBLE ELSE 0.0::DOUBLE END"""
+    """The same in SQL: a row per section, paragraph and phrase, numbered among its likes."""
+    word = "[ \\t\\r]*[^ \\t\\r]+|[ \\t\\r]+"
+    phrase = "(?:[ \\t\\r]*[^ \\t\\r\\n]+){1,8}|[ \\t\\r]+"
+    last = ", ".join(f"'{c}'" for c in LAST_WORDS)
+
+    def only(table: str, source: str, columns: str) -> str:
+        """Rows of ``source`` (doc, side, h) without a like on the other side, for both pairs of texts."""
+        return f"""
+        {table}_n AS (
+            SELECT *, row_number() OVER (PARTITION BY doc, pair, side, h) AS nth FROM {source}
+        ), {table} AS (
+            SELECT doc, pair, side, {columns} FROM {table}_n AS a
+            WHERE NOT EXISTS (SELECT 1 FROM {table}_n AS b
+                              WHERE a.doc = b.doc AND a.pair = b.pair AND a.side <> b.side AND a.h = b.h AND a.nth = b.nth)
+        )"""
 
     return f"""
     WITH base AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
@@ -203,14 +297,73 @@ def _sql() -> str:
         FROM base
     ), cut AS (
         SELECT *, left(text, length(text) - length(text) // 4) || left(next_text, length(text) // 4) AS edited FROM linked
-    ), hashed AS (
-        SELECT doc_id, text, edited, {found("text")} AS own, {found("edited")} AS changed, {found("next_text")} AS next FROM cut
-    ), trees AS (
-        SELECT *, {tree("own")}, {tree("changed")}, {tree("next")} FROM hashed
+    ), texts AS (
+        SELECT doc_id AS doc, 'own' AS kind, text AS t FROM cut
+        UNION ALL SELECT doc_id, 'edited', edited FROM cut
+        UNION ALL SELECT doc_id, 'next', next_text FROM cut
+    ), lines AS (
+        SELECT doc, kind, unnest(string_split(t, chr(10))) AS line, unnest(range(len(string_split(t, chr(10))))) AS i FROM texts
+    ), phrases AS (
+        SELECT doc, kind, i, list_transform(
+            regexp_extract_all(array_to_string(list_transform(regexp_extract_all(line, '{word}'),
+                lambda w: w || CASE WHEN right(md5(w), 1) IN ({last}) THEN chr(10) ELSE '' END), ''), '{phrase}'),
+            lambda c: left(sha256(c), {LEAF_DIGITS}) || ':' || length(c)) AS leaves
+        FROM lines
+    ), paragraphs AS (
+        SELECT doc, kind, i, leaves, sha256(coalesce(array_to_string(leaves, ' '), '')) AS h FROM phrases
+    ), numbered AS (
+        SELECT *, coalesce(sum(CASE WHEN right(h, 1) = '0' THEN 1 ELSE 0 END)
+            OVER (PARTITION BY doc, kind ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s
+        FROM paragraphs
+    ), sections AS (
+        SELECT doc, kind, s, sha256(string_agg(h, ' ' ORDER BY i)) AS h FROM numbered GROUP BY doc, kind, s
+    ), roots AS (
+        SELECT doc, kind, sha256(string_agg(h, ' ' ORDER BY s)) AS root FROM sections GROUP BY doc, kind
+    ), pairs AS (
+        SELECT * FROM (VALUES ('edited', 'own'), ('edited', 'edited'), ('next', 'own'), ('next', 'next')) AS v(pair, kind)
+    ), section_sides AS (
+        SELECT doc, pair, kind = 'own' AS side, kind, s, h FROM sections JOIN pairs USING (kind)
+    ), {only("open_sections", "section_sides", "kind, s")},
+    paragraph_sides AS (
+        SELECT o.doc, o.pair, o.side, n.leaves, n.h FROM open_sections AS o
+        JOIN numbered AS n ON n.doc = o.doc AND n.kind = o.kind AND n.s = o.s
+    ), {only("open_paragraphs", "paragraph_sides", "leaves")},
+    leaf_sides AS (SELECT doc, pair, side, unnest(leaves) AS h FROM open_paragraphs),
+    {only("open_leaves", "leaf_sides", "h")},
+    missing AS (
+        SELECT doc, pair, sum(substr(h, {LEAF_DIGITS + 2})::BIGINT)::BIGINT AS n FROM open_leaves GROUP BY doc, pair
+    ), sizes AS (
+        SELECT doc, kind, length(replace(t, chr(10), ''))::BIGINT AS n FROM texts
+    ), near AS (
+        SELECT p.doc_id AS doc, v.pair, CASE WHEN a.root = b.root THEN 1.0::DOUBLE
+               WHEN x.n + y.n > 0 THEN (x.n + y.n - coalesce(m.n, 0))::DOUBLE / (x.n + y.n)::DOUBLE ELSE 0.0::DOUBLE END AS likeness
+        FROM cut AS p CROSS JOIN (VALUES ('edited'), ('next')) AS v(pair)
+        JOIN roots AS a ON a.doc = p.doc_id AND a.kind = 'own' JOIN roots AS b ON b.doc = p.doc_id AND b.kind = v.pair
+        JOIN sizes AS x ON x.doc = p.doc_id AND x.kind = 'own' JOIN sizes AS y ON y.doc = p.doc_id AND y.kind = v.pair
+        LEFT JOIN missing AS m ON m.doc = p.doc_id AND m.pair = v.pair
+    ), keyed AS (
+        SELECT doc, kind, i, h, row_number() OVER (PARTITION BY doc, kind, h ORDER BY i) AS nth
+        FROM paragraphs WHERE kind IN ('own', 'edited')
+    ), met AS (
+        SELECT doc, o.i, e.i AS j
+        FROM (SELECT * FROM keyed WHERE kind = 'own') AS o FULL JOIN (SELECT * FROM keyed WHERE kind = 'edited') AS e USING (doc, h, nth)
+    ), ordered AS (
+        SELECT *, row_number() OVER (PARTITION BY doc, i IS NULL, j IS NULL ORDER BY i) AS at_i,
+               row_number() OVER (PARTITION BY doc, i IS NULL, j IS NULL ORDER BY j) AS at_j
+        FROM met
+    ), edits AS (
+        SELECT doc, count(*) FILTER (j IS NULL) AS n_removed, count(*) FILTER (i IS NULL) AS n_added,
+               count(*) FILTER (i IS NOT NULL AND j IS NOT NULL AND at_i <> at_j) AS n_moved,
+               min(i) FILTER (j IS NULL OR at_i <> at_j) AS first_changed
+        FROM ordered GROUP BY doc
     )
-    SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256, own_root AS fingerprint,
-           changed_root AS edited_fingerprint, {near("own", "changed")} AS near_edited, {near("own", "next")} AS near_next
-    FROM trees
+    SELECT doc_id, length(text)::BIGINT AS n_chars, sha256(edited) AS edited_sha256, a.root AS fingerprint,
+           b.root AS edited_fingerprint, e.likeness AS near_edited, n.likeness AS near_next,
+           n_removed, n_added, n_moved, first_changed
+    FROM cut
+    JOIN roots AS a ON a.doc = doc_id AND a.kind = 'own' JOIN roots AS b ON b.doc = doc_id AND b.kind = 'edited'
+    JOIN near AS e ON e.doc = doc_id AND e.pair = 'edited' JOIN near AS n ON n.doc = doc_id AND n.pair = 'next'
+    JOIN edits ON edits.doc = doc_id
     """
 
 

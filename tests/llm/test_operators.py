@@ -301,6 +301,53 @@ def test_trees_of_odd_rows(spark, docs, no_docs, in_folder):
     assert merkle.with_next_text(no_docs).count() == 0
 
 
+def plain_paragraphs(text):
+    """The leaves of each paragraph, with their characters, by loops."""
+    found = []
+    for line in text.split("\n"):
+        parts, part, n = [], "", 0
+        for word in re.findall(r"[ \t\r]*[^ \t\r]+|[ \t\r]+", line):
+            part, n = part + word, n + 1
+            if n == 8 or hashlib.md5(word.encode()).hexdigest()[-1] in "048c":
+                parts, part, n = [*parts, part], "", 0
+        parts += [part] if part else []
+        found.append([(hashlib.sha256(c.encode()).hexdigest()[:32], len(c)) for c in parts])
+    return found
+
+
+def plain_sections(text):
+    parts, part = [], []
+    for leaves in plain_paragraphs(text):
+        part.append((hashlib.sha256(" ".join(f"{h}:{n}" for h, n in leaves).encode()).hexdigest(), leaves))
+        if part[-1][0][-1] == "0":
+            parts, part = [*parts, part], []
+    parts += [part] if part else []
+    return [(hashlib.sha256(" ".join(h for h, _ in p).encode()).hexdigest(), p) for p in parts]
+
+
+def plain_likeness(a, b):
+    def apart(mine, theirs):
+        """Those of each side that are left when equal ones are struck out."""
+        counts = [Counter(x[0] for x in side) for side in (theirs, mine)]
+        left = []
+        for side, count in zip((mine, theirs), counts):
+            left.append([])
+            for x in side:
+                if count[x[0]]:
+                    count[x[0]] -= 1
+                else:
+                    left[-1].append(x)
+        return left
+
+    if a == b:
+        return 1.0
+    left = apart(plain_sections(a), plain_sections(b))
+    left = apart(*([p for _, part in side for p in part] for side in left))
+    left = apart(*([(f"{h}:{n}", n) for _, leaves in side for h, n in leaves] for side in left))
+    both = sum(len(t.replace("\n", "")) for t in (a, b))
+    return (both - sum(n for side in left for _, n in side)) / both if both else 0.0
+
+
 def test_tree_locates_edits(spark):
     lines = [f"line {n} of the text. It goes  on, {n} times!" for n in range(200)]
     other = lines[:50] + ["a new line"] + lines[50:120] + ["changed"] + lines[121:]
@@ -308,35 +355,51 @@ def test_tree_locates_edits(spark):
     row = df.select(
         merkle.changed_paragraphs(F.col("a"), F.col("b")).alias("left"),
         merkle.changed_paragraphs(F.col("b"), F.col("a")).alias("right"),
-        merkle.fingerprint(merkle.leaves(F.col("a"))).alias("f"),
+        merkle.fingerprint(F.col("a")).alias("f"),
     ).first()
     assert (row.left, row.right) == ([120], [50, 121])
-    phrases = [[f"line {n} of the", " text.", " It goes  on,", f" {n} times!"] for n in range(200)]
-    leaves = [[f"{hashlib.sha256(c.encode()).hexdigest()}:{len(c)}" for c in parts] for parts in phrases]
-    hashes = [hashlib.sha256(" ".join(found).encode()).hexdigest() for found in leaves]
-    parts, part = [], []
-    for h in hashes:
-        part.append(h)
-        if h[-1] == "0":
-            parts, part = [*parts, part], []
-    parts += [part] if part else []
-    roots = " ".join(hashlib.sha256(" ".join(p).encode()).hexdigest() for p in parts)
-    assert row.f == hashlib.sha256(roots.encode()).hexdigest()
+    assert row.f == hashlib.sha256(" ".join(h for h, _ in plain_sections("\n".join(lines))).encode()).hexdigest()
+
+
+def test_tree_locates_lost_repeats_and_swaps(spark):
+    rows = [
+        ("a\nx\nb\nx", "a\nx\nb"),
+        ("a\nb\nc\nd", "a\nc\nb\nd"),
+        ("a\nb", "a\n\nb"),
+        ("a\nb\na\nc\na", "a\nc\na\nb\na"),
+        ("a\nb", "a\nb"),
+        ("", "a"),
+        ("x\n" * 40, "x\n" * 38),
+    ]
+    df = spark.createDataFrame(rows, "a string, b string").select(merkle.edits(F.col("a"), F.col("b")).alias("e"))
+    found = [(r.e.removed, r.e.added, r.e.moved) for r in df.collect()]
+    assert found == [([3], [], []), ([], [], [1, 2]), ([], [1], []), ([], [], [1, 3]), ([], [], []), ([0], [0], []), ([38, 39], [], [])]
 
 
-def test_likeness_counts_repeats(spark):
-    rows = [("a b c d " * 30, "a b c d " * 10), ("one.\ntwo. three", "two. three\none."), ("", ""), ("", "x"), ("u v w x y", "u v w x z")]
+def test_one_word_changes_little(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randrange(2, 9))) for _ in range(400)]
+    rows = [(" ".join(words), " ".join([*words[:at], "new", *words[at:]])) for at in (0, 13, 200, 399, 400)]
     df = merkle.with_trees(spark.createDataFrame(rows, "a string, b string"), {"l": "a", "r": "b"})
-    found = [r.n for r in df.select(merkle.likeness("l", "r").alias("n")).collect()]
+    near = merkle.likeness("l", "r", merkle.characters(F.col("a")), merkle.characters(F.col("b")))
+    assert min(r.n for r in df.select(near.alias("n")).collect()) >= 0.95
 
-    def plain(a, b):
-        if a == b:
-            return 1.0
-        mine, theirs = (Counter(c for p in t.split("\n") for c in re.findall(r"[ ]*(?:[^ ]*\w[ ]+){0,3}[^ ]*", p) if c) for t in (a, b))
-        n = lambda c: sum(len(x) * k for x, k in c.items())
-        return 2 * n(mine & theirs) / (n(mine) + n(theirs))
 
-    assert found == pytest.approx([plain(*r) for r in rows])
+def test_likeness_is_that_of_a_plain_descent(spark):
+    rng = random.Random(8)
+    rows = [("a b c d " * 30, "a b c d " * 10), ("one.\ntwo. three", "two. three\none."), ("", ""), ("", "x"), ("u v w x y", "u v w x z")]
+    rows += [("same " * 100, "same " * 99), ("\n\n", "\n"), (" \t", "\t "), (LONG, LONG[:-40] + "\nend")]
+    for _ in range(60):
+        lines = [" ".join(rng.choices("abcdefgh", k=rng.randrange(9))) for _ in range(rng.randrange(1, 60))]
+        others = [line if rng.random() < 0.8 else line + " z" for line in lines if rng.random() < 0.9]
+        if rng.random() < 0.5:
+            rng.shuffle(others)
+        rows.append(("\n".join(lines), "\n".join(others)))
+    df = merkle.with_trees(spark.createDataFrame(rows, "a string, b string"), {"l": "a", "r": "b"})
+    near = merkle.likeness("l", "r", merkle.characters(F.col("a")), merkle.characters(F.col("b")))
+    assert [r.n for r in df.select(near.alias("n")).collect()] == pytest.approx([plain_likeness(*r) for r in rows])
+    changed = df.select(merkle.edits(F.col("a"), F.col("b")).alias("e"), (F.col("l_root") == F.col("r_root")).alias("same")).collect()
+    assert all(r.same == (not any(r.e)) for r in changed)
 
 
 # Archives
