@@ -9,7 +9,8 @@ mean equal texts.
 
 Where roots differ, two trees are compared from the top (``left_out``): sections of equal
 hash are done with, the paragraphs of the others are compared by their hashes, and the
-phrases of paragraphs that are still left by theirs. Repeats count at each level.
+phrases of paragraphs that are still left by theirs (``characters_apart``). Repeats count
+at each level.
 Likeness is the share of the characters that found their like. ``edits`` gives the numbers
 of the paragraphs that one text lacks, and of those that stand in another order: if the
 roots differ, it is never empty on both sides. Nothing but the trees is needed.
@@ -51,8 +52,8 @@ def _leaf(phrase: Column) -> Column:
     return F.concat_ws(":", F.substring(F.sha2(phrase, 256), 1, LEAF_DIGITS), F.length(phrase).cast("string"))
 
 
-def _branch(hashed: Column, content: Column) -> Column:
-    return F.concat_ws("=", F.sha2(hashed, 256), content)
+def _branch(hashed: Column, size: Column, content: Column) -> Column:
+    return F.concat(F.sha2(hashed, 256), F.lit(":"), size.cast("string"), F.lit("="), content)
 
 
 def _hash_of(branch: Column) -> Column:
@@ -64,22 +65,23 @@ def _content_of(branch: Column) -> Column:
 
 
 def paragraphs(text: Column) -> Column:
-    """Each paragraph as a branch: the hash over its leaves, and behind it these."""
+    """Each paragraph as a branch: the hash over its leaves, its length, and behind them the leaves."""
 
     def of_paragraph(paragraph: Column) -> Column:
-        return _let(F.array_join(F.transform(_phrases(paragraph), _leaf), " "), lambda found: _branch(found, found))
+        joined = F.array_join(F.transform(_phrases(paragraph), _leaf), " ")
+        return _let(joined, lambda found: _branch(found, F.length(paragraph), found))
 
     return F.transform(F.split(text, "\n"), of_paragraph)
 
 
 def sections(some_paragraphs: Column) -> Column:
-    """Each section as a branch: the hash over those of its paragraphs, and behind it these."""
+    """Each section as a branch: the hash over those of its paragraphs, its length in letters of these, and behind them these."""
     ended = F.transform(some_paragraphs, lambda p: F.when(F.substring(p, 64, 1) == "0", F.concat(p, F.lit("|"))).otherwise(F.concat(p, F.lit(";"))))
     # Without what ends the last paragraph.
     contents = F.split(F.regexp_replace(F.array_join(ended, ""), r"[;|]\z", ""), r"\|")
 
     def of_section(content: Column) -> Column:
-        return _branch(F.array_join(F.transform(F.split(content, ";"), _hash_of), " "), content)
+        return _branch(F.array_join(F.transform(F.split(content, ";"), _hash_of), " "), F.length(content), content)
 
     return F.transform(contents, of_section)
 
@@ -129,16 +131,40 @@ def _below(branches: Column, separator: str) -> Column:
 
 
 def left_out(mine: Column, theirs: Column) -> Column:
-    """The leaves of two trees' sections that have no like: compared from the top, only what differs is opened."""
+    """The paragraphs of two trees' sections that have no like: only sections that differ are opened."""
     by_paragraph = lambda p: _both_ways(_below(p["l"], ";"), _below(p["r"], ";"))
-    by_leaf = lambda p: _both_ways(_below(p["l"], " "), _below(p["r"], " "))
-    return _let(_let(_both_ways(mine, theirs), by_paragraph), by_leaf)
+    return _let(_both_ways(mine, theirs), by_paragraph)
 
 
-def _characters(some_leaves: Column) -> Column:
-    # A leaf's length stands behind its digits and a colon.
-    lengths = F.transform(some_leaves, lambda leaf: F.substring(leaf, LEAF_DIGITS + 2, 20).cast("long"))
-    return F.aggregate(lengths, F.lit(0).cast("long"), lambda n, length: n + length)
+def _added_up(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0).cast("long"), lambda n, x: n + x)
+
+
+def _leaf_characters(some_leaves: Column) -> Column:
+    # A leaf's length stands behind a colon.
+    return _added_up(F.transform(some_leaves, lambda leaf: F.substring_index(leaf, ":", -1).cast("long")))
+
+
+def _characters_below(some_paragraphs: Column) -> Column:
+    # A paragraph's length stands behind its hash.
+    return _added_up(F.transform(some_paragraphs, lambda p: F.substring_index(F.substring(p, 66, 20), "=", 1).cast("long")))
+
+
+def _repeats(some_leaves: Column) -> Column:
+    """Each leaf as often as it is there, less once."""
+    again = lambda found: F.filter(found, lambda b, i: (i > 0) & (b == F.get(found, F.greatest(i - 1, F.lit(0)))))
+    return _let(F.sort_array(some_leaves), again)
+
+
+def characters_apart(mine: Column, theirs: Column) -> Column:
+    """The characters of the leaves below two lists of paragraphs that have no like on the other side."""
+
+    def shared(p: Column) -> Column:
+        repeats = F.array_intersect(told_apart(_repeats(p["l"])), told_apart(_repeats(p["r"])))
+        return _leaf_characters(F.array_intersect(p["l"], p["r"])) + _leaf_characters(repeats)
+
+    opened = F.struct(_below(mine, " ").alias("l"), _below(theirs, " ").alias("r"))
+    return _characters_below(mine) + _characters_below(theirs) - 2 * _let(opened, shared)
 
 
 def edits(text: Column, other: Column) -> Column:
@@ -201,7 +227,7 @@ def likeness(left: str, right: str, n_left: Column, n_right: Column) -> Column:
     """
     both = n_left + n_right
     missing = _let(
-        left_out(F.col(f"{left}_sections"), F.col(f"{right}_sections")), lambda p: _characters(p["l"]) + _characters(p["r"])
+        left_out(F.col(f"{left}_sections"), F.col(f"{right}_sections")), lambda p: characters_apart(p["l"], p["r"])
     )
     by_parts = F.when(both > 0, (both - missing) / both).otherwise(0.0)
     return F.when(F.col(f"{left}_root") == F.col(f"{right}_root"), 1.0).otherwise(by_parts)

@@ -307,6 +307,8 @@ def plain_paragraphs(text):
     for line in text.split("\n"):
         parts, part, n = [], "", 0
         for word in re.findall(r"[ \t\r]*[^ \t\r]+|[ \t\r]+", line):
+            if not word.strip(" \t\r"):  # behind the last word, blanks are a leaf of their own
+                parts, part, n = [*parts, part] if part else parts, "", 0
             part, n = part + word, n + 1
             if n == 8 or hashlib.md5(word.encode()).hexdigest()[-1] in "048c":
                 parts, part, n = [*parts, part], "", 0
