@@ -8,11 +8,14 @@ differ by one at most.
 
 Only the counts per position, whose number is fixed, reach the driver. They say
 which ranks of each position go to which shard, and every row finds its shard and
-slot by its rank within its position. Positions are hashes, so none is hot unless
-rows are copies of each other; copies are counted before they are ranked.
+slot by its rank within its position. Copies of a row are counted before they are
+ranked. A position with many different rows, such as that of a hot or null key, is
+split by the rows' hashes into parts: a rank is the count of the parts before and
+the rank within the part.
 
 Rows with a null key stand at one position. An empty table gives an empty result.
-Repeated rows are kept, each with a slot of its own.
+Repeated rows are kept, each with a slot of its own. Columns may have any names but
+``shard`` and ``slot``, which are replaced.
 """
 
 from __future__ import annotations
@@ -24,10 +27,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import read, utf8_bytes
+from stratalake.llm.common import numbered, read, utf8_bytes, written
 
 POSITIONS = 16_384
 VIRTUAL_NODES = 128
+ROWS_PER_PART = 100_000
+CHUNK = 65_536
 
 
 @dataclass(frozen=True)
@@ -93,30 +98,44 @@ def position_of(key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(POSITIONS)).cast("int")
 
 
-def assign(rows: DataFrame, key: str, n_shards: int, headroom: float = 0.0) -> DataFrame:
+def _ranked(copies: DataFrame, columns: list[str], key: str, rows_per_part: int) -> DataFrame:
+    """``copies`` (columns, position, copies) with ``rank``, the number of rows before at the position."""
+    at = copies.groupBy("position").agg(F.expr(f"(count(1) - 1) div {rows_per_part} + 1").alias("n_parts"))
+    # A row per position: a constant bound.
+    parted = copies.join(F.broadcast(at), "position").withColumn("part", F.pmod(F.xxhash64(*columns), "n_parts"))
+    sizes = parted.groupBy("position", "part").agg(F.sum("copies").alias("size"))
+    parts_before = Window.partitionBy("position").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    begins = sizes.select("position", "part", F.coalesce(F.sum("size").over(parts_before), F.lit(0)).alias("begin"))
+    order = [F.xxhash64(key), *columns]
+    rows_before = Window.partitionBy("position", "part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = parted.withColumn("inside", F.coalesce(F.sum("copies").over(rows_before), F.lit(0)))
+    return inside.join(begins, ["position", "part"]).withColumn("rank", F.col("begin") + F.col("inside"))
+
+
+def assign(rows: DataFrame, key: str, n_shards: int, headroom: float = 0.0, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
     """``rows`` with ``shard`` and ``slot``; slots of a shard count from 0 without gaps.
 
     The rows should be narrow: keys and what else identifies them.
     """
-    placed = rows.withColumn("_position", position_of(F.col(key)))
-    counts = {r["_position"]: r["count"] for r in placed.groupBy("_position").count().collect()}
+    rows = rows.select(*[F.col(f"`{c}`") for c in rows.columns if c.lower() not in ("shard", "slot")])
+    named, names = numbered(rows)
+    columns = named.columns
+    counted = named.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"))
+    copies = written(counted.withColumn("position", position_of(F.col(names[key]))), "ring")
+    counts = {r["position"]: r["n"] for r in copies.groupBy("position").agg(F.sum("copies").alias("n")).collect()}
     spans = rows.sparkSession.createDataFrame(
         [(s.position, s.shard, s.first_rank, s.n_rows, s.first_slot) for s in plan(counts, n_shards, headroom)],
-        "_at int, shard int, _first long, _n long, _slot long",
+        "at int, shard int, first long, n long, first_slot long",
     )
-    copies = placed.groupBy(*[F.col(f"`{c}`") for c in placed.columns]).agg(F.count(F.lit(1)).alias("_copies"))
-    order = [F.xxhash64(F.col(key)), *[F.col(f"`{c}`") for c in rows.columns]]
-    before = Window.partitionBy("_position").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = copies.withColumn("_rank", F.coalesce(F.sum("_copies").over(before), F.lit(0)))
+    ranked = _ranked(copies, columns, names[key], rows_per_part)
     # Copies of one row have ranks one after the other; they are written out in chunks.
-    chunks = ranked.withColumn("_chunk", F.explode(F.expr("sequence(0L, (_copies - 1) div 65536)")))
-    ranks = F.expr("sequence(_rank + _chunk * 65536, _rank + least(_copies, (_chunk + 1) * 65536) - 1)")
-    every = chunks.withColumn("_rank", F.explode(ranks)).drop("_chunk", "_copies")
-    inside = (F.col("_position") == F.col("_at")) & F.col("_rank").between(F.col("_first"), F.col("_first") + F.col("_n") - 1)
+    chunks = ranked.withColumn("chunk", F.explode(F.expr(f"sequence(0L, (copies - 1) div {CHUNK})")))
+    ranks = F.expr(f"sequence(rank + chunk * {CHUNK}, rank + least(copies, (chunk + 1) * {CHUNK}) - 1)")
+    every = chunks.select(*columns, "position", F.explode(ranks).alias("rank"))
+    inside = (F.col("position") == F.col("at")) & F.col("rank").between(F.col("first"), F.col("first") + F.col("n") - 1)
     # At most one span per position and shard: a constant bound.
-    return every.join(F.broadcast(spans), inside).select(
-        *[F.col(f"`{c}`") for c in rows.columns], "shard", (F.col("_slot") + F.col("_rank") - F.col("_first")).alias("slot")
-    )
+    slot = (F.col("first_slot") + F.col("rank") - F.col("first")).alias("slot")
+    return every.join(F.broadcast(spans), inside).select(*columns, "shard", slot).toDF(*rows.columns, "shard", "slot")
 
 
 def op1_hash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:

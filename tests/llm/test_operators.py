@@ -4,11 +4,13 @@ import hashlib
 import itertools
 import random
 import re
+import struct
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from stratalake.llm import chat_format, decontaminate, hash_ring, language_id, license_scan, merkle, packing, pii, simhash_golay, warc
@@ -80,6 +82,67 @@ def test_ring_deals_copies_of_one_row(spark):
     assert counts == {s: (250, 249) for s in range(4)}
 
 
+def walked(keys, n_shards, owned):
+    """The shard of each key, walked clockwise from its place one by one; keys stand in their order at a place."""
+    places = sorted(owned)
+    room = [len(keys) // n_shards + (s < len(keys) % n_shards) for s in range(n_shards)]
+    waiting = [(place, n) for place, n in sorted(keys)]
+    found = {}
+    for distance in range(n_shards):
+        still = []
+        for place, n in waiting:
+            met = []
+            for p in [p for p in places if p >= place] + places:
+                if owned[p] not in met:
+                    met.append(owned[p])
+                if len(met) > distance:
+                    break
+            if room[met[distance]]:
+                room[met[distance]] -= 1
+                found[place, n] = met[distance]
+            else:
+                still.append((place, n))
+        waiting = still
+    assert not waiting
+    return found
+
+
+@pytest.mark.parametrize("rows_per_part", [100_000, 7])
+def test_ring_assignment_equals_a_walk(spark, rows_per_part):
+    hashed = lambda k: xxhash.xxh64_intdigest(struct.pack("<q", k), seed=42) if k is not None else 42
+    keys = [*range(600), *[7] * 90, *[None] * 300]
+    rows = spark.createDataFrame([(k, n) for n, k in enumerate(keys)], "k long, n long")
+    found = hash_ring.assign(rows, "k", 5, rows_per_part=rows_per_part).collect()
+    assert sorted(r.n for r in found) == list(range(len(keys)))
+    # Which of a place's rows go to a shard is a matter of their ranks; how many go where is not.
+    at = defaultdict(list)
+    for n, k in enumerate(keys):
+        signed = hashed(k) - (1 << 64) if hashed(k) >> 63 else hashed(k)
+        at[signed % hash_ring.POSITIONS].append(n)
+    expected = Counter()
+    for (place, _), shard in walked([(p, n) for p, some in at.items() for n in range(len(some))], 5, hash_ring.owners(5)).items():
+        expected[place, shard] += 1
+    place_of = {n: p for p, some in at.items() for n in some}
+    assert Counter((place_of[r.n], r.shard) for r in found) == expected
+    for shard in range(5):
+        assert sorted(r.slot for r in found if r.shard == shard) == list(range(sum(r.shard == shard for r in found)))
+
+
+def test_ring_takes_any_column_names(spark):
+    names = ["key", "_n", "_copies", "_position", "position", "part", "rank", "copies", "at", "n", "shard", "slot", "a.b"]
+    rows = spark.createDataFrame([tuple([k] * len(names)) for k in range(50)], names)
+    found = hash_ring.assign(rows, "key", 4)
+    assert found.columns == [*[n for n in names if n not in ("shard", "slot")], "shard", "slot"]
+    assert sorted(r["_copies"] for r in found.collect()) == list(range(50))
+
+
+def test_ring_without_headroom_moves_less_than_half():
+    counts = {p: random.Random(p).randrange(5) for p in range(0, hash_ring.POSITIONS, 3)}
+    shards = lambda n: {(s.position, s.first_rank + i): s.shard for s in hash_ring.plan(counts, n) for i in range(s.n_rows)}
+    before, after = shards(8), shards(9)
+    assert sum(before[k] != after[k] for k in before) / len(before) < 0.5
+
+
 def test_ring_moves_few_keys_and_overflow_goes_clockwise():
     counts = {p: random.Random(p).randrange(5) for p in range(0, hash_ring.POSITIONS, 3)}
 
