@@ -1,26 +1,31 @@
 """Licence scan with a positional index of rare words.
 
-Each licence template is a run of words with key phrases that must be there. The
-index holds, for the words of the key phrases that are rarest over all documents,
-their positions in the template. A place of such a word in a file, less its
-position in the template, is where the template would begin. The beginnings that
-all rare words of a template agree on are candidates, and a candidate counts when
-every key phrase stands there word for word.
+Each licence template is a run of words with key phrases that must be there. Over all
+documents, the words of the key phrases are counted; the rarest ones of each template
+are its anchors. The index holds, by the hash of the word, each template's rarest anchor
+and its position. A file looks up its own places of such words: the place less the
+position is where the template would begin. Beginnings where the other anchors do not
+stand at their relative positions go, and what is left counts when every key phrase
+stands there word for word. Each lookup reads one bucket of the index, and a template is
+read by its number, so the work for a file does not grow with the number of templates.
 
 All of that is done on the arrays of one row: no shuffle but for the word counts,
-which have one row per indexed word. Null and empty texts have no words. Each row
-is looked at alone, so repeated rows and ids change nothing.
+which have one row per word of the key phrases. The texts are read twice, for the counts
+and for the scan. Null and empty texts have no words. Each row is looked at alone, so
+repeated rows and ids change nothing. Columns may have any names but ``n_words`` and
+``matches``, which are replaced.
 """
 
 from __future__ import annotations
 
+import json
+import zlib
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import LOWER, UPPER, read, words_of
+from stratalake.llm.common import LOWER, UPPER, numbered, read, words_of
 
 RARE_WORDS = 3
 
@@ -72,6 +77,31 @@ TEMPLATES = [
     Template("cc0", "cc0 1 0 universal"),
     Template("unlicense", "this is free and unencumbered software released into the public domain",
              ("free and unencumbered software released into the public domain",)),
+    Template(
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+        "documentation files the software to deal in the software without restriction including without limitation the "
+        "rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit "
+        "persons to whom the software is furnished to do so subject to the following conditions the above copyright "
+        "notice and this permission notice shall be included in all copies or substantial portions of the software the "
+        "software is provided as is without warranty of any kind express or implied including but not limited to the "
+        "warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the "
+        "authors or copyright holders be liable for any claim damages or other liability whether in an action of "
+        "contract tort or otherwise arising from out of or in connection with the software or the use or other dealings "
+        "in the software",
+        ("the above copyright notice and this permission notice shall be included in all copies", "without warranty of any kind"),
+    ),
+    Template(
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+        "granted provided that the above copyright notice and this permission notice appear in all copies the software "
+        "is provided as is and the author disclaims all warranties with regard to this software including all implied "
+        "warranties of merchantability and fitness in no event shall the author be liable for any special direct "
+        "indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether "
+        "in an action of contract negligence or other tortious action arising out of or in connection with the use or "
+        "performance of this software",
+        ("the above copyright notice and this permission notice appear in all copies", "the author disclaims all warranties"),
+    ),
 ]
 
 
@@ -80,81 +110,93 @@ def vocabulary(templates: list[Template]) -> list[str]:
     return sorted({word for t in templates for _, phrase in t.phrases for word in phrase})
 
 
-def document_counts(words: DataFrame, vocab: list[str]) -> dict[str, int]:
+def _constant(value: object, kind: str) -> Column:
+    """A nested value as one literal, once the optimizer has folded it."""
+    return F.from_json(F.lit(json.dumps(value)), kind)
+
+
+def document_counts(words: DataFrame, column: str, vocab: list[str]) -> dict[str, int]:
     """In how many documents each word of the vocabulary stands; a row per word reaches the driver."""
-    seen = words.select(F.explode_outer(F.array_intersect("_words", F.array(*map(F.lit, vocab)))).alias("word"))
+    known = _constant(vocab, "array<string>")
+    seen = words.select(F.explode_outer(F.array_intersect(column, known)).alias("word"))
     counts = seen.filter("word IS NOT NULL").groupBy("word").count().collect()
     return dict.fromkeys(vocab, 0) | {r["word"]: r["count"] for r in counts}
 
 
-def rare_words(template: Template, counts: dict[str, int], most: int = RARE_WORDS) -> list[tuple[str, list[int]]]:
-    """The words of highest IDF in the key phrases, with their positions in the template."""
-    words = {word for _, phrase in template.phrases for word in phrase}
-    chosen = sorted(words, key=lambda word: (counts[word], word))[:most]
-    return [(word, [i for i, w in enumerate(template.words) if w == word]) for word in chosen]
-
+def anchors(template: Template, counts: dict[str, int], most: int = RARE_WORDS) -> list[tuple[str, int]]:
+    """Words of highest IDF in the key phrases, each with one position in the template, the rarest first."""
+    position = {}
+    for at, phrase in template.phrases:
+        for k, word in enumerate(phrase):
+            position.setdefault(word, at + k)
+    chosen = sorted(position, key=lambda word: (counts[word], word))[:most]
+    return [(word, position[word]) for word in chosen]
 
-def _begins_of(places: Column, words: Column, word: str, positions: list[int]) -> Column:
-    of_word = F.filter(places, lambda i: F.get(words, i) == word)
-    return F.array_distinct(F.flatten(F.transform(of_word, lambda i: F.array(*[i - p for p in positions]))))
 
+POSTINGS = "array<array<struct<word: string, template: int, position: int>>>"
+TEMPLATE_ROWS = """array<struct<
+    anchors: array<struct<word: string, at: int>>, keys: array<struct<at: int, words: array<string>>>, words: array<string>>>"""
 
-def _beginnings(places: Column, words: Column, index: list[tuple[str, list[int]]]) -> Column:
-    """Where all rare words of a template agree that it begins."""
-    agreed = []
-    for word, positions in index:
-        agreed.append(_begins_of(places, words, word, positions))
-    return reduce(F.array_intersect, agreed)
 
+def index_of(templates: list[Template], counts: dict[str, int]) -> tuple[list[list[dict]], list[dict], list[str]]:
+    """Buckets of postings, templates by number, and the words that have postings."""
+    n_buckets = 1 << max(4, (4 * len(templates)).bit_length())
+    buckets: list[list[dict]] = [[] for _ in range(n_buckets)]
+    rows, indexed = [], set()
+    for number, t in enumerate(templates):
+        (word, position), *others = anchors(t, counts)
+        buckets[zlib.crc32(word.encode()) % n_buckets].append({"word": word, "template": number, "position": position})
+        indexed.add(word)
+        keys = [{"at": at, "words": phrase} for at, phrase in t.phrases]
+        rows.append({"anchors": [{"word": w, "at": p} for w, p in others], "keys": keys, "words": t.words})
+    return buckets, rows, sorted(indexed)
 
-def _stands_at(words: Column, start: Column, phrase: list[str]) -> Column:
-    there = F.slice(words, F.greatest(start + 1, F.lit(1)), F.lit(len(phrase)))
-    return (start >= 0) & (there == F.array(*map(F.lit, phrase)))
 
+def _word_at(words: Column, place: Column) -> Column:
+    return F.when(place >= 0, F.get(words, F.greatest(place, F.lit(0))))
 
-def _with_phrase(words: Column, starts: Column, offset: int, phrase: list[str]) -> Column:
-    return F.filter(starts, lambda s: _stands_at(words, s + offset, phrase))
 
+def _stands_at(words: Column, start: Column, phrase: Column) -> Column:
+    return (start >= 0) & (F.slice(words, F.greatest(start + 1, F.lit(1)), F.size(phrase)) == phrase)
 
-def _match_rows(words: Column, starts: Column, number: int, template: Template) -> Column:
-    return F.transform(
-        starts,
-        lambda s: F.struct(
-            F.lit(number).alias("template"),
-            s.cast("long").alias("first_word"),
-            _likeness(words, s, template).alias("score"),
-        ),
-    )
 
-
-def _likeness(words: Column, start: Column, template: Template) -> Column:
+def _likeness(words: Column, start: Column, template: Column) -> Column:
     """The share of the template's words that stand at their places."""
-    equal = [
-        F.when((start + k >= 0) & (F.get(words, F.greatest(start + k, F.lit(0))) == word), 1).otherwise(0)
-        for k, word in enumerate(template.words)
-    ]
-    return reduce(lambda a, b: a + b, equal) / F.lit(float(len(equal)))
+    equal = F.filter(template["words"], lambda word, k: F.coalesce(_word_at(words, start + k) == word, F.lit(False)))
+    return F.size(equal) / F.size(template["words"])
 
 
 def scan(docs: DataFrame, text: str = "text", templates: list[Template] = TEMPLATES) -> DataFrame:
     """``docs`` with ``n_words``, ``matches`` (template number, first word, score; by template and place)."""
-    others = [F.col(f"`{c}`") for c in docs.columns]
-    words = docs.select(*others, words_of(F.col(text)).alias("_words"))
-    counts = document_counts(words, vocabulary(templates))
-    index = [rare_words(t, counts) for t in templates]
-    indexed = sorted({word for entry in index for word, _ in entry})
-    # Only these places are looked at again.
-    places = F.transform("_words", lambda word, i: F.when(word.isin(indexed), i))
-    placed = words.select(*others, "_words", F.filter(places, lambda i: i.isNotNull()).alias("_places"))
-    found = []
-    for number, (template, entry) in enumerate(zip(templates, index)):
-        starts = _beginnings(F.col("_places"), F.col("_words"), entry)
-        for offset, phrase in template.phrases:
-            starts = _with_phrase(F.col("_words"), starts, offset, phrase)
-        found.append(_match_rows(F.col("_words"), starts, number, template))
-    none = F.array().cast("array<struct<template:int,first_word:bigint,score:double>>")
-    matches = F.when(F.size("_places") > 0, F.concat(*found)).otherwise(none)
-    return placed.select(*others, F.size("_words").cast("long").alias("n_words"), matches.alias("matches"))
+    named, names = numbered(docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("n_words", "matches")]))
+    others = list(names.values())
+    split = named.select(*others, words_of(F.col(names[text])).alias("words"))
+    buckets, rows, indexed = index_of(templates, document_counts(split, "words", vocabulary(templates)))
+    index, known, words = _constant(buckets, POSTINGS), _constant(rows, TEMPLATE_ROWS), F.col("words")
+    places = F.filter(F.transform(words, lambda word, i: F.when(word.isin(indexed), i)), lambda i: i.isNotNull())
+    placed = split.select(*others, "words", places.alias("places"))
+
+    def beginnings(i: Column) -> Column:
+        """Where templates would begin of whose rarest anchor this is the place."""
+        word = F.get(words, i)
+        bucket = F.get(index, F.pmod(F.crc32(word), F.lit(len(buckets))).cast("int"))
+        of_word = F.filter(bucket, lambda p: p["word"] == word)
+        return F.transform(of_word, lambda p: F.struct(p["template"].alias("template"), (i - p["position"]).alias("start")))
+
+    def agreed(b: Column) -> Column:
+        return F.forall(F.get(known, b["template"])["anchors"], lambda a: F.coalesce(_word_at(words, b["start"] + a["at"]) == a["word"], F.lit(False)))
+
+    def verified(b: Column) -> Column:
+        return F.forall(F.get(known, b["template"])["keys"], lambda key: _stands_at(words, b["start"] + key["at"], key["words"]))
+
+    begun = F.filter(F.filter(F.flatten(F.transform("places", beginnings)), agreed), verified)
+    match = lambda b: F.struct(
+        b["template"].alias("template"),
+        b["start"].cast("long").alias("first_word"),
+        _likeness(words, b["start"], F.get(known, b["template"])).alias("score"),
+    )
+    found = placed.select(*others, F.size("words").cast("long").alias("n_words"), F.sort_array(F.transform(begun, match)).alias("matches"))
+    return found.toDF(*names, "n_words", "matches")
 
 
 def _labels(matches: Column, chosen: list[Template]) -> Column:

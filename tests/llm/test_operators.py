@@ -183,12 +183,42 @@ def test_license_words_are_found_wherever_they_stand(spark):
         for number, t in enumerate(license_scan.TEMPLATES):
             places = [
                 s
-                for s in range(-30, len(words))
+                for s in range(-200, len(words))
                 if all(s + o >= 0 and words[s + o : s + o + len(p)] == p for o, p in t.phrases)
             ]
             assert sorted(m.first_word for m in row.matches if m.template == number) == places
 
 
+def test_license_scan_of_whole_licences(spark):
+    whole = license_scan.TEMPLATES[-2:]
+    cut = " ".join(whole[0].words[40:])  # begins before the text does
+    rows = [("mit", whole[0].text), ("isc", f"x {whole[1].text} y"), ("cut", cut), ("other", whole[0].text.replace("warranty", "promise"))]
+    frame = spark.createDataFrame([(a, b, 1, 2) for a, b in rows], "words string, text string, places int, n_words int")
+    found = license_scan.scan(frame)
+    assert found.columns == ["words", "text", "places", "n_words", "matches"]
+    numbers = {r.words: [(m.template, m.first_word, m.score) for m in r.matches if m.template >= len(license_scan.TEMPLATES) - 2] for r in found.collect()}
+    mit, isc = len(license_scan.TEMPLATES) - 2, len(license_scan.TEMPLATES) - 1
+    n = len(whole[0].words)
+    assert numbers == {"mit": [(mit, 0, 1.0)], "isc": [(isc, 1, 1.0)], "cut": [(mit, -40, (n - 40) / n)], "other": []}
+
+
+def test_license_scan_does_not_grow_with_the_templates(spark):
+    rng = random.Random(4)
+    more = [license_scan.Template(f"t{n}", " ".join(f"w{rng.randrange(5000)}" for _ in range(40))) for n in range(500)]
+    rows = [(n, " ".join(["a b"] * 50 + more[n].words * (n % 2))) for n in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id int, text string")
+    nodes = []
+    for templates in (more[:16], more):
+        found = license_scan.scan(frame, templates=templates)
+        plan = found._jdf.queryExecution().optimizedPlan()
+        assert "from_json" not in plan.toString().split("LocalRelation")[0]
+        # The constants aside, the plan is the same for any number of templates.
+        nodes.append(plan.toString().count("lambdafunction"))
+        expected = {n: [(n, 100)] if n % 2 and n < len(templates) else [] for n in range(200)}
+        assert {r.doc_id: [(m.template, m.first_word) for m in r.matches] for r in found.collect()} == expected
+    assert nodes[0] == nodes[1]
+
+
 # Languages
 
 
