@@ -235,7 +235,9 @@ def _sql() -> str:
     for n, t in enumerate(TEMPLATES):
         true = " AND ".join(at(f"(s + {o})", phrase) for o, phrase in t.phrases)
         first = f"-{t.phrases[0][0]}"
-        places.append(f"list_filter(range({first}, len(w)), lambda s: {true}) AS p{n}")
+        offset, phrase = t.phrases[0]
+        begun = f"list_filter(range({first}, len(w)), lambda s: w[s + {offset + 1}] = '{phrase[0]}')"
+        places.append(f"list_filter({begun}, lambda s: {true}) AS p{n}")
         equal = " + ".join(f"CASE WHEN s + {k} >= 0 AND w[s + {k + 1}] = '{word}' THEN 1 ELSE 0 END" for k, word in enumerate(t.words))
         scores.append(f"list_max(list_transform(p{n}, lambda s: ({equal}) / {len(t.words)}.0::DOUBLE))")
     base = [n for n, t in enumerate(TEMPLATES) if t.base]
