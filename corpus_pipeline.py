@@ -33,15 +33,16 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that with the smallest id, one row if it is repeated."""
-    rows = near_duplicates(docs.select("doc_id", text_key(F.col("text")).alias("key"), "text"))
-    row_key = lambda doc_id, key: F.md5(F.concat_ws(":", key, doc_id.cast("string")))
-    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col("key").alias("key")))
-    kept = rows.groupBy("root").agg(first.alias("_f")).select(row_key(F.col("_f.id"), F.col("_f.key")).alias("_kept"))
-    named, names = numbered(docs)
-    named = named.withColumn("_key", row_key(F.col(names["doc_id"]), text_key(F.col(names["text"]))))
-    # Texts are dealt once: repeated rows meet where the join has put them.
-    one = named.join(written(kept, "kept").hint("merge"), F.col("_key") == F.col("_kept"), "left_semi")
+    """One row of each group of near-duplicates: of those with the smallest id, that of the least digest over all columns."""
+    rows, names = numbered(docs)
+    doc_id, text = F.col(names["doc_id"]), F.col(names["text"])
+    others = F.struct(*[n for n in rows.columns if n != names["text"]], text.isNull().alias("no_text"))
+    keyed = rows.withColumn("_key", F.md5(F.concat_ws(":", text_key(text), F.to_json(others))))
+    groups = near_duplicates(keyed.select(doc_id.alias("doc_id"), F.col("_key").alias("key"), text.alias("text")))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))
+    kept = written(groups.groupBy("root").agg(first.alias("_f")).select(F.col("_f.key").alias("_kept")), "kept")
+    # Texts are dealt once: rows equal in all columns meet where the join has put them.
+    one = keyed.join(kept.hint("merge"), F.col("_key") == F.col("_kept"), "left_semi")
     return one.dropDuplicates(["_key"]).drop("_key").toDF(*docs.columns)
 
 
