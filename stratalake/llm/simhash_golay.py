@@ -302,7 +302,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, most_bits: int = MOST_BITS) -> DataFrame:
-    """All columns but the text, with fp, component_id and ``root``, a fingerprint of the component."""
+    """All columns but the text, with fp, component_id and ``root``, a fingerprint of the component; these are replaced."""
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("fp", "component_id", "root")])
     rows = written(fingerprints(docs, size), "fingerprints")
     classes = rows.groupBy("fp").agg(F.min("doc_id").alias("_least"))
     roots = components(links(classes, most_bits))

@@ -4,11 +4,12 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from stratalake.llm import queries
+from stratalake.llm import queries, simhash_golay
 from tests.oracle import connect, differences
 
 DATA = contract.SMALL_DATA
@@ -90,3 +91,20 @@ def test_pipeline_runs_its_stages(spark, data):
     rows = corpus_pipeline.run(spark, DATA).collect()
     assert {r.doc_id for r in rows} == ids and len(ids) < data.count()
     assert all(r.length <= 1024 for r in rows)
+
+
+def test_near_duplicate_chooses_the_same_row_in_any_order(spark):
+    said = "one two three four five six seven eight nine ten"
+    rows = [(3, said, "en", s, 9) for s in ("b", "a", None, "a")] + [(n, t, "en", "a", 0) for n in (1, None) for t in (None, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = []
+    for docs in (frame.coalesce(1), frame.repartition(3, "source"), frame.orderBy(F.desc_nulls_last("source")).repartition(2)):
+        found.append(sorted(corpus_pipeline.near_duplicate(spark, docs, DATA).collect(), key=repr))
+    assert found[0] == found[1] == found[2]
+    assert sorted(r.doc_id for r in found[0]) == [1, 3] and found[0][0] in [Row(*r) for r in rows]
+
+
+def test_near_duplicates_replace_columns_of_their_names(spark):
+    frame = spark.createDataFrame([(1, "a b c d", "x", 5, 6)], "doc_id long, text string, root string, component_id long, fp long")
+    found = simhash_golay.near_duplicates(frame)
+    assert sorted(found.columns) == ["component_id", "doc_id", "fp", "root"] and found.first().component_id == 1
