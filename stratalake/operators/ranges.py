@@ -1,9 +1,9 @@
 """Value ranges of a column for table layouts, with about equally many rows in each.
 
 The ends of ranges are quantiles of the column's own values: for numbers, dates and times from mergeable
-quantile sketches, which tasks fill and the shuffle adds up; for all other types from the ranks of sampled values. They
-are found in two levels, ``coarse`` ranges and the ``fine`` ones in each, so that no sketch, list or
-literal holds more than ``MOST_ENDS`` of them, whatever the size of the table.
+quantile sketches, which tasks fill and the shuffle adds up; for all other types from the ranks of sampled values. More
+than ``MOST_ENDS`` are found in two levels, ``coarse`` ranges and the ``fine`` ones in each, so that no sketch, list or
+literal holds more of them, whatever the size of the table.
 
 The rows of a value that is an end, or several ends at once, are dealt to the ranges that it parts, so that a frequent
 value spans as many as it fills. NULL is the smallest value, NaN the largest, as in Spark's order.
@@ -74,8 +74,10 @@ class Sortable:
         return cls(F.coalesce(number, F.lit(SMALLEST)), "bigint")
 
 
-def _ends(rows: DataFrame, sortable: Sortable, data_type: DataType, by: list[str], ranges: int, share: float) -> DataFrame:
-    """``_ends`` for each group: ``ranges`` - 1 values in order, or none for a group without any."""
+def _ends(rows: DataFrame, sortable: Sortable, data_type: DataType, by: list[str], ranges: int) -> DataFrame:
+    """``_ends`` for each group: ``ranges`` - 1 values in order, or none for a group without any.
+
+    Where there is no sketch for the type, ``rows`` are a sample."""
     if sortable.sketch:
         sketch = getattr(F, f"kll_sketch_agg_{sortable.sketch}")("_value", F.lit(SKETCH_SIZE))
         ranks = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
@@ -84,28 +86,37 @@ def _ends(rows: DataFrame, sortable: Sortable, data_type: DataType, by: list[str
         return rows.groupBy(*by).agg(sketch.alias("_sketch")).select(*by, F.when(filled, quantiles).alias("_ends"))
     long = isinstance(data_type, (StringType, BinaryType))
     kept = F.substring("_value", 1, END_CHARACTERS) if long else F.col("_value")
-    sampled = rows.sample(share, seed=17).filter("_value IS NOT NULL").select(*by, kept.alias("_value"))
+    sampled = rows.filter("_value IS NOT NULL").select(*by, kept.alias("_value"))
     listed = sampled.groupBy(*by).agg(F.sort_array(F.collect_list("_value")).alias("_list"))
     nth = F.expr(f"transform(sequence(1, {ranges - 1}), i -> get(_list, cast(i * size(_list) div {ranges} as int)))")
     return listed.select(*by, F.when(F.size("_list") > 0, nth).alias("_ends"))
 
 
-def _place(value: Column, ends: Column, n_ends: int, strictly: bool) -> Column:
-    """How many ends are smaller than the value, or no greater, by halving."""
-    steps = [1 << i for i in range(max(n_ends, 1).bit_length() - 1, -1, -1)]
+def _lasts(ends: list) -> list[int]:
+    """For each end, how many ends are no greater."""
+    found = [len(ends)] * len(ends)
+    for i in range(len(ends) - 2, -1, -1):
+        found[i] = found[i + 1] if ends[i] == ends[i + 1] else i + 1
+    return found
+
 
-    def step(place: Column, size: Column) -> Column:
-        end = F.get(ends, place + size - 1)
-        return F.when((end < value) if strictly else (end <= value), place + size).otherwise(place)
+def _placed(df: DataFrame, into: str, value: str, ends: Column, lasts: Column, n_ends: int, salt: Column) -> DataFrame:
+    """``df`` with the number of each value's range: how many ends are smaller, and for a value that is an end or several,
+    by ``salt`` one of the ranges that these part.
 
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step)
+    Each step of the halving is a projection, so that all of them are compiled; a loop over an array would be interpreted.
+    """
+    place = F.col(into)
+    df = df.withColumn(into, F.lit(0))
+    for size in (1 << i for i in range(n_ends.bit_length() - 1, -1, -1)):
+        df = df.withColumn(into, F.when(F.get(ends, place + (size - 1)) < F.col(value), place + size).otherwise(place))
+    upto = F.when(F.get(ends, place) == F.col(value), F.get(lasts, place)).otherwise(place)
+    return df.withColumn(into, (place + F.pmod(salt, upto - place + 1)).cast("int"))
 
 
-def _range(value: Column, ends: Column, n_ends: int, salt: Column) -> Column:
-    below, upto = _place(value, ends, n_ends, True), _place(value, ends, n_ends, False)
-    bounds = F.struct(below.alias("below"), upto.alias("upto"))
-    dealt = lambda b: b["below"] + F.pmod(salt, b["upto"] - b["below"] + 1)
-    return F.coalesce(F.transform(F.array(bounds), dealt)[0], F.lit(0)).cast("int")
+def _placed_first(df: DataFrame, into: str, value: str, ends: list, salt: Column) -> DataFrame:
+    literals, lasts = (F.array(*[F.lit(x) for x in listed]) for listed in (ends, _lasts(ends)))
+    return _placed(df, into, value, literals, lasts, len(ends), salt) if ends else df.withColumn(into, F.lit(0))
 
 
 @dataclass(frozen=True)
@@ -116,7 +127,8 @@ class ValueRanges:
     coarse: int
     fine: int
     first_ends: list
-    ends: DataFrame
+    # A row for each coarse range, where these are parted again.
+    ends: DataFrame | None
 
     @property
     def n(self) -> int:
@@ -124,39 +136,45 @@ class ValueRanges:
 
     def assign(self, df: DataFrame, into: str) -> DataFrame:
         """``df`` with the number of each row's range. Rows of frequent values are dealt by the rest of the row and its task."""
-        salt = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in df.columns])
-        marked = df.withColumns({"_value": Sortable.of(self.column, df.schema[self.column].dataType).column, "_salt": salt})
-        first = F.array(*[F.lit(e) for e in self.first_ends])
-        marked = marked.withColumn("_coarse", _range(F.col("_value"), first, self.coarse - 1, F.col("_salt")))
+        # No column begins with so many underscores.
+        free = "_" * (1 + max(len(c) - len(c.lstrip("_")) for c in df.columns))
+        value, dealt, place, of, ends, lasts = (f"{free}{n}" for n in ("value", "salt", "place", "of", "ends", "lasts"))
+        columns = [F.col(f"`{c}`") for c in df.columns]
+        salt = F.xxhash64(F.spark_partition_id(), *columns)
+        sortable = Sortable.of(self.column, df.schema[self.column].dataType)
+        marked = df.select(*columns, sortable.column.alias(value), salt.alias(dealt))
+        marked = _placed_first(marked, place, value, self.first_ends, F.col(dealt))
+        if self.ends is None:
+            return marked.select(*columns, F.col(place).alias(into))
         # At most MOST_ENDS rows of as many ends.
-        listed = self.ends.select(F.col("_coarse").alias("_of"), "_ends")
-        joined = marked.join(F.broadcast(listed), F.col("_coarse") == F.col("_of"), "left")
-        again = F.shiftright("_salt", 16)
-        place = _range(F.col("_value"), F.col("_ends"), self.fine - 1, again)
-        return joined.withColumn(into, F.col("_coarse") * self.fine + place).select(*[F.col(f"`{c}`") for c in df.columns], into)
+        not_greater = F.transform("_ends", lambda e: F.size(F.filter("_ends", lambda x: x <= e)))
+        listed = self.ends.select(F.col("_coarse").alias(of), F.col("_ends").alias(ends), not_greater.alias(lasts))
+        joined = marked.join(F.broadcast(listed), F.col(place) == F.col(of), "left").withColumnRenamed(place, of + "_place")
+        again = F.shiftright(dealt, 16)
+        joined = _placed(joined, place, value, F.col(ends), F.col(lasts), self.fine - 1, again)
+        return joined.select(*columns, (F.col(of + "_place") * self.fine + F.col(place)).alias(into))
 
 
 def value_ranges(df: DataFrame, column: str, ranges: int) -> ValueRanges:
     """At least ``ranges`` ranges, at most ``MOST_ENDS`` squared, of about equally many rows.
 
-    The column alone is read, once for each level, before the actual work begins.
+    The column alone is read before the actual work begins: once, or twice for more than ``MOST_ENDS`` ranges.
     """
     wanted = min(max(1, ranges), MOST_ENDS**2)
-    coarse = math.ceil(math.sqrt(wanted))
+    coarse = wanted if wanted <= MOST_ENDS else math.ceil(math.sqrt(wanted))
     fine = math.ceil(wanted / coarse)
     data_type = df.schema[column].dataType
     sortable = Sortable.of(column, data_type)
     values = df.select(sortable.column.alias("_value"), F.xxhash64(F.spark_partition_id(), F.monotonically_increasing_id()).alias("_salt"))
     rows = 1 if sortable.sketch else max(1, df.count())
     share = lambda n: min(1.0, n * SAMPLED_PER_RANGE / rows)
-    found = _ends(values, sortable, data_type, [], coarse, share(coarse)).first() if coarse > 1 else None
+    sampled = lambda n: values if sortable.sketch else values.sample(share(n), seed=17)
+    found = _ends(sampled(coarse), sortable, data_type, [], coarse).first() if coarse > 1 else None
     first_ends = list(found["_ends"] or []) if found else []
-    first = F.array(*[F.lit(e) for e in first_ends])
-    placed = values.withColumn("_coarse", _range(F.col("_value"), first, coarse - 1, F.col("_salt")))
-    if fine > 1:
-        ends = _ends(placed, sortable, data_type, ["_coarse"], fine, share(coarse * fine))
-    else:
-        ends = df.sparkSession.range(1).selectExpr("cast(id as int) AS _coarse", "array() AS _ends")
+    if fine == 1:
+        return ValueRanges(column, coarse, fine, first_ends, None)
+    placed = _placed_first(sampled(coarse * fine), "_coarse", "_value", first_ends, F.col("_salt"))
+    ends = _ends(placed, sortable, data_type, ["_coarse"], fine)
     path = scratch_path(df.sparkSession, "range-ends")
     ends.write.parquet(path)
     return ValueRanges(column, coarse, fine, first_ends, df.sparkSession.read.schema(ends.schema).parquet(path))

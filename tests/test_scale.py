@@ -300,6 +300,32 @@ def test_ranges_need_no_list_longer_than_a_level(spark):
     assert value_ranges(spark.range(5).withColumnRenamed("id", "k"), "k", 10**12).n == 65_536
 
 
+def test_ranges_are_placed_by_compiled_steps(spark):
+    """Up to 256 ranges take one reading of the column, no join, and no loop over an array for each row."""
+    df = spark.range(0, 60_000, 1, 8).selectExpr("id % 1000 AS k", "id")
+    plan = plan_of(clustered(df, ["k"], n_files=200))
+    assert "lambda" not in plan and "BroadcastExchange" not in plan
+    assert value_ranges(df, "k", 256).n == 256 and value_ranges(df, "k", 257).ends is not None
+
+
+@pytest.mark.parametrize("n", [12, 1000])
+@pytest.mark.parametrize("key", ["if(id % 3 = 0, 30000, id)", "if(id % 3 = 0, NULL, id)", "concat('k', if(id % 3 = 0, 3, 1 + id % 9))"])
+def test_rows_of_a_value_are_in_the_ranges_that_it_parts(spark, n, key):
+    df = spark.range(0, 60_000, 1, 8).selectExpr(f"{key} AS k", "id")
+    ranges = value_ranges(df, "k", n)
+    placed = ranges.assign(df, "r")
+    assert exactly_equal(placed.drop("r"), df)
+    parts = placed.groupBy("r").agg(F.count("*").alias("n"), F.min("k").alias("lo"), F.max("k").alias("hi")).orderBy("r").collect()
+    assert all(a.hi <= b.lo for a, b in zip(parts, parts[1:]) if a.hi is not None and b.lo is not None)
+    assert max(p.n for p in parts) <= 4 * 60_000 / ranges.n
+
+
+def test_columns_with_the_names_of_helpers_keep_their_values(spark):
+    df = spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("_Value"), F.lit(2).alias("__Salt"), F.lit(3).alias("_place"))
+    for n in (3, 300):
+        assert exactly_equal(value_ranges(df, "k", n).assign(df, "r").drop("r"), df)
+
+
 def test_ranges_of_an_empty_table(spark, table):
     for ddl in ("k string", "k double", "k int"):
         assert clustered(table(ddl), ["k"], n_files=4).count() == 0
