@@ -17,7 +17,7 @@ roots differ, it is never empty on both sides. Nothing but the trees is needed.
 
 The next document is found by joins on ids only: ids are ordered in ranges, as many
 as shuffle partitions, written, and linked within ranges and from range to range. Texts
-are shuffled twice. Null texts are empty. Rows without an id have no next document,
+are shuffled twice, with their phrases marked. Null texts are empty. Rows without an id have no next document,
 and a repeated id stands for its smallest text where it is the next one.
 """
 
@@ -64,21 +64,41 @@ def _content_of(branch: Column) -> Column:
     return F.substr(branch, F.locate("=", branch) + 1)
 
 
+def _of_phrases(phrases: Column, size: Column) -> Column:
+    joined = F.array_join(F.transform(phrases, _leaf), " ")
+    return _let(joined, lambda found: _branch(found, size, found))
+
+
 def paragraphs(text: Column) -> Column:
     """Each paragraph as a branch: the hash over its leaves, its length, and behind them the leaves."""
+    return F.transform(F.split(text, "\n"), lambda p: _of_phrases(_phrases(p), F.length(p)))
+
+
+def marked(text: Column) -> Column:
+    """The text with one line feed behind each phrase but a paragraph's last, and two between paragraphs."""
+    return F.array_join(F.transform(F.split(text, "\n"), lambda p: F.array_join(_phrases(p), "\n")), "\n\n")
+
+
+def unmarked(marked_text: Column) -> Column:
+    return F.regexp_replace(marked_text, "\n(\n?)", "$1")
+
+
+def marked_paragraphs(marked_text: Column) -> Column:
+    """``paragraphs`` of a marked text: words are not looked at again."""
 
     def of_paragraph(paragraph: Column) -> Column:
-        joined = F.array_join(F.transform(_phrases(paragraph), _leaf), " ")
-        return _let(joined, lambda found: _branch(found, F.length(paragraph), found))
+        # Phrases are never empty.
+        phrases = F.when(paragraph == "", F.array().cast("array<string>")).otherwise(F.split(paragraph, "\n"))
+        return _of_phrases(phrases, F.length(F.replace(paragraph, F.lit("\n"), F.lit(""))))
 
-    return F.transform(F.split(text, "\n"), of_paragraph)
+    return F.transform(F.split(marked_text, "\n\n"), of_paragraph)
 
 
 def sections(some_paragraphs: Column) -> Column:
     """Each section as a branch: the hash over those of its paragraphs, its length in letters of these, and behind them these."""
     ended = F.transform(some_paragraphs, lambda p: F.when(F.substring(p, 64, 1) == "0", F.concat(p, F.lit("|"))).otherwise(F.concat(p, F.lit(";"))))
     # Without what ends the last paragraph.
-    contents = F.split(F.regexp_replace(F.array_join(ended, ""), r"[;|]\z", ""), r"\|")
+    contents = F.split(_let(F.array_join(ended, ""), lambda all_of: F.left(all_of, F.length(all_of) - 1)), r"\|")
 
     def of_section(content: Column) -> Column:
         return _branch(F.array_join(F.transform(F.split(content, ";"), _hash_of), " "), F.length(content), content)
@@ -257,17 +277,26 @@ def previous_ids(docs: DataFrame) -> DataFrame:
 
 
 def with_next_text(docs: DataFrame) -> DataFrame:
-    """doc_id, text and the text of the next document; empty where there is none."""
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    """doc_id, text and the text of the next document, empty where there is none; both also ``marked``.
+
+    Phrases are found before the rows are dealt, once for a text and for the one before it. Only
+    marked texts are shuffled; the text itself goes along where it is no UTF-8, which marking would mend.
+    """
+    filled = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = filled.select("doc_id", marked(F.col("text")).alias("marked"), F.when(~F.is_valid_utf8("text"), F.col("text")).alias("_raw"))
     known = rows.filter("doc_id IS NOT NULL")
-    # Dealt by id once, and used on both sides.
+    text = F.coalesce("_raw", unmarked(F.col("marked")))
+    # Dealt by id once, and used on both sides. An id has one before it.
     following = (
         known.join(previous_ids(docs).hint("merge"), F.col("doc_id") == F.col("_id"))
-        .groupBy("_previous")
-        .agg(F.min("text").alias("next_text"))
+        .groupBy("doc_id")
+        .agg(F.min("_previous").alias("_previous"), F.min_by(F.struct("marked", "_raw"), text).alias("_next"))
+        .select("_previous", F.col("_next.marked").alias("next_marked"), F.col("_next._raw").alias("_next_raw"))
     )
-    linked = known.hint("merge").join(following, F.col("doc_id") == F.col("_previous")).select("doc_id", "text", "next_text")
-    return linked.unionByName(rows.filter("doc_id IS NULL").withColumn("next_text", F.lit("")))
+    linked = known.hint("merge").join(following, F.col("doc_id") == F.col("_previous")).drop("_previous")
+    alone = rows.filter("doc_id IS NULL").withColumns({"next_marked": F.lit(""), "_next_raw": F.lit(None).cast("string")})
+    next_text = F.coalesce("_next_raw", unmarked(F.col("next_marked")))
+    return linked.unionByName(alone).select("doc_id", text.alias("text"), next_text.alias("next_text"), "marked", "next_marked")
 
 
 def op5_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -277,7 +306,8 @@ def op5_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = F.substring("text", F.lit(1), (F.col("n_chars") - F.col("_replaced")).cast("int"))
     cut = rows.select("*", start.alias("_start"), F.substring("next_text", F.lit(1), F.col("_replaced")).alias("_piece"))
     edited = cut.select("*", F.concat("_start", "_piece").alias("edited"))
-    lines = edited.select("*", paragraphs(F.col("text")).alias("own_paragraphs"), paragraphs(F.col("next_text")).alias("next_paragraphs"))
+    own, following = (marked_paragraphs(F.col(c)) for c in ("marked", "next_marked"))
+    lines = edited.select("*", own.alias("own_paragraphs"), following.alias("next_paragraphs"))
     # The paragraphs before the cut are known from the text's own tree.
     kept = F.length("_start") - characters(F.col("_start"))
     begun = F.concat(F.substring_index("_start", "\n", -1), F.col("_piece"))

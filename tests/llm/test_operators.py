@@ -456,6 +456,21 @@ def test_tree_locates_edits(spark):
     assert row.f == hashlib.sha256(" ".join(h for h, _ in plain_sections("\n".join(lines))).encode()).hexdigest()
 
 
+def test_a_marked_text_has_the_tree_and_the_letters_of_the_text(spark):
+    """Phrases are found once, before texts are dealt: the trees of a text and of the one before it start from them."""
+    many = " ".join(f"w{i}" for i in range(300))
+    texts = ["", " ", "\n", "\n\n\n", "a b\n\n\nc  d\t\r\n", f"{many}\n{many}  \n", "x" * 5000 + " y\n", "é \U0001d11e\u0085z\x00 b"]
+    docs = spark.createDataFrame([*enumerate(texts), (3, "\n \n"), (None, "q r"), (90, None)], "doc_id long, text string")
+    docs = docs.unionByName(spark.sql("SELECT 99L AS doc_id, CAST(unhex('61FF620A63C3') AS STRING) AS text"))
+    linked = merkle.with_next_text(docs)
+    for text, mark in (("text", "marked"), ("next_text", "next_marked")):
+        same = merkle.marked_paragraphs(F.col(mark)) == merkle.paragraphs(F.col(text))
+        assert linked.filter(~same).isEmpty() and linked.filter(same).count() == 12
+    assert linked.select("doc_id", "text").exceptAll(docs.fillna("", ["text"])).isEmpty()
+    by_id = {r.doc_id: r.next_text for r in linked.filter("doc_id IN (2, 98, 7)").collect()}
+    assert by_id == {2: min(texts[3], "\n \n"), 7: ""}
+
+
 def test_tree_locates_lost_repeats_and_swaps(spark):
     rows = [
         ("a\nx\nb\nx", "a\nx\nb"),
