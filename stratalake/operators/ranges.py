@@ -161,8 +161,10 @@ def value_ranges(df: DataFrame, column: str, ranges: int) -> ValueRanges:
     The column alone is read before the actual work begins: once, or twice for more than ``MOST_ENDS`` ranges.
     """
     wanted = min(max(1, ranges), MOST_ENDS**2)
-    coarse = wanted if wanted <= MOST_ENDS else math.ceil(math.sqrt(wanted))
+    coarse = math.ceil(math.sqrt(wanted))
     fine = math.ceil(wanted / coarse)
+    if coarse * fine <= MOST_ENDS:
+        coarse, fine = coarse * fine, 1
     data_type = df.schema[column].dataType
     sortable = Sortable.of(column, data_type)
     values = df.select(sortable.column.alias("_value"), F.xxhash64(F.spark_partition_id(), F.monotonically_increasing_id()).alias("_salt"))

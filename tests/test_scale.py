@@ -305,7 +305,8 @@ def test_ranges_are_placed_by_compiled_steps(spark):
     df = spark.range(0, 60_000, 1, 8).selectExpr("id % 1000 AS k", "id")
     plan = plan_of(clustered(df, ["k"], n_files=200))
     assert "lambda" not in plan and "BroadcastExchange" not in plan
-    assert value_ranges(df, "k", 256).n == 256 and value_ranges(df, "k", 257).ends is not None
+    assert value_ranges(df, "k", 256).ends is None and value_ranges(df, "k", 257).ends is not None
+    assert [value_ranges(df, "k", n).n for n in (1, 3, 8, 256)] == [1, 4, 9, 256]
 
 
 @pytest.mark.parametrize("n", [12, 1000])
